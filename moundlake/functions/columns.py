@@ -156,7 +156,8 @@ def format_metric(value: str | Column, fmt: str) -> Column:
         raise ValueError(f"unsupported format {fmt!r}")
     digits, pct = int(m.group(1)), m.group(2)
     x = col_of(value)
-    return F.coalesce(F.format_string(f"%.{digits}f{'%%' if pct else ''}", x), F.lit("--"))
+    return F.when(x.isNull() | F.isnan(x), F.lit("--")).otherwise(
+        F.format_string(f"%.{digits}f{'%%' if pct else ''}", x))
 
 
 def is_iso_date(c: str | Column) -> Column:

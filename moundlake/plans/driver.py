@@ -367,6 +367,93 @@ def importance(spark, sf, max_iter: int = 10):
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
+def median_order(spark, sf):
+    """Median spin per pitch type mapped back for ordering (one row per type kept)."""
+    p = summary.median_order(roles.pitches(spark, sf), "pitch_type", "spin_rate")
+    return _r(p.groupBy("pitch_type", "category_median").agg(F.count(F.lit(1)).alias("n")))
+
+
+def distinct_values(spark, sf):
+    """A21."""
+    return roles.pitches(spark, sf).select("pitch_type", "play_description").distinct()
+
+
+def mean_count(spark, sf):
+    """Sample size and floored mean of a per-pitcher count column."""
+    per = roles.pitches(spark, sf).groupBy("pitcher_id").agg(F.count(F.lit(1)).alias("pitches"))
+    return summary.mean_count(per, "pitches")
+
+
+def whiff_target(spark, sf):
+    """M25 on feed-like flags derived from the codes."""
+    p = roles.pitches(spark, sf).withColumns({"is_swing": C.swing_flag("play_code"),
+                                              "is_whiff": C.whiff_flag("play_code")})
+    out = targets.whiff_target(p)
+    return out.groupBy("pitch_type", "outcome").agg(F.count(F.lit(1)).alias("n"), F.sum("target").alias("whiffs"))
+
+
+def player_row(spark, sf):
+    """U7 + P21 + P22: one formatted metric row per pitcher for chosen stats."""
+    p = roles.pitches(spark, sf).withColumn("whiff", C.whiff_flag("play_code").cast("double"))
+    per = p.groupBy("pitcher_id").agg(F.avg("spin_rate").alias("spin"), F.avg("whiff").alias("whiff_rate"),
+                                      F.count(F.lit(1)).alias("pitches"))
+    per = C.percent_scale(per, ["whiff_rate"])
+    return per.select("pitcher_id", C.format_metric("spin", ".1f").alias("spin_txt"),
+                      C.format_metric("whiff_rate", ".3f%").alias("whiff_txt"),
+                      C.format_metric(F.when(F.col("pitches") > 10**9, 1.0), ".0f").alias("undefined_txt"))
+
+
+def feed_flatten(spark, sf):
+    """S1 end to end on game-feed documents that Spark builds from orders + lineitem
+    (one document per order, one plate appearance per line, one pitch each); the
+    flatten must give back one row per line with the nested values."""
+    from moundlake.sources.feed import flatten_feed
+    li = roles.table(spark, sf, "lineitem")
+    od = roles.table(spark, sf, "orders")
+    ev = F.struct(
+        F.lit(0).alias("index"), F.lit(None).cast("string").alias("playId"),
+        F.lit(None).cast("string").alias("startTime"), F.lit(None).cast("string").alias("endTime"),
+        F.lit(True).alias("isPitch"), F.lit("pitch").alias("type"), F.lit(1).alias("pitchNumber"),
+        F.struct(F.lit(0).alias("balls"), F.lit(1).alias("strikes"), F.lit(0).alias("outs")).alias("count"),
+        F.struct(F.col("l_returnflag").alias("description"), F.col("l_linestatus").alias("code"),
+                 F.lit(None).cast("boolean").alias("isInPlay"), F.lit(None).cast("boolean").alias("isStrike"),
+                 F.lit(None).cast("boolean").alias("isOut"), F.lit(None).cast("boolean").alias("hasReview"),
+                 F.struct(F.lit("B").alias("code"), F.lit("Ball").alias("description")).alias("call"),
+                 F.struct(F.lit("FF").alias("code"), F.lit("x").alias("description")).alias("type")).alias("details"),
+        F.struct(F.col("l_quantity").alias("startSpeed"), F.col("l_extendedprice").alias("endSpeed"),
+                 *[F.lit(None).cast("double").alias(n) for n in ("strikeZoneTop", "strikeZoneBottom")],
+                 F.lit(None).cast("int").alias("zone"),
+                 *[F.lit(None).cast("double").alias(n) for n in ("typeConfidence", "plateTime", "extension",
+                                                                  "releasePosX", "releasePosZ", "zReleasePoint")],
+                 F.lit(None).alias("coordinates"), F.lit(None).alias("breaks")).alias("pitchData"),
+        F.lit(None).alias("hitData"))
+    play = F.struct(
+        F.col("l_linenumber").alias("atBatIndex"), F.struct((F.pmod("l_partkey", F.lit(2)) == 0).alias("isTopInning")).alias("about"),
+        F.struct(F.struct(F.col("l_partkey").alias("id"), F.lit(None).cast("string").alias("fullName")).alias("batter"),
+                 F.struct(F.col("l_suppkey").alias("id"), F.lit(None).cast("string").alias("fullName")).alias("pitcher"),
+                 F.lit(None).alias("batSide"), F.lit(None).alias("pitchHand")).alias("matchup"),
+        F.struct(F.lit("atBat").alias("type"), F.lit(None).cast("string").alias("event"),
+                 F.lit(None).cast("string").alias("eventType"), F.lit(None).cast("int").alias("rbi"),
+                 F.lit(None).cast("int").alias("awayScore"), F.lit(None).cast("int").alias("homeScore"),
+                 F.lit(None).cast("boolean").alias("isOut")).alias("result"),
+        F.array(ev).alias("playEvents"))
+    # one document per order: an order holds at most a handful of lines (bounded group)
+    plays = li.groupBy("l_orderkey").agg(F.collect_list(play).alias("allPlays"))
+    docs = plays.join(od, plays.l_orderkey == od.o_orderkey, "inner").select(
+        F.col("o_orderkey").alias("gamePk"),
+        F.struct(F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("officialDate")).alias("datetime"),
+                 F.struct(F.struct(F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("abbreviation")).alias("home"),
+                          F.struct(F.lit(0).cast("long").alias("id"), F.col("o_orderstatus").alias("abbreviation")).alias("away"))
+                 .alias("teams")).alias("gameData"),
+        F.struct(F.struct("allPlays").alias("plays")).alias("liveData"))
+    from moundlake.sources.feed import FEED_SCHEMA
+    docs = docs.select(*[F.col(f.name).cast(f.dataType) for f in FEED_SCHEMA.fields])
+    flat = flatten_feed(docs)
+    return _r(flat.select("game_id", "game_date", "ab_number", "batter_id", "pitcher_id", "pitcher_team",
+                          "batter_team", "play_description", "play_code", "start_speed", "end_speed",
+                          "balls", "strikes", "is_swing", "row_kind"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "arsenal_summary": arsenal_summary,
     "arsenal_rates": arsenal_rates,
@@ -409,6 +496,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "count_before_event": count_before_event,
     "null_counts": null_counts,
     "std_grains": std_grains,
+    "median_order": median_order,
+    "distinct_values": distinct_values,
+    "mean_count": mean_count,
+    "whiff_target": whiff_target,
+    "player_row": player_row,
+    "feed_flatten": feed_flatten,
     "gbt_scores": gbt_scores,
     "importance": importance,
 }

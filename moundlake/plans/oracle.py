@@ -523,3 +523,38 @@ SELECT 'pitch' AS grain, round(stddev_samp(tj_stuff_plus), 6) AS std, count(tj_s
 UNION ALL SELECT 'pitcher', round(stddev_samp(v), 6), count(v) FROM p
 UNION ALL SELECT 'team', round(stddev_samp(v), 6), count(v) FROM t
 """, "pitches", "rv")
+
+ORACLE["median_order"] = with_views("""
+SELECT pitch_type, round(median(spin_rate), 6) AS category_median, count(*) AS n FROM pitches GROUP BY pitch_type
+""", "pitches")
+
+ORACLE["distinct_values"] = with_views("SELECT DISTINCT pitch_type, play_description FROM pitches", "pitches")
+
+ORACLE["mean_count"] = """
+SELECT count(pitches) AS n, CAST(floor(avg(pitches)) AS BIGINT) AS mean_floor
+FROM (SELECT l_suppkey, count(*) AS pitches FROM lineitem GROUP BY l_suppkey)
+"""
+
+ORACLE["whiff_target"] = with_views(f"""
+SELECT pitch_type, {OUTCOME} AS outcome, count(*) AS n,
+       CAST(sum(CASE WHEN {SWING} AND {WHIFF} THEN 1 ELSE 0 END) AS BIGINT) AS whiffs
+FROM pitches GROUP BY ALL
+""", "pitches")
+
+ORACLE["player_row"] = with_views(f"""
+SELECT pitcher_id, printf('%.1f', avg(spin_rate)) AS spin_txt,
+       printf('%.3f%%', avg(CAST({WHIFF} AS DOUBLE)) * 100) AS whiff_txt, '--' AS undefined_txt
+FROM pitches GROUP BY pitcher_id
+""", "pitches")
+
+ORACLE["feed_flatten"] = """
+SELECT o.o_orderkey AS game_id, CAST(o.o_orderdate AS DATE) AS game_date, l.l_linenumber AS ab_number,
+       l.l_partkey AS batter_id, l.l_suppkey AS pitcher_id,
+       CASE WHEN l.l_partkey % 2 = 0 THEN o.o_orderpriority ELSE o.o_orderstatus END AS pitcher_team,
+       CASE WHEN l.l_partkey % 2 = 0 THEN o.o_orderstatus ELSE o.o_orderpriority END AS batter_team,
+       l.l_returnflag AS play_description, l.l_linestatus AS play_code,
+       round(l.l_quantity, 6) AS start_speed, round(l.l_extendedprice, 6) AS end_speed,
+       0 AS balls, 0 AS strikes, coalesce(l.l_linestatus IN ('X','F','S','D','E','T','W'), false) AS is_swing,
+       'pitch' AS row_kind
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+"""
