@@ -76,9 +76,15 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column | s
 
 
 def percentile_ranks(long: DataFrame, by: Sequence[str], value: str = "value",
-                     flip: str | None = None, alias: str = "percentile") -> DataFrame:
+                     flip: str | None = None, alias: str = "percentile", skew_safe: bool = True) -> DataFrame:
     """round(100 x percent_rank) of each value among its (season, metric) group,
-    descending for flipped (lower-is-better) metrics."""
+    descending for flipped (lower-is-better) metrics.
+
+    ``skew_safe`` (default) ranks through ``ordered_scan`` (range-partitioned, a
+    (season, metric) group never sits in one task); otherwise a window."""
+    if skew_safe:
+        from moundlake.operators.sequence import percentile_rank_skew_safe
+        return percentile_rank_skew_safe(long, by, value, flip, alias)
     asc = Window.partitionBy(*by).orderBy(F.asc(value))
     desc = Window.partitionBy(*by).orderBy(F.desc(value))
     pr = F.percent_rank().over(asc)

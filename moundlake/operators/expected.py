@@ -2,29 +2,15 @@
 (M2 expected value, M3 event overrides, M4 split, M5 prediction, M6/M7 report
 and confusion, M8 R^2, M9 line, A5/A6 per-group means).
 
-kNN design (exact, no UDF, no Cartesian product):
-
-* Training points are pruned per distinct location to the ``k`` lowest ids:
-  a row that is not among the k lowest ids at its location can never be in
-  any query's top k (all rows of a location are equidistant from any query
-  and the tie-break is the id). This is exact and bounds a hot location (a
-  third of all rows at one launch pair) to k rows. ``row_number() <= k`` is
-  planned with a map-side group limit, so the hot key never reaches one task.
-* Query rows are reduced to distinct locations; each is scored once and
-  joined back.
-* Locations are hashed to square grid cells. Round r explodes each
-  unresolved query into the (2r+1)^2 cells around its own and equi-joins the
-  training cells; the top k by (distance, id) are kept. A query is resolved
-  when it has k candidates and its k-th distance is strictly below the
-  distance from it to the edge of the searched block (then nothing outside
-  can enter, ties included). Unresolved queries go round again with r
-  doubled; the last round covers the whole training extent, so the answer is
-  always exact. Rounds cut lineage with a reliable checkpoint.
+kNN design (exact, no UDF, no Cartesian product): see ``knn_votes`` -- duplicate
+locations pruned to k rows (exact), distinct queries scored once, and a
+quadtree built from cell counts is searched with joins, refining only where
+the data is dense, so a hot location or a dense cluster never produces
+all-pairs work. Every round cuts lineage with a reliable checkpoint.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -63,80 +49,119 @@ def _prune_train(train: DataFrame, x: str, y: str, label: str, tid, k: int) -> D
     return t.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
 
 
+def _cells_all_levels(pts: DataFrame, x: str, y: str, x0: float, y0: float, size: float, levels: int) -> DataFrame:
+    """Explode each point into its cell at every level 0..levels (cell side size / 2^l)."""
+    lv = F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("_l")
+    e = pts.select("*", lv)
+    side = F.lit(size) / F.pow(F.lit(2.0), F.col("_l"))
+    return e.withColumns({"_cx": F.floor((F.col(x) - x0) / side).cast("long"),
+                          "_cy": F.floor((F.col(y) - y0) / side).cast("long")})
+
+
 def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
-              train_id: str | Sequence[str],
-              k: int = 11, cell: float | None = None, max_rounds: int = 40) -> DataFrame:
+              train_id: str | Sequence[str], k: int = 11, leaf_size: int | None = None,
+              max_level: int = 20, start_level: int = 3) -> DataFrame:
     """M1: for every distinct query location (qx, qy) the vote share of each label among
     its k nearest training rows (Euclidean on the raw x, y; ties by train id).
 
+    Exact and density-adaptive (a quadtree built from counts, searched with
+    joins):
+
+    1. Training rows are pruned to the k lowest ids per distinct location (exact).
+    2. Cell counts at every level come from ONE partial aggregation over the
+       exploded levels. A cell is a leaf when it holds <= ``leaf_size`` rows (or
+       is at ``max_level``); every training row belongs to exactly one leaf.
+    3. Each distinct query starts with the root cell. Per round: an upper bound
+       R on its k-th distance (smallest max-distance at which the cells seen so
+       far hold k rows), cells with min-distance > R dropped, non-leaf cells
+       replaced by their children. Dense areas are refined, sparse ones stop
+       early, so a hot cluster costs O(k + leaf_size) candidates per query,
+       not the cluster's size.
+    4. The surviving leaves join the training rows; top k by (distance, id).
+
     Returns (qx, qy, label, votes, share) with share = votes / k."""
     spark = train.sparkSession
-    tr = _prune_train(train, x, y, label, train_id, k)
-    tr = cut_lineage(tr)
-    st = tr.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("x0"), F.max("_x").alias("x1"),
-                F.min("_y").alias("y0"), F.max("_y").alias("y1")).first()
+    cap = leaf_size or max(64, 4 * k)
+    tr = cut_lineage(_prune_train(train, x, y, label, train_id, k))
     q = (query.select(F.col(x).cast("double").alias("qx"), F.col(y).cast("double").alias("qy"))
               .filter(F.col("qx").isNotNull() & F.col("qy").isNotNull() & ~F.isnan("qx") & ~F.isnan("qy"))
               .distinct())
-    empty = spark.createDataFrame([], "qx double, qy double, label_ int, votes long, share double")
-    if not st["n"]:
-        return empty.withColumnRenamed("label_", label)
-    qs = q.agg(F.min("qx").alias("x0"), F.max("qx").alias("x1"),
-               F.min("qy").alias("y0"), F.max("qy").alias("y1")).first()
-    if qs["x0"] is None:
-        return empty.withColumnRenamed("label_", label)
-    xa, xb, ya, yb, n = st["x0"], st["x1"], st["y0"], st["y1"], st["n"]
-    span = max(xb - xa, yb - ya, 1e-9)
-    # block radius (in cells) that reaches every training cell from any query cell
-    full = max(xb, qs["x1"]) - min(xa, qs["x0"]), max(yb, qs["y1"]) - min(ya, qs["y0"])
-    if cell is None:
-        # about 2k training rows per occupied cell on a uniform spread
-        cell = span * math.sqrt(2.0 * k / max(n, 1))
-        cell = min(max(cell, span / 4096.0), span)
-    s = float(cell)
-    cells_span = int(math.ceil(max(full) / s)) + 2
-    trc = tr.select("_x", "_y", "_label", "_id",
-                    F.floor(F.col("_x") / s).cast("long").alias("_cx"),
-                    F.floor(F.col("_y") / s).cast("long").alias("_cy"))
-    pending = q.withColumns({"_cx": F.floor(F.col("qx") / s).cast("long"),
-                             "_cy": F.floor(F.col("qy") / s).cast("long")})
-    results = []
-    r = 1
-    for _ in range(max_rounds):
-        last = r >= cells_span
-        offs = list(range(-r, r + 1))
-        grid = spark.createDataFrame([(dx, dy) for dx in offs for dy in offs], "dx long, dy long")
-        probe = pending.crossJoin(F.broadcast(grid)).select(  # (2r+1)^2 small literal offsets
-            "qx", "qy", "_cx", "_cy",
-            (F.col("_cx") + F.col("dx")).alias("_tcx"), (F.col("_cy") + F.col("dy")).alias("_tcy"))
-        cand = probe.join(trc.withColumnRenamed("_cx", "_tcx").withColumnRenamed("_cy", "_tcy"),
-                          ["_tcx", "_tcy"], "inner")
-        cand = cand.withColumn("_d2", (F.col("qx") - F.col("_x")) ** 2 + (F.col("qy") - F.col("_y")) ** 2)
-        wq = Window.partitionBy("qx", "qy").orderBy("_d2", "_id")
-        top = cand.withColumn("_rn", F.row_number().over(wq)).filter(F.col("_rn") <= k)
-        # distance from the query to the edge of the searched block
-        edge = F.least(F.col("qx") - (F.col("_cx") - r) * s, (F.col("_cx") + r + 1) * s - F.col("qx"),
-                       F.col("qy") - (F.col("_cy") - r) * s, (F.col("_cy") + r + 1) * s - F.col("qy"))
-        status = (top.groupBy("qx", "qy", "_cx", "_cy")
-                     .agg(F.count(F.lit(1)).alias("_n"), F.max("_d2").alias("_kd2"))
-                     .withColumn("_ok", F.lit(last) | ((F.col("_n") >= k) & (F.col("_kd2") < edge * edge)))
-                     .withColumn("_ok", F.col("_ok") & F.col("_ok").isNotNull()))
-        status = cut_lineage(status)
-        done = status.filter("_ok").select("qx", "qy")
-        votes = (top.join(done, ["qx", "qy"], "left_semi")
-                    .groupBy("qx", "qy", "_label").agg(F.count(F.lit(1)).alias("votes")))
-        results.append(cut_lineage(votes))
-        # queries with no candidate at all never reach ``status``
-        pending = (pending.join(status.filter("_ok").select("qx", "qy"), ["qx", "qy"], "left_anti"))
-        pending = cut_lineage(pending)
-        if last or pending.isEmpty():
+    st = tr.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("x0"), F.max("_x").alias("x1"),
+                F.min("_y").alias("y0"), F.max("_y").alias("y1")).first()
+    empty = spark.createDataFrame([], f"qx double, qy double, {label} int, votes long, share double")
+    if not st["n"] or q.isEmpty():
+        return empty
+    x0, y0 = st["x0"], st["y0"]
+    size = max(st["x1"] - x0, st["y1"] - y0, 1e-12) * (1 + 1e-9) + 1e-12
+    # 1 + 2: counts per cell at all levels, leaves, and each training row's leaf
+    cells = (_cells_all_levels(tr.select("_x", "_y"), "_x", "_y", x0, y0, size, max_level)
+             .groupBy("_l", "_cx", "_cy").agg(F.count(F.lit(1)).alias("_n")))
+    cells = cells.withColumn("_leaf", (F.col("_n") <= cap) | (F.col("_l") == max_level))
+    cells = cut_lineage(cells)
+    parents = cells.select(F.col("_l").alias("_pl"), F.col("_cx").alias("_pcx"), F.col("_cy").alias("_pcy"),
+                           F.col("_leaf").alias("_pleaf"))
+    # a leaf is the coarsest cell at or below the start level holding <= cap rows
+    start = min(start_level, max_level)
+    leaves = (cells.filter(F.col("_leaf") & (F.col("_l") >= start)).join(
+                parents, (F.col("_pl") == F.col("_l") - 1) & (F.col("_pcx") == F.floor(F.col("_cx") / 2)) &
+                (F.col("_pcy") == F.floor(F.col("_cy") / 2)), "left")
+              .filter((F.col("_l") == start) | ~F.col("_pleaf"))
+              .select("_l", "_cx", "_cy"))
+    tleaf = (_cells_all_levels(tr, "_x", "_y", x0, y0, size, max_level)
+             .join(broadcast_if_small(leaves, BROADCAST_LEAVES), ["_l", "_cx", "_cy"], "inner"))
+    tleaf = cut_lineage(tleaf)
+    children = cells.select(F.col("_l"), F.col("_cx"), F.col("_cy"), "_n", "_leaf",
+                            (F.col("_l") - 1).alias("_pl"), F.floor(F.col("_cx") / 2).alias("_pcx"),
+                            F.floor(F.col("_cy") / 2).alias("_pcy")).filter(F.col("_l") > 0)
+    # 3: refine a per-query frontier of cells, starting from the (at most 4^start)
+    # occupied cells of a shallow level so the first rounds are not spent on the root
+    top_cells = cells.filter(F.col("_l") == start)
+    frontier = q.crossJoin(F.broadcast(top_cells))  # <= 4^start rows, a fixed bound
+    wq = Window.partitionBy("qx", "qy")
+    kept = []
+    f = None
+    for i in range(max_level + 1):
+        side = F.lit(size) / F.pow(F.lit(2.0), F.col("_l"))
+        lo_x, lo_y = x0 + F.col("_cx") * side, y0 + F.col("_cy") * side
+        dxmin = F.greatest(lo_x - F.col("qx"), F.col("qx") - (lo_x + side), F.lit(0.0))
+        dymin = F.greatest(lo_y - F.col("qy"), F.col("qy") - (lo_y + side), F.lit(0.0))
+        dxmax = F.greatest(F.abs(F.col("qx") - lo_x), F.abs(F.col("qx") - (lo_x + side)))
+        dymax = F.greatest(F.abs(F.col("qy") - lo_y), F.abs(F.col("qy") - (lo_y + side)))
+        f = frontier.withColumns({"_dmin": dxmin * dxmin + dymin * dymin, "_dmax": dxmax * dxmax + dymax * dymax})
+        cum = F.sum("_n").over(wq.orderBy("_dmax", "_l", "_cx", "_cy").rowsBetween(Window.unboundedPreceding, 0))
+        f = f.withColumn("_cum", cum)
+        bound = F.min(F.when(F.col("_cum") >= k, F.col("_dmax"))).over(wq)
+        f = f.withColumn("_r2", bound)
+        f = f.filter(F.col("_r2").isNull() | (F.col("_dmin") <= F.col("_r2")))
+        f = f.select("qx", "qy", "_l", "_cx", "_cy", "_n", "_leaf")
+        # persist between rounds, and cut lineage (shared checkpoint folder) every third
+        if i % 3 == 2:
+            f = cut_lineage(f)
+        else:
+            f = f.persist()
+            kept.append(f)
+        if f.filter(~F.col("_leaf")).isEmpty():
             break
-        r *= 2
-    out = results[0]
-    for v in results[1:]:
-        out = out.unionByName(v)
-    return out.select("qx", "qy", F.col("_label").alias(label), "votes",
-                      (F.col("votes") / F.lit(float(k))).alias("share"))
+        grow = (f.filter(~F.col("_leaf")).select("qx", "qy", F.col("_l").alias("_pl"), F.col("_cx").alias("_pcx"),
+                                                  F.col("_cy").alias("_pcy"))
+                 .join(children, ["_pl", "_pcx", "_pcy"], "inner")
+                 .select("qx", "qy", "_l", "_cx", "_cy", "_n", "_leaf"))
+        frontier = f.filter("_leaf").unionByName(grow)
+    frontier = cut_lineage(f)
+    for c in kept:
+        c.unpersist()
+    # 4: candidates from the surviving leaves, exact top k
+    cand = frontier.select("qx", "qy", "_l", "_cx", "_cy").join(tleaf, ["_l", "_cx", "_cy"], "inner")
+    cand = cand.withColumn("_d2", (F.col("qx") - F.col("_x")) ** 2 + (F.col("qy") - F.col("_y")) ** 2)
+    top = (cand.withColumn("_rn", F.row_number().over(wq.orderBy("_d2", "_id")))
+               .filter(F.col("_rn") <= k))
+    votes = top.groupBy("qx", "qy", "_label").agg(F.count(F.lit(1)).alias("votes"))
+    return votes.select("qx", "qy", F.col("_label").alias(label), "votes",
+                        (F.col("votes") / F.lit(float(k))).alias("share"))
+
+
+# Leaf-cell tables up to this many rows are broadcast (checked with a bounded probe).
+BROADCAST_LEAVES = 1_000_000
 
 
 def expected_from_votes(votes: DataFrame, label: str, weights: Mapping[object, float]) -> DataFrame:
@@ -154,14 +179,14 @@ def expected_from_votes(votes: DataFrame, label: str, weights: Mapping[object, f
 def knn_expected(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
                  train_id: str | Sequence[str],
                  k: int = 11, weights: Mapping[object, float] | None = None,
-                 cell: float | None = None) -> DataFrame:
+                 leaf_size: int | None = None) -> DataFrame:
     """M1 + M2 + M5 joined back onto every query row (columns ``expected``, ``pred_class``).
 
     The per-location table has one row per distinct launch pair; it is joined
     back with AQE choosing broadcast or a skew-split sort-merge."""
     weights = weights or {0: 0.0, 1: WOBA_WEIGHTS_A["single"], 2: WOBA_WEIGHTS_A["double"],
                           3: WOBA_WEIGHTS_A["triple"], 4: WOBA_WEIGHTS_A["home_run"]}
-    votes = knn_votes(train, query, x=x, y=y, label=label, train_id=train_id, k=k, cell=cell)
+    votes = knn_votes(train, query, x=x, y=y, label=label, train_id=train_id, k=k, leaf_size=leaf_size)
     ev = expected_from_votes(votes, label, weights)
     qq = query.withColumns({"qx": F.col(x).cast("double"), "qy": F.col(y).cast("double")})
     return qq.join(ev, ["qx", "qy"], "left").drop("qx", "qy")

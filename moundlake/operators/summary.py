@@ -312,12 +312,23 @@ def mean_count(df: DataFrame, value: str) -> DataFrame:
 
 
 def rolling_mean(df: DataFrame, partition: Sequence[str], order: Sequence[str],
-                 values: Mapping[str, str], window: int = 50, newest_first: bool = False) -> DataFrame:
+                 values: Mapping[str, str], window: int = 50, newest_first: bool = False,
+                 skew_safe: bool = True) -> DataFrame:
     """W3 + W7 (+W8): trailing mean over ``window`` rows, null until the window is
     full, oldest first; ``seq`` is the row number inside the partition.
 
-    Partitioned by the batter (never an unpartitioned window), so each task sorts
-    one batter's rows; a hot batter is one sort task, not a collect."""
+    ``skew_safe`` (default) range-partitions on (partition, order) so one batter
+    holding a third of all rows is spread over many tasks (``ordered_scan``);
+    ``skew_safe=False`` is the plain window (one task per batter)."""
+    if skew_safe:
+        from moundlake.operators.sequence import ordered_scan
+        out = df
+        items = list(values.items())
+        for i, (name, src) in enumerate(items):
+            out = ordered_scan(out if i == 0 else out.drop("seq"), partition, order, value=src,
+                               window=window, rolling=name)
+        out = out.withColumn("seq", F.col("seq").cast("int"))
+        return out.orderBy(*partition, F.desc("seq")) if newest_first else out
     w = Window.partitionBy(*partition).orderBy(*[F.asc(c) for c in order])
     frame = w.rowsBetween(-(window - 1), Window.currentRow)
     cols = {"seq": F.row_number().over(w)}

@@ -109,8 +109,8 @@ def _brute_knn(train, query, k):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_knn_exact_against_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,leaf,start", [(1, 16, 3), (2, 16, 0), (3, None, 3)])
+def test_knn_exact_against_brute_force(spark, seed, leaf, start):
     rnd = random.Random(seed)
     train = []
     i = 0
@@ -118,14 +118,17 @@ def test_knn_exact_against_brute_force(spark, seed):
         train.append((float(rnd.randint(0, 30)), float(rnd.randint(60, 110)), rnd.randint(0, 4), i)); i += 1
     for _ in range(150):  # a hot location: many rows at one point
         train.append((10.0, 90.0, rnd.randint(0, 4), i)); i += 1
+    for _ in range(200):  # a dense cluster of distinct points
+        train.append((20.0 + rnd.random() * 0.01, 70.0 + rnd.random() * 0.01, rnd.randint(0, 4), i)); i += 1
     train.append((500.0, 500.0, 3, i))  # sparse far corner
     query = [(float(rnd.randint(-5, 35)), float(rnd.randint(55, 115))) for _ in range(120)]
-    query += [(10.0, 90.0), (480.0, 470.0), (-200.0, 60.0)]
+    query += [(10.0, 90.0), (480.0, 470.0), (-200.0, 60.0), (20.005, 70.005), (20.2, 70.2)]
     tdf = spark.createDataFrame(train, "x double, y double, label int, id long")
     qdf = spark.createDataFrame(query, "x double, y double")
     k = 11
     got = {}
-    for r in expected.knn_votes(tdf, qdf, x="x", y="y", label="label", train_id="id", k=k, cell=3.0).collect():
+    for r in expected.knn_votes(tdf, qdf, x="x", y="y", label="label", train_id="id", k=k,
+                                         leaf_size=leaf, start_level=start).collect():
         got.setdefault((r.qx, r.qy), {})[r.label] = r.votes
     want = _brute_knn(train, query, k)
     assert got == want
@@ -222,3 +225,24 @@ def test_grouping_sets_all_row(spark):
                                "pitcher_id long, year long, pitch_type string, game_id long, tj_stuff_plus double")
     out = {r.pitch_type: r for r in summary.pitcher_type_totals(df, ["pitcher_id", "year"]).collect()}
     assert out["All"].pitches == 3 and out["All"].games == 2 and out["SL"].tj_stuff_plus == 100.0
+
+
+def test_ordered_scan_hot_group_matches_windows(spark):
+    from pyspark.sql import Window
+    from moundlake.operators.sequence import ordered_scan
+    rnd = random.Random(11)
+    rows = [(0 if rnd.random() < 0.4 else rnd.randint(1, 20), i, float(rnd.randint(0, 9))) for i in range(1500)]
+    df = spark.createDataFrame(rows, "g long, t long, v double")
+    out = ordered_scan(df, ["g"], ["t"], value="v", window=5, partitions=12)
+    w = Window.partitionBy("g").orderBy("t")
+    ref = df.select("g", "t", F.row_number().over(w).alias("seq2"),
+                    F.when(F.count(F.lit(1)).over(w.rowsBetween(-4, 0)) == 5, F.avg("v").over(w.rowsBetween(-4, 0)))
+                    .alias("r2"))
+    got = {(r.g, r.t): (r.seq, r.rolling) for r in out.collect()}
+    for r in ref.collect():
+        seq, roll = got[(r.g, r.t)]
+        assert seq == r.seq2
+        assert (roll is None and r.r2 is None) or roll == pytest.approx(r.r2)
+    pr = ordered_scan(df, ["g"], ["v"], rank_of="v", partitions=12)
+    ref2 = {(r.g, r.t): r.p for r in df.select("g", "t", F.percent_rank().over(Window.partitionBy("g").orderBy("v")).alias("p")).collect()}
+    assert all(r.percent_rank == pytest.approx(ref2[(r.g, r.t)]) for r in pr.collect())
