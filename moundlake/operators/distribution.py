@@ -48,12 +48,15 @@ def histogram(df: DataFrame, value: str, lo: float = 60.0, hi: float = 140.0, bi
 
 def letter_values(df: DataFrame, value: str, by: Sequence[str], depth: int = 7) -> DataFrame:
     """Exact quantiles at 2^-i and 1 - 2^-i for i = 1..depth per category (long form)."""
+    from moundlake.operators.sequence import exact_quantiles
     levels = sorted({0.5 ** i for i in range(1, depth + 1)} | {1 - 0.5 ** i for i in range(1, depth + 1)})
-    g = df.groupBy(*by).agg(F.percentile(value, F.array(*[F.lit(q) for q in levels])).alias("_q"),
-                            F.count(value).alias("n"))
-    st = F.explode(F.arrays_zip(F.array(*[F.lit(q) for q in levels]).alias("level"), F.col("_q").alias("value")))
-    return g.select(*by, "n", st.alias("s")).select(*by, "n", F.col("s.level").alias("level"),
-                                                    F.col("s.value").alias("value"))
+    names = [f"_q{i}" for i in range(len(levels))]
+    q = exact_quantiles(df, by, value, levels, names)  # skew-safe exact quantiles
+    n = df.groupBy(*by).agg(F.count(value).alias("n"))
+    st = F.explode(F.arrays_zip(F.array(*[F.lit(x) for x in levels]).alias("level"),
+                                F.array(*[F.col(c) for c in names]).alias("value")))
+    return (q.join(n, list(by), "inner").select(*by, "n", st.alias("s"))
+             .select(*by, "n", F.col("s.level").alias("level"), F.col("s.value").alias("value")))
 
 
 def _grid(spark, name: str, lo: float, hi: float, points: int) -> DataFrame:

@@ -97,14 +97,15 @@ def _carry(bounds: list[dict], tail: int) -> tuple[dict, dict]:
 def ordered_scan(df: DataFrame, group: Sequence[str], order: Sequence[str], *, value: str | None = None,
                  window: int | None = None, rank_of: str | None = None, seq: str = "seq",
                  rolling: str = "rolling", percent_rank: str = "percent_rank",
-                 partitions: int | None = None) -> DataFrame:
+                 group_size: str | None = None, partitions: int | None = None) -> DataFrame:
     """Add, per group in ``order`` (a total order for ``seq``):
 
     * ``seq``: 1-based row number (W7);
     * ``rolling`` (with ``value`` and ``window``): mean of the last ``window`` values,
       null until the window is full (W3);
     * ``percent_rank`` (with ``rank_of`` = the first order column): (rank - 1) / (n - 1)
-      with tied values sharing the lowest rank, 0 for one-row groups (W10).
+      with tied values sharing the lowest rank, 0 for one-row groups (W10);
+    * ``group_size`` (when named): the number of rows of the row's group.
     """
     gcols, ocols = list(group), list(order)
     tail = (window - 1) if window else 0
@@ -116,6 +117,8 @@ def ordered_scan(df: DataFrame, group: Sequence[str], order: Sequence[str], *, v
         out_fields.append(T.StructField(rolling, T.DoubleType()))
     if rank_of:
         out_fields.append(T.StructField(percent_rank, T.DoubleType()))
+    if group_size:
+        out_fields.append(T.StructField(group_size, T.LongType()))
     schema = T.StructType(out_fields)
     names = [f.name for f in schema.fields]
 
@@ -142,14 +145,17 @@ def ordered_scan(df: DataFrame, group: Sequence[str], order: Sequence[str], *, v
                 r = pd.Series(v).rolling(window, min_periods=window).mean().to_numpy()
                 res[idx] = r[len(v) - len(idx):]
             pdf[rolling] = res
+        if rank_of or group_size:
+            n = np.array([totals.get(repr(k), None) for k in keys], dtype=object)
+            cnt = gid.map(gid.value_counts()).to_numpy()
+            n = np.where(pd.isna(n), cnt, n).astype("float64")
         if rank_of:
             rv = pdf[rank_of].astype("float64").fillna(-np.inf)
             local = rv.groupby(gid).rank(method="min").to_numpy()
             rank = local + offs
-            n = np.array([totals.get(repr(k), None) for k in keys], dtype=object)
-            cnt = gid.map(gid.value_counts()).to_numpy()
-            n = np.where(pd.isna(n), cnt, n).astype("float64")
             pdf[percent_rank] = np.where(n > 1, (rank - 1) / np.maximum(n - 1, 1), 0.0)
+        if group_size:
+            pdf[group_size] = n.astype("int64")
         yield pdf[names]
 
     return s.mapInPandas(scan, schema)
@@ -169,3 +175,31 @@ def percentile_rank_skew_safe(long: DataFrame, by: Sequence[str], value: str = "
     src = long.withColumn("_rank_key", key)
     out = ordered_scan(src, by, ["_rank_key"], rank_of="_rank_key", percent_rank="_pr", partitions=partitions)
     return out.withColumn(alias, F.round(F.col("_pr") * 100).cast("int")).drop("_pr", "_rank_key", "seq")
+
+
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, levels: Sequence[float],
+                    names: Sequence[str] | None = None, partitions: int | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation (Spark ``percentile`` / SQL
+    ``quantile_cont``) per group, without holding any group in one task.
+
+    Rows are ranked inside their group by ``ordered_scan`` (range-partitioned on
+    (group, value)); only the rows at positions floor(h) and ceil(h), h = (n-1) q,
+    are kept (two per level and group), and the value is lo + (hi - lo)(h - floor h).
+    Nulls and NaN are ignored, as Spark's ``percentile`` does.
+    Returns one row per group with one column per level."""
+    names = list(names or [f"q{i}" for i in range(len(levels))])
+    src = df.select(*by, F.col(value).cast("double").alias("_v")).filter(
+        F.col("_v").isNotNull() & ~F.isnan("_v"))
+    ranked = ordered_scan(src, by, ["_v"], seq="_seq", group_size="_n", partitions=partitions)
+    spark = df.sparkSession
+    lv = spark.createDataFrame([(i, float(q)) for i, q in enumerate(levels)], "_qi int, _q double")
+    pos = (F.col("_n") - 1) * F.col("_q")
+    picks = (ranked.crossJoin(F.broadcast(lv))  # x |levels| (a fixed, small list)
+                   .withColumns({"_lo": F.floor(pos), "_hi": F.ceil(pos), "_frac": pos - F.floor(pos)})
+                   .filter((F.col("_seq") - 1 == F.col("_lo")) | (F.col("_seq") - 1 == F.col("_hi"))))
+    per = picks.groupBy(*by, "_qi", "_frac").agg(
+        F.max_by("_v", F.col("_seq") - 1 == F.col("_lo")).alias("_vlo"),
+        F.max_by("_v", F.col("_seq") - 1 == F.col("_hi")).alias("_vhi"))
+    per = per.withColumn("_val", F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))
+    wide = per.groupBy(*by).pivot("_qi", list(range(len(levels)))).agg(F.first("_val"))
+    return wide.select(*by, *[F.col(str(i)).alias(n) for i, n in enumerate(names)])

@@ -49,8 +49,10 @@ def pitch_grades(df: DataFrame, keys: Sequence[str] = ("pitcher_id", "year"),
     The type-statistics table has one row per pitch type (bounded by the type
     vocabulary) and is broadcast; the grades never reshuffle the grouped rows."""
     tot = pitcher_type_totals(df, keys, type_col=type_col, value=value, game=game)
+    # one row per (pitcher, type): bounded per group by the roster, so Spark's exact
+    # percentile (one buffer per type) is fine here
     stats = type_quantiles(tot, [type_col], value, levels=(0.001, 0.999), min_count=min_pitches,
-                           count_col="pitches")
+                           count_col="pitches", skew_safe=False)
     stats = stats.select(type_col, F.col("mean").alias("type_mean"),
                          ((F.col("q99_9") - F.col("q0_1")) / 6).alias("type_std"))
     pos = (tot.filter(F.col(type_col) == "All")

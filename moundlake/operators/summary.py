@@ -134,12 +134,26 @@ def pitcher_type_totals(df: DataFrame, keys: Sequence[str], type_col: str = "pit
 
 def type_quantiles(df: DataFrame, by: Sequence[str], value: str,
                    levels: Sequence[float] = (0.001, 0.999), min_count: int | None = None,
-                   count_col: str | None = None) -> DataFrame:
+                   count_col: str | None = None, skew_safe: bool = True) -> DataFrame:
     """Mean, sample std, median, min, max and exact (linear) quantiles per group.
 
-    Quantile columns are named by their true level (T15): q0_1, q99_9 ..."""
+    Quantile columns are named by their true level (T15): q0_1, q99_9 ...
+
+    ``skew_safe`` (default): the moments are partial aggregates and the median and
+    quantiles come from ``exact_quantiles`` (range-partitioned ranks), so a pitch
+    type holding a third of all pitches is never one task's buffer. With
+    ``skew_safe=False`` Spark's exact ``percentile`` is used, which keeps each
+    group's values in one task: only for inputs bounded per group (e.g. one row
+    per pitcher)."""
     src = df if min_count is None else df.filter(F.col(count_col) >= min_count)
     names = [_level_name(q) for q in levels]
+    if skew_safe:
+        from moundlake.operators.sequence import exact_quantiles
+        mom = src.groupBy(*by).agg(
+            F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
+            F.min(value).alias("min"), F.max(value).alias("max"))
+        qs = exact_quantiles(src, by, value, [0.5, *levels], ["median", *names])
+        return mom.join(qs, list(by), "left").select(*by, "n", "mean", "std", "median", "min", "max", *names)
     g = src.groupBy(*by).agg(
         F.count(value).alias("n"),
         F.avg(value).alias("mean"),
@@ -277,9 +291,10 @@ def league_rollup(df: DataFrame, type_col: str, means: Mapping[str, str], *, swi
 
 
 def median_order(df: DataFrame, category: str, value: str) -> DataFrame:
-    """Median per category, joined back for ordering (the median table is one row
-    per category, so the join is broadcast by AQE)."""
-    med = df.groupBy(category).agg(F.median(value).alias("category_median"))
+    """Median per category (skew-safe exact quantile), joined back for ordering
+    (one row per category, so the join is broadcast by AQE)."""
+    from moundlake.operators.sequence import exact_quantiles
+    med = exact_quantiles(df, [category], value, [0.5], ["category_median"])
     return df.join(med, category, "left")
 
 
