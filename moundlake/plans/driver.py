@@ -245,7 +245,7 @@ def outer_merge(spark, sf):
     fielding = li.filter(F.col("l_returnflag") == "R").groupBy(F.col("l_partkey").alias("key")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("value"))
     framing = li.filter(F.year("l_shipdate") == 2001).groupBy(F.col("l_partkey").alias("key")).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("l_discount").alias("rate"))
+        F.count(F.lit(1)).alias("n"), F.avg(F.round(F.col("l_discount") * 100)).alias("rate"))
     return _r(joins.outer_merge([part, fielding, framing], ["key"], ["_bat", "_oaa", "_cfr"]))
 
 
@@ -276,7 +276,7 @@ def actual_vs_projected(spark, sf):
     def side(flag):
         return li.filter(F.col("l_returnflag") == flag).groupBy(
             F.col("l_suppkey").alias("player_id"), F.year("l_shipdate").cast("long").alias("year")).agg(
-            F.avg("l_discount").alias("k_pct"), F.sum("l_quantity").alias("war"))
+            (F.avg(F.round(F.col("l_discount") * 100)) / 100).alias("k_pct"), F.sum("l_quantity").alias("war"))
 
     st = boards.stack_frames({"actual": side("R"), "projected": side("A")}, "kind")
     return _r(C.percent_scale(st, ["k_pct"]))
@@ -454,6 +454,94 @@ def feed_flatten(spark, sf):
                           "balls", "strikes", "is_swing", "row_kind"))
 
 
+def _parse(docs: DataFrame, schema) -> DataFrame:
+    """Documents as JSON text, parsed back with the declared schema (schema-on-read,
+    the same path as landed files)."""
+    txt = docs.select(F.to_json(F.struct(*docs.columns)).alias("doc"))
+    return txt.select(F.from_json("doc", schema).alias("d")).select("d.*")
+
+
+def schedule_games(spark, sf):
+    """S3 on schedule documents built from lineitem (one document per line, so a game
+    appears once per line and must be de-duplicated; line 7 has a null game id)."""
+    from moundlake.sources.schedule import SCHEDULE_SCHEMA, flatten_schedule
+    li = roles.table(spark, sf, "lineitem")
+    start = F.col("l_shipdate") + F.make_interval(hours=F.col("l_linenumber") + 12)
+    game = F.struct(
+        F.when(F.col("l_linenumber") != 7, F.col("l_orderkey")).alias("gamePk"),
+        F.date_format(start, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("gameDate"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("officialDate"),
+        F.col("l_returnflag").alias("gameType"), F.col("l_linestatus").alias("gamedayType"),
+        F.struct(F.lit("F").alias("codedGameState")).alias("status"),
+        F.struct(F.col("l_suppkey").alias("id"), F.lit(None).cast("string").alias("name")).alias("venue"),
+        F.struct(F.struct(F.struct(F.col("l_partkey").alias("id")).alias("team")).alias("away"),
+                 F.struct(F.struct((F.col("l_suppkey") + 1000).alias("id")).alias("team")).alias("home"))
+        .alias("teams"))
+    docs = li.select(F.array(F.struct(F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
+                                      F.array(game).alias("games"))).alias("dates"))
+    out = flatten_schedule(_parse(docs, SCHEDULE_SCHEMA))
+    return out.select("game_id", "date", "start_utc", "time", "away_id", "home_id", "venue_id", "game_type",
+                      "gameday_type", "state")
+
+
+def teams_parent(spark, sf):
+    """S7 + J8 on team documents built from supplier (every document twice, plus one
+    without an id): distinct, id required, parent filled, parent abbreviation."""
+    from moundlake.sources.reference import TEAMS_SCHEMA, flatten_teams
+    sup = roles.table(spark, sf, "supplier")
+    team = F.struct(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
+        F.concat(F.lit("City "), F.col("s_nationkey").cast("string")).alias("franchiseName"),
+        F.substring("s_name", -3, 3).alias("abbreviation"),
+        F.when(F.pmod("s_suppkey", F.lit(10)) != 0, F.col("s_suppkey") - F.pmod("s_suppkey", F.lit(10)))
+         .alias("parentOrgId"),
+        F.struct(F.col("s_nationkey").cast("long").alias("id")).alias("league"),
+        F.struct(F.pmod("s_nationkey", F.lit(3)).cast("long").alias("id")).alias("sport"))
+    one = sup.select(F.array(team).alias("teams"))
+    docs = one.unionByName(one).unionByName(
+        spark.range(1).select(F.array(F.struct(F.lit("no id").alias("name"))).alias("teams")),
+        allowMissingColumns=True)
+    out = flatten_teams(_parse(docs, TEAMS_SCHEMA))
+    return out.select("team_id", "city", "name", "abbreviation", "parent_org_id", "parent_org",
+                      "parent_org_abbreviation", "league_id", "sport_id")
+
+
+def player_games(spark, sf):
+    """S6 + S5 on game-log documents built from orders (one per order): the games of
+    every customer-as-player in the 1996 season with their pitching line."""
+    from moundlake.sources.schedule import GAME_LOG_SCHEMA, player_game_log, player_games as pg
+    od = roles.table(spark, sf, "orders")
+    split = F.struct(F.struct(F.col("o_orderkey").alias("gamePk"),
+                              F.date_format("o_orderdate", "yyyy-MM-dd").alias("date")).alias("game"),
+                     F.struct(F.col("o_orderpriority").alias("name")).alias("opponent"),
+                     F.struct(F.floor(F.col("o_totalprice") / 1000).alias("outs"),
+                              F.floor(F.col("o_totalprice") / 5000).alias("strikeOuts")).alias("stat"))
+    docs = od.select(F.array(F.struct(F.col("o_custkey").alias("id"),
+                                      F.array(F.struct(F.array(split).alias("splits"))).alias("stats")))
+                     .alias("people"))
+    log = player_game_log(_parse(docs, GAME_LOG_SCHEMA))
+    games = pg(log, 1996)
+    return games.join(log.select("player_id", "game_id", "opponent", "outs", "strikeouts"),
+                      ["player_id", "game_id"], "inner")
+
+
+def leaderboard_rows(spark, sf):
+    """S13 on leaderboard documents built from lineitem per (supplier, year), with the
+    declared 13-column schema (names with '%' and '-')."""
+    from moundlake.sources.tables import flatten_leaderboard, leaderboard_schema
+    li = roles.table(spark, sf, "lineitem")
+    per = li.groupBy("l_suppkey", F.year("l_shipdate").alias("yr")).agg(
+        F.count_distinct("l_orderkey").alias("g"), F.sum("l_quantity").alias("ip"),
+        F.avg(F.round(F.col("l_discount") * 100)).alias("kbb"), F.count(F.lit(1)).alias("n"))
+    row = F.struct(F.col("l_suppkey").alias("playerid"), F.col("l_suppkey").alias("xMLBAMID"),
+                   F.concat(F.lit("P"), F.col("l_suppkey").cast("string")).alias("PlayerName"),
+                   F.col("yr").cast("long").alias("Season"), F.lit("T").alias("Team"), F.col("g").alias("G"),
+                   F.col("ip").alias("IP"), F.col("kbb").alias("K-BB%"), F.col("n").alias("Pitches"))
+    out = flatten_leaderboard(_parse(per.select(F.array(row).alias("data")), leaderboard_schema()))
+    return _r(out.select("xMLBAMID", "Season", "G", "IP", "`K-BB%`", "Pitches", "ERA")
+                 .withColumnRenamed("K-BB%", "k_bb_pct"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "arsenal_summary": arsenal_summary,
     "arsenal_rates": arsenal_rates,
@@ -502,6 +590,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "whiff_target": whiff_target,
     "player_row": player_row,
     "feed_flatten": feed_flatten,
+    "schedule_games": schedule_games,
+    "teams_parent": teams_parent,
+    "player_games": player_games,
+    "leaderboard_rows": leaderboard_rows,
     "gbt_scores": gbt_scores,
     "importance": importance,
 }

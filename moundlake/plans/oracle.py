@@ -421,7 +421,7 @@ ORACLE["outer_merge"] = """
 WITH a AS (SELECT p_partkey AS key, p_retailprice AS value FROM part WHERE p_size <= 25),
 b AS (SELECT l_partkey AS key, count(*) AS n, sum(l_quantity) AS value FROM lineitem WHERE l_returnflag = 'R'
       GROUP BY l_partkey),
-c AS (SELECT l_partkey AS key, count(*) AS n, avg(l_discount) AS rate FROM lineitem WHERE year(l_shipdate) = 2001
+c AS (SELECT l_partkey AS key, count(*) AS n, avg(round(l_discount * 100)) AS rate FROM lineitem WHERE year(l_shipdate) = 2001
       GROUP BY l_partkey)
 SELECT coalesce(a.key, b.key, c.key) AS key, round(a.value, 6) AS value_bat, b.n AS n_oaa,
        round(b.value, 6) AS value_oaa, c.n AS n_cfr, round(c.rate, 6) AS rate
@@ -446,7 +446,7 @@ UNION SELECT user_id, event_type FROM events WHERE event_type = 'purchase'
 """
 
 ORACLE["actual_vs_projected"] = """
-SELECT l_suppkey AS player_id, CAST(year(l_shipdate) AS BIGINT) AS year, round(avg(l_discount) * 100, 6) AS k_pct,
+SELECT l_suppkey AS player_id, CAST(year(l_shipdate) AS BIGINT) AS year, round(avg(round(l_discount * 100)) / 100 * 100, 6) AS k_pct,
        round(sum(l_quantity), 6) AS war, CASE l_returnflag WHEN 'R' THEN 'actual' ELSE 'projected' END AS kind
 FROM lineitem WHERE l_returnflag IN ('R', 'A') GROUP BY l_suppkey, year(l_shipdate), l_returnflag
 """
@@ -558,3 +558,46 @@ SELECT o.o_orderkey AS game_id, CAST(o.o_orderdate AS DATE) AS game_date, l.l_li
        'pitch' AS row_kind
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """
+
+ORACLE["schedule_games"] = """
+WITH g AS (
+  SELECT l_orderkey AS game_id, CAST(l_shipdate AS DATE) AS date,
+         l_shipdate + to_hours(CAST(l_linenumber + 12 AS BIGINT)) AS start_utc,
+         l_partkey AS away_id, l_suppkey + 1000 AS home_id, l_suppkey AS venue_id,
+         l_returnflag AS game_type, l_linestatus AS gameday_type, 'F' AS state
+  FROM lineitem WHERE l_linenumber <> 7),
+d AS (SELECT *, row_number() OVER (PARTITION BY game_id ORDER BY start_utc, venue_id, away_id, home_id, state) AS rn
+      FROM g)
+SELECT game_id, date, start_utc,
+       strftime(timezone('America/New_York', CAST(strftime(start_utc, '%Y-%m-%d %H:%M:%S') || '+00' AS TIMESTAMPTZ)),
+                '%I:%M %p') AS time,
+       away_id, home_id, venue_id, game_type, gameday_type, state
+FROM d WHERE rn = 1
+"""
+
+ORACLE["teams_parent"] = """
+WITH t AS (SELECT DISTINCT s_suppkey AS team_id, 'City ' || CAST(s_nationkey AS VARCHAR) AS city, s_name AS name,
+                  right(s_name, 3) AS abbreviation,
+                  coalesce(CASE WHEN s_suppkey % 10 <> 0 THEN s_suppkey - s_suppkey % 10 END, s_suppkey) AS parent_org_id,
+                  s_name AS parent_org_raw,
+                  CAST(s_nationkey AS BIGINT) AS league_id, CAST(s_nationkey % 3 AS BIGINT) AS sport_id
+           FROM supplier)
+SELECT t.team_id, t.city, t.name, t.abbreviation, t.parent_org_id,
+       t.name AS parent_org,
+       p.abbreviation AS parent_org_abbreviation, t.league_id, t.sport_id
+FROM t LEFT JOIN t p ON p.team_id = t.parent_org_id
+"""
+
+ORACLE["player_games"] = """
+SELECT o_custkey AS player_id, o_orderkey AS game_id, CAST(o_orderdate AS DATE) AS date,
+       o_orderpriority AS opponent, CAST(floor(o_totalprice / 1000) AS BIGINT) AS outs,
+       CAST(floor(o_totalprice / 5000) AS BIGINT) AS strikeouts
+FROM orders WHERE year(o_orderdate) = 1996
+"""
+
+ORACLE["leaderboard_rows"] = """
+SELECT l_suppkey AS xMLBAMID, CAST(year(l_shipdate) AS BIGINT) AS Season, count(DISTINCT l_orderkey) AS G,
+       round(sum(l_quantity), 6) AS IP, round(avg(round(l_discount * 100)), 6) AS k_bb_pct, count(*) AS Pitches,
+       CAST(NULL AS DOUBLE) AS ERA
+FROM lineitem GROUP BY l_suppkey, year(l_shipdate)
+"""

@@ -37,9 +37,14 @@ def _read(spark: SparkSession, schema, path):
 
 
 def teams(spark: SparkSession, path) -> DataFrame:
+    """S7 from landed JSON files (see ``flatten_teams``)."""
+    return flatten_teams(_read(spark, TEAMS_SCHEMA, path))
+
+
+def flatten_teams(raw: DataFrame) -> DataFrame:
     """S7 + J8: distinct teams with ids; a null parent is the team itself (P9); the
     parent's abbreviation by a left self join. ``city`` is the franchise name (T14)."""
-    t = _read(spark, TEAMS_SCHEMA, path).select(F.explode("teams").alias("t")).select(
+    t = raw.select(F.explode("teams").alias("t")).select(
         F.col("t.id").alias("team_id"), F.col("t.franchiseName").alias("city"), F.col("t.name").alias("name"),
         F.col("t.clubName").alias("franchise"), F.col("t.abbreviation").alias("abbreviation"),
         F.col("t.parentOrgId").alias("parent_org_id"), F.col("t.parentOrgName").alias("parent_org"),
@@ -77,8 +82,12 @@ def game_types(spark: SparkSession, path) -> DataFrame:
 
 
 def people(spark: SparkSession, path) -> DataFrame:
+    return flatten_people(_read(spark, PEOPLE_SCHEMA, path))
+
+
+def flatten_people(raw: DataFrame) -> DataFrame:
     """Players with bio fields (missing -> null)."""
-    return _read(spark, PEOPLE_SCHEMA, path).select(F.explode("people").alias("p")).select(
+    return raw.select(F.explode("people").alias("p")).select(
         F.col("p.id").alias("player_id"), F.col("p.firstName").alias("first_name"),
         F.col("p.lastName").alias("last_name"), F.col("p.fullName").alias("name"),
         F.col("p.primaryPosition.abbreviation").alias("position"), F.col("p.currentTeam.id").alias("team"),

@@ -53,7 +53,9 @@ def flatten_schedule(raw: DataFrame, tz: str = "America/New_York", time_format:
         F.col("venue.id").alias("venue_id"), F.col("venue.name").alias("venue_name"),
         F.col("gamedayType").alias("gameday_type"), F.col("gameType").alias("game_type"),
     ).filter(F.col("game_id").isNotNull())
-    w = Window.partitionBy("game_id").orderBy(F.asc_nulls_last("start_utc"), F.asc_nulls_last("venue_id"))
+    # one row per game, chosen deterministically (earliest start, then venue, then teams)
+    w = Window.partitionBy("game_id").orderBy(*[F.asc_nulls_last(c) for c in
+                                                ("start_utc", "venue_id", "away_id", "home_id", "state")])
     out = out.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
     return out.orderBy("date", "start_utc", "game_id")
 

@@ -14,8 +14,16 @@ from moundlake.schemas import PITCHING_BOARD, STATCAST
 
 def leaderboard_json(spark: SparkSession, path, schema: T.StructType = PITCHING_BOARD) -> DataFrame:
     """Leaderboard JSON ``{"data": [...]}`` with a declared row schema."""
-    wrap = T.StructType([T.StructField("data", T.ArrayType(schema))])
-    raw = spark.read.schema(wrap).option("multiLine", True).json(path)
+    raw = spark.read.schema(leaderboard_schema(schema)).option("multiLine", True).json(path)
+    return flatten_leaderboard(raw)
+
+
+def leaderboard_schema(schema: T.StructType = PITCHING_BOARD) -> T.StructType:
+    return T.StructType([T.StructField("data", T.ArrayType(schema))])
+
+
+def flatten_leaderboard(raw: DataFrame) -> DataFrame:
+    """One row per leaderboard entry."""
     return raw.select(F.explode("data").alias("r")).select("r.*")
 
 
