@@ -40,32 +40,48 @@ def _sorted_partitions(df: DataFrame, group: Sequence[str], order: Sequence[str]
     return cut_lineage(s)
 
 
-def _key(row, group):
-    return tuple(None if (isinstance(v, float) and np.isnan(v)) else v for v in (row[c] for c in group))
+def _keys(pdf: pd.DataFrame, group: Sequence[str]) -> list[tuple]:
+    g = pdf[list(group)].astype(object)
+    return list(map(tuple, g.where(g.notna(), None).itertuples(index=False)))
 
 
 def _boundaries(s: DataFrame, group: Sequence[str], value: str | None, tail: int) -> list[dict]:
-    """First and last group of every partition with their counts (and value tails)."""
+    """First and last group of every partition with their counts (and value tails),
+    computed batch by batch (a partition is never held whole)."""
     gcols = list(group)
 
     def summarise(it):
-        first = last = None
-        parts = []
+        pid = first = last = None
+        n_first = n_last = 0
+        single = True
+        tail_vals: list[float] = []
         for pdf in it:
-            if len(pdf):
-                parts.append(pdf)
-        if not parts:
+            if not len(pdf):
+                continue
+            if pid is None:
+                pid = int(pdf["_pid"].iloc[0])
+            keys = _keys(pdf, gcols)
+            vals = pdf[value].to_numpy(dtype="float64") if value else None
+            if first is None:
+                first = keys[0]
+            for i, k in enumerate(keys):
+                if k == last:
+                    n_last += 1
+                else:
+                    if last is not None:
+                        single = False
+                    last, n_last = k, 1
+                    tail_vals = []
+                if single:
+                    n_first += 1
+                if tail:
+                    tail_vals.append(float(vals[i]))
+                    if len(tail_vals) > tail:
+                        tail_vals.pop(0)
+        if pid is None:
             return
-        pdf = pd.concat(parts, ignore_index=True)
-        pid = int(pdf["_pid"].iloc[0])
-        keys = list(map(tuple, pdf[gcols].astype(object).where(pdf[gcols].notna(), None).itertuples(index=False)))
-        first, last = keys[0], keys[-1]
-        n_first = sum(1 for k in keys if k == first)
-        n_last = sum(1 for k in keys if k == last)
-        vals = pdf[value].to_numpy(dtype="float64") if value else np.zeros(len(pdf))
-        tail_vals = vals[len(vals) - min(n_last, tail):].tolist() if tail else []
         yield pd.DataFrame({"pid": [pid], "first": [repr(first)], "n_first": [n_first], "last": [repr(last)],
-                            "n_last": [n_last], "single": [first == last], "tail": [tail_vals]})
+                            "n_last": [n_last], "single": [single], "tail": [tail_vals]})
 
     schema = "pid int, first string, n_first long, last string, n_last long, single boolean, tail array<double>"
     rows = s.mapInPandas(summarise, schema).collect()  # <= one row per partition
@@ -122,41 +138,51 @@ def ordered_scan(df: DataFrame, group: Sequence[str], order: Sequence[str], *, v
     schema = T.StructType(out_fields)
     names = [f.name for f in schema.fields]
 
-    def scan(it):
-        parts = [p for p in it if len(p)]
-        if not parts:
-            return
-        pdf = pd.concat(parts, ignore_index=True)
-        pid = int(pdf["_pid"].iloc[0])
-        before, tail_vals = carry.get(pid, (0, []))
-        keys = list(map(tuple, pdf[gcols].astype(object).where(pdf[gcols].notna(), None).itertuples(index=False)))
-        gid = pd.Series(pd.factorize(pd.Series(keys, dtype=object))[0])
-        first_mask = (gid == 0).to_numpy()
-        pos = gid.groupby(gid).cumcount().to_numpy() + 1
-        offs = np.where(first_mask, before, 0)
-        pdf[seq] = (pos + offs).astype("int64")
+    def one_group(rows: pd.DataFrame, first: bool, n_total: float | None, cin: tuple) -> pd.DataFrame:
+        before, tail_vals = cin if first else (0, [])
+        m = len(rows)
+        rows = rows.copy()
+        rows[seq] = np.arange(1, m + 1, dtype="int64") + before
         if value and window:
-            vals = pdf[value].to_numpy(dtype="float64")
-            res = np.full(len(pdf), np.nan)
-            for g, idx in gid.groupby(gid).indices.items():
-                v = vals[idx]
-                if g == 0 and tail_vals:
-                    v = np.concatenate([np.asarray(tail_vals, dtype="float64"), v])
-                r = pd.Series(v).rolling(window, min_periods=window).mean().to_numpy()
-                res[idx] = r[len(v) - len(idx):]
-            pdf[rolling] = res
-        if rank_of or group_size:
-            n = np.array([totals.get(repr(k), None) for k in keys], dtype=object)
-            cnt = gid.map(gid.value_counts()).to_numpy()
-            n = np.where(pd.isna(n), cnt, n).astype("float64")
+            v = rows[value].to_numpy(dtype="float64")
+            if tail_vals:
+                v = np.concatenate([np.asarray(tail_vals, dtype="float64"), v])
+            r = pd.Series(v).rolling(window, min_periods=window).mean().to_numpy()
+            rows[rolling] = r[len(v) - m:]
         if rank_of:
-            rv = pdf[rank_of].astype("float64").fillna(-np.inf)
-            local = rv.groupby(gid).rank(method="min").to_numpy()
-            rank = local + offs
-            pdf[percent_rank] = np.where(n > 1, (rank - 1) / np.maximum(n - 1, 1), 0.0)
+            rv = rows[rank_of].astype("float64").fillna(-np.inf)
+            rank = rv.rank(method="min").to_numpy() + before
+            n = float(n_total if n_total is not None else m)
+            rows[percent_rank] = (rank - 1) / (n - 1) if n > 1 else np.zeros(m)
         if group_size:
-            pdf[group_size] = n.astype("int64")
-        yield pdf[names]
+            rows[group_size] = int(n_total if n_total is not None else m)
+        return rows[names]
+
+    def scan(it):
+        cin = (0, [])
+        buf = None          # rows of the group still open at the end of the last batch
+        buf_first = True    # is the open group the partition's first group?
+        pid = None
+        for pdf in it:
+            if not len(pdf):
+                continue
+            if pid is None:
+                pid = int(pdf["_pid"].iloc[0])
+                cin = carry.get(pid, (0, []))
+            cur = pdf if buf is None else pd.concat([buf, pdf], ignore_index=True)
+            keys = _keys(cur, gcols)
+            gid = pd.factorize(pd.Series(keys, dtype=object))[0]
+            last_gid = gid[-1]
+            for g in range(last_gid):  # completed groups
+                idx = np.flatnonzero(gid == g)
+                k = keys[idx[0]]
+                yield one_group(cur.iloc[idx], buf_first and g == 0, totals.get(repr(k)), cin)
+            if last_gid > 0:
+                buf_first = False
+            buf = cur.iloc[np.flatnonzero(gid == last_gid)]
+        if buf is not None and len(buf):
+            k = _keys(buf.iloc[:1], gcols)[0]
+            yield one_group(buf, buf_first, totals.get(repr(k)), cin)
 
     return s.mapInPandas(scan, schema)
 

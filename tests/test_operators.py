@@ -233,7 +233,10 @@ def test_ordered_scan_hot_group_matches_windows(spark):
     rnd = random.Random(11)
     rows = [(0 if rnd.random() < 0.4 else rnd.randint(1, 20), i, float(rnd.randint(0, 9))) for i in range(1500)]
     df = spark.createDataFrame(rows, "g long, t long, v double")
-    out = ordered_scan(df, ["g"], ["t"], value="v", window=5, partitions=12)
+    # tiny Arrow batches: groups and windows cross batch boundaries inside a partition
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    out = ordered_scan(df, ["g"], ["t"], value="v", window=5, partitions=12).cache()
+    out.count()
     w = Window.partitionBy("g").orderBy("t")
     ref = df.select("g", "t", F.row_number().over(w).alias("seq2"),
                     F.when(F.count(F.lit(1)).over(w.rowsBetween(-4, 0)) == 5, F.avg("v").over(w.rowsBetween(-4, 0)))
@@ -246,3 +249,19 @@ def test_ordered_scan_hot_group_matches_windows(spark):
     pr = ordered_scan(df, ["g"], ["v"], rank_of="v", partitions=12)
     ref2 = {(r.g, r.t): r.p for r in df.select("g", "t", F.percent_rank().over(Window.partitionBy("g").orderBy("v")).alias("p")).collect()}
     assert all(r.percent_rank == pytest.approx(ref2[(r.g, r.t)]) for r in pr.collect())
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    out.unpersist()
+
+
+def test_exact_quantiles_match_percentile(spark):
+    from moundlake.operators.sequence import exact_quantiles
+    rnd = random.Random(4)
+    rows = [(0 if rnd.random() < 0.5 else rnd.randint(1, 5), float(rnd.randint(0, 30)) if rnd.random() < 0.5
+             else rnd.random()) for _ in range(2000)] + [(9, 3.0)]
+    df = spark.createDataFrame(rows, "g long, v double")
+    lv = [0.001, 0.025, 0.5, 0.975, 0.999]
+    got = {r.g: [r[f"q{i}"] for i in range(5)] for r in exact_quantiles(df, ["g"], "v", lv, partitions=10).collect()}
+    ref = {r.g: r.p for r in df.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(x) for x in lv])).alias("p")).collect()}
+    assert got.keys() == ref.keys()
+    for g in ref:
+        assert got[g] == pytest.approx(ref[g])
