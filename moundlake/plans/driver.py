@@ -408,6 +408,16 @@ def feed_flatten(spark, sf):
     (one document per order, one plate appearance per line, one pitch each); the
     flatten must give back one row per line with the nested values."""
     from moundlake.sources.feed import flatten_feed
+    flat = flatten_feed(feed_documents(spark, sf))
+    return _r(flat.select("game_id", "game_date", "ab_number", "batter_id", "pitcher_id", "pitcher_team",
+                          "batter_team", "play_description", "play_code", "start_speed", "end_speed",
+                          "balls", "strikes", "is_swing", "row_kind"))
+
+
+def feed_documents(spark, sf, speed_bump=None):
+    """Game-feed documents built from orders + lineitem, typed with the feed schema.
+    ``speed_bump`` (a Column over lineitem) is added to the start speed: a re-landed
+    version of the same games."""
     li = roles.table(spark, sf, "lineitem")
     od = roles.table(spark, sf, "orders")
     ev = F.struct(
@@ -420,7 +430,8 @@ def feed_flatten(spark, sf):
                  F.lit(None).cast("boolean").alias("isOut"), F.lit(None).cast("boolean").alias("hasReview"),
                  F.struct(F.lit("B").alias("code"), F.lit("Ball").alias("description")).alias("call"),
                  F.struct(F.lit("FF").alias("code"), F.lit("x").alias("description")).alias("type")).alias("details"),
-        F.struct(F.col("l_quantity").alias("startSpeed"), F.col("l_extendedprice").alias("endSpeed"),
+        F.struct((F.col("l_quantity") + (speed_bump if speed_bump is not None else F.lit(0.0))).alias("startSpeed"),
+                 F.col("l_extendedprice").alias("endSpeed"),
                  *[F.lit(None).cast("double").alias(n) for n in ("strikeZoneTop", "strikeZoneBottom")],
                  F.lit(None).cast("int").alias("zone"),
                  *[F.lit(None).cast("double").alias(n) for n in ("typeConfidence", "plateTime", "extension",
@@ -437,8 +448,13 @@ def feed_flatten(spark, sf):
                  F.lit(None).cast("int").alias("awayScore"), F.lit(None).cast("int").alias("homeScore"),
                  F.lit(None).cast("boolean").alias("isOut")).alias("result"),
         F.array(ev).alias("playEvents"))
-    # one document per order: an order holds at most a handful of lines (bounded group)
-    plays = li.groupBy("l_orderkey").agg(F.collect_list(play).alias("allPlays"))
+    # one document per order: an order holds at most a handful of lines (bounded group);
+    # plays are put in line order (whole row key as tie-break) and numbered 0..n-1
+    keyed = F.struct(F.col("l_linenumber").alias("k1"), F.col("l_partkey").alias("k2"), F.col("l_suppkey").alias("k3"),
+                     F.col("l_quantity").alias("k4"), F.col("l_extendedprice").alias("k5"), play.alias("play"))
+    plays = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(keyed)).alias("_plays")).select(
+        "l_orderkey",
+        F.transform("_plays", lambda x, i: x["play"].withField("atBatIndex", i)).alias("allPlays"))
     docs = plays.join(od, plays.l_orderkey == od.o_orderkey, "inner").select(
         F.col("o_orderkey").alias("gamePk"),
         F.struct(F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("officialDate")).alias("datetime"),
@@ -447,11 +463,28 @@ def feed_flatten(spark, sf):
                  .alias("teams")).alias("gameData"),
         F.struct(F.struct("allPlays").alias("plays")).alias("liveData"))
     from moundlake.sources.feed import FEED_SCHEMA
-    docs = docs.select(*[F.col(f.name).cast(f.dataType) for f in FEED_SCHEMA.fields])
-    flat = flatten_feed(docs)
-    return _r(flat.select("game_id", "game_date", "ab_number", "batter_id", "pitcher_id", "pitcher_team",
-                          "batter_team", "play_description", "play_code", "start_speed", "end_speed",
-                          "balls", "strikes", "is_swing", "row_kind"))
+    return docs.select(*[F.col(f.name).cast(f.dataType) for f in FEED_SCHEMA.fields])
+
+
+def stream_ingest(spark, sf):
+    """ST1 end to end: feed documents built from the tables are landed as JSON-lines in
+    a fresh folder under the shared checkpoint folder, ingested by the file stream,
+    then the games of orders with an even key are landed again with a changed start
+    speed and a later end time; the current table must hold the newest version of
+    every event."""
+    import uuid
+    from moundlake.session import checkpoint_dir
+    from moundlake.streaming import current_pitches, start_feed_ingest
+    base = f"{checkpoint_dir(spark).rstrip('/')}/moundlake-stream-{uuid.uuid4().hex}"
+    landing, table, ckpt = f"{base}/landing", f"{base}/table", f"{base}/ckpt"
+    v1 = feed_documents(spark, sf)
+    v1.write.json(f"{landing}/v1")
+    start_feed_ingest(spark, f"{landing}/*", table, ckpt, multiline=False).awaitTermination()
+    v2 = feed_documents(spark, sf, speed_bump=F.lit(0.5)).filter(F.pmod("gamePk", F.lit(2)) == 0)
+    v2.write.json(f"{landing}/v2")
+    start_feed_ingest(spark, f"{landing}/*", table, ckpt, multiline=False).awaitTermination()
+    cur = current_pitches(spark, table)
+    return _r(cur.select("game_id", "ab_number", "index_play", "pitcher_id", "start_speed", "end_speed"))
 
 
 def _parse(docs: DataFrame, schema) -> DataFrame:
@@ -542,6 +575,17 @@ def leaderboard_rows(spark, sf):
                  .withColumnRenamed("K-BB%", "k_bb_pct"))
 
 
+def launch_kde_sample(spark, sf):
+    """M21 + M20: 2-D KDE of launch angle and speed by outcome class on a deterministic
+    10,000-row sample of the batted balls (the sample is the feature: the hash order
+    is stable across runs and partitionings; a distributed top-n, not a collect)."""
+    p = roles.pitches(spark, sf).filter(F.col("launch_speed") > 0).withColumn(
+        "tb", C.total_bases("event_type").cast("int"))
+    smp = distribution.deterministic_sample(p, "pitch_uid", 10_000)
+    return _r(distribution.kde_2d(smp, "launch_angle", "launch_speed", (-30.0, 60.0), (60.0, 110.0),
+                                  points=20, by=["tb"]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "arsenal_summary": arsenal_summary,
     "arsenal_rates": arsenal_rates,
@@ -594,6 +638,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "teams_parent": teams_parent,
     "player_games": player_games,
     "leaderboard_rows": leaderboard_rows,
+    "stream_ingest": stream_ingest,
+    "launch_kde_sample": launch_kde_sample,
     "gbt_scores": gbt_scores,
     "importance": importance,
 }

@@ -548,7 +548,9 @@ FROM pitches GROUP BY pitcher_id
 """, "pitches")
 
 ORACLE["feed_flatten"] = """
-SELECT o.o_orderkey AS game_id, CAST(o.o_orderdate AS DATE) AS game_date, l.l_linenumber AS ab_number,
+SELECT o.o_orderkey AS game_id, CAST(o.o_orderdate AS DATE) AS game_date,
+       CAST(row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey,
+                                                             l.l_quantity, l.l_extendedprice) - 1 AS INTEGER) AS ab_number,
        l.l_partkey AS batter_id, l.l_suppkey AS pitcher_id,
        CASE WHEN l.l_partkey % 2 = 0 THEN o.o_orderpriority ELSE o.o_orderstatus END AS pitcher_team,
        CASE WHEN l.l_partkey % 2 = 0 THEN o.o_orderstatus ELSE o.o_orderpriority END AS batter_team,
@@ -601,3 +603,13 @@ SELECT l_suppkey AS xMLBAMID, CAST(year(l_shipdate) AS BIGINT) AS Season, count(
        CAST(NULL AS DOUBLE) AS ERA
 FROM lineitem GROUP BY l_suppkey, year(l_shipdate)
 """
+
+ORACLE["stream_ingest"] = """
+SELECT l.l_orderkey AS game_id,
+       CAST(row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey,
+                                                             l.l_quantity, l.l_extendedprice) - 1 AS INTEGER) AS ab_number,
+       0 AS index_play, l.l_suppkey AS pitcher_id,
+       round(l.l_quantity + CASE WHEN l.l_orderkey % 2 = 0 THEN 0.5 ELSE 0.0 END, 6) AS start_speed,
+       round(l.l_extendedprice, 6) AS end_speed
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+"""
