@@ -139,3 +139,67 @@ def test_leaderboard_json_schema(spark, tmp_path):
     df = tables.leaderboard_json(spark, _write(tmp_path, "lb.json", doc))
     r = df.first()
     assert r["K-BB%"] == 0.2 and r["Pitches"] == 2400 and df.schema["Season"].dataType.simpleString() == "bigint"
+
+
+def test_leagues_sports_game_types_people(spark, tmp_path):
+    lg = reference.leagues(spark, _write(tmp_path, "l.json", {"leagues": [
+        {"id": 103, "name": "American League", "abbreviation": "AL", "sport": {"id": 1}}]})).collect()
+    assert [(r.league_id, r.league_abbreviation, r.sport_id) for r in lg] == [(103, "AL", 1)]
+    sp = reference.sports(spark, _write(tmp_path, "s.json", {"sports": [{"id": 1, "code": "mlb", "name": "Major"},
+                                                                      {"id": 11, "code": "aaa", "name": "Triple-A"}]}))
+    assert reference.sport_exists(sp, 11) and not reference.sport_exists(sp, 12)
+    gt = reference.game_types(spark, _write(tmp_path, "g.json", [{"id": "R", "description": "Regular Season"},
+                                                                {"id": "S", "description": "Spring Training"}]))
+    assert sorted(r.game_type for r in gt.collect()) == ["R", "S"]
+    ppl = reference.people(spark, _write(tmp_path, "p.json", {"people": [
+        {"id": 1, "firstName": "Ann", "lastName": "Lee", "fullName": "Ann Lee", "currentTeam": {"id": 2},
+         "birthDate": "1990-05-01"},
+        {"id": 2, "firstName": "Bo", "lastName": "Lee", "fullName": "Bo Lee", "currentTeam": {"id": 1},
+         "primaryPosition": {"abbreviation": "P"}},
+        {"id": 3, "firstName": "Cy", "lastName": "Ray"}]}))
+    assert [r.player_id for r in reference.lookup_player(ppl, "LEE", "bo").collect()] == [2]
+    assert ppl.filter("player_id = 3").first().position is None  # player without position
+    teams_doc = {"teams": [{"id": 1, "name": "Big", "abbreviation": "BIG", "sport": {"id": 1}},
+                           {"id": 2, "name": "Farm", "abbreviation": "FRM", "parentOrgId": 1, "sport": {"id": 11}}]}
+    t = reference.teams(spark, _write(tmp_path, "t2.json", teams_doc))
+    abbr = {r.player_id: r.team_abbr for r in reference.current_team_abbr(ppl, t).collect()}
+    assert abbr == {1: None, 2: "BIG", 3: None}  # current team outside the top league -> null
+    both = reference.players_union([ppl.select("player_id", "name"), ppl.select("player_id", "name")])
+    assert both.count() == 3
+
+
+def test_box_score_and_csv_and_sinks(spark, tmp_path):
+    box = {"teams": {"home": {"players": {"ID1": {"person": {"id": 1, "fullName": "A"},
+                                                  "stats": {"pitching": {"outs": "3"}}}}},
+                     "away": {"players": {}}}}
+    b = tables.box_score(spark, _write(tmp_path, "b.json", box), game_id=5).collect()
+    assert [(r.side, r.player_id, r.game_id) for r in b] == [("home", 1, 5)]
+    from moundlake.schemas import RUN_VALUES
+    csv = os.path.join(tmp_path, "rv.csv")
+    with open(csv, "w") as f:
+        f.write(",event,balls,strikes,delta_run_exp\n0,ball,0,0,0.03\n1,strikeout,0,2,-0.3\n")
+    rv = tables.read_csv(spark, csv, RUN_VALUES, drop_index=True)
+    assert rv.columns == ["event", "balls", "strikes", "delta_run_exp"] and rv.count() == 2
+    from moundlake.sources.sinks import write_table
+    out = os.path.join(tmp_path, "graded")
+    df = spark.createDataFrame([(1, 2023, 55.0), (2, 2024, 61.0)], "pitcher_id long, year long, grade double")
+    write_table(df, out)
+    assert {"year=2023", "year=2024"} <= set(os.listdir(out))
+    back = spark.read.parquet(out).filter("year = 2024")
+    assert [r.pitcher_id for r in back.collect()] == [2]
+
+
+def test_gbt_pipeline_fit_persist_and_importance(spark, tmp_path):
+    import random
+    from moundlake.operators.stuff import feature_importance, gbt_pipeline
+    from moundlake.sources.sinks import load_model, save_model
+    rnd = random.Random(2)
+    rows = [(rnd.random(), rnd.random(), rnd.random()) for _ in range(400)]
+    df = spark.createDataFrame([(a, b, c, 2 * a - b + 0.01 * c) for a, b, c in rows], "a double, b double, c double, target double")
+    model = gbt_pipeline(["a", "b", "c"], max_iter=5, step_size=0.3).fit(df)
+    imp = feature_importance(model, ["a", "b", "c"])
+    assert imp[0][0] == "a" and abs(sum(v for _, v in imp) - 1) < 1e-9
+    path = os.path.join(tmp_path, "model")
+    save_model(model, path)
+    again = load_model(path).transform(df).select("prediction").collect()
+    assert [r.prediction for r in again] == [r.prediction for r in model.transform(df).select("prediction").collect()]
