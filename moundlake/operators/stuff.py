@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from moundlake.functions.columns import clip, pitch_position
 from moundlake.operators.joins import next_season
 from moundlake.operators.summary import corr_matrix, pitcher_type_totals, type_quantiles
+from moundlake.session import cut_lineage
 from moundlake.schemas import (
     GRADE_CENTER, GRADE_HI, GRADE_LO, GRADE_SCALE, MIN_PITCHES_TYPE_STATS, MIN_PITCHES_YOY,
     PLUS_CENTER, PLUS_SCALE, STARTER_PITCHES_PER_GAME,
@@ -48,7 +49,9 @@ def pitch_grades(df: DataFrame, keys: Sequence[str] = ("pitcher_id", "year"),
 
     The type-statistics table has one row per pitch type (bounded by the type
     vocabulary) and is broadcast; the grades never reshuffle the grouped rows."""
-    tot = pitcher_type_totals(df, keys, type_col=type_col, value=value, game=game)
+    # the grouped rows feed three branches (type statistics, SP/RP, grades): written once
+    # to the shared checkpoint folder so the pitch table is aggregated exactly once
+    tot = cut_lineage(pitcher_type_totals(df, keys, type_col=type_col, value=value, game=game))
     # one row per (pitcher, type): bounded per group by the roster, so Spark's exact
     # percentile (one buffer per type) is fine here
     stats = type_quantiles(tot, [type_col], value, levels=(0.001, 0.999), min_count=min_pitches,

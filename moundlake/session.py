@@ -57,6 +57,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
+    """Reliable checkpoint into the shared checkpoint folder (survives executor loss).
+
+    The frame is persisted for the duration of the checkpoint: a reliable
+    checkpoint otherwise computes its input twice (once for the eager action,
+    once to write the files)."""
+    from pyspark import StorageLevel
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()
