@@ -219,13 +219,19 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, levels: Sequen
     ranked = ordered_scan(src, by, ["_v"], seq="_seq", group_size="_n", partitions=partitions)
     spark = df.sparkSession
     lv = spark.createDataFrame([(i, float(q)) for i, q in enumerate(levels)], "_qi int, _q double")
+    # positions wanted per group: 2 x |levels| rows per group (never the data x levels)
+    sizes = ranked.groupBy(*by).agg(F.max("_n").alias("_n"))
     pos = (F.col("_n") - 1) * F.col("_q")
-    picks = (ranked.crossJoin(F.broadcast(lv))  # x |levels| (a fixed, small list)
-                   .withColumns({"_lo": F.floor(pos), "_hi": F.ceil(pos), "_frac": pos - F.floor(pos)})
-                   .filter((F.col("_seq") - 1 == F.col("_lo")) | (F.col("_seq") - 1 == F.col("_hi"))))
+    want = (sizes.crossJoin(F.broadcast(lv))
+                 .withColumns({"_lo": F.floor(pos).cast("long"), "_hi": F.ceil(pos).cast("long"),
+                               "_frac": pos - F.floor(pos)}))
+    at = F.explode(F.array_distinct(F.array(F.col("_lo"), F.col("_hi")))).alias("_p")
+    targets = want.select(*by, "_qi", "_lo", "_hi", "_frac", at).withColumn("_seq", F.col("_p") + 1)
+    # (group, seq) is unique on both sides: no key can be hot
+    picks = ranked.select(*by, "_seq", "_v").join(targets, [*by, "_seq"], "inner")
     per = picks.groupBy(*by, "_qi", "_frac").agg(
-        F.max_by("_v", F.col("_seq") - 1 == F.col("_lo")).alias("_vlo"),
-        F.max_by("_v", F.col("_seq") - 1 == F.col("_hi")).alias("_vhi"))
+        F.max_by("_v", F.col("_p") == F.col("_lo")).alias("_vlo"),
+        F.max_by("_v", F.col("_p") == F.col("_hi")).alias("_vhi"))
     per = per.withColumn("_val", F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))
     wide = per.groupBy(*by).pivot("_qi", list(range(len(levels)))).agg(F.first("_val"))
     return wide.select(*by, *[F.col(str(i)).alias(n) for i, n in enumerate(names)])

@@ -51,7 +51,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
-        conf = tempfile.mkdtemp(prefix="moundlake-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(lineage cuts must survive executor loss)")
+        conf = tempfile.mkdtemp(prefix="moundlake-ckpt-")  # local mode only (tests, bench)
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
