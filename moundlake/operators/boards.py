@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from moundlake.functions.columns import normalise_range
+from moundlake.operators.joins import broadcast_if_small
 
 
 def _ordered(order: Sequence[Column | str]) -> list[Column]:
@@ -105,7 +106,7 @@ def league_position(long: DataFrame, ranges: DataFrame, keys: Sequence[str],
     explicit range use [0.8, 1.2] x the league average. The range table is
     bounded by (metric x pitch type) and is broadcast."""
     r = ranges.select(*keys, "avg", "lo", "hi", "flip")
-    j = long.join(F.broadcast(r), list(keys), "left")
+    j = long.join(broadcast_if_small(r), list(keys), "left")
     lo = F.coalesce(F.col("lo"), F.col("avg") * fallback[0])
     hi = F.coalesce(F.col("hi"), F.col("avg") * fallback[1])
     return j.withColumn("position", normalise_range(value, lo, hi, F.coalesce(F.col("flip"), F.lit(False))))

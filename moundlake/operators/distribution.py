@@ -79,7 +79,8 @@ def kde_1d(df: DataFrame, value: str, lo: float, hi: float, points: int = 200,
     vals = src.groupBy(*by, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     grid = F.broadcast(_grid(spark, "x", lo, hi, points))
     j = vals.crossJoin(grid)  # distinct values x fixed grid: linear in the data
-    j = j.join(F.broadcast(stats) if not by else stats, list(by), "inner") if by else j.crossJoin(F.broadcast(stats))
+    # per-group statistics: one row per group, joined (AQE picks the strategy); one row when ungrouped
+    j = j.join(stats, list(by), "inner") if by else j.crossJoin(F.broadcast(stats))
     h = F.col("_sd") * bw_factor
     contrib = F.col("_c") * F.exp(-0.5 * ((F.col("x") - F.col("_v")) / h) ** 2)
     return (j.groupBy(*by, "x_i", "x", "_n", "_sd")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moundlake.functions.columns import clip, pitch_position
-from moundlake.operators.joins import next_season
+from moundlake.operators.joins import broadcast_if_small, next_season
 from moundlake.operators.summary import corr_matrix, pitcher_type_totals, type_quantiles
 from moundlake.session import cut_lineage
 from moundlake.schemas import (
@@ -60,7 +60,7 @@ def pitch_grades(df: DataFrame, keys: Sequence[str] = ("pitcher_id", "year"),
                          ((F.col("q99_9") - F.col("q0_1")) / 6).alias("type_std"))
     pos = (tot.filter(F.col(type_col) == "All")
               .select(*keys, pitch_position("pitches", "games", starter_ppg).alias("position")))
-    g = tot.join(F.broadcast(stats), type_col, "inner")
+    g = tot.join(broadcast_if_small(stats), type_col, "inner")  # one row per pitch type, size-checked
     grade = clip(F.lit(GRADE_CENTER) + GRADE_SCALE * F.try_divide(F.col(value) - F.col("type_mean"),
                                                                     F.col("type_std")), GRADE_LO, GRADE_HI)
     return g.withColumn("pitch_grade", grade).join(pos, list(keys), "left")
