@@ -40,4 +40,4 @@ def test_entry_smoke(spark):
 def test_every_query_registered_runs_rows_only(spark):
     import __spark_entry__ as E
     missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"gbt_scores", "importance", "launch_kde_sample"}
+    assert missing == {"gbt_scores", "importance", "launch_kde_sample", "stuff_plus_model"}
