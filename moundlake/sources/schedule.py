@@ -41,11 +41,13 @@ def flatten_schedule(raw: DataFrame, tz: str = "America/New_York", time_format:
     formatted; one row per game_id (deterministic: earliest start, then venue);
     sorted by date. Null game ids are dropped."""
     g = raw.select(F.explode("dates").alias("d")).select(F.explode("d.games").alias("g")).select("g.*")
-    ts = F.to_timestamp("gameDate")
+    # UTC wall clock without a zone, converted explicitly: independent of the session time zone
+    ts = F.coalesce(F.to_timestamp_ntz("gameDate", F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")),
+                    F.to_timestamp_ntz("gameDate"))
     out = g.select(
         F.col("gamePk").alias("game_id"),
         ts.alias("start_utc"),
-        F.date_format(F.from_utc_timestamp(ts, tz), time_format).alias("time"),
+        F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(tz), ts), time_format).alias("time"),
         F.to_date("officialDate").alias("date"),
         F.col("teams.away.team.name").alias("away"), F.col("teams.home.team.name").alias("home"),
         F.col("teams.away.team.id").alias("away_id"), F.col("teams.home.team.id").alias("home_id"),
