@@ -110,3 +110,28 @@ def league_position(long: DataFrame, ranges: DataFrame, keys: Sequence[str],
     lo = F.coalesce(F.col("lo"), F.col("avg") * fallback[0])
     hi = F.coalesce(F.col("hi"), F.col("avg") * fallback[1])
     return j.withColumn("position", normalise_range(value, lo, hi, F.coalesce(F.col("flip"), F.lit(False))))
+
+
+def actual_projection_pair(actual: DataFrame, projected: DataFrame, key: Sequence[str],
+                           stats: Sequence[str], label: str = "row_label") -> DataFrame:
+    """Two rows per key, actual and projection, for the chosen stats; only keys
+    present on both sides are kept (the card needs both)."""
+    both = actual.select(*key).intersect(projected.select(*key))
+    a = actual.join(both, list(key), "left_semi").select(*key, *stats).withColumn(label, F.lit("actual"))
+    p = projected.join(both, list(key), "left_semi").select(*key, *stats).withColumn(label, F.lit("projection"))
+    return a.unionByName(p)
+
+
+def pitching_line(game_log: DataFrame, pitches: DataFrame, *, player: str = "player_id",
+                  pitcher: str = "pitcher_id", game: str = "game_id", swing: str = "swing",
+                  whiff: str = "whiff", description: str = "play_description") -> DataFrame:
+    """A3 + S6: the per-game pitching line (renamed IP, PA, ER, H, K, BB, HR) with the
+    pitch-level Whiff%, Strike% and pitch count of the same pitcher and game."""
+    from moundlake.operators.summary import game_line
+    rates = game_line(pitches, [pitcher, game], swing=swing, whiff=whiff, description=description)
+    log = game_log.select(F.col(player).alias(pitcher), game, "date", "opponent",
+                          F.col("innings_pitched").alias("IP"), F.col("batters_faced").alias("PA"),
+                          F.col("earned_runs").alias("ER"), F.col("hits").alias("H"),
+                          F.col("strikeouts").alias("K"), F.col("walks").alias("BB"),
+                          F.col("home_runs").alias("HR"))
+    return log.join(rates, [pitcher, game], "left")

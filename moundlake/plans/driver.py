@@ -595,6 +595,28 @@ def stuff_plus_model(spark, sf, max_iter: int = 10):
     return _r(stuff.pitcher_year_scores(scored))
 
 
+def actual_projection_pair(spark, sf):
+    """Actual (returned lines) against projection (accepted lines) per supplier and
+    year, two rows per key, keys on both sides only."""
+    li = roles.table(spark, sf, "lineitem")
+
+    def side(flag):
+        return li.filter(F.col("l_returnflag") == flag).groupBy(
+            F.col("l_suppkey").alias("player_id"), F.year("l_shipdate").cast("long").alias("year")).agg(
+            F.sum("l_quantity").alias("war"), F.count(F.lit(1)).alias("games"))
+
+    return _r(boards.actual_projection_pair(side("R"), side("A").filter(F.col("war") > 650),
+                                            ["player_id", "year"], ["war", "games"]))
+
+
+def pitch_type_xwoba(spark, sf):
+    """A6 + J10 (T11): actual and expected wOBA on contact per (pitcher, pitch type) for
+    the test split; group keys are the join keys."""
+    pred = batted_predictions(spark, sf).withColumn("woba", C.woba_value("event_type", WOBA_WEIGHTS_A))
+    return _r(expected.per_group_means(pred, ["pitcher_id", "pitch_type"], "expected",
+                                       {"wobacon": "woba", "xwobacon": "expected"}, count_alias="bip"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "arsenal_summary": arsenal_summary,
     "arsenal_rates": arsenal_rates,
@@ -647,6 +669,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "teams_parent": teams_parent,
     "player_games": player_games,
     "leaderboard_rows": leaderboard_rows,
+    "actual_projection_pair": actual_projection_pair,
+    "pitch_type_xwoba": pitch_type_xwoba,
     "stream_ingest": stream_ingest,
     "launch_kde_sample": launch_kde_sample,
     "stuff_plus_model": stuff_plus_model,

@@ -613,3 +613,23 @@ SELECT l.l_orderkey AS game_id,
        round(l.l_extendedprice, 6) AS end_speed
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """
+
+ORACLE["actual_projection_pair"] = """
+WITH a AS (SELECT l_suppkey AS player_id, CAST(year(l_shipdate) AS BIGINT) AS year, sum(l_quantity) AS war,
+                  count(*) AS games FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL),
+p AS (SELECT * FROM (SELECT l_suppkey AS player_id, CAST(year(l_shipdate) AS BIGINT) AS year, sum(l_quantity) AS war,
+                            count(*) AS games FROM lineitem WHERE l_returnflag = 'A' GROUP BY ALL) WHERE war > 650),
+k AS (SELECT player_id, year FROM a INTERSECT SELECT player_id, year FROM p)
+SELECT player_id, year, round(war, 6) AS war, games, 'actual' AS row_label FROM a SEMI JOIN k USING (player_id, year)
+UNION ALL
+SELECT player_id, year, round(war, 6) AS war, games, 'projection' AS row_label FROM p SEMI JOIN k USING (player_id, year)
+"""
+
+ORACLE["pitch_type_xwoba"] = with_views(f"""
+WITH k AS ({KNN}),
+j AS (SELECT p.pitcher_id, p.pitch_type, {WOBA_A} AS woba, k.expected
+      FROM pitches p JOIN k USING (pitch_uid, tb_p, tb_s, tb_q, tb_e))
+SELECT pitcher_id, pitch_type, count(expected) AS bip, round(avg(woba), 6) AS wobacon,
+       round(avg(expected), 6) AS xwobacon
+FROM j GROUP BY pitcher_id, pitch_type
+""", "pitches")

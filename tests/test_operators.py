@@ -265,3 +265,16 @@ def test_exact_quantiles_match_percentile(spark):
     assert got.keys() == ref.keys()
     for g in ref:
         assert got[g] == pytest.approx(ref[g])
+
+
+def test_pitching_line_joins_game_log_and_rates(spark):
+    log = spark.createDataFrame([(7, 100, "2024-05-01", "X", "6.0", 24, 1, 4, 8, 2, 0)],
+                                "player_id long, game_id long, date string, opponent string, innings_pitched string, "
+                                "batters_faced long, earned_runs long, hits long, strikeouts long, walks long, home_runs long")
+    p = spark.createDataFrame([(7, 100, True, True, "Swinging Strike"), (7, 100, True, False, "Foul"),
+                               (7, 100, False, False, "Ball"), (7, 100, False, False, "Called Strike")],
+                              "pitcher_id long, game_id long, swing boolean, whiff boolean, play_description string") \
+        .withColumn("is_pitch", F.lit(True))
+    r = boards.pitching_line(log, p).first()
+    assert (r.IP, r.K, r.pitches) == ("6.0", 8, 4)
+    assert r.whiff_pct == pytest.approx(50.0) and r.strike_pct == pytest.approx(75.0)
