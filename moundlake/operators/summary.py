@@ -12,7 +12,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moundlake.functions.columns import col_of
 
 
 def _round(c: Column, digits: int | None) -> Column:
