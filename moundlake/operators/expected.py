@@ -86,10 +86,12 @@ def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
     q = (query.select(F.col(x).cast("double").alias("qx"), F.col(y).cast("double").alias("qy"))
               .filter(F.col("qx").isNotNull() & F.col("qy").isNotNull() & ~F.isnan("qx") & ~F.isnan("qy"))
               .distinct())
+    # training extent and whether any query exists, in one small job (two one-row aggregates)
     st = tr.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("x0"), F.max("_x").alias("x1"),
-                F.min("_y").alias("y0"), F.max("_y").alias("y1")).first()
+                F.min("_y").alias("y0"), F.max("_y").alias("y1")).crossJoin(
+        q.agg(F.count(F.lit(1)).alias("nq"))).first()
     empty = spark.createDataFrame([], f"qx double, qy double, {label} int, votes long, share double")
-    if not st["n"] or q.isEmpty():
+    if not st["n"] or not st["nq"]:
         return empty
     x0, y0 = st["x0"], st["y0"]
     size = max(st["x1"] - x0, st["y1"] - y0, 1e-12) * (1 + 1e-9) + 1e-12
@@ -107,9 +109,9 @@ def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
                 (F.col("_pcy") == F.floor(F.col("_cy") / 2)), "left")
               .filter((F.col("_l") == start) | ~F.col("_pleaf"))
               .select("_l", "_cx", "_cy"))
+    # each training row's leaf (read once, by the final join; its inputs are checkpointed)
     tleaf = (_cells_all_levels(tr, "_x", "_y", x0, y0, size, max_level)
              .join(broadcast_if_small(leaves, BROADCAST_LEAVES), ["_l", "_cx", "_cy"], "inner"))
-    tleaf = cut_lineage(tleaf)
     children = cells.select(F.col("_l"), F.col("_cx"), F.col("_cy"), "_n", "_leaf",
                             (F.col("_l") - 1).alias("_pl"), F.floor(F.col("_cx") / 2).alias("_pcx"),
                             F.floor(F.col("_cy") / 2).alias("_pcy")).filter(F.col("_l") > 0)
