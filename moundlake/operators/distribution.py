@@ -26,7 +26,7 @@ def home_flag(df: DataFrame, game: str = "game_id", team: str = "pitcher_team",
 
 
 def park_factor(df: DataFrame, team: str = "pitcher_team", is_home: str = "pitcher_home",
-                value: str = "tj_stuff_plus", center: float = 100.0, scale: float = 10.0) -> DataFrame:
+                value: str = "stuff_plus", center: float = 100.0, scale: float = 10.0) -> DataFrame:
     """M16 (A13): home and road means per team; z = (mean - 100) / 10;
     park factor = |Phi(z_home) / Phi(z_road)| x 100 (normal CDF as a native expression)."""
     p = home_road_pivot(df, team, is_home, value)

@@ -18,7 +18,7 @@ from moundlake.schemas import (
 
 
 def plus_scale(df: DataFrame, value: str = "target", reference: Column | None = None,
-               alias: str = "tj_stuff_plus", invert: bool = True) -> DataFrame:
+               alias: str = "stuff_plus", invert: bool = True) -> DataFrame:
     """Z-score against the mean and sample std of a reference subset (e.g. a
     season), applied to every row; plus = 100 - 10 z (lower run value is better),
     or 100 + 10 z with ``invert=False``.
@@ -32,13 +32,13 @@ def plus_scale(df: DataFrame, value: str = "target", reference: Column | None =
 
 
 def pitcher_year_scores(df: DataFrame, keys: Sequence[str] = ("pitcher_id", "year"),
-                        value: str = "tj_stuff_plus") -> DataFrame:
+                        value: str = "stuff_plus") -> DataFrame:
     """Pitch count and mean plus score per (pitcher, year)."""
     return df.groupBy(*keys).agg(F.count(value).alias("count"), F.avg(value).alias(value))
 
 
 def pitch_grades(df: DataFrame, keys: Sequence[str] = ("pitcher_id", "year"),
-                 type_col: str = "pitch_type", value: str = "tj_stuff_plus", game: str = "game_id",
+                 type_col: str = "pitch_type", value: str = "stuff_plus", game: str = "game_id",
                  min_pitches: int = MIN_PITCHES_TYPE_STATS,
                  starter_ppg: float = STARTER_PITCHES_PER_GAME) -> DataFrame:
     """A8 + A9 + M15 (+P30): pitcher totals ('All') and per-type rows from one

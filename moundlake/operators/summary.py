@@ -117,7 +117,7 @@ def game_line(df: DataFrame, by: Sequence[str] = (), *, swing: str = "swing",
 
 
 def pitcher_type_totals(df: DataFrame, keys: Sequence[str], type_col: str = "pitch_type",
-                        value: str = "tj_stuff_plus", game: str = "game_id",
+                        value: str = "stuff_plus", game: str = "game_id",
                         all_label: str = "All", approx_games: bool = False) -> DataFrame:
     """Pitcher totals and per-type totals in ONE aggregation with grouping sets;
     the totals row gets ``pitch_type = 'All'``. One shuffle instead of two + union."""

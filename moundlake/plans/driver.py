@@ -122,7 +122,7 @@ def plus_scale(spark, sf):
 
 def pitch_grades(spark, sf):
     out = stuff.pitch_grades(scored_pitches(spark, sf))
-    return _r(out.select("pitcher_id", "year", "pitch_type", "pitches", "games", "tj_stuff_plus",
+    return _r(out.select("pitcher_id", "year", "pitch_type", "pitches", "games", "stuff_plus",
                          "type_mean", "type_std", "pitch_grade", "position"))
 
 
@@ -143,7 +143,7 @@ def team_role_cube(spark, sf):
     tot = summary.pitcher_type_totals(s, ["pitcher_id", "year"]).filter(F.col("pitch_type") == "All")
     pos = tot.select("pitcher_id", "year", C.pitch_position("pitches", "games", 1.05).alias("position"))
     j = s.join(pos, ["pitcher_id", "year"], "inner").join(sup, "pitcher_id", "inner")
-    return _r(summary.role_cube(j, "pitcher_team", "position", "tj_stuff_plus"))
+    return _r(summary.role_cube(j, "pitcher_team", "position", "stuff_plus"))
 
 
 def home_road_park_factor(spark, sf):
@@ -153,7 +153,7 @@ def home_road_park_factor(spark, sf):
     s = s.join(sup, "pitcher_id", "inner")
     flagged = distribution.home_flag(s, "game_id", "pitcher_team",
                                      ["start_time", "ab_number", "index_play", "tb_p", "tb_s", "tb_q", "tb_e"])
-    return _r(distribution.park_factor(flagged, "pitcher_team", "pitcher_home", "tj_stuff_plus"))
+    return _r(distribution.park_factor(flagged, "pitcher_team", "pitcher_home", "stuff_plus"))
 
 
 def corr_matrix(spark, sf):
@@ -213,12 +213,12 @@ def r2_and_line(spark, sf):
 
 def histogram_40(spark, sf):
     s = scored_pitches(spark, sf).filter(F.col("pitch_type").isin(HISTOGRAM_PITCH_TYPES))
-    return _r(distribution.histogram(s, "tj_stuff_plus", 60.0, 140.0, 40, by=["pitch_type"]))
+    return _r(distribution.histogram(s, "stuff_plus", 60.0, 140.0, 40, by=["pitch_type"]))
 
 
 def kde_1d(spark, sf):
     py = stuff.pitcher_year_scores(scored_pitches(spark, sf))
-    return _r(distribution.kde_1d(py, "tj_stuff_plus", 60.0, 140.0, points=161, bw_factor=0.8))
+    return _r(distribution.kde_1d(py, "stuff_plus", 60.0, 140.0, points=161, bw_factor=0.8))
 
 
 def kde_2d(spark, sf):
@@ -233,7 +233,7 @@ def year_over_year(spark, sf):
     res = roles.pitches(spark, sf).groupBy("pitcher_id", "year").agg(
         (F.lit(-100.0) * F.avg("delta_run_exp")).alias("rv100"),
         F.avg(C.whiff_flag("play_code").cast("double")).alias("whiff_rate"))
-    return _r(stuff.year_over_year(scores, res, "pitcher_id", "year", ["tj_stuff_plus"],
+    return _r(stuff.year_over_year(scores, res, "pitcher_id", "year", ["stuff_plus"],
                                    ["rv100", "whiff_rate"], count_col="count",
                                    min_count=MIN_PITCHES_YOY, digits=None))
 
@@ -309,14 +309,14 @@ def percentile_ranks(spark, sf):
 def best_per_type(spark, sf):
     g = stuff.pitch_grades(scored_pitches(spark, sf), keys=("pitcher_id",))
     out = boards.best_per_type(g, "pitch_type", "pitch_grade", "pitcher_id", "pitches", MIN_PITCHES_BEST)
-    return _r(out.select("pitch_type", "pitcher_id", "pitches", "tj_stuff_plus", "pitch_grade"))
+    return _r(out.select("pitch_type", "pitcher_id", "pitches", "stuff_plus", "pitch_grade"))
 
 
 def leaderboard(spark, sf):
     sc = stuff.pitcher_year_scores(scored_pitches(spark, sf), keys=("pitcher_id",))
-    top = boards.top_k(sc, [F.desc("tj_stuff_plus"), F.asc("pitcher_id")], 20,
+    top = boards.top_k(sc, [F.desc("stuff_plus"), F.asc("pitcher_id")], 20,
                        min_col="count", min_value=100)
-    return _r(boards.ranked(top, [F.desc("tj_stuff_plus"), F.asc("pitcher_id")]))
+    return _r(boards.ranked(top, [F.desc("stuff_plus"), F.asc("pitcher_id")]))
 
 
 def json_props(spark, sf):
@@ -344,7 +344,7 @@ def std_grains(spark, sf):
     sup = roles.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("pitcher_id"),
                                                     F.col("s_nationkey").alias("pitcher_team"))
     s = s.join(sup, "pitcher_id", "inner")
-    return _r(summary.std_grains(s, "tj_stuff_plus", {"pitch": [], "pitcher": ["pitcher_id"],
+    return _r(summary.std_grains(s, "stuff_plus", {"pitch": [], "pitcher": ["pitcher_id"],
                                                        "team": ["pitcher_team"]}))
 
 

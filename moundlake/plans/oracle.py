@@ -43,7 +43,7 @@ SCORED = f"""
 WITH tgt AS ({TARGET}),
 t AS (SELECT * FROM tgt WHERE target IS NOT NULL),
 st AS (SELECT avg(target) AS m, stddev_samp(target) AS s FROM t WHERE year = 1996)
-SELECT t.*, 100 - (t.target - st.m) / st.s * 10 AS tj_stuff_plus FROM t, st
+SELECT t.*, 100 - (t.target - st.m) / st.s * 10 AS stuff_plus FROM t, st
 """
 
 TEAM = "(SELECT s_suppkey AS pitcher_id, s_nationkey AS pitcher_team FROM supplier)"
@@ -88,16 +88,16 @@ def _pitch_grades(keys: list[str]) -> str:
 WITH s AS ({SCORED}),
 tot AS (
   SELECT {k}, CASE WHEN grouping(pitch_type) = 1 THEN 'All' ELSE pitch_type END AS pitch_type,
-         count(tj_stuff_plus) AS pitches, count(DISTINCT game_id) AS games, avg(tj_stuff_plus) AS tj_stuff_plus
+         count(stuff_plus) AS pitches, count(DISTINCT game_id) AS games, avg(stuff_plus) AS stuff_plus
   FROM s GROUP BY GROUPING SETS (({k}), ({k}, pitch_type))),
-ts AS (SELECT pitch_type, avg(tj_stuff_plus) AS type_mean,
-              (quantile_cont(tj_stuff_plus, 0.999) - quantile_cont(tj_stuff_plus, 0.001)) / 6 AS type_std
+ts AS (SELECT pitch_type, avg(stuff_plus) AS type_mean,
+              (quantile_cont(stuff_plus, 0.999) - quantile_cont(stuff_plus, 0.001)) / 6 AS type_std
        FROM tot WHERE pitches >= 10 GROUP BY pitch_type),
 pos AS (SELECT {k}, CASE WHEN pitches / games >= {{thr}} THEN 'SP' ELSE 'RP' END AS position
         FROM tot WHERE pitch_type = 'All')
 SELECT tot.*, ts.type_mean, ts.type_std,
        CASE WHEN ts.type_std = 0 THEN NULL
-            ELSE greatest(20.0, least(80.0, 50 + 10 * (tot.tj_stuff_plus - ts.type_mean) / ts.type_std)) END
+            ELSE greatest(20.0, least(80.0, 50 + 10 * (tot.stuff_plus - ts.type_mean) / ts.type_std)) END
          AS pitch_grade,
        pos.position
 FROM tot JOIN ts USING (pitch_type) LEFT JOIN pos USING ({k})
@@ -205,12 +205,12 @@ FROM c
 """, "pitches")
 
 ORACLE["plus_scale"] = with_views(f"""
-SELECT pitcher_id, year, count(tj_stuff_plus) AS count, round(avg(tj_stuff_plus), 6) AS tj_stuff_plus
+SELECT pitcher_id, year, count(stuff_plus) AS count, round(avg(stuff_plus), 6) AS stuff_plus
 FROM ({SCORED}) GROUP BY pitcher_id, year
 """, "pitches", "rv")
 
 ORACLE["pitch_grades"] = with_views(_round_all(
-    ["pitcher_id", "year", "pitch_type", "pitches", "games", "round(tj_stuff_plus, 6) AS tj_stuff_plus",
+    ["pitcher_id", "year", "pitch_type", "pitches", "games", "round(stuff_plus, 6) AS stuff_plus",
      "round(type_mean, 6) AS type_mean", "round(type_std, 6) AS type_std",
      "round(pitch_grade, 6) AS pitch_grade", "position"],
     _pitch_grades(["pitcher_id", "year"]).replace("{thr}", "40")), "pitches", "rv")
@@ -233,23 +233,23 @@ FROM (SELECT pitch_type, count(spin_rate) AS n, unnest({_LV!r}::DOUBLE[]) AS lev
 
 ORACLE["team_role_cube"] = with_views(f"""
 WITH s AS ({SCORED}),
-tot AS (SELECT pitcher_id, year, count(tj_stuff_plus) AS pitches, count(DISTINCT game_id) AS games
+tot AS (SELECT pitcher_id, year, count(stuff_plus) AS pitches, count(DISTINCT game_id) AS games
         FROM s GROUP BY pitcher_id, year),
 pos AS (SELECT pitcher_id, year, CASE WHEN pitches / games >= 1.05 THEN 'SP' ELSE 'RP' END AS position FROM tot),
-j AS (SELECT s.tj_stuff_plus, pos.position, t.pitcher_team FROM s JOIN pos USING (pitcher_id, year)
+j AS (SELECT s.stuff_plus, pos.position, t.pitcher_team FROM s JOIN pos USING (pitcher_id, year)
       JOIN {TEAM} t USING (pitcher_id))
 SELECT CASE WHEN grouping(pitcher_team) = 1 THEN 'All' ELSE CAST(pitcher_team AS VARCHAR) END AS pitcher_team,
        CASE WHEN grouping(position) = 1 THEN 'All' ELSE position END AS position,
-       round(avg(tj_stuff_plus), 6) AS mean_value, count(tj_stuff_plus) AS n
+       round(avg(stuff_plus), 6) AS mean_value, count(stuff_plus) AS n
 FROM j GROUP BY CUBE (pitcher_team, position)
 """, "pitches", "rv")
 
 ORACLE["home_road_park_factor"] = with_views(f"""
 WITH s AS (SELECT sc.*, t.pitcher_team FROM ({SCORED}) sc JOIN {TEAM} t USING (pitcher_id)),
 h AS (SELECT game_id, arg_min(pitcher_team, (start_time, ab_number, index_play, tb_p, tb_s, tb_q, tb_e)) AS home_team FROM s GROUP BY game_id),
-f AS (SELECT s.pitcher_team, s.pitcher_team = h.home_team AS home, s.tj_stuff_plus FROM s JOIN h USING (game_id)),
-m AS (SELECT pitcher_team, avg(tj_stuff_plus) FILTER (WHERE home) AS home_mean,
-             avg(tj_stuff_plus) FILTER (WHERE NOT home) AS road_mean FROM f GROUP BY pitcher_team)
+f AS (SELECT s.pitcher_team, s.pitcher_team = h.home_team AS home, s.stuff_plus FROM s JOIN h USING (game_id)),
+m AS (SELECT pitcher_team, avg(stuff_plus) FILTER (WHERE home) AS home_mean,
+             avg(stuff_plus) FILTER (WHERE NOT home) AS road_mean FROM f GROUP BY pitcher_team)
 SELECT pitcher_team, round(home_mean, 6) AS home_mean, round(road_mean, 6) AS road_mean,
        round(abs({normal_cdf_sql('(home_mean - 100.0) / 10.0')} / {normal_cdf_sql('(road_mean - 100.0) / 10.0')}) * 100, 6)
          AS park_factor
@@ -371,15 +371,15 @@ FROM b, m
 
 ORACLE["histogram_40"] = with_views(f"""
 WITH s AS (SELECT * FROM ({SCORED}) WHERE pitch_type IN {_in(HISTOGRAM_PITCH_TYPES)}
-           AND tj_stuff_plus >= 60 AND tj_stuff_plus <= 140),
-b AS (SELECT pitch_type, CAST(least(39, floor((tj_stuff_plus - 60.0) / 2.0)) AS INTEGER) AS bin FROM s)
+           AND stuff_plus >= 60 AND stuff_plus <= 140),
+b AS (SELECT pitch_type, CAST(least(39, floor((stuff_plus - 60.0) / 2.0)) AS INTEGER) AS bin FROM s)
 SELECT pitch_type, bin, count(*) AS n, round(CAST(60.0 + bin * 2.0 AS DOUBLE), 6) AS bin_lo,
        round(CAST(60.0 + bin * 2.0 + 2.0 AS DOUBLE), 6) AS bin_hi
 FROM b GROUP BY pitch_type, bin
 """, "pitches", "rv")
 
 ORACLE["kde_1d"] = with_views(f"""
-WITH py AS (SELECT pitcher_id, year, avg(tj_stuff_plus) AS v FROM ({SCORED}) GROUP BY pitcher_id, year),
+WITH py AS (SELECT pitcher_id, year, avg(stuff_plus) AS v FROM ({SCORED}) GROUP BY pitcher_id, year),
 st AS (SELECT count(v) AS n, stddev_samp(v) AS sd FROM py),
 g AS (SELECT CAST(i AS INTEGER) AS x_i, 60.0 + i * (CAST(80.0 AS DOUBLE) / 160) AS x FROM range(0, 161) r(i))
 SELECT g.x_i, round(g.x, 6) AS x,
@@ -403,13 +403,13 @@ FROM p JOIN st2 USING (pitcher_hand), gx, gy
 GROUP BY p.pitcher_hand, gx_i, gy_i, gx, gy, n, det
 """, "pitches")
 
-_YC = ["tj_stuff_plus", "rv100", "whiff_rate", "rv100_next", "whiff_rate_next"]
+_YC = ["stuff_plus", "rv100", "whiff_rate", "rv100_next", "whiff_rate_next"]
 ORACLE["year_over_year"] = with_views(f"""
-WITH sc AS (SELECT pitcher_id, year, count(tj_stuff_plus) AS count, avg(tj_stuff_plus) AS tj_stuff_plus
+WITH sc AS (SELECT pitcher_id, year, count(stuff_plus) AS count, avg(stuff_plus) AS stuff_plus
             FROM ({SCORED}) GROUP BY pitcher_id, year),
 res AS (SELECT pitcher_id, year, -100.0 * avg(delta_run_exp) AS rv100,
                avg(CAST({WHIFF} AS DOUBLE)) AS whiff_rate FROM pitches GROUP BY pitcher_id, year),
-j AS (SELECT sc.tj_stuff_plus, r.rv100, r.whiff_rate, n.rv100 AS rv100_next, n.whiff_rate AS whiff_rate_next
+j AS (SELECT sc.stuff_plus, r.rv100, r.whiff_rate, n.rv100 AS rv100_next, n.whiff_rate AS whiff_rate_next
       FROM sc JOIN res r USING (pitcher_id, year) JOIN res n ON n.pitcher_id = sc.pitcher_id AND n.year = sc.year + 1
       WHERE sc.count >= 100)
 SELECT * FROM (""" + " UNION ALL ".join(
@@ -479,17 +479,17 @@ FROM lng
 
 ORACLE["best_per_type"] = with_views(f"""
 WITH g AS ({_pitch_grades(["pitcher_id"]).replace("{thr}", "40")})
-SELECT pitch_type, pitcher_id, pitches, round(tj_stuff_plus, 6) AS tj_stuff_plus, round(pitch_grade, 6) AS pitch_grade
+SELECT pitch_type, pitcher_id, pitches, round(stuff_plus, 6) AS stuff_plus, round(pitch_grade, 6) AS pitch_grade
 FROM (SELECT *, row_number() OVER (PARTITION BY pitch_type ORDER BY pitch_grade DESC, pitcher_id ASC) AS rn
       FROM g WHERE pitches >= 150) WHERE rn = 1
 """, "pitches", "rv")
 
 ORACLE["leaderboard"] = with_views(f"""
-WITH sc AS (SELECT pitcher_id, count(tj_stuff_plus) AS count, avg(tj_stuff_plus) AS tj_stuff_plus
+WITH sc AS (SELECT pitcher_id, count(stuff_plus) AS count, avg(stuff_plus) AS stuff_plus
             FROM ({SCORED}) GROUP BY pitcher_id),
-t AS (SELECT * FROM sc WHERE count > 100 ORDER BY tj_stuff_plus DESC, pitcher_id ASC LIMIT 20)
-SELECT pitcher_id, count, round(tj_stuff_plus, 6) AS tj_stuff_plus,
-       CAST(row_number() OVER (ORDER BY tj_stuff_plus DESC, pitcher_id ASC) AS INTEGER) AS rank
+t AS (SELECT * FROM sc WHERE count > 100 ORDER BY stuff_plus DESC, pitcher_id ASC LIMIT 20)
+SELECT pitcher_id, count, round(stuff_plus, 6) AS stuff_plus,
+       CAST(row_number() OVER (ORDER BY stuff_plus DESC, pitcher_id ASC) AS INTEGER) AS rank
 FROM t
 """, "pitches", "rv")
 
@@ -517,9 +517,9 @@ UNION ALL SELECT 'play_description', count(*) FILTER (WHERE play_description IS
 
 ORACLE["std_grains"] = with_views(f"""
 WITH s AS (SELECT sc.*, t.pitcher_team FROM ({SCORED}) sc JOIN {TEAM} t USING (pitcher_id)),
-p AS (SELECT pitcher_id, avg(tj_stuff_plus) AS v FROM s GROUP BY pitcher_id),
-t AS (SELECT pitcher_team, avg(tj_stuff_plus) AS v FROM s GROUP BY pitcher_team)
-SELECT 'pitch' AS grain, round(stddev_samp(tj_stuff_plus), 6) AS std, count(tj_stuff_plus) AS n FROM s
+p AS (SELECT pitcher_id, avg(stuff_plus) AS v FROM s GROUP BY pitcher_id),
+t AS (SELECT pitcher_team, avg(stuff_plus) AS v FROM s GROUP BY pitcher_team)
+SELECT 'pitch' AS grain, round(stddev_samp(stuff_plus), 6) AS std, count(stuff_plus) AS n FROM s
 UNION ALL SELECT 'pitcher', round(stddev_samp(v), 6), count(v) FROM p
 UNION ALL SELECT 'team', round(stddev_samp(v), 6), count(v) FROM t
 """, "pitches", "rv")

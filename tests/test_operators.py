@@ -83,7 +83,7 @@ def test_plus_scale_reference_mean_and_std(spark):
     rows = [(y, rnd.gauss(0, 0.05)) for y in (2023, 2024) for _ in range(400)]
     df = spark.createDataFrame(rows, "year long, target double")
     s = stuff.plus_scale(df, "target", reference=F.col("year") == 2023)
-    m, sd = s.filter("year = 2023").agg(F.avg("tj_stuff_plus"), F.stddev_samp("tj_stuff_plus")).first()
+    m, sd = s.filter("year = 2023").agg(F.avg("stuff_plus"), F.stddev_samp("stuff_plus")).first()
     assert m == pytest.approx(100.0) and sd == pytest.approx(10.0)
 
 
@@ -91,7 +91,7 @@ def test_pitch_grades_in_range(spark):
     rnd = random.Random(5)
     rows = [(p, 2024, t, g, rnd.gauss(100, 10)) for p in range(30) for t in ("FF", "SL") for g in range(3)
             for _ in range(6)]
-    df = spark.createDataFrame(rows, "pitcher_id long, year long, pitch_type string, game_id long, tj_stuff_plus double")
+    df = spark.createDataFrame(rows, "pitcher_id long, year long, pitch_type string, game_id long, stuff_plus double")
     g = stuff.pitch_grades(df)
     vals = [r.pitch_grade for r in g.collect() if r.pitch_grade is not None]
     assert vals and all(20 <= v <= 80 for v in vals)
@@ -222,9 +222,9 @@ def test_zone_values_empty_zone_zero(spark):
 
 def test_grouping_sets_all_row(spark):
     df = spark.createDataFrame([(1, 2024, "FF", 10, 100.0), (1, 2024, "SL", 11, 90.0), (1, 2024, "SL", 10, 110.0)],
-                               "pitcher_id long, year long, pitch_type string, game_id long, tj_stuff_plus double")
+                               "pitcher_id long, year long, pitch_type string, game_id long, stuff_plus double")
     out = {r.pitch_type: r for r in summary.pitcher_type_totals(df, ["pitcher_id", "year"]).collect()}
-    assert out["All"].pitches == 3 and out["All"].games == 2 and out["SL"].tj_stuff_plus == 100.0
+    assert out["All"].pitches == 3 and out["All"].games == 2 and out["SL"].stuff_plus == 100.0
 
 
 def test_ordered_scan_hot_group_matches_windows(spark):

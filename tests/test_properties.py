@@ -29,7 +29,7 @@ def test_shares_sum_to_one(spark, rows):
 @SETTINGS
 @given(rows_strategy)
 def test_grades_within_scale(spark, rows):
-    df = spark.createDataFrame(rows, "pitcher_id long, pitch_type string, game_id long, tj_stuff_plus double") \
+    df = spark.createDataFrame(rows, "pitcher_id long, pitch_type string, game_id long, stuff_plus double") \
         .withColumn("year", F.lit(2024).cast("long"))
     g = stuff.pitch_grades(df, min_pitches=1)
     assert all(20 <= r.pitch_grade <= 80 for r in g.collect() if r.pitch_grade is not None)
