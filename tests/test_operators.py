@@ -278,3 +278,18 @@ def test_pitching_line_joins_game_log_and_rates(spark):
     r = boards.pitching_line(log, p).first()
     assert (r.IP, r.K, r.pitches) == ("6.0", 8, 4)
     assert r.whiff_pct == pytest.approx(50.0) and r.strike_pct == pytest.approx(75.0)
+
+
+def test_scalar_helpers(spark):
+    df = spark.createDataFrame([(" ff ", "xMLBAMID_123_2021_2022", "2024-02-30", "L", 3.0, "Foul Tip"),
+                                ("sl", "456", "2024-02-28", None, -2.0, "Unknown")],
+                               "t string, pid string, d string, hand string, ax double, des string")
+    r = df.select(C.upper_trim("t").alias("t"), C.strip_id("pid").alias("pid"), C.is_iso_date("d").alias("ok"),
+                  C.mirror_by_hand("ax", "hand").alias("ax"), C.describe_outcome("des").alias("o"),
+                  C.case_map("des", {"Foul Tip": 1}, 0).alias("c"),
+                  C.format_metric(F.lit(0.2567), ".1f%").alias("f"), C.clip(F.lit(95.0)).alias("cl")).collect()
+    assert [tuple(x) for x in r] == [("FF", "123", False, -3.0, "swinging_strike", 1, "0.3%", 80.0),
+                                     ("SL", "456", True, -2.0, None, 0, "0.3%", 80.0)]
+    assert C.strip_column_names(spark.createDataFrame([(1,)], "` a ` int")).columns == ["a"]
+    sc = C.percent_scale(spark.createDataFrame([(0.25, 0.5)], "`K%` double, avg double")).first()
+    assert (sc["K%"], sc["avg"]) == (25.0, 0.5)
