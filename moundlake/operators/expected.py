@@ -60,7 +60,7 @@ def _cells_all_levels(pts: DataFrame, x: str, y: str, x0: float, y0: float, size
 
 def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
               train_id: str | Sequence[str], k: int = 11, leaf_size: int | None = None,
-              max_level: int = 20, start_level: int = 3) -> DataFrame:
+              max_level: int = 20, start_level: int | None = None, start_cells: int = 64) -> DataFrame:
     """M1: for every distinct query location (qx, qy) the vote share of each label among
     its k nearest training rows (Euclidean on the raw x, y; ties by train id).
 
@@ -103,7 +103,13 @@ def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
     parents = cells.select(F.col("_l").alias("_pl"), F.col("_cx").alias("_pcx"), F.col("_cy").alias("_pcy"),
                            F.col("_leaf").alias("_pleaf"))
     # a leaf is the coarsest cell at or below the start level holding <= cap rows
-    start = min(start_level, max_level)
+    if start_level is None:
+        # deepest level whose occupied cells (<= start_cells, a fixed bound) can seed every
+        # query's frontier: clustered data starts deeper and needs fewer rounds
+        per_level = {r["_l"]: r["count"] for r in cells.groupBy("_l").count().collect()}  # <= max_level+1 rows
+        start = max(lv for lv, c in per_level.items() if c <= start_cells)
+    else:
+        start = min(start_level, max_level)
     leaves = (cells.filter(F.col("_leaf") & (F.col("_l") >= start)).join(
                 parents, (F.col("_pl") == F.col("_l") - 1) & (F.col("_pcx") == F.floor(F.col("_cx") / 2)) &
                 (F.col("_pcy") == F.floor(F.col("_cy") / 2)), "left")
@@ -118,7 +124,7 @@ def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
     # 3: refine a per-query frontier of cells, starting from the (at most 4^start)
     # occupied cells of a shallow level so the first rounds are not spent on the root
     top_cells = cells.filter(F.col("_l") == start)
-    frontier = q.crossJoin(F.broadcast(top_cells))  # <= 4^start rows, a fixed bound
+    frontier = q.crossJoin(F.broadcast(top_cells))  # <= start_cells rows (or 4^start_level), a fixed bound
     wq = Window.partitionBy("qx", "qy")
     kept = []
     f = None

@@ -109,7 +109,7 @@ def _brute_knn(train, query, k):
     return out
 
 
-@pytest.mark.parametrize("seed,leaf,start", [(1, 16, 3), (2, 16, 0), (3, None, 3)])
+@pytest.mark.parametrize("seed,leaf,start", [(1, 16, 3), (2, 16, 0), (3, None, 3), (4, 16, None)])
 def test_knn_exact_against_brute_force(spark, seed, leaf, start):
     rnd = random.Random(seed)
     train = []
