@@ -45,7 +45,7 @@ def _keys(pdf: pd.DataFrame, group: Sequence[str]) -> list[tuple]:
     return list(map(tuple, g.where(g.notna(), None).itertuples(index=False)))
 
 
-def _boundaries(s: DataFrame, group: Sequence[str], value: str | None, tail: int) -> list[dict]:
+def _boundaries(s: DataFrame, group: Sequence[str], values: Sequence[str], tail: int) -> list[dict]:
     """First and last group of every partition with their counts (and value tails),
     computed batch by batch (a partition is never held whole)."""
     gcols = list(group)
@@ -54,14 +54,14 @@ def _boundaries(s: DataFrame, group: Sequence[str], value: str | None, tail: int
         pid = first = last = None
         n_first = n_last = 0
         single = True
-        tail_vals: list[float] = []
+        tail_vals: list[list[float]] = []
         for pdf in it:
             if not len(pdf):
                 continue
             if pid is None:
                 pid = int(pdf["_pid"].iloc[0])
             keys = _keys(pdf, gcols)
-            vals = pdf[value].to_numpy(dtype="float64") if value else None
+            vals = pdf[list(values)].to_numpy(dtype="float64") if values else None
             if first is None:
                 first = keys[0]
             for i, k in enumerate(keys):
@@ -74,8 +74,8 @@ def _boundaries(s: DataFrame, group: Sequence[str], value: str | None, tail: int
                     tail_vals = []
                 if single:
                     n_first += 1
-                if tail:
-                    tail_vals.append(float(vals[i]))
+                if tail and values:
+                    tail_vals.append([float(x) for x in vals[i]])
                     if len(tail_vals) > tail:
                         tail_vals.pop(0)
         if pid is None:
@@ -83,7 +83,8 @@ def _boundaries(s: DataFrame, group: Sequence[str], value: str | None, tail: int
         yield pd.DataFrame({"pid": [pid], "first": [repr(first)], "n_first": [n_first], "last": [repr(last)],
                             "n_last": [n_last], "single": [single], "tail": [tail_vals]})
 
-    schema = "pid int, first string, n_first long, last string, n_last long, single boolean, tail array<double>"
+    schema = ("pid int, first string, n_first long, last string, n_last long, single boolean, "
+              "tail array<array<double>>")
     rows = s.mapInPandas(summarise, schema).collect()  # <= one row per partition
     return sorted((r.asDict() for r in rows), key=lambda r: r["pid"])
 
@@ -110,27 +111,32 @@ def _carry(bounds: list[dict], tail: int) -> tuple[dict, dict]:
     return carry, totals
 
 
-def ordered_scan(df: DataFrame, group: Sequence[str], order: Sequence[str], *, value: str | None = None,
-                 window: int | None = None, rank_of: str | None = None, seq: str = "seq",
-                 rolling: str = "rolling", percent_rank: str = "percent_rank",
+def ordered_scan(df: DataFrame, group: Sequence[str], order: Sequence[str], *,
+                 value: str | Sequence[str] | None = None, window: int | None = None,
+                 rank_of: str | None = None, seq: str = "seq",
+                 rolling: str | Sequence[str] = "rolling", percent_rank: str = "percent_rank",
                  group_size: str | None = None, partitions: int | None = None) -> DataFrame:
     """Add, per group in ``order`` (a total order for ``seq``):
 
     * ``seq``: 1-based row number (W7);
     * ``rolling`` (with ``value`` and ``window``): mean of the last ``window`` values,
-      null until the window is full (W3);
+      null until the window is full (W3); several value columns roll in the same pass;
     * ``percent_rank`` (with ``rank_of`` = the first order column): (rank - 1) / (n - 1)
       with tied values sharing the lowest rank, 0 for one-row groups (W10);
     * ``group_size`` (when named): the number of rows of the row's group.
     """
     gcols, ocols = list(group), list(order)
+    values = [value] if isinstance(value, str) else list(value or [])
+    rollings = [rolling] if isinstance(rolling, str) else list(rolling)
+    if values and window and len(rollings) != len(values):
+        raise ValueError("one rolling name per value column")
     tail = (window - 1) if window else 0
     s = _sorted_partitions(df, gcols, ocols, partitions)
-    bounds = _boundaries(s, gcols, value, tail)
+    bounds = _boundaries(s, gcols, values, tail)
     carry, totals = _carry(bounds, tail)
     out_fields = [f for f in s.schema.fields if f.name != "_pid"] + [T.StructField(seq, T.LongType())]
-    if value and window:
-        out_fields.append(T.StructField(rolling, T.DoubleType()))
+    if values and window:
+        out_fields += [T.StructField(r, T.DoubleType()) for r in rollings]
     if rank_of:
         out_fields.append(T.StructField(percent_rank, T.DoubleType()))
     if group_size:
@@ -143,12 +149,13 @@ def ordered_scan(df: DataFrame, group: Sequence[str], order: Sequence[str], *, v
         m = len(rows)
         rows = rows.copy()
         rows[seq] = np.arange(1, m + 1, dtype="int64") + before
-        if value and window:
-            v = rows[value].to_numpy(dtype="float64")
-            if tail_vals:
-                v = np.concatenate([np.asarray(tail_vals, dtype="float64"), v])
-            r = pd.Series(v).rolling(window, min_periods=window).mean().to_numpy()
-            rows[rolling] = r[len(v) - m:]
+        if values and window:
+            for j, (src, dst) in enumerate(zip(values, rollings)):
+                v = rows[src].to_numpy(dtype="float64")
+                if tail_vals:
+                    v = np.concatenate([np.asarray([t[j] for t in tail_vals], dtype="float64"), v])
+                r = pd.Series(v).rolling(window, min_periods=window).mean().to_numpy()
+                rows[dst] = r[len(v) - m:]
         if rank_of:
             rv = rows[rank_of].astype("float64").fillna(-np.inf)
             rank = rv.rank(method="min").to_numpy() + before

@@ -336,11 +336,8 @@ def rolling_mean(df: DataFrame, partition: Sequence[str], order: Sequence[str],
     ``skew_safe=False`` is the plain window (one task per batter)."""
     if skew_safe:
         from moundlake.operators.sequence import ordered_scan
-        out = df
-        items = list(values.items())
-        for i, (name, src) in enumerate(items):
-            out = ordered_scan(out if i == 0 else out.drop("seq"), partition, order, value=src,
-                               window=window, rolling=name)
+        out = ordered_scan(df, partition, order, value=list(values.values()), window=window,
+                           rolling=list(values.keys()))  # every value column in one pass
         out = out.withColumn("seq", F.col("seq").cast("int"))
         return out.orderBy(*partition, F.desc("seq")) if newest_first else out
     w = Window.partitionBy(*partition).orderBy(*[F.asc(c) for c in order])

@@ -617,6 +617,16 @@ def pitch_type_xwoba(spark, sf):
                                        {"wobacon": "woba", "xwobacon": "expected"}, count_alias="bip"))
 
 
+def rolling_woba(spark, sf):
+    """W3 as on the hitter card: trailing 50-PA wOBA and expected wOBA (here value / 100)
+    per batter, both in one ordered scan."""
+    pa = roles.events_as_pa(spark, sf).withColumns({
+        "woba": C.woba_value("event", WOBA_WEIGHTS_A), "xwoba": F.col("value") / 100})
+    out = summary.rolling_mean(pa, ["batter_id"], ["ts", "event_id"],
+                               {"rolling_woba": "woba", "rolling_xwoba": "xwoba"}, window=50)
+    return _r(out.select("event_id", "batter_id", "seq", "rolling_woba", "rolling_xwoba"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "arsenal_summary": arsenal_summary,
     "arsenal_rates": arsenal_rates,
@@ -637,6 +647,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "location_ellipse": location_ellipse,
     "league_rollup": league_rollup,
     "rolling_value": rolling_value,
+    "rolling_woba": rolling_woba,
     "knn_expected_value": knn_expected_value,
     "xwoba_board": xwoba_board,
     "confusion": confusion,

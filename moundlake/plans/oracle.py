@@ -633,3 +633,15 @@ SELECT pitcher_id, pitch_type, count(expected) AS bip, round(avg(woba), 6) AS wo
        round(avg(expected), 6) AS xwobacon
 FROM j GROUP BY pitcher_id, pitch_type
 """, "pitches")
+
+ORACLE["rolling_woba"] = with_views("""
+WITH p AS (SELECT *, CASE event WHEN 'walk' THEN 0.696 WHEN 'hit_by_pitch' THEN 0.726 WHEN 'single' THEN 0.883
+                                WHEN 'double' THEN 1.244 WHEN 'triple' THEN 1.569 WHEN 'home_run' THEN 2.004
+                                ELSE 0.0 END AS woba, value / 100 AS xwoba FROM pa)
+SELECT event_id, batter_id, CAST(row_number() OVER w AS INTEGER) AS seq,
+       round(CASE WHEN count(*) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) = 50
+                  THEN avg(woba) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) END, 6) AS rolling_woba,
+       round(CASE WHEN count(*) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) = 50
+                  THEN avg(xwoba) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) END, 6) AS rolling_xwoba
+FROM p WINDOW w AS (PARTITION BY batter_id ORDER BY ts, event_id)
+""", "pa")
