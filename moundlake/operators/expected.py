@@ -126,15 +126,18 @@ def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
     top_cells = cells.filter(F.col("_l") == start)
     frontier = q.crossJoin(F.broadcast(top_cells))  # <= start_cells rows (or 4^start_level), a fixed bound
     wq = Window.partitionBy("qx", "qy")
+    eps = size * 1e-9
     kept = []
     f = None
     for i in range(max_level + 1):
         side = F.lit(size) / F.pow(F.lit(2.0), F.col("_l"))
         lo_x, lo_y = x0 + F.col("_cx") * side, y0 + F.col("_cy") * side
-        dxmin = F.greatest(lo_x - F.col("qx"), F.col("qx") - (lo_x + side), F.lit(0.0))
-        dymin = F.greatest(lo_y - F.col("qy"), F.col("qy") - (lo_y + side), F.lit(0.0))
-        dxmax = F.greatest(F.abs(F.col("qx") - lo_x), F.abs(F.col("qx") - (lo_x + side)))
-        dymax = F.greatest(F.abs(F.col("qy") - lo_y), F.abs(F.col("qy") - (lo_y + side)))
+        # bounds widened by a hair (eps) so that floating-point cell edges can never
+        # exclude a point that ties the k-th distance
+        dxmin = F.greatest(lo_x - F.col("qx") - eps, F.col("qx") - (lo_x + side) - eps, F.lit(0.0))
+        dymin = F.greatest(lo_y - F.col("qy") - eps, F.col("qy") - (lo_y + side) - eps, F.lit(0.0))
+        dxmax = F.greatest(F.abs(F.col("qx") - lo_x), F.abs(F.col("qx") - (lo_x + side))) + eps
+        dymax = F.greatest(F.abs(F.col("qy") - lo_y), F.abs(F.col("qy") - (lo_y + side))) + eps
         f = frontier.withColumns({"_dmin": dxmin * dxmin + dymin * dymin, "_dmax": dxmax * dxmax + dymax * dymax})
         cum = F.sum("_n").over(wq.orderBy("_dmax", "_l", "_cx", "_cy").rowsBetween(Window.unboundedPreceding, 0))
         f = f.withColumn("_cum", cum)
