@@ -293,3 +293,15 @@ def test_scalar_helpers(spark):
     assert C.strip_column_names(spark.createDataFrame([(1,)], "` a ` int")).columns == ["a"]
     sc = C.percent_scale(spark.createDataFrame([(0.25, 0.5)], "`K%` double, avg double")).first()
     assert (sc["K%"], sc["avg"]) == (25.0, 0.5)
+
+
+def test_hash_split_and_sample_are_stable(spark):
+    df = spark.range(5000).withColumnRenamed("id", "k")
+    a = expected.split_flag(df, "k")
+    b = expected.split_flag(df.repartition(13), "k")
+    fa = {r.k: r.is_train for r in a.collect()}
+    assert fa == {r.k: r.is_train for r in b.collect()}
+    assert 0.77 < sum(fa.values()) / len(fa) < 0.83
+    s1 = sorted(r.k for r in distribution.deterministic_sample(df, "k", 100).collect())
+    s2 = sorted(r.k for r in distribution.deterministic_sample(df.repartition(7), "k", 100).collect())
+    assert s1 == s2 and len(s1) == 100
