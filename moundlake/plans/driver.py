@@ -39,7 +39,11 @@ def scored_pitches(spark: SparkSession, sf: str, reference_year: int = 1996) ->
     std come from ``reference_year``."""
     p = targets.run_value_target(roles.pitches(spark, sf), roles.run_values(spark))
     p = p.filter(F.col("target").isNotNull())
-    return stuff.plus_scale(p, "target", reference=F.col("year") == reference_year)
+    # the season as a range on the raw event time, so the filter reaches the Parquet scan
+    # (row groups outside the season are skipped) instead of a function of the column
+    season = ((F.col("start_time") >= F.lit(f"{reference_year}-01-01 00:00:00").cast("timestamp_ntz")) &
+              (F.col("start_time") < F.lit(f"{reference_year + 1}-01-01 00:00:00").cast("timestamp_ntz")))
+    return stuff.plus_scale(p, "target", reference=season)
 
 
 def batted_predictions(spark: SparkSession, sf: str, k: int = 11) -> DataFrame:
