@@ -248,7 +248,9 @@ def outer_merge(spark, sf):
         F.col("p_partkey").alias("key"), F.col("p_retailprice").alias("value"))
     fielding = li.filter(F.col("l_returnflag") == "R").groupBy(F.col("l_partkey").alias("key")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("value"))
-    framing = li.filter(F.year("l_shipdate") == 2001).groupBy(F.col("l_partkey").alias("key")).agg(
+    in_2001 = ((F.col("l_shipdate") >= F.lit("2001-01-01 00:00:00").cast("timestamp_ntz")) &
+               (F.col("l_shipdate") < F.lit("2002-01-01 00:00:00").cast("timestamp_ntz")))  # pushed to the scan
+    framing = li.filter(in_2001).groupBy(F.col("l_partkey").alias("key")).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.round(F.col("l_discount") * 100)).alias("rate"))
     return _r(joins.outer_merge([part, fielding, framing], ["key"], ["_bat", "_oaa", "_cfr"]))
 
