@@ -596,7 +596,7 @@ def launch_kde_sample(spark, sf):
 def stuff_plus_model(spark, sf, max_iter: int = 10):
     """SURVEY 3.2 end to end: trees trained on 1995-1998, every pitch scored, plus scale
     against 1998, per pitcher-season plus score (rows only: model values are not SQL)."""
-    from moundlake.plans.pipelines import stuff_plus
+    from moundlake.plans.flows import stuff_plus
     scored, _ = stuff_plus(roles.pitches(spark, sf), roles.run_values(spark), [1995, 1996, 1997, 1998], 1998,
                            max_iter=max_iter, step_size=0.1)
     return _r(stuff.pitcher_year_scores(scored))
