@@ -305,3 +305,21 @@ def test_hash_split_and_sample_are_stable(spark):
     s1 = sorted(r.k for r in distribution.deterministic_sample(df, "k", 100).collect())
     s2 = sorted(r.k for r in distribution.deterministic_sample(df.repartition(7), "k", 100).collect())
     assert s1 == s2 and len(s1) == 100
+
+
+def test_card_flows_on_role_views(spark):
+    from moundlake.plans import roles
+    from moundlake.plans.flows import hitter_card, pitcher_card
+    p = roles.pitches(spark, "/root/testdata/sf0.001")
+    card = pitcher_card(p, 3, "1995-01-01", "2001-12-31")
+    assert card["arsenal"].count() == 8 and card["locations"].count() > 0 and card["game_line"].count() > 0
+    sc = p.select(F.col("description"), F.col("zone"), F.col("ax").alias("pfx_x"), F.col("az").alias("pfx_z"),
+                  F.col("px").alias("plate_x"), F.col("pz").alias("plate_z"),
+                  F.lit(0.3).alias("woba_value"), F.lit(0.31).alias("estimated_woba_using_speedangle"),
+                  F.col("delta_run_exp"), F.col("pitcher_hand").alias("p_throws"), F.col("event_type").alias("events"),
+                  F.lit(7).cast("long").alias("batter"), F.col("game_date"), F.col("ab_number").alias("at_bat_number"),
+                  F.col("tb_p").cast("int").alias("pitch_number"))
+    h = hitter_card(sc, 7, "1995-01-01", "2001-12-31")
+    assert h["zone_values"].count() == 39
+    r = h["rolling"].orderBy("seq").collect()
+    assert r[48].rolling_woba is None and r[49].rolling_woba == pytest.approx(0.3)
