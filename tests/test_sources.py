@@ -70,6 +70,9 @@ def test_flatten_feed_rows_and_nulls(spark, tmp_path):
     bf = rows[4]
     assert bf.batter_id is None and bf.pitcher_team == "AWY" and bf.event_type == "walk"
     assert (bf.balls_after, bf.balls) == (4, 1)             # real counts, not swapped (T6)
+    rel = feed.flatten_feed(feed.read_feed(spark, paths), release=True)
+    assert {"release_pos_x", "release_pos_z", "z_release_point"} <= set(rel.columns)
+    assert rel.count() == len(rows)
 
 
 def test_streaming_ingest_newest_version_wins(spark, tmp_path):
