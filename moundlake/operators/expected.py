@@ -60,7 +60,8 @@ def _cells_all_levels(pts: DataFrame, x: str, y: str, x0: float, y0: float, size
 
 def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
               train_id: str | Sequence[str], k: int = 11, leaf_size: int | None = None,
-              max_level: int = 20, start_level: int | None = None, start_cells: int = 64) -> DataFrame:
+              max_level: int = 20, start_level: int | None = None, start_cells: int = 64,
+              levels_per_round: int = 1) -> DataFrame:
     """M1: for every distinct query location (qx, qy) the vote share of each label among
     its k nearest training rows (Euclidean on the raw x, y; ties by train id).
 
@@ -153,11 +154,18 @@ def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
             kept.append(f)
         if f.filter(~F.col("_leaf")).isEmpty():
             break
-        grow = (f.filter(~F.col("_leaf")).select("qx", "qy", F.col("_l").alias("_pl"), F.col("_cx").alias("_pcx"),
-                                                  F.col("_cy").alias("_pcy"))
-                 .join(children, ["_pl", "_pcx", "_pcy"], "inner")
-                 .select("qx", "qy", "_l", "_cx", "_cy", "_n", "_leaf"))
-        frontier = f.filter("_leaf").unionByName(grow)
+        # descend ``levels_per_round`` levels before the next bound: fewer rounds (jobs),
+        # at most 4^levels_per_round children per refined cell in between
+        frontier = f.filter("_leaf")
+        open_cells = f.filter(~F.col("_leaf"))
+        for _ in range(levels_per_round):
+            grow = (open_cells.select("qx", "qy", F.col("_l").alias("_pl"), F.col("_cx").alias("_pcx"),
+                                      F.col("_cy").alias("_pcy"))
+                    .join(children, ["_pl", "_pcx", "_pcy"], "inner")
+                    .select("qx", "qy", "_l", "_cx", "_cy", "_n", "_leaf"))
+            frontier = frontier.unionByName(grow.filter("_leaf"))
+            open_cells = grow.filter(~F.col("_leaf"))
+        frontier = frontier.unionByName(open_cells)
     frontier = cut_lineage(f)
     for c in kept:
         c.unpersist()
