@@ -8,6 +8,8 @@ asked to.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +36,28 @@ def _r(df: DataFrame, digits: int = D) -> DataFrame:
 
 # -- helpers shared by several queries --------------------------------------------------
 
+_SCORED: dict[tuple, str] = {}
+
+
 def scored_pitches(spark: SparkSession, sf: str, reference_year: int = 1996) -> DataFrame:
+    """The scored pitch table, written once per session and input folder as Parquet
+    partitioned by year in the shared checkpoint folder; every board reads it (SURVEY
+    3.2: score once, boards read the scored table; a season filter prunes partitions)."""
+    from moundlake.session import checkpoint_dir
+    from moundlake.sources.sinks import write_table
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf), reference_year)
+    hit = _SCORED.get(key)
+    if hit is None:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/moundlake-scored-{uuid.uuid4().hex}"
+        scored = score_pitches(spark, sf, reference_year)
+        write_table(scored, path, partition_by=("year",))
+        hit = _SCORED[key] = (path, scored.schema)
+    path, schema = hit
+    # declared schema on read: the partition column keeps its type (no inference)
+    return spark.read.schema(schema).parquet(path)
+
+
+def score_pitches(spark: SparkSession, sf: str, reference_year: int = 1996) -> DataFrame:
     """Pitches with the run-value target (M24) and the plus score (M14) whose mean and
     std come from ``reference_year``."""
     p = targets.run_value_target(roles.pitches(spark, sf), roles.run_values(spark))
