@@ -73,6 +73,7 @@ def year_over_year(scores: DataFrame, results: DataFrame, key: str, season: str,
     """M22 (J5-J7 + A14): scores of season N joined to results of N and N+1 for
     the same player (min sample), then the absolute correlation matrix."""
     s = scores if count_col is None else scores.filter(F.col(count_col) >= min_count)
+    results = cut_lineage(results)  # one row per player-season, read by both sides of the join
     nxt = next_season(results, key, season, result_cols, suffix="_next")
     j = s.join(nxt, [key, season], "inner")
     cols = list(score_cols) + list(result_cols) + [f"{c}_next" for c in result_cols]

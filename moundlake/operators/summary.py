@@ -24,10 +24,13 @@ def share_of_total(g: DataFrame, count_col: str, by: Sequence[str] = (),
 
     With partition keys this is a partitioned window. Without keys it is a
     one-row global aggregate broadcast back (size bound: exactly one row), never
-    an unpartitioned window that would pull every row into one task; the
-    aggregate's exchange is reused by Spark, so the input is read once."""
+    an unpartitioned window that would pull every row into one task. The small
+    aggregated rows are checkpointed first, so the input is scanned once."""
     if by:
         return g.withColumn(alias, F.sum(count_col).over(Window.partitionBy(*by)))
+    # the aggregated rows feed both sides: written once so the input is scanned once
+    from moundlake.session import cut_lineage
+    g = cut_lineage(g)
     tot = g.agg(F.sum(count_col).alias(alias))
     return g.crossJoin(F.broadcast(tot))
 
@@ -275,7 +278,8 @@ def league_rollup(df: DataFrame, type_col: str, means: Mapping[str, str], *, swi
     if woba:
         aggs.append(F.avg(woba).alias("xwoba"))
     aggs.append(F.grouping(type_col).alias("_g"))
-    g = df.rollup(type_col).agg(*aggs)
+    from moundlake.session import cut_lineage
+    g = cut_lineage(df.rollup(type_col).agg(*aggs))  # one row per type + 1: read twice below
     tot = g.filter(F.col("_g") == 1).select(F.col("pitch").alias("_total"))  # the one grand-total row
     g = g.crossJoin(F.broadcast(tot))
     return g.select(
@@ -300,16 +304,31 @@ def median_order(df: DataFrame, category: str, value: str) -> DataFrame:
 def std_grains(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]]) -> DataFrame:
     """Sample std of ``value`` at several grains (e.g. pitch, pitcher, team).
 
-    Each grain is averaged first, then the std is taken over those means; one
-    row per grain name."""
-    spark = df.sparkSession
+    Each grain is averaged first, then the std is taken over those means; one row
+    per grain name. All grains come from ONE pass: a grouping-sets aggregation
+    (the empty set gives the row-level std directly), checkpointed because it is
+    small and read once per grain."""
+    from moundlake.session import cut_lineage
+    names = list(grains)
+    sets = [list(grains[n]) for n in names]
+    keys = sorted({k for ks in sets for k in ks})
+    if not keys:
+        return df.agg(F.stddev_samp(value).alias("std"), F.count(value).alias("n")) \
+                 .select(F.lit(names[0]).alias("grain"), "std", "n")
+    gid = F.grouping_id(*keys).alias("_gid")
+    g = cut_lineage(df.groupingSets(sets, *keys).agg(
+        F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s"), F.count(value).alias("_c"), gid))
     out = None
-    for name, keys in grains.items():
-        level = df if not keys else df.groupBy(*keys).agg(F.avg(value).alias(value))
-        one = level.agg(F.stddev_samp(value).alias("std"), F.count(value).alias("n")) \
-                   .select(F.lit(name).alias("grain"), "std", "n")
+    for name, ks in zip(names, sets):
+        want = sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in ks)
+        rows = g.filter(F.col("_gid") == want)
+        if ks:
+            one = rows.agg(F.stddev_samp("_m").alias("std"), F.count("_m").alias("n"))
+        else:
+            one = rows.select(F.col("_s").alias("std"), F.col("_c").alias("n"))
+        one = one.select(F.lit(name).alias("grain"), "std", "n")
         out = one if out is None else out.unionByName(one)
-    return out if out is not None else spark.createDataFrame([], "grain string, std double, n long")
+    return out
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
