@@ -27,7 +27,8 @@ def test_scan_reads_only_needed_columns(spark):
 
 
 def test_reference_season_filter_reaches_the_scan(spark):
-    plan = _plan(_q(spark, "plus_scale"))
+    from moundlake.plans.driver import score_pitches
+    plan = _plan(score_pitches(spark, SF))
     assert "GreaterThanOrEqual(l_shipdate" in plan and "LessThan(l_shipdate" in plan
 
 
