@@ -47,6 +47,11 @@ def scored_pitches(spark: SparkSession, sf: str, reference_year: int = 1996) ->
     from moundlake.sources.sinks import write_table
     key = (spark.sparkContext.applicationId, os.path.abspath(sf), reference_year)
     hit = _SCORED.get(key)
+    if hit is not None:
+        try:  # the folder may have been cleaned since: then score again
+            return spark.read.schema(hit[1]).parquet(hit[0])
+        except Exception:  # noqa: BLE001
+            hit = None
     if hit is None:
         path = f"{checkpoint_dir(spark).rstrip('/')}/moundlake-scored-{uuid.uuid4().hex}"
         scored = score_pitches(spark, sf, reference_year)
