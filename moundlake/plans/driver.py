@@ -662,6 +662,28 @@ def rolling_woba(spark, sf):
     return _r(out.select("event_id", "batter_id", "seq", "rolling_woba", "rolling_xwoba"))
 
 
+def box_score_players(spark, sf):
+    """S21 on box-score documents built from lineitem: one document per order, home
+    players keyed by the whole line key (unique inside an order, bounded by the order's
+    lines), away side from the supplier of the first line; exploded back to rows."""
+    from moundlake.sources.tables import BOX_SCHEMA, flatten_box_score
+    li = roles.table(spark, sf, "lineitem")
+    key = F.concat_ws("-", *[F.col(c).cast("string") for c in
+                             ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")])
+    player = F.struct(F.struct(F.col("l_partkey").alias("id"), F.lit(None).cast("string").alias("fullName"))
+                      .alias("person"),
+                      F.struct(F.create_map(F.lit("outs"), F.col("l_quantity").cast("long").cast("string"))
+                               .alias("pitching"), F.lit(None).alias("batting")).alias("stats"))
+    per_game = li.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct(key, player))).alias("home"))
+    docs = per_game.select(F.col("l_orderkey").alias("game_id"), F.struct(
+        F.struct(F.col("home").alias("players")).alias("home"),
+        F.struct(F.create_map().cast(BOX_SCHEMA["teams"].dataType["away"].dataType["players"].dataType)
+                 .alias("players")).alias("away")).alias("teams"))
+    typed = docs.select("game_id", F.col("teams").cast(BOX_SCHEMA["teams"].dataType))
+    out = flatten_box_score(typed, keep=["game_id"])
+    return out.select("game_id", "side", "key", "player_id", F.col("pitching")["outs"].cast("long").alias("outs"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "arsenal_summary": arsenal_summary,
     "arsenal_rates": arsenal_rates,
@@ -717,6 +739,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leaderboard_rows": leaderboard_rows,
     "actual_projection_pair": actual_projection_pair,
     "pitch_type_xwoba": pitch_type_xwoba,
+    "box_score_players": box_score_players,
     "stream_ingest": stream_ingest,
     "launch_kde_sample": launch_kde_sample,
     "stuff_plus_model": stuff_plus_model,

@@ -645,3 +645,11 @@ SELECT event_id, batter_id, CAST(row_number() OVER w AS INTEGER) AS seq,
                   THEN avg(xwoba) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) END, 6) AS rolling_xwoba
 FROM p WINDOW w AS (PARTITION BY batter_id ORDER BY ts, event_id)
 """, "pa")
+
+ORACLE["box_score_players"] = """
+SELECT l_orderkey AS game_id, 'home' AS side,
+       concat_ws('-', CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR),
+                 CAST(l_quantity AS VARCHAR), CAST(l_extendedprice AS VARCHAR)) AS key,
+       l_partkey AS player_id, CAST(l_quantity AS BIGINT) AS outs
+FROM lineitem
+"""

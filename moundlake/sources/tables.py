@@ -69,11 +69,18 @@ BOX_SCHEMA = T.StructType([T.StructField("teams", T.StructType([
 
 
 def box_score(spark: SparkSession, path, game_id: int | None = None) -> DataFrame:
-    """Players of both sides from the box-score map (empty map -> no rows)."""
+    """S21 from a landed box-score file (see ``flatten_box_score``)."""
     raw = spark.read.schema(BOX_SCHEMA).option("multiLine", True).json(path)
-    sides = [raw.select(F.lit(s).alias("side"), F.explode(F.col(f"teams.{s}.players")).alias("key", "p"))
+    out = flatten_box_score(raw)
+    return out if game_id is None else out.withColumn("game_id", F.lit(game_id))
+
+
+def flatten_box_score(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Players of both sides from the box-score map (empty map -> no rows);
+    ``keep`` carries document-level columns (e.g. the game id) along."""
+    sides = [raw.select(*keep, F.lit(s).alias("side"), F.explode(F.col(f"teams.{s}.players")).alias("key", "p"))
              for s in ("home", "away")]
     out = sides[0].unionByName(sides[1])
-    out = out.select("side", F.col("p.person.id").alias("player_id"), F.col("p.person.fullName").alias("name"),
-                     F.col("p.stats.pitching").alias("pitching"), F.col("p.stats.batting").alias("batting"))
-    return out if game_id is None else out.withColumn("game_id", F.lit(game_id))
+    return out.select(*keep, "side", "key", F.col("p.person.id").alias("player_id"),
+                      F.col("p.person.fullName").alias("name"),
+                      F.col("p.stats.pitching").alias("pitching"), F.col("p.stats.batting").alias("batting"))

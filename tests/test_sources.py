@@ -176,7 +176,7 @@ def test_box_score_and_csv_and_sinks(spark, tmp_path):
                                                   "stats": {"pitching": {"outs": "3"}}}}},
                      "away": {"players": {}}}}
     b = tables.box_score(spark, _write(tmp_path, "b.json", box), game_id=5).collect()
-    assert [(r.side, r.player_id, r.game_id) for r in b] == [("home", 1, 5)]
+    assert [(r.side, r.key, r.player_id, r.game_id) for r in b] == [("home", "ID1", 1, 5)]
     from moundlake.schemas import RUN_VALUES
     csv = os.path.join(tmp_path, "rv.csv")
     with open(csv, "w") as f:
