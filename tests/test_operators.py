@@ -323,3 +323,14 @@ def test_card_flows_on_role_views(spark):
     assert h["zone_values"].count() == 39
     r = h["rolling"].orderBy("seq").collect()
     assert r[48].rolling_woba is None and r[49].rolling_woba == pytest.approx(0.3)
+
+
+def test_kde_2d_binned_equals_exact_on_bin_centres(spark):
+    rnd = random.Random(8)
+    rows = [((rnd.randint(-8, 8) + 0.5) * 0.25, (rnd.randint(4, 16) + 0.5) * 0.25) for _ in range(300)]
+    df = spark.createDataFrame(rows, "px double, pz double")
+    exact = {(r.gx_i, r.gy_i): r.density for r in distribution.kde_2d(df, "px", "pz", (-2, 2), (1, 4), points=9).collect()}
+    binned = {(r.gx_i, r.gy_i): r.density
+              for r in distribution.kde_2d(df, "px", "pz", (-2, 2), (1, 4), points=9, bin_size=0.25).collect()}
+    assert exact.keys() == binned.keys()
+    assert all(binned[k] == pytest.approx(exact[k]) for k in exact)
