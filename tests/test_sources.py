@@ -206,3 +206,20 @@ def test_gbt_pipeline_fit_persist_and_importance(spark, tmp_path):
     save_model(model, path)
     again = load_model(path).transform(df).select("prediction").collect()
     assert [r.prediction for r in again] == [r.prediction for r in model.transform(df).select("prediction").collect()]
+
+
+def test_streaming_first_version_wins_with_watermark(spark, tmp_path):
+    from moundlake.streaming import current_pitches, start_feed_ingest
+    land = os.path.join(tmp_path, "land1")
+    os.makedirs(land)
+    g = _fixture_games()[0]
+    _write(land, "v1.json", g)
+    table, ckpt = os.path.join(tmp_path, "t1"), os.path.join(tmp_path, "c1")
+    start_feed_ingest(spark, land, table, ckpt, keep="first").awaitTermination()
+    g2 = json.loads(json.dumps(g))
+    g2["liveData"]["plays"]["allPlays"][0]["playEvents"][0]["pitchData"]["startSpeed"] = 99.0
+    _write(land, "v2.json", g2)
+    start_feed_ingest(spark, land, table, ckpt, keep="first").awaitTermination()
+    cur = current_pitches(spark, table)
+    assert spark.read.parquet(table).count() == 5          # the re-landed copies were dropped in the stream
+    assert cur.filter("ab_number = 0 AND index_play = 0").first().start_speed == 95.0
