@@ -334,3 +334,21 @@ def test_kde_2d_binned_equals_exact_on_bin_centres(spark):
               for r in distribution.kde_2d(df, "px", "pz", (-2, 2), (1, 4), points=9, bin_size=0.25).collect()}
     assert exact.keys() == binned.keys()
     assert all(binned[k] == pytest.approx(exact[k]) for k in exact)
+
+
+def test_outer_merge_suffixes_and_parent_lookup(spark):
+    from moundlake.operators import joins
+    a = spark.createDataFrame([(1, 0.5), (2, 0.7)], "xMLBAMID long, OAA double")
+    b = spark.createDataFrame([(2, 3.0, 10), (3, 1.0, 4)], "xMLBAMID long, CFR double, n long")
+    c = spark.createDataFrame([(3, 0.9, 7)], "xMLBAMID long, wRC double, n long")
+    m = {r.xMLBAMID: r for r in joins.outer_merge([a, b, c], ["xMLBAMID"], ["_oaa", "_cfr", "_bat"]).collect()}
+    assert set(m) == {1, 2, 3}
+    assert m[2].OAA == 0.7 and m[2].n_cfr == 10 and m[3].n_bat == 7 and m[1].CFR is None
+    t = spark.createDataFrame([(1, None, "BIG"), (2, 1, "FRM"), (3, 9, "ORP")],
+                              "team_id long, parent_org_id long, abbreviation string")
+    p = {r.team_id: r.parent_abbreviation for r in joins.parent_lookup(t, "team_id", "parent_org_id",
+                                                                       "abbreviation", "parent_abbreviation").collect()}
+    assert p == {1: "BIG", 2: "BIG", 3: None}  # null parent -> itself; unknown parent -> null
+    nxt = joins.next_season(spark.createDataFrame([(1, 2023, 3.0), (1, 2024, 4.0), (2, 2024, 5.0)],
+                                                  "id long, season long, era double"), "id", "season", ["era"])
+    assert [(r.id, r.season, r.era, r.era_next) for r in nxt.collect()] == [(1, 2023, 3.0, 4.0)]
