@@ -352,3 +352,16 @@ def test_outer_merge_suffixes_and_parent_lookup(spark):
     nxt = joins.next_season(spark.createDataFrame([(1, 2023, 3.0), (1, 2024, 4.0), (2, 2024, 5.0)],
                                                   "id long, season long, era double"), "id", "season", ["era"])
     assert [(r.id, r.season, r.era, r.era_next) for r in nxt.collect()] == [(1, 2023, 3.0, 4.0)]
+
+
+def test_league_position_range_flip_and_fallback(spark):
+    long = spark.createDataFrame([("FF", "velo", 96.0), ("FF", "k_pct", 0.30), ("SL", "xwoba", 0.30)],
+                                 "pitch_type string, metric string, value double")
+    ranges = spark.createDataFrame([("FF", "velo", 94.0, 90.0, 98.0, False), ("FF", "k_pct", 0.25, 0.15, 0.35, True),
+                                    ("SL", "xwoba", 0.30, None, None, False)],
+                                   "pitch_type string, metric string, avg double, lo double, hi double, flip boolean")
+    out = {(r.pitch_type, r.metric): r.position for r in
+           boards.league_position(long, ranges, ["pitch_type", "metric"]).collect()}
+    assert out[("FF", "velo")] == pytest.approx(0.75)
+    assert out[("FF", "k_pct")] == pytest.approx(0.25)       # flipped: lower is better
+    assert out[("SL", "xwoba")] == pytest.approx(0.5)        # fallback 0.8-1.2 x average
