@@ -365,3 +365,13 @@ def test_league_position_range_flip_and_fallback(spark):
     assert out[("FF", "velo")] == pytest.approx(0.75)
     assert out[("FF", "k_pct")] == pytest.approx(0.25)       # flipped: lower is better
     assert out[("SL", "xwoba")] == pytest.approx(0.5)        # fallback 0.8-1.2 x average
+
+
+def test_park_factor_formula(spark):
+    rows = [("NYY", True, 110.0), ("NYY", True, 100.0), ("NYY", False, 95.0), ("BOS", True, 100.0), ("BOS", False, 100.0)]
+    df = spark.createDataFrame(rows, "pitcher_team string, pitcher_home boolean, stuff_plus double")
+    out = {r.pitcher_team: r for r in distribution.park_factor(df).collect()}
+    phi = lambda z: 0.5 * (1 + math.erf(z / math.sqrt(2)))
+    assert out["NYY"].home_mean == 105.0 and out["NYY"].road_mean == 95.0
+    assert out["NYY"].park_factor == pytest.approx(abs(phi(0.5) / phi(-0.5)) * 100, rel=1e-6)
+    assert out["BOS"].park_factor == pytest.approx(100.0, rel=1e-9)
