@@ -375,3 +375,17 @@ def test_park_factor_formula(spark):
     assert out["NYY"].home_mean == 105.0 and out["NYY"].road_mean == 95.0
     assert out["NYY"].park_factor == pytest.approx(abs(phi(0.5) / phi(-0.5)) * 100, rel=1e-6)
     assert out["BOS"].park_factor == pytest.approx(100.0, rel=1e-9)
+
+
+def test_r2_line_and_confusion(spark):
+    rnd = np.random.default_rng(3)
+    t = rnd.normal(0.32, 0.03, 60)
+    p = 0.9 * t + 0.03 + rnd.normal(0, 0.01, 60)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(t, p)], "xwoba double, woba double")
+    r = expected.r2_and_line(df, "xwoba", "woba").first()
+    sse, sst = ((t - p) ** 2).sum(), ((t - t.mean()) ** 2).sum()
+    slope, intercept = np.polyfit(t, p, 1)
+    assert r.r2 == pytest.approx(1 - sse / sst) and r.slope == pytest.approx(slope) and r.intercept == pytest.approx(intercept)
+    cm = expected.confusion_matrix(spark.createDataFrame([(0, 0), (0, 1), (4, 0)], "y int, p int"), "y", "p", [0, 1, 2, 3, 4])
+    rows = {r.y: tuple(r)[1:] for r in cm.collect()}
+    assert rows == {0: (1, 1, 0, 0, 0), 4: (1, 0, 0, 0, 0)}
