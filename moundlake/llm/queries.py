@@ -1,15 +1,17 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 
-from moundlake.llm import bpe, exact_dedup, hilbert, jaccard_join
+from moundlake.llm import bpe, exact_dedup, hilbert, jaccard_join, mixing
 
 QUERIES = {
     "op3_bpe_forced_boundaries": bpe.op3_bpe_forced_boundaries,
     "op4_hilbert_shards": hilbert.op4_hilbert_shards,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
+    "op6_temperature_mixing": mixing.op6_temperature_mixing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
 ORACLE = {
     "op5_jaccard_join": jaccard_join.ORACLE_OP5,
+    "op6_temperature_mixing": mixing.ORACLE_OP6,
     "op10_exact_dedup": exact_dedup.ORACLE_OP10,
 }
