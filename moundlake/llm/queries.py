@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 
-from moundlake.llm import bpe, exact_dedup, hilbert, jaccard_join, mixing
+from moundlake.llm import bpe, exact_dedup, hilbert, jaccard_join, mixing, toxicity
 
 QUERIES = {
+    "op2_toxicity_ordinal": toxicity.op2_toxicity_ordinal,
     "op3_bpe_forced_boundaries": bpe.op3_bpe_forced_boundaries,
     "op4_hilbert_shards": hilbert.op4_hilbert_shards,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
