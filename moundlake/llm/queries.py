@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 
-from moundlake.llm import bpe, exact_dedup, hilbert, jaccard_join, mixing, toxicity
+from moundlake.llm import bpe, exact_dedup, hilbert, jaccard_join, mixing, toxicity, warc
 
 QUERIES = {
     "op2_toxicity_ordinal": toxicity.op2_toxicity_ordinal,
@@ -8,11 +8,13 @@ QUERIES = {
     "op4_hilbert_shards": hilbert.op4_hilbert_shards,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_temperature_mixing": mixing.op6_temperature_mixing,
+    "op7_warc_segments": warc.op7_warc_segments,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
 ORACLE = {
     "op5_jaccard_join": jaccard_join.ORACLE_OP5,
     "op6_temperature_mixing": mixing.ORACLE_OP6,
+    "op7_warc_segments": warc.ORACLE_OP7,
     "op10_exact_dedup": exact_dedup.ORACLE_OP10,
 }
