@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 
-from moundlake.llm import bpe, exact_dedup, hilbert, jaccard_join, mixing, toxicity, warc
+from moundlake.llm import bpe, exact_dedup, hilbert, jaccard_join, mixing, pq_dedup, toxicity, warc
 
 QUERIES = {
+    "op1_pq_near_dedup": pq_dedup.op1_pq_near_dedup,
     "op2_toxicity_ordinal": toxicity.op2_toxicity_ordinal,
     "op3_bpe_forced_boundaries": bpe.op3_bpe_forced_boundaries,
     "op4_hilbert_shards": hilbert.op4_hilbert_shards,
@@ -13,6 +14,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_pq_near_dedup": pq_dedup.ORACLE_OP1,
     "op5_jaccard_join": jaccard_join.ORACLE_OP5,
     "op6_temperature_mixing": mixing.ORACLE_OP6,
     "op7_warc_segments": warc.ORACLE_OP7,
