@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 
-from moundlake.llm import bpe, exact_dedup, hilbert, jaccard_join, mixing, pq_dedup, toxicity, warc
+from moundlake.llm import (
+    bpe, exact_dedup, hilbert, jaccard_join, lm_scoring, mixing, pq_dedup, token_rollup, toxicity, warc)
 
 QUERIES = {
     "op1_pq_near_dedup": pq_dedup.op1_pq_near_dedup,
@@ -10,6 +11,8 @@ QUERIES = {
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_temperature_mixing": mixing.op6_temperature_mixing,
     "op7_warc_segments": warc.op7_warc_segments,
+    "op8_token_rollup": token_rollup.op8_token_rollup,
+    "op9_cross_entropy_difference": lm_scoring.op9_cross_entropy_difference,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
@@ -18,5 +21,6 @@ ORACLE = {
     "op5_jaccard_join": jaccard_join.ORACLE_OP5,
     "op6_temperature_mixing": mixing.ORACLE_OP6,
     "op7_warc_segments": warc.ORACLE_OP7,
+    "op8_token_rollup": token_rollup.ORACLE_OP8,
     "op10_exact_dedup": exact_dedup.ORACLE_OP10,
 }
