@@ -3,7 +3,7 @@
 Alternating large-star and small-star steps: every step links the neighbours of a node to the
 smallest of them, so the links of a component end in one star around its smallest node. A step is a
 minimum per node (combined before the shuffle) and a join with one row per node, whose hot
-side the skew-join rule splits; each step is written to the shared folder.
+side the skew-join rule splits; each pair of steps is written to the shared folder.
 """
 
 from __future__ import annotations
@@ -30,11 +30,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", most_step
     now = put_down(links.where(F.col(a) != F.col(b)).select(
         F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "links")
     for _ in range(most_steps):
-        large = put_down(_large_star(now), "large-star")
-        small = put_down(_small_star(large), "small-star")
+        small = put_down(_small_star(_large_star(now)), "stars")
         same = _fingerprint(small) == _fingerprint(now)
         drop_table(now)
-        drop_table(large)
         now = small
         if same:
             roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -33,7 +33,7 @@ from moundlake.llm.common import drop_table, put_down, table, text_or_empty
 
 SAMPLE_ROWS, FEATURES, LEAST_TEXTS = 12_000, 500, 4
 GRADES = 3
-REJECT_AT = 0.3
+REJECT_AT = 0.4
 MEMO = 300_000
 
 
