@@ -107,11 +107,12 @@ def _dedup(located: DataFrame, id_col: str, text_col: str, digest) -> DataFrame:
 def _full_bytes(rows: DataFrame, placed: DataFrame) -> DataFrame:
     """Rows that hit a digest of the state but whose whole text differs from the content at its locator."""
     hits = put_down(placed.where("n > 1").select("file", "row", "keep_file", "keep_row", "kept", "digest"), "hits")
-    texts = rows.select("file", "row", "text").join(hits, ["file", "row"])
+    # one plan at every size: the hits grow with the data, so their join is never left to a broadcast
+    texts = rows.select("file", "row", "text").join(hits.hint("merge"), ["file", "row"])
     copies = texts.where("not kept")
     content = texts.where("kept").select(F.col("file").alias("keep_file"), F.col("row").alias("keep_row"),
                                          F.col("text").alias("content"))
-    return put_down(copies.join(content, ["keep_file", "keep_row"]).where("text != content")
+    return put_down(copies.join(content.hint("merge"), ["keep_file", "keep_row"]).where("text != content")
                     .select("file", "row", "digest", "text"), "collisions")
 
 
