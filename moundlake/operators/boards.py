@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from moundlake.functions.columns import normalise_range
 from moundlake.operators.joins import broadcast_if_small
+from moundlake.schemas import HISTOGRAM_PITCH_TYPES as BEST_PITCH_TYPES
+from moundlake.session import cut_lineage
 
 
 def _ordered(order: Sequence[Column | str]) -> list[Column]:
@@ -34,10 +36,12 @@ def first_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column | s
 
 
 def best_per_type(df: DataFrame, type_col: str, grade: str, id_col: str, count_col: str,
-                  min_count: int = 150) -> DataFrame:
-    """O3: among rows with count >= min_count, the highest grade per type (tie: lowest id),
-    sorted by grade desc."""
+                  min_count: int = 150, types: Sequence[str] | None = BEST_PITCH_TYPES) -> DataFrame:
+    """O3: among rows of the listed types (no totals row) with count >= min_count, the highest grade per type (tie:
+    lowest id), sorted by grade desc."""
     src = df.filter(F.col(count_col) >= min_count)
+    if types is not None:
+        src = src.filter(F.col(type_col).isin(list(types)))
     best = first_per_group(src, [type_col], [F.desc(grade), F.asc(id_col)])
     return best.orderBy(F.desc(grade), F.asc(type_col))
 
@@ -77,21 +81,13 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column | s
 
 
 def percentile_ranks(long: DataFrame, by: Sequence[str], value: str = "value",
-                     flip: str | None = None, alias: str = "percentile", skew_safe: bool = True) -> DataFrame:
-    """round(100 x percent_rank) of each value among its (season, metric) group,
-    descending for flipped (lower-is-better) metrics.
-
-    ``skew_safe`` (default) ranks through ``ordered_scan`` (range-partitioned, a
-    (season, metric) group never sits in one task); otherwise a window."""
-    if skew_safe:
-        from moundlake.operators.sequence import percentile_rank_skew_safe
-        return percentile_rank_skew_safe(long, by, value, flip, alias)
-    asc = Window.partitionBy(*by).orderBy(F.asc(value))
-    desc = Window.partitionBy(*by).orderBy(F.desc(value))
-    pr = F.percent_rank().over(asc)
-    if flip is not None:
-        pr = F.when(F.col(flip), F.percent_rank().over(desc)).otherwise(pr)
-    return long.withColumn(alias, F.round(pr * 100).cast("int"))
+                     flip: str | None = None, alias: str = "percentile") -> DataFrame:
+    """W10 (S22): round(100 x percent_rank) of each value among its (season, metric) group, descending for flipped
+    (lower-is-better) metrics. A missing value has no percentile and does not count; a (season, metric) group never sits in one task
+    (``sequence.percent_ranks``)."""
+    from moundlake.operators.sequence import percent_ranks
+    out = percent_ranks(long, by, value, flip, "_pr")
+    return out.withColumn(alias, F.round(F.col("_pr") * 100).cast("int")).drop("_pr")
 
 
 def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Sequence[str],
@@ -105,21 +101,26 @@ def league_position(long: DataFrame, ranges: DataFrame, keys: Sequence[str],
     (v - lo) / (hi - lo), flipped for lower-is-better metrics. Metrics without an
     explicit range use [0.8, 1.2] x the league average. The range table is
     bounded by (metric x pitch type) and is broadcast."""
-    r = ranges.select(*keys, "avg", "lo", "hi", "flip")
+    r = cut_lineage(ranges.select(*keys, "avg", "lo", "hi", "flip"))  # computed once, then sized and joined
     j = long.join(broadcast_if_small(r), list(keys), "left")
     lo = F.coalesce(F.col("lo"), F.col("avg") * fallback[0])
     hi = F.coalesce(F.col("hi"), F.col("avg") * fallback[1])
     return j.withColumn("position", normalise_range(value, lo, hi, F.coalesce(F.col("flip"), F.lit(False))))
 
 
+def complete_pairs(stacked: DataFrame, key: Sequence[str], label: str, labels: Sequence[str]) -> DataFrame:
+    """Rows of the keys that have every one of ``labels``, from a stacked frame with one row per key and label."""
+    w = Window.partitionBy(*key)
+    return stacked.filter(F.col(label).isin(list(labels))).withColumn("_n", F.count(F.lit(1)).over(w)) \
+        .filter(F.col("_n") == len(labels)).drop("_n")
+
+
 def actual_projection_pair(actual: DataFrame, projected: DataFrame, key: Sequence[str],
                            stats: Sequence[str], label: str = "row_label") -> DataFrame:
     """Two rows per key, actual and projection, for the chosen stats; only keys
-    present on both sides are kept (the card needs both)."""
-    both = actual.select(*key).intersect(projected.select(*key))
-    a = actual.join(both, list(key), "left_semi").select(*key, *stats).withColumn(label, F.lit("actual"))
-    p = projected.join(both, list(key), "left_semi").select(*key, *stats).withColumn(label, F.lit("projection"))
-    return a.unionByName(p)
+    present on both sides are kept (the card needs both). Each side is read once."""
+    both = stack_frames({"actual": actual.select(*key, *stats), "projection": projected.select(*key, *stats)}, label)
+    return complete_pairs(both, key, label, ["actual", "projection"])
 
 
 def pitching_line(game_log: DataFrame, pitches: DataFrame, *, player: str = "player_id",

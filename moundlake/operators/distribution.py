@@ -48,14 +48,14 @@ def histogram(df: DataFrame, value: str, lo: float = 60.0, hi: float = 140.0, bi
 
 def letter_values(df: DataFrame, value: str, by: Sequence[str], depth: int = 7) -> DataFrame:
     """Exact quantiles at 2^-i and 1 - 2^-i for i = 1..depth per category (long form)."""
-    from moundlake.operators.sequence import exact_quantiles
+    from moundlake.operators.sequence import exact_quantiles, join_groups, missing
     levels = sorted({0.5 ** i for i in range(1, depth + 1)} | {1 - 0.5 ** i for i in range(1, depth + 1)})
     names = [f"_q{i}" for i in range(len(levels))]
     q = exact_quantiles(df, by, value, levels, names)  # skew-safe exact quantiles
-    n = df.groupBy(*by).agg(F.count(value).alias("n"))
+    n = df.where(~missing(value)).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
     st = F.explode(F.arrays_zip(F.array(*[F.lit(x) for x in levels]).alias("level"),
                                 F.array(*[F.col(c) for c in names]).alias("value")))
-    return (q.join(n, list(by), "inner").select(*by, "n", st.alias("s"))
+    return (join_groups(q, n, list(by)).select(*by, "n", st.alias("s"))
              .select(*by, "n", F.col("s.level").alias("level"), F.col("s.value").alias("value")))
 
 
@@ -129,7 +129,9 @@ def kde_2d(df: DataFrame, x: str, y: str, x_range: tuple[float, float], y_range:
                       (F.col("_s") / (F.col("_wsum") * 2 * math.pi * F.sqrt("_det"))).alias("density")))
 
 
-def deterministic_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """The n rows with the smallest xxhash64(key, seed): stable across runs and
-    partitionings (a distributed top-n, not a collect)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+def deterministic_sample(df: DataFrame, key: str | Sequence[str], n: int, seed: int = 42) -> DataFrame:
+    """The n rows with the smallest MD5 of (seed, key columns as text): stable across runs, partitionings and
+    engines (a distributed top-n, not a collect). ``key`` must tell rows apart; equal keys are cut in key order."""
+    keys = [key] if isinstance(key, str) else list(key)
+    text = [F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys]
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *text).cast("binary")), *keys).limit(n)

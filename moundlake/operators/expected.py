@@ -233,6 +233,12 @@ def per_group_means(df: DataFrame, by: Sequence[str], count_of: str, means: Mapp
     return g if min_count is None else g.filter(F.col(count_alias) > min_count)
 
 
+def attach_means(df: DataFrame, means: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Group means joined back to every row of the group (left; null keys match each other)."""
+    from moundlake.operators.sequence import join_groups
+    return join_groups(df, means, list(keys), "left")
+
+
 def confusion_matrix(df: DataFrame, label: str, pred: str, classes: Sequence[int]) -> DataFrame:
     """M7: rows = true class, one count column per predicted class, zeros filled."""
     g = df.groupBy(label).pivot(pred, list(classes)).count().na.fill(0)
@@ -247,10 +253,11 @@ def class_report(df: DataFrame, label: str, pred: str, classes: Sequence[int]) -
     over at most |classes|^2 rows, broadcast-sized."""
     spark = df.sparkSession
     cls = spark.createDataFrame([(int(c),) for c in classes], "cls int")
-    tp = df.groupBy(F.col(label).alias("cls")).agg(
-        F.count(F.lit(1)).alias("support"),
-        F.count_if(F.col(label) == F.col(pred)).alias("tp"))
-    pp = df.groupBy(F.col(pred).alias("cls")).agg(F.count(F.lit(1)).alias("predicted"))
+    # at most |classes|^2 rows, written once
+    pairs = cut_lineage(df.groupBy(F.col(label).alias("_true"), F.col(pred).alias("_pred")).agg(F.count(F.lit(1)).alias("_n")))
+    tp = pairs.groupBy(F.col("_true").alias("cls")).agg(
+        F.sum("_n").alias("support"), F.sum(F.when(F.col("_true") == F.col("_pred"), F.col("_n")).otherwise(0)).alias("tp"))
+    pp = pairs.groupBy(F.col("_pred").alias("cls")).agg(F.sum("_n").alias("predicted"))
     base = (F.broadcast(cls).join(tp, "cls", "left").join(pp, "cls", "left")
               .na.fill(0, ["support", "tp", "predicted"]))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(1.0)
@@ -278,11 +285,11 @@ def class_report(df: DataFrame, label: str, pred: str, classes: Sequence[int]) -
 
 def r2_and_line(df: DataFrame, truth: str, pred: str) -> DataFrame:
     """M8 + M9: R^2 = 1 - SSE/SST with ``truth`` as the reference passes it (T18), and the
-    least-squares line of ``pred`` on ``truth``. Two global aggregates, one row."""
-    m = df.agg(F.avg(truth).alias("_m"))
-    j = df.crossJoin(F.broadcast(m))  # one row
-    return j.agg(
-        (F.lit(1.0) - F.sum((F.col(truth) - F.col(pred)) ** 2) / F.sum((F.col(truth) - F.col("_m")) ** 2)).alias("r2"),
+    least-squares line of ``pred`` on ``truth``. One global aggregate, one row."""
+    # sum of squares about the mean = population variance x n, so the frame is read once
+    sst = F.var_pop(truth) * F.count(truth)
+    return df.where(F.col(truth).isNotNull() & F.col(pred).isNotNull()).agg(
+        (F.lit(1.0) - F.try_divide(F.sum((F.col(truth) - F.col(pred)) ** 2), sst)).alias("r2"),
         F.regr_slope(F.col(pred), F.col(truth)).alias("slope"),
         F.regr_intercept(F.col(pred), F.col(truth)).alias("intercept"),
         F.count(F.lit(1)).alias("n"))

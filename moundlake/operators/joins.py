@@ -7,16 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it is proven to hold at most this many rows.
+# A side is broadcast only when it is proven to hold at most this many rows and bytes.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking the row count with a bounded probe
-    (``limit(max_rows + 1).count()`` never reads more than that many rows).
-    Beyond the bound the planner keeps its own choice (sort-merge / AQE)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint a broadcast only after counting the rows (a partial count per task, no rows move) and checking
+    them against both bounds; a row's bytes are the schema's default width. Beyond the bounds the planner keeps its own
+    choice (sort-merge / AQE). The count computes ``df`` once more, so pass small or written frames."""
+    n = df.count()
+    width = df._jdf.schema().defaultSize()
+    return F.broadcast(df) if n <= max_rows and n * width <= max_bytes else df
 
 
 def suffix_columns(df: DataFrame, suffix: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -63,6 +66,7 @@ def parent_lookup(df: DataFrame, key: str, parent: str, value: str,
     """J8 + P9: attach the parent's ``value`` through a left self join; a null
     parent falls back to the row itself (coalesce)."""
     alias = alias or f"parent_{value}"
-    par = df.select(F.col(key).alias("_pk"), F.col(value).alias(alias)).dropDuplicates(["_pk"])
+    # a parent listed twice: the smallest value, so the result does not depend on the order of rows
+    par = df.groupBy(F.col(key).alias("_pk")).agg(F.min(value).alias(alias))
     out = df.withColumn("_pk", F.coalesce(F.col(parent), F.col(key)))
     return out.join(par, "_pk", "left").drop("_pk")

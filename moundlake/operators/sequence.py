@@ -1,244 +1,144 @@
-"""Skew-safe ordered scans: row number, trailing mean and percent rank inside
-groups, without putting any group into a single task.
-
-A window ``partitionBy(group)`` sorts each group inside one task, so a group
-holding a third of the rows is a third of the job on one core. Here the rows
-are range-partitioned on (group, order) instead: a hot group is cut across
-many partitions by its order key, and rows with equal keys always land in the
-same partition. Each partition is scanned in order with pandas; what a
-partition needs from the partitions before it (how many rows of its first
-group came earlier, their tail values for a trailing window, the group's total
-size) is a handful of numbers per partition boundary, gathered in one small
-pass (at most two rows per partition, so bounded by the partition count, never
-by the data) and shipped to the second pass.
-
-The range-partitioned input is checkpointed into the shared checkpoint folder,
-so both passes see the same partitions and a lost executor recomputes nothing
-upstream.
+"""Order inside groups without putting a group into one task: exact ranks and quantiles of
+values, row numbers, trailing means.
+
+A window ``partitionBy(group)`` sorts each group inside one task, so a group holding a third of the
+rows is a third of the job on one core. Here rows are range-partitioned on (group, order) and
+written to the shared checkpoint folder. A group then lies in neighbouring partitions; what a partition needs
+from the ones before it is one number for each group that crosses a boundary (at most two rows per partition, so
+that table is bounded by the partition count and broadcast), and everything else is a window over
+one partition's slice of a group.
+
+Values are ranked on their counts (one row per group and distinct value, combined before the
+shuffle), so a hot value is one row. Null group keys are a group of their own. A missing value (null or NaN)
+has no rank, is no part of a quantile, and makes every trailing mean whose window holds it null.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from moundlake.session import cut_lineage
 
+#: Rows of one group that a trailing-mean task holds (besides the window - 1 rows before them).
+CHUNK_ROWS = 100_000
 
-def _sorted_partitions(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                       partitions: int | None) -> DataFrame:
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*group, *order]
-    s = df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in keys]) \
-          .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in keys])
-    s = s.withColumn("_pid", F.spark_partition_id())
-    return cut_lineage(s)
-
-
-def _keys(pdf: pd.DataFrame, group: Sequence[str]) -> list[tuple]:
-    g = pdf[list(group)].astype(object)
-    return list(map(tuple, g.where(g.notna(), None).itertuples(index=False)))
-
-
-def _boundaries(s: DataFrame, group: Sequence[str], values: Sequence[str], tail: int) -> list[dict]:
-    """First and last group of every partition with their counts (and value tails),
-    computed batch by batch (a partition is never held whole)."""
-    gcols = list(group)
-
-    def summarise(it):
-        pid = first = last = None
-        n_first = n_last = 0
-        single = True
-        tail_vals: list[list[float]] = []
-        for pdf in it:
-            if not len(pdf):
-                continue
-            if pid is None:
-                pid = int(pdf["_pid"].iloc[0])
-            keys = _keys(pdf, gcols)
-            vals = pdf[list(values)].to_numpy(dtype="float64") if values else None
-            if first is None:
-                first = keys[0]
-            for i, k in enumerate(keys):
-                if k == last:
-                    n_last += 1
-                else:
-                    if last is not None:
-                        single = False
-                    last, n_last = k, 1
-                    tail_vals = []
-                if single:
-                    n_first += 1
-                if tail and values:
-                    tail_vals.append([float(x) for x in vals[i]])
-                    if len(tail_vals) > tail:
-                        tail_vals.pop(0)
-        if pid is None:
-            return
-        yield pd.DataFrame({"pid": [pid], "first": [repr(first)], "n_first": [n_first], "last": [repr(last)],
-                            "n_last": [n_last], "single": [single], "tail": [tail_vals]})
-
-    schema = ("pid int, first string, n_first long, last string, n_last long, single boolean, "
-              "tail array<array<double>>")
-    rows = s.mapInPandas(summarise, schema).collect()  # <= one row per partition
-    return sorted((r.asDict() for r in rows), key=lambda r: r["pid"])
-
-
-def _carry(bounds: list[dict], tail: int) -> tuple[dict, dict]:
-    """Per partition: rows of its first group in earlier partitions and their value tail;
-    and the total size of every group that crosses a partition boundary."""
-    carry, totals = {}, {}
-    run_key, run_n, run_tail = None, 0, []
-    for b in bounds:
-        if b["first"] == run_key:
-            carry[b["pid"]] = (run_n, list(run_tail))
-        else:
-            carry[b["pid"]] = (0, [])
-            run_key, run_n, run_tail = b["first"], 0, []
-        if b["single"]:
-            run_n += b["n_first"]
-            run_tail = (run_tail + list(b["tail"]))[-tail:] if tail else []
-        else:
-            totals[run_key] = run_n + b["n_first"]
-            run_key, run_n, run_tail = b["last"], b["n_last"], list(b["tail"])[-tail:] if tail else []
-        totals[run_key] = run_n
-    # totals of groups spanning partitions are the final running counts
-    return carry, totals
-
-
-def ordered_scan(df: DataFrame, group: Sequence[str], order: Sequence[str], *,
-                 value: str | Sequence[str] | None = None, window: int | None = None,
-                 rank_of: str | None = None, seq: str = "seq",
-                 rolling: str | Sequence[str] = "rolling", percent_rank: str = "percent_rank",
-                 group_size: str | None = None, partitions: int | None = None) -> DataFrame:
-    """Add, per group in ``order`` (a total order for ``seq``):
-
-    * ``seq``: 1-based row number (W7);
-    * ``rolling`` (with ``value`` and ``window``): mean of the last ``window`` values,
-      null until the window is full (W3); several value columns roll in the same pass;
-    * ``percent_rank`` (with ``rank_of`` = the first order column): (rank - 1) / (n - 1)
-      with tied values sharing the lowest rank, 0 for one-row groups (W10);
-    * ``group_size`` (when named): the number of rows of the row's group.
-    """
-    gcols, ocols = list(group), list(order)
-    values = [value] if isinstance(value, str) else list(value or [])
-    rollings = [rolling] if isinstance(rolling, str) else list(rolling)
-    if values and window and len(rollings) != len(values):
-        raise ValueError("one rolling name per value column")
-    tail = (window - 1) if window else 0
-    s = _sorted_partitions(df, gcols, ocols, partitions)
-    bounds = _boundaries(s, gcols, values, tail)
-    carry, totals = _carry(bounds, tail)
-    out_fields = [f for f in s.schema.fields if f.name != "_pid"] + [T.StructField(seq, T.LongType())]
-    if values and window:
-        out_fields += [T.StructField(r, T.DoubleType()) for r in rollings]
-    if rank_of:
-        out_fields.append(T.StructField(percent_rank, T.DoubleType()))
-    if group_size:
-        out_fields.append(T.StructField(group_size, T.LongType()))
-    schema = T.StructType(out_fields)
-    names = [f.name for f in schema.fields]
-
-    def one_group(rows: pd.DataFrame, first: bool, n_total: float | None, cin: tuple) -> pd.DataFrame:
-        before, tail_vals = cin if first else (0, [])
-        m = len(rows)
-        rows = rows.copy()
-        rows[seq] = np.arange(1, m + 1, dtype="int64") + before
-        if values and window:
-            for j, (src, dst) in enumerate(zip(values, rollings)):
-                v = rows[src].to_numpy(dtype="float64")
-                if tail_vals:
-                    v = np.concatenate([np.asarray([t[j] for t in tail_vals], dtype="float64"), v])
-                r = pd.Series(v).rolling(window, min_periods=window).mean().to_numpy()
-                rows[dst] = r[len(v) - m:]
-        if rank_of:
-            rv = rows[rank_of].astype("float64").fillna(-np.inf)
-            rank = rv.rank(method="min").to_numpy() + before
-            n = float(n_total if n_total is not None else m)
-            rows[percent_rank] = (rank - 1) / (n - 1) if n > 1 else np.zeros(m)
-        if group_size:
-            rows[group_size] = int(n_total if n_total is not None else m)
-        return rows[names]
-
-    def scan(it):
-        cin = (0, [])
-        buf = None          # rows of the group still open at the end of the last batch
-        buf_first = True    # is the open group the partition's first group?
-        pid = None
-        for pdf in it:
-            if not len(pdf):
-                continue
-            if pid is None:
-                pid = int(pdf["_pid"].iloc[0])
-                cin = carry.get(pid, (0, []))
-            cur = pdf if buf is None else pd.concat([buf, pdf], ignore_index=True)
-            keys = _keys(cur, gcols)
-            gid = pd.factorize(pd.Series(keys, dtype=object))[0]
-            last_gid = gid[-1]
-            for g in range(last_gid):  # completed groups
-                idx = np.flatnonzero(gid == g)
-                k = keys[idx[0]]
-                yield one_group(cur.iloc[idx], buf_first and g == 0, totals.get(repr(k)), cin)
-            if last_gid > 0:
-                buf_first = False
-            buf = cur.iloc[np.flatnonzero(gid == last_gid)]
-        if buf is not None and len(buf):
-            k = _keys(buf.iloc[:1], gcols)[0]
-            yield one_group(buf, buf_first, totals.get(repr(k)), cin)
-
-    return s.mapInPandas(scan, schema)
-
-
-def rolling_mean_skew_safe(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str,
-                           window: int = 50, alias: str = "rolling", partitions: int | None = None) -> DataFrame:
-    """W3 + W7 via ``ordered_scan``."""
-    return ordered_scan(df, partition, order, value=value, window=window, rolling=alias, partitions=partitions)
-
-
-def percentile_rank_skew_safe(long: DataFrame, by: Sequence[str], value: str = "value",
-                              flip: str | None = None, alias: str = "percentile",
-                              partitions: int | None = None) -> DataFrame:
-    """W10 via ``ordered_scan``: round(100 x percent_rank); ``flip`` ranks descending."""
-    key = F.when(F.col(flip), -F.col(value)).otherwise(F.col(value)) if flip else F.col(value)
-    src = long.withColumn("_rank_key", key)
-    out = ordered_scan(src, by, ["_rank_key"], rank_of="_rank_key", percent_rank="_pr", partitions=partitions)
-    return out.withColumn(alias, F.round(F.col("_pr") * 100).cast("int")).drop("_pr", "_rank_key", "seq")
+
+def missing(value: str) -> Column:
+    return F.col(value).isNull() | F.isnan(F.col(value).cast("double"))
+
+
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with null keys equal to each other; the key columns are the left side's."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = None
+    for k in keys:
+        same = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        on = same if on is None else on & same
+    if on is None:  # no keys: one row beside every row
+        return left.crossJoin(F.broadcast(renamed))
+    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def _sliced(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` range-partitioned on (by, order) with the partition's number as ``_pid``, written down."""
+    keys = [F.col(c).asc_nulls_first() for c in [*by, *order]]
+    return cut_lineage(df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id()))
+
+
+def _carry(sliced: DataFrame, by: Sequence[str], rows: Column) -> DataFrame:
+    """(_pid, by, _before, _all) of the groups that lie in several partitions: ``rows`` of the group in earlier
+    partitions and in all. At most two rows per partition."""
+    per = sliced.groupBy("_pid", *by).agg(F.sum(rows).alias("_s"))
+    group = Window.partitionBy(*by)
+    per = per.withColumns({"_before": F.sum("_s").over(group.orderBy("_pid")) - F.col("_s"),
+                           "_all": F.sum("_s").over(group), "_parts": F.count(F.lit(1)).over(group)})
+    return per.where("_parts > 1").select("_pid", *by, "_before", "_all")
+
+
+def value_ranks(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """One row per group and distinct present value: ``by``, ``value``, _count, _below (rows of the group with a
+    smaller value) and _n (rows of the group with a value)."""
+    by = list(by)
+    counts = df.where(~missing(value)).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_count"))
+    sliced = _sliced(counts, by, [value])
+    carry = F.broadcast(_carry(sliced, by, F.col("_count")))
+    slice_ = Window.partitionBy("_pid", *by)
+    inside = sliced.withColumns({
+        "_below": F.coalesce(F.sum("_count").over(slice_.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_n": F.sum("_count").over(slice_)})
+    out = join_groups(inside, carry, ["_pid", *by], "left")
+    return out.select(*by, value, "_count", (F.col("_below") + F.coalesce("_before", F.lit(0))).alias("_below"),
+                      F.coalesce("_all", "_n").alias("_n"))
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, levels: Sequence[float],
-                    names: Sequence[str] | None = None, partitions: int | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation (Spark ``percentile`` / SQL
-    ``quantile_cont``) per group, without holding any group in one task.
-
-    Rows are ranked inside their group by ``ordered_scan`` (range-partitioned on
-    (group, value)); only the rows at positions floor(h) and ceil(h), h = (n-1) q,
-    are kept (two per level and group), and the value is lo + (hi - lo)(h - floor h).
-    Nulls and NaN are ignored, as Spark's ``percentile`` does.
-    Returns one row per group with one column per level."""
-    names = list(names or [f"q{i}" for i in range(len(levels))])
-    src = df.select(*by, F.col(value).cast("double").alias("_v")).filter(
-        F.col("_v").isNotNull() & ~F.isnan("_v"))
-    ranked = ordered_scan(src, by, ["_v"], seq="_seq", group_size="_n", partitions=partitions)
-    spark = df.sparkSession
-    lv = spark.createDataFrame([(i, float(q)) for i, q in enumerate(levels)], "_qi int, _q double")
-    # positions wanted per group: 2 x |levels| rows per group (never the data x levels)
-    sizes = ranked.groupBy(*by).agg(F.max("_n").alias("_n"))
-    pos = (F.col("_n") - 1) * F.col("_q")
-    want = (sizes.crossJoin(F.broadcast(lv))
-                 .withColumns({"_lo": F.floor(pos).cast("long"), "_hi": F.ceil(pos).cast("long"),
-                               "_frac": pos - F.floor(pos)}))
-    at = F.explode(F.array_distinct(F.array(F.col("_lo"), F.col("_hi")))).alias("_p")
-    targets = want.select(*by, "_qi", "_lo", "_hi", "_frac", at).withColumn("_seq", F.col("_p") + 1)
-    # (group, seq) is unique on both sides: no key can be hot
-    picks = ranked.select(*by, "_seq", "_v").join(targets, [*by, "_seq"], "inner")
-    per = picks.groupBy(*by, "_qi", "_frac").agg(
-        F.max_by("_v", F.col("_p") == F.col("_lo")).alias("_vlo"),
-        F.max_by("_v", F.col("_p") == F.col("_hi")).alias("_vhi"))
-    per = per.withColumn("_val", F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))
-    wide = per.groupBy(*by).pivot("_qi", list(range(len(levels)))).agg(F.first("_val"))
-    return wide.select(*by, *[F.col(str(i)).alias(n) for i, n in enumerate(names)])
+                    names: Sequence[str] | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation (Spark ``percentile`` / SQL ``quantile_cont``) per group: the
+    values at positions floor(h) and ceil(h), h = (n - 1) q, picked from the ranked counts in one aggregation.
+
+    Returns one row per group that has a value, with one column per level."""
+    by, names = list(by), list(names or [f"q{i}" for i in range(len(levels))])
+    ranks = value_ranks(df.select(*by, F.col(value).cast("double").alias("_v")), by, "_v")
+
+    def at(pos: Column) -> Column:
+        return F.max(F.when((F.col("_below") <= pos) & (pos < F.col("_below") + F.col("_count")), F.col("_v")))
+
+    picks = [F.max("_n").alias("_m")]
+    for i, q in enumerate(levels):
+        h = (F.col("_n") - 1) * F.lit(float(q))
+        picks += [at(F.floor(h)).alias(f"_lo{i}"), at(F.ceil(h)).alias(f"_hi{i}")]
+    got = ranks.groupBy(*by).agg(*picks)
+    out = []
+    for i, (q, name) in enumerate(zip(levels, names)):
+        h = (F.col("_m") - 1) * F.lit(float(q))
+        out.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (h - F.floor(h))).alias(name))
+    return got.select(*by, *out)
+
+
+def percent_ranks(df: DataFrame, by: Sequence[str], value: str, flip: str | None = None,
+                  alias: str = "percent_rank") -> DataFrame:
+    """(rows of the group with a smaller value) / (n - 1), 0 in a group of one; with ``flip`` (a boolean
+    column) true, rows with a larger value count instead. Missing values get null and are not in n."""
+    by = list(by)
+    ranks = value_ranks(df, by, value)
+    j = join_groups(df, ranks, [*by, value], "left")
+    before = F.col("_below")
+    if flip is not None:
+        before = F.when(F.col(flip), F.col("_n") - F.col("_below") - F.col("_count")).otherwise(before)
+    rank = F.when(F.col("_n") > 1, before / (F.col("_n") - 1)).when(F.col("_n") == 1, F.lit(0.0))
+    return j.withColumn(alias, rank).drop("_count", "_below", "_n")
+
+
+def row_numbers(df: DataFrame, by: Sequence[str], order: Sequence[str], seq: str = "seq") -> DataFrame:
+    """1-based number of each row inside its group, in ``order`` (a total order, nulls first)."""
+    by = list(by)
+    sliced = _sliced(df, by, order)
+    carry = F.broadcast(_carry(sliced, by, F.lit(1)))
+    inside = Window.partitionBy("_pid", *by).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    out = join_groups(sliced.withColumn(seq, F.row_number().over(inside).cast("long")), carry, ["_pid", *by], "left")
+    return out.withColumn(seq, F.col(seq) + F.coalesce("_before", F.lit(0))).drop("_pid", "_before", "_all")
+
+
+def trailing_means(df: DataFrame, by: Sequence[str], order: Sequence[str], values: Mapping[str, str],
+                   window: int, seq: str = "seq") -> DataFrame:
+    """Row number and, for each (name: column) of ``values``, the mean of the last ``window`` rows; null until the
+    window is full and while it holds a missing value.
+
+    Each group is cut into chunks of ``CHUNK_ROWS`` consecutive rows; the last window - 1 rows of a chunk are
+    copied to the next one, so a chunk's window function needs no other row."""
+    by = list(by)
+    numbered = row_numbers(df, by, order, seq)
+    size = max(CHUNK_ROWS, window)
+    chunk = F.floor((F.col(seq) - 1) / size)
+    late = (F.col(seq) - 1) % size >= size - (window - 1)
+    places = F.when(late, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
+    spread = numbered.withColumn("_own", chunk).withColumn("_chunk", F.explode(places))
+    frame = Window.partitionBy(*by, "_chunk").orderBy(seq).rowsBetween(-(window - 1), Window.currentRow)
+    means = {}
+    for name, src in values.items():
+        present = F.when(~missing(src), F.col(src))
+        means[name] = F.when((F.col(seq) >= window) & (F.count(present).over(frame) == window), F.avg(present).over(frame))
+    return spread.withColumns(means).where("_chunk = _own").drop("_own", "_chunk")

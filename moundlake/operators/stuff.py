@@ -12,7 +12,7 @@ from moundlake.operators.joins import broadcast_if_small, next_season
 from moundlake.operators.summary import corr_matrix, pitcher_type_totals, type_quantiles
 from moundlake.session import cut_lineage
 from moundlake.schemas import (
-    GRADE_CENTER, GRADE_HI, GRADE_LO, GRADE_SCALE, MIN_PITCHES_TYPE_STATS, MIN_PITCHES_YOY,
+    GRADE_CENTER, GRADE_HI, GRADE_LO, GRADE_PITCH_TYPES, GRADE_SCALE, MIN_PITCHES_TYPE_STATS, MIN_PITCHES_YOY,
     PLUS_CENTER, PLUS_SCALE, STARTER_PITCHES_PER_GAME,
 )
 
@@ -40,7 +40,8 @@ def pitcher_year_scores(df: DataFrame, keys: Sequence[str] = ("pitcher_id", "yea
 def pitch_grades(df: DataFrame, keys: Sequence[str] = ("pitcher_id", "year"),
                  type_col: str = "pitch_type", value: str = "stuff_plus", game: str = "game_id",
                  min_pitches: int = MIN_PITCHES_TYPE_STATS,
-                 starter_ppg: float = STARTER_PITCHES_PER_GAME) -> DataFrame:
+                 starter_ppg: float = STARTER_PITCHES_PER_GAME,
+                 types: Sequence[str] | None = GRADE_PITCH_TYPES) -> DataFrame:
     """A8 + A9 + M15 (+P30): pitcher totals ('All') and per-type rows from one
     grouping-sets pass; per-type distribution of the group means (groups with at
     least ``min_pitches``) gives mean and a robust std (p99.9 - p0.1) / 6; grade =
@@ -52,15 +53,13 @@ def pitch_grades(df: DataFrame, keys: Sequence[str] = ("pitcher_id", "year"),
     # the grouped rows feed three branches (type statistics, SP/RP, grades): written once
     # to the shared checkpoint folder so the pitch table is aggregated exactly once
     tot = cut_lineage(pitcher_type_totals(df, keys, type_col=type_col, value=value, game=game))
-    # one row per (pitcher, type): bounded per group by the roster, so Spark's exact
-    # percentile (one buffer per type) is fine here
-    stats = type_quantiles(tot, [type_col], value, levels=(0.001, 0.999), min_count=min_pitches,
-                           count_col="pitches", skew_safe=False)
+    stats = type_quantiles(tot, [type_col], value, levels=(0.001, 0.999), min_count=min_pitches, count_col="pitches")
     stats = stats.select(type_col, F.col("mean").alias("type_mean"),
                          ((F.col("q99_9") - F.col("q0_1")) / 6).alias("type_std"))
     pos = (tot.filter(F.col(type_col) == "All")
               .select(*keys, pitch_position("pitches", "games", starter_ppg).alias("position")))
-    g = tot.join(broadcast_if_small(stats), type_col, "inner")  # one row per pitch type, size-checked
+    shown = tot if types is None else tot.filter(F.col(type_col).isin(list(types)))  # the types of the grade table
+    g = shown.join(broadcast_if_small(stats), type_col, "inner")  # one row per pitch type, size-checked
     grade = clip(F.lit(GRADE_CENTER) + GRADE_SCALE * F.try_divide(F.col(value) - F.col("type_mean"),
                                                                     F.col("type_std")), GRADE_LO, GRADE_HI)
     return g.withColumn("pitch_grade", grade).join(pos, list(keys), "left")
@@ -91,7 +90,8 @@ def gbt_pipeline(features: Sequence[str], label: str = "target", max_iter: int =
     from pyspark.ml.feature import RobustScaler, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    va = VectorAssembler(inputCols=list(features), outputCol="_raw", handleInvalid="skip")
+    # rows with a missing feature are dropped by the caller (drop_missing), never silently here
+    va = VectorAssembler(inputCols=list(features), outputCol="_raw", handleInvalid="error")
     sc = RobustScaler(inputCol="_raw", outputCol="_features", withCentering=True, withScaling=True)
     gbt = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol=prediction,
                        maxIter=max_iter, stepSize=step_size, maxDepth=max_depth, minInstancesPerNode=20,

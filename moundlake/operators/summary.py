@@ -70,9 +70,9 @@ def arsenal_rates(df: DataFrame, by: Sequence[str], *, pitch: str = "is_pitch",
     Chase% = swings with zone > 10 / pitches with zone > 10 (T5); undefined
     ratios are null (formatted as '--' only at presentation time)."""
     out_zone = F.col(zone) > 10
-    in_zone = F.col(zone) < 10
+    in_zone = (F.col(zone) < 10) & F.col(pitch)
     aggs = [
-        F.count(pitch).alias("pitches"),
+        F.count_if(F.col(pitch)).alias("pitches"),  # the pitches, not the rows with a flag
         F.count_if(F.col(swing)).alias("swings"),
         F.count_if(F.col(whiff)).alias("whiffs"),
         F.count_if(F.col(strike)).alias("strikes"),
@@ -90,7 +90,7 @@ def arsenal_rates(df: DataFrame, by: Sequence[str], *, pitch: str = "is_pitch",
     g = share_of_total(df.groupBy(*by).agg(*aggs), "pitches", total_by)
     return g.select(
         *[c for c in g.columns if c != "_total"],
-        _round(F.col("pitches") / F.col("_total"), digits).alias("pitch_pct"),
+        _round(F.try_divide(F.col("pitches"), F.col("_total")), digits).alias("pitch_pct"),
         _round(F.try_divide(F.col("whiffs"), F.col("swings")), digits).alias("whiff_pct"),
         _round(F.try_divide(F.col("chases"), F.col("out_zone")), digits).alias("chase_pct"),
         _round(F.try_divide(F.col("in_zone"), F.col("pitches")), digits).alias("zone_pct"),
@@ -101,11 +101,11 @@ def game_line(df: DataFrame, by: Sequence[str] = (), *, swing: str = "swing",
               whiff: str = "whiff", description: str = "play_description",
               strike_descriptions: Sequence[str] | None = None, pitch: str = "is_pitch",
               digits: int | None = None) -> DataFrame:
-    """A3: Whiff% (0 when no swings), Strike% and total pitches over the frame (or per key)."""
+    """A3: Whiff% (0 when no swings), Strike% (0 when no pitches) and total pitches over the frame (or per key)."""
     from moundlake.schemas import STRIKE_DESCRIPTIONS
     sd = list(strike_descriptions or STRIKE_DESCRIPTIONS)
     g = df.groupBy(*by).agg(
-        F.count(pitch).alias("pitches"),
+        F.count_if(F.col(pitch)).alias("pitches"),
         F.count_if(F.col(swing)).alias("swings"),
         F.count_if(F.col(whiff)).alias("whiffs"),
         F.count_if(F.col(description).isin(sd)).alias("strikes"),
@@ -114,7 +114,7 @@ def game_line(df: DataFrame, by: Sequence[str] = (), *, swing: str = "swing",
         *by, "pitches",
         _round(F.when(F.col("swings") > 0, F.col("whiffs") / F.col("swings") * 100).otherwise(0.0),
                digits).alias("whiff_pct"),
-        _round(F.when(F.col("pitches") > 0, F.col("strikes") / F.col("pitches") * 100), digits)
+        _round(F.when(F.col("pitches") > 0, F.col("strikes") / F.col("pitches") * 100).otherwise(0.0), digits)
         .alias("strike_pct"),
     )
 
@@ -136,37 +136,20 @@ def pitcher_type_totals(df: DataFrame, keys: Sequence[str], type_col: str = "pit
 
 def type_quantiles(df: DataFrame, by: Sequence[str], value: str,
                    levels: Sequence[float] = (0.001, 0.999), min_count: int | None = None,
-                   count_col: str | None = None, skew_safe: bool = True) -> DataFrame:
+                   count_col: str | None = None) -> DataFrame:
     """Mean, sample std, median, min, max and exact (linear) quantiles per group.
 
-    Quantile columns are named by their true level (T15): q0_1, q99_9 ...
-
-    ``skew_safe`` (default): the moments are partial aggregates and the median and
-    quantiles come from ``exact_quantiles`` (range-partitioned ranks), so a pitch
-    type holding a third of all pitches is never one task's buffer. With
-    ``skew_safe=False`` Spark's exact ``percentile`` is used, which keeps each
-    group's values in one task: only for inputs bounded per group (e.g. one row
-    per pitcher)."""
+    Quantile columns are named by their true level (T15): q0_1, q99_9 ... Missing values (null, NaN) are left
+    out. The moments are partial aggregates; the median and the quantiles come from ``exact_quantiles``
+    (ranked counts), so a pitch type holding a third of all pitches is never one task's buffer."""
+    from moundlake.operators.sequence import exact_quantiles, join_groups, missing
     src = df if min_count is None else df.filter(F.col(count_col) >= min_count)
     names = [_level_name(q) for q in levels]
-    if skew_safe:
-        from moundlake.operators.sequence import exact_quantiles
-        mom = src.groupBy(*by).agg(
-            F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
-            F.min(value).alias("min"), F.max(value).alias("max"))
-        qs = exact_quantiles(src, by, value, [0.5, *levels], ["median", *names])
-        return mom.join(qs, list(by), "left").select(*by, "n", "mean", "std", "median", "min", "max", *names)
-    g = src.groupBy(*by).agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.median(value).alias("median"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        F.percentile(value, F.array(*[F.lit(float(q)) for q in levels])).alias("_q"),
-    )
-    return g.select(*by, "n", "mean", "std", "median", "min", "max",
-                    *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    v = F.when(~missing(value), F.col(value))
+    mom = src.groupBy(*by).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                               F.min(v).alias("min"), F.max(v).alias("max"))
+    qs = exact_quantiles(src, by, value, [0.5, *levels], ["median", *names])
+    return join_groups(mom, qs, list(by), "left").select(*by, "n", "mean", "std", "median", "min", "max", *names)
 
 
 def _level_name(q: float) -> str:
@@ -218,19 +201,27 @@ def zone_values(df: DataFrame, zone: str = "zone", value: str = "delta_run_exp",
                 skip: Sequence[int] = (10,), all_label: str = "All") -> DataFrame:
     """Run value summed by zone for all pitchers and per hand (ROLLUP on hand),
     right-joined to the zone x hand dimension so empty zones show 0."""
-    g = (df.filter(F.col(zone).isin(list(zones)))
-           .rollup(zone, hand).agg(F.sum(value).alias("run_value"), F.grouping(hand).alias("_gh"))
-           .filter(F.col(zone).isNotNull())
-           .select(zone, F.when(F.col("_gh") == 1, F.lit(all_label)).otherwise(F.col(hand)).alias(hand),
-                   "run_value"))
+    from moundlake.session import cut_lineage
+    # zones x (hands + 1) rows, written once: they give the run values and the hands
+    g = cut_lineage(_zone_sums(df, zone, value, hand, zones))
     spark = df.sparkSession
-    hands = (df.select(hand).where(F.col(hand).isNotNull()).distinct()
-               .unionByName(spark.createDataFrame([(all_label,)], [hand])))
+    hands = (g.where((F.col("_gh") == 0) & F.col(hand).isNotNull()).select(hand).distinct()
+              .unionByName(spark.createDataFrame([(all_label,)], [hand])))
+    sums = (g.filter(F.col(zone).isin(list(zones)))
+             .select(zone, F.when(F.col("_gh") == 1, F.lit(all_label)).otherwise(F.col(hand)).alias(hand), "run_value"))
     ztype = df.schema[zone].dataType.simpleString()
     dim = spark.createDataFrame([(int(z),) for z in zones if z not in set(skip)], f"{zone} {ztype}")
     grid = F.broadcast(dim).crossJoin(hands)  # zones x (#hands + 1): tiny, bounded by the zone list
-    return (g.join(grid, [zone, hand], "right")
-              .select(zone, hand, F.coalesce(F.col("run_value"), F.lit(0.0)).alias("run_value")))
+    return (sums.join(grid, [zone, hand], "right")
+                .select(zone, hand, F.coalesce(F.col("run_value"), F.lit(0.0)).alias("run_value")))
+
+
+def _zone_sums(df: DataFrame, zone: str, value: str, hand: str, zones: Sequence[int]) -> DataFrame:
+    """Run value per zone and per (zone, hand) in one pass; rows outside ``zones`` count in a null zone, so that a hand
+    that never pitches inside them is still known."""
+    z = F.when(F.col(zone).isin(list(zones)), F.col(zone)).alias(zone)
+    return df.select(z, hand, value).groupingSets([[zone], [zone, hand]], zone, hand).agg(
+        F.sum(value).alias("run_value"), F.grouping(hand).alias("_gh"))
 
 
 def location_ellipse(df: DataFrame, by: Sequence[str], x: str = "px", y: str = "pz",
@@ -296,9 +287,9 @@ def league_rollup(df: DataFrame, type_col: str, means: Mapping[str, str], *, swi
 def median_order(df: DataFrame, category: str, value: str) -> DataFrame:
     """Median per category (skew-safe exact quantile), joined back for ordering
     (one row per category, so the join is broadcast by AQE)."""
-    from moundlake.operators.sequence import exact_quantiles
+    from moundlake.operators.sequence import exact_quantiles, join_groups
     med = exact_quantiles(df, [category], value, [0.5], ["category_median"])
-    return df.join(med, category, "left")
+    return join_groups(df, med, [category], "left")
 
 
 def std_grains(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -345,27 +336,10 @@ def mean_count(df: DataFrame, value: str) -> DataFrame:
 
 
 def rolling_mean(df: DataFrame, partition: Sequence[str], order: Sequence[str],
-                 values: Mapping[str, str], window: int = 50, newest_first: bool = False,
-                 skew_safe: bool = True) -> DataFrame:
-    """W3 + W7 (+W8): trailing mean over ``window`` rows, null until the window is
-    full, oldest first; ``seq`` is the row number inside the partition.
-
-    ``skew_safe`` (default) range-partitions on (partition, order) so one batter
-    holding a third of all rows is spread over many tasks (``ordered_scan``);
-    ``skew_safe=False`` is the plain window (one task per batter)."""
-    if skew_safe:
-        from moundlake.operators.sequence import ordered_scan
-        out = ordered_scan(df, partition, order, value=list(values.values()), window=window,
-                           rolling=list(values.keys()))  # every value column in one pass
-        out = out.withColumn("seq", F.col("seq").cast("int"))
-        return out.orderBy(*partition, F.desc("seq")) if newest_first else out
-    w = Window.partitionBy(*partition).orderBy(*[F.asc(c) for c in order])
-    frame = w.rowsBetween(-(window - 1), Window.currentRow)
-    cols = {"seq": F.row_number().over(w)}
-    n = F.count(F.lit(1)).over(frame)
-    for name, src in values.items():
-        cols[name] = F.when(n == window, F.avg(src).over(frame))
-    out = df.withColumns(cols)
-    if newest_first:
-        out = out.orderBy(*partition, F.desc("seq"))
-    return out
+                 values: Mapping[str, str], window: int = 50, newest_first: bool = False) -> DataFrame:
+    """W3 + W7 (+W8): trailing mean over ``window`` rows, null until the window is full and while it holds a
+    missing value, oldest first; ``seq`` is the row number inside the partition. One batter holding a third of all rows is
+    spread over many tasks (``sequence.trailing_means``)."""
+    from moundlake.operators.sequence import trailing_means
+    out = trailing_means(df, partition, order, values, window).withColumn("seq", F.col("seq").cast("int"))
+    return out.orderBy(*partition, F.desc("seq")) if newest_first else out

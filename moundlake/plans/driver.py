@@ -8,12 +8,12 @@ asked to.
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from moundlake.functions import approach_angles, columns as C
 from moundlake.operators import boards, distribution, expected, joins, stuff, summary, targets, features
@@ -45,12 +45,12 @@ def scored_pitches(spark: SparkSession, sf: str, reference_year: int = 1996) ->
     3.2: score once, boards read the scored table; a season filter prunes partitions)."""
     from moundlake.session import checkpoint_dir
     from moundlake.sources.sinks import write_table
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf), reference_year)
+    key = (spark.sparkContext.applicationId, sf, _input_state(spark, f"{sf}/lineitem.parquet"), reference_year)
     hit = _SCORED.get(key)
     if hit is not None:
         try:  # the folder may have been cleaned since: then score again
             return spark.read.schema(hit[1]).parquet(hit[0])
-        except Exception:  # noqa: BLE001
+        except AnalysisException:
             hit = None
     if hit is None:
         path = f"{checkpoint_dir(spark).rstrip('/')}/moundlake-scored-{uuid.uuid4().hex}"
@@ -62,6 +62,15 @@ def scored_pitches(spark: SparkSession, sf: str, reference_year: int = 1996) ->
     return spark.read.schema(schema).parquet(path)
 
 
+def _input_state(spark: SparkSession, path: str) -> tuple:
+    """Size, file count and newest modification time of an input, so that changed files are scored again."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    whole = fs.getContentSummary(p)
+    times = [f.getModificationTime() for f in fs.listStatus(p)]
+    return whole.getLength(), whole.getFileCount(), max(times, default=0)
+
+
 def score_pitches(spark: SparkSession, sf: str, reference_year: int = 1996) -> DataFrame:
     """Pitches with the run-value target (M24) and the plus score (M14) whose mean and
     std come from ``reference_year``."""
@@ -85,6 +94,22 @@ def batted_predictions(spark: SparkSession, sf: str, k: int = 11) -> DataFrame:
                                  train_id=ROW_KEY, k=k)
 
 
+def season_predictions(spark: SparkSession, sf: str, k: int = 11) -> DataFrame:
+    """Every row of the 1998 season with its expectation from a model of the batted balls of 1995-1997 (rows that
+    are no batted ball have none)."""
+    p = roles.pitches(spark, sf).withColumns({
+        "tb": C.total_bases("event_type").cast("int"), "woba": C.woba_value("event_type", WOBA_WEIGHTS_A)})
+    train = p.filter((F.col("launch_speed") > 0) & _in_years("start_time", 1995, 1997))
+    return expected.knn_expected(train, p.filter(_in_years("start_time", 1998, 1998)), x="launch_angle", y="launch_speed",
+                                 label="tb", train_id=ROW_KEY, k=k)
+
+
+def _in_years(column: str, first: int, last: int):
+    """Whole years as a range on the raw event time (pushed down to the scan)."""
+    at = lambda year: F.lit(f"{year}-01-01 00:00:00").cast("timestamp_ntz")
+    return (F.col(column) >= at(first)) & (F.col(column) < at(last + 1))
+
+
 # -- queries ------------------------------------------------------------------------------
 
 def arsenal_summary(spark, sf):
@@ -159,13 +184,13 @@ def pitch_grades(spark, sf):
 
 
 def type_quantiles(spark, sf):
-    out = summary.type_quantiles(roles.pitches(spark, sf), ["pitch_type"], "spin_rate",
+    out = summary.type_quantiles(roles.with_gaps(roles.pitches(spark, sf)), ["pitch_type"], "spin_rate",
                                  levels=(0.025, 0.975))
     return _r(out)
 
 
 def letter_values(spark, sf):
-    return _r(distribution.letter_values(roles.pitches(spark, sf), "spin_rate", ["pitch_type"]))
+    return _r(distribution.letter_values(roles.with_gaps(roles.pitches(spark, sf)), "spin_rate", ["pitch_type"]))
 
 
 def team_role_cube(spark, sf):
@@ -210,7 +235,7 @@ def league_rollup(spark, sf):
 
 
 def rolling_value(spark, sf):
-    pa = roles.events_as_pa(spark, sf)
+    pa = roles.pa_with_gaps(roles.events_as_pa(spark, sf))
     out = summary.rolling_mean(pa, ["batter_id"], ["ts", "event_id"], {"rolling_value": "value"}, window=50)
     return _r(out.select("event_id", "batter_id", "seq", "rolling_value"))
 
@@ -221,16 +246,21 @@ def knn_expected_value(spark, sf):
 
 
 def xwoba_board(spark, sf):
-    p = roles.pitches(spark, sf).withColumn("woba", C.woba_value("event_type", WOBA_WEIGHTS_A))
-    p = expected.split_flag(p, "pitch_uid", method="modulo").filter(~F.col("is_train"))
-    pred = batted_predictions(spark, sf).select(*ROW_KEY, F.col("expected").alias("woba_pred"))
-    j = p.join(pred, ROW_KEY, "left")
-    j = expected.event_overrides(j, "event_type", "woba_pred")
-    out = expected.per_group_means(j, ["batter_id"], "woba_pred", {"woba": "woba", "xwoba": "woba_pred"},
+    j = expected.event_overrides(season_predictions(spark, sf), "event_type", "expected")
+    out = expected.per_group_means(j, ["batter_id"], "expected", {"woba": "woba", "xwoba": "expected"},
                                    min_count=MIN_WOBA_PA, count_alias="woba_pa")
     return _r(out)
 
 
+def xwoba_published(spark, sf):
+    """The expected-value board beside a published table (here: 1997 means by batter) with overlapping names; the published
+    side's get a suffix, batters without a published row stay."""
+    p = roles.pitches(spark, sf).withColumn("woba", C.woba_value("event_type", WOBA_WEIGHTS_A))
+    published = p.filter(_in_years("start_time", 1997, 1997) & F.col("event_type").isin("single", "home_run")) \
+        .groupBy("batter_id").agg(F.count(F.lit(1)).alias("woba_pa"), F.avg("woba").alias("woba"))
+    return _r(joins.join_suffixed(xwoba_board(spark, sf), published, ["batter_id"], "left", "_MLB"))
+
+
 def confusion(spark, sf):
     return expected.confusion_matrix(batted_predictions(spark, sf), "tb", "pred_class", [0, 1, 2, 3, 4])
 
@@ -271,16 +301,12 @@ def year_over_year(spark, sf):
 
 
 def outer_merge(spark, sf):
-    li = roles.table(spark, sf, "lineitem")
-    part = roles.table(spark, sf, "part").filter(F.col("p_size") <= 25).select(
-        F.col("p_partkey").alias("key"), F.col("p_retailprice").alias("value"))
-    fielding = li.filter(F.col("l_returnflag") == "R").groupBy(F.col("l_partkey").alias("key")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("value"))
-    in_2001 = ((F.col("l_shipdate") >= F.lit("2001-01-01 00:00:00").cast("timestamp_ntz")) &
-               (F.col("l_shipdate") < F.lit("2002-01-01 00:00:00").cast("timestamp_ntz")))  # pushed to the scan
-    framing = li.filter(in_2001).groupBy(F.col("l_partkey").alias("key")).agg(
+    part = roles.table(spark, sf, "part").select(F.col("p_partkey").alias("key"), F.col("p_retailprice").alias("value"))
+    orders = roles.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("key")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("value"))
+    lines = roles.table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("key")).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.round(F.col("l_discount") * 100)).alias("rate"))
-    return _r(joins.outer_merge([part, fielding, framing], ["key"], ["_bat", "_oaa", "_cfr"]))
+    return _r(joins.outer_merge([part, orders, lines], ["key"], ["_bat", "_oaa", "_cfr"]))
 
 
 def parent_lookup(spark, sf):
@@ -299,20 +325,22 @@ def dedupe_latest(spark, sf):
 
 def union_distinct(spark, sf):
     ev = roles.table(spark, sf, "events")
-    a = ev.filter(F.col("value") > 100).select("user_id", "event_type")
-    b = ev.filter(F.col("event_type") == "purchase").select("user_id", "event_type")
+    od = roles.table(spark, sf, "orders")
+    a = ev.select(F.col("user_id").alias("id"), F.col("event_type").alias("kind"))
+    b = od.select(F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("kind"))
     return boards.union_distinct([a, b])
 
 
-def actual_vs_projected(spark, sf):
-    li = roles.table(spark, sf, "lineitem")
+def _by_flag(spark, sf, player: str, **aggs) -> DataFrame:
+    """Lines per player, year and kind (returned lines are the actual side, accepted ones the projection): one scan."""
+    li = roles.table(spark, sf, "lineitem").filter(F.col("l_returnflag").isin("R", "A"))
+    return li.groupBy(F.col(player).alias("player_id"), F.year("l_shipdate").cast("long").alias("year"),
+                      F.when(F.col("l_returnflag") == "R", "actual").otherwise("projection").alias("kind")).agg(
+        *[c.alias(n) for n, c in aggs.items()])
 
-    def side(flag):
-        return li.filter(F.col("l_returnflag") == flag).groupBy(
-            F.col("l_suppkey").alias("player_id"), F.year("l_shipdate").cast("long").alias("year")).agg(
-            (F.avg(F.round(F.col("l_discount") * 100)) / 100).alias("k_pct"), F.sum("l_quantity").alias("war"))
 
-    st = boards.stack_frames({"actual": side("R"), "projected": side("A")}, "kind")
+def actual_vs_projected(spark, sf):
+    st = _by_flag(spark, sf, "l_suppkey", k_pct=F.avg(F.round(F.col("l_discount") * 100)) / 100, war=F.sum("l_quantity"))
     return _r(C.percent_scale(st, ["k_pct"]))
 
 
@@ -335,15 +363,22 @@ def percentile_ranks(spark, sf):
     per = p.groupBy("batter_id", "year").agg(F.avg("start_speed").alias("exit_velo"),
                                              F.avg("whiff").alias("whiff_rate"))
     long = boards.unpivot_metrics(per, ["batter_id", "year"], ["exit_velo", "whiff_rate"])
-    long = long.withColumn("flip", F.col("metric") == "whiff_rate")
+    # a batter without a season, a missing rate, and many ties
+    long = long.withColumns({
+        "flip": F.col("metric") == "whiff_rate",
+        "year": F.when(F.pmod("batter_id", F.lit(7)) != 0, F.col("year")),
+        "value": F.when(F.pmod("batter_id", F.lit(5)) == 0, F.lit(None)).when(F.pmod("batter_id", F.lit(11)) == 0, F.lit(float("nan")))
+                  .when(F.pmod("batter_id", F.lit(3)) == 0, F.lit(0.5)).otherwise(F.col("value"))})
     return _r(boards.percentile_ranks(long, ["year", "metric"], "value", flip="flip")
-              .drop("flip"))
+              .withColumn("value", F.when(~F.isnan("value"), F.col("value"))).drop("flip"))
 
 
 def best_per_type(spark, sf):
-    g = stuff.pitch_grades(scored_pitches(spark, sf), keys=("pitcher_id",))
-    out = boards.best_per_type(g, "pitch_type", "pitch_grade", "pitcher_id", "pitches", MIN_PITCHES_BEST)
-    return _r(out.select("pitch_type", "pitcher_id", "pitches", "stuff_plus", "pitch_grade"))
+    sup = roles.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("pitcher_id"), F.col("s_nationkey").alias("staff"))
+    # by pitching staff, the grain at which types reach the minimum of 150 pitches
+    g = stuff.pitch_grades(scored_pitches(spark, sf).join(sup, "pitcher_id"), keys=("staff",))
+    out = boards.best_per_type(g, "pitch_type", "pitch_grade", "staff", "pitches", MIN_PITCHES_BEST)
+    return _r(out.select("pitch_type", "staff", "pitches", "stuff_plus", "pitch_grade"))
 
 
 def leaderboard(spark, sf):
@@ -362,8 +397,9 @@ def json_props(spark, sf):
 
 def count_before_event(spark, sf):
     from moundlake.sources.feed import previous_count
-    p = roles.pitches(spark, sf)
-    out = previous_count(p, ["game_id"], ["ab_number", "tb_p", "tb_s", "tb_q", "tb_e"], ("balls", "strikes"))
+    # three lines of a game are one plate appearance
+    p = roles.pitches(spark, sf).withColumn("pa", F.floor((F.col("ab_number") - 1) / 3).cast("int"))
+    out = previous_count(p, ["game_id", "pa"], ["ab_number", "tb_p", "tb_s", "tb_q", "tb_e"], ("balls", "strikes"))
     return out.select("pitch_uid", "balls_before", "strikes_before", "is_last",
                       F.when(F.col("is_last"), F.col("event_type")).alias("pa_event"))
 
@@ -403,7 +439,7 @@ def importance(spark, sf, max_iter: int = 10):
 
 def median_order(spark, sf):
     """Median spin per pitch type mapped back for ordering (one row per type kept)."""
-    p = summary.median_order(roles.pitches(spark, sf), "pitch_type", "spin_rate")
+    p = summary.median_order(roles.with_gaps(roles.pitches(spark, sf)), "pitch_type", "spin_rate")
     return _r(p.groupBy("pitch_type", "category_median").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -616,7 +652,8 @@ def launch_kde_sample(spark, sf):
     is stable across runs and partitionings; a distributed top-n, not a collect)."""
     p = roles.pitches(spark, sf).filter(F.col("launch_speed") > 0).withColumn(
         "tb", C.total_bases("event_type").cast("int"))
-    smp = distribution.deterministic_sample(p, "pitch_uid", 10_000)
+    p = p.withColumns({"q": F.col("tb_q").cast("long"), "e": F.round(F.col("tb_e") * 100).cast("long")})
+    smp = distribution.deterministic_sample(p, ["pitch_uid", "tb_p", "tb_s", "q", "e"], 10_000)
     return _r(distribution.kde_2d(smp, "launch_angle", "launch_speed", (-30.0, 60.0), (60.0, 110.0),
                                   points=20, by=["tb"]))
 
@@ -631,31 +668,34 @@ def stuff_plus_model(spark, sf, max_iter: int = 10):
 
 
 def actual_projection_pair(spark, sf):
-    """Actual (returned lines) against projection (accepted lines) per supplier and
-    year, two rows per key, keys on both sides only."""
-    li = roles.table(spark, sf, "lineitem")
-
-    def side(flag):
-        return li.filter(F.col("l_returnflag") == flag).groupBy(
-            F.col("l_suppkey").alias("player_id"), F.year("l_shipdate").cast("long").alias("year")).agg(
-            F.sum("l_quantity").alias("war"), F.count(F.lit(1)).alias("games"))
-
-    return _r(boards.actual_projection_pair(side("R"), side("A").filter(F.col("war") > 650),
-                                            ["player_id", "year"], ["war", "games"]))
+    """Actual (returned lines) against projection (accepted lines) per part and year, two rows per key; many
+    keys have one side only and are left out."""
+    st = _by_flag(spark, sf, "l_partkey", war=F.sum("l_quantity"), games=F.count(F.lit(1)))
+    return _r(boards.complete_pairs(st, ["player_id", "year"], "kind", ["actual", "projection"])
+              .withColumnRenamed("kind", "row_label"))
 
 
 def pitch_type_xwoba(spark, sf):
-    """A6 + J10 (T11): actual and expected wOBA on contact per (pitcher, pitch type) for
-    the test split; group keys are the join keys."""
-    pred = batted_predictions(spark, sf).withColumn("woba", C.woba_value("event_type", WOBA_WEIGHTS_A))
+    """A6 (T11): actual and expected wOBA on contact per (pitcher, pitch type) over the whole season; group keys are
+    the join keys."""
+    pred = season_predictions(spark, sf).filter(F.col("expected").isNotNull())
     return _r(expected.per_group_means(pred, ["pitcher_id", "pitch_type"], "expected",
                                        {"wobacon": "woba", "xwobacon": "expected"}, count_alias="bip"))
 
 
+def pitches_with_xwoba(spark, sf):
+    """The means of A6 attached back to every pitch of the season (null where a pitcher's type was never hit)."""
+    p = season_predictions(spark, sf)
+    means = expected.per_group_means(p.filter(F.col("expected").isNotNull()), ["pitcher_id", "pitch_type"], "expected",
+                                     {"wobacon": "woba", "xwobacon": "expected"}, count_alias="bip")
+    return _r(expected.attach_means(p.select("pitch_uid", "pitcher_id", "pitch_type"), means, ["pitcher_id", "pitch_type"])
+              .select("pitch_uid", "bip", "wobacon", "xwobacon"))
+
+
 def rolling_woba(spark, sf):
     """W3 as on the hitter card: trailing 50-PA wOBA and expected wOBA (here value / 100)
     per batter, both in one ordered scan."""
-    pa = roles.events_as_pa(spark, sf).withColumns({
+    pa = roles.pa_with_gaps(roles.events_as_pa(spark, sf)).withColumns({
         "woba": C.woba_value("event", WOBA_WEIGHTS_A), "xwoba": F.col("value") / 100})
     out = summary.rolling_mean(pa, ["batter_id"], ["ts", "event_id"],
                                {"rolling_woba": "woba", "rolling_xwoba": "xwoba"}, window=50)
@@ -739,6 +779,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leaderboard_rows": leaderboard_rows,
     "actual_projection_pair": actual_projection_pair,
     "pitch_type_xwoba": pitch_type_xwoba,
+    "pitches_with_xwoba": pitches_with_xwoba,
+    "xwoba_published": xwoba_published,
     "box_score_players": box_score_players,
     "stream_ingest": stream_ingest,
     "launch_kde_sample": launch_kde_sample,

@@ -48,12 +48,13 @@ SELECT t.*, 100 - (t.target - st.m) / st.s * 10 AS stuff_plus FROM t, st
 
 TEAM = "(SELECT s_suppkey AS pitcher_id, s_nationkey AS pitcher_team FROM supplier)"
 
-# kNN predictions for the test split (pmod(uid, 5) = 0) against the 80 % train split
-KNN = f"""
-WITH bb AS (SELECT pitch_uid, tb_p, tb_s, tb_q, tb_e, launch_angle AS x, launch_speed AS y, {TB} AS tb, pitch_uid % 5 <> 0 AS is_train
+# kNN predictions for query rows against training rows, both among the batted balls
+def _knn(train: str, query: str) -> str:
+    return f"""
+WITH bb AS (SELECT pitch_uid, tb_p, tb_s, tb_q, tb_e, launch_angle AS x, launch_speed AS y, {TB} AS tb, year
             FROM pitches WHERE launch_speed > 0),
-tr AS (SELECT * FROM bb WHERE is_train),
-qq AS (SELECT * FROM bb WHERE NOT is_train),
+tr AS (SELECT * FROM bb WHERE {train}),
+qq AS (SELECT * FROM bb WHERE {query}),
 pairs AS (SELECT q.pitch_uid, q.tb_p, q.tb_s, q.tb_q, q.tb_e, q.tb AS qtb, t.tb,
                  (q.x - t.x) * (q.x - t.x) + (q.y - t.y) * (q.y - t.y) AS d2,
                  t.pitch_uid AS t1, t.tb_p AS t2, t.tb_s AS t3, t.tb_q AS t4, t.tb_e AS t5 FROM qq q CROSS JOIN tr t),
@@ -69,10 +70,15 @@ ev AS (SELECT pitch_uid, tb_p, tb_s, tb_q, tb_e, qtb,
 SELECT pitch_uid, tb_p, tb_s, tb_q, tb_e, qtb AS tb, expected, pred_class FROM ev
 """
 
+
+# the test split (pmod(uid, 5) = 0) against the 80 % train split; a season against the three before it
+KNN = _knn("pitch_uid % 5 <> 0", "pitch_uid % 5 = 0")
+KNN_SEASON = _knn("year BETWEEN 1995 AND 1997", "year = 1998")
+
 XWOBA_BOARD = f"""
-WITH pr AS ({KNN}),
+WITH pr AS ({KNN_SEASON}),
 q AS (SELECT p.batter_id, p.event_type, {WOBA_A} AS woba, pr.expected AS woba_pred
-      FROM pitches p LEFT JOIN pr USING (pitch_uid, tb_p, tb_s, tb_q, tb_e) WHERE p.pitch_uid % 5 = 0),
+      FROM pitches p LEFT JOIN pr USING (pitch_uid, tb_p, tb_s, tb_q, tb_e) WHERE p.year = 1998),
 o AS (SELECT batter_id, woba,
              CASE WHEN event_type IN ('strikeout', 'strikeout_double_play') THEN 0.0
                   WHEN event_type = 'hit_by_pitch' THEN 0.726
@@ -123,9 +129,9 @@ WITH p AS (SELECT *, {SWING} AS swing, {WHIFF} AS whiff,
                   coalesce(play_description IN ('Called Strike', 'Swinging Strike', 'Foul', 'Foul Tip',
                      'Swinging Strike (Blocked)', 'In play, out(s)', 'In play, no out'), false) AS is_strike,
                   {WOBA_A} AS woba, coalesce(launch_speed > 0, false) AS batted FROM pitches),
-g AS (SELECT pitch_type, count(is_pitch) AS pitches, count(*) FILTER (WHERE swing) AS swings,
+g AS (SELECT pitch_type, count(*) FILTER (WHERE is_pitch) AS pitches, count(*) FILTER (WHERE swing) AS swings,
              count(*) FILTER (WHERE whiff) AS whiffs, count(*) FILTER (WHERE is_strike) AS strikes,
-             count(*) FILTER (WHERE zone < 10) AS in_zone, count(*) FILTER (WHERE zone > 10) AS out_zone,
+             count(*) FILTER (WHERE zone < 10 AND is_pitch) AS in_zone, count(*) FILTER (WHERE zone > 10) AS out_zone,
              count(*) FILTER (WHERE zone > 10 AND swing) AS chases,
              avg(start_speed) AS start_speed, avg(ax) AS ax,
              avg(CASE WHEN batted THEN woba END) AS wobacon
@@ -140,13 +146,13 @@ FROM g
 """, "pitches")
 
 ORACLE["game_line"] = with_views(f"""
-WITH g AS (SELECT pitcher_id, year, count(is_pitch) AS pitches,
+WITH g AS (SELECT pitcher_id, year, count(*) FILTER (WHERE is_pitch) AS pitches,
                   count(*) FILTER (WHERE {SWING}) AS swings, count(*) FILTER (WHERE {WHIFF}) AS whiffs,
                   count(*) FILTER (WHERE play_description IN {_in(STRIKE_DESCRIPTIONS)}) AS strikes
            FROM pitches GROUP BY pitcher_id, year)
 SELECT pitcher_id, year, pitches,
        round(CASE WHEN swings > 0 THEN whiffs / swings * 100 ELSE 0.0 END, 6) AS whiff_pct,
-       round(CASE WHEN pitches > 0 THEN strikes / pitches * 100 END, 6) AS strike_pct
+       round(CASE WHEN pitches > 0 THEN strikes / pitches * 100 ELSE 0.0 END, 6) AS strike_pct
 FROM g
 """, "pitches")
 
@@ -220,16 +226,16 @@ SELECT pitch_type, count(spin_rate) AS n, round(avg(spin_rate), 6) AS mean,
        round(stddev_samp(spin_rate), 6) AS std, round(median(spin_rate), 6) AS median,
        round(min(spin_rate), 6) AS min, round(max(spin_rate), 6) AS max,
        round(quantile_cont(spin_rate, 0.025), 6) AS q2_5, round(quantile_cont(spin_rate, 0.975), 6) AS q97_5
-FROM pitches GROUP BY pitch_type
-""", "pitches")
+FROM pitches_gaps GROUP BY pitch_type
+""", "pitches_gaps")
 
 _LV = sorted({0.5 ** i for i in range(1, 8)} | {1 - 0.5 ** i for i in range(1, 8)})
 ORACLE["letter_values"] = with_views(f"""
 SELECT pitch_type, n, round(level, 6) AS level, round(value, 6) AS value
 FROM (SELECT pitch_type, count(spin_rate) AS n, unnest({_LV!r}::DOUBLE[]) AS level,
              unnest(quantile_cont(spin_rate, {_LV!r}::DOUBLE[])) AS value
-      FROM pitches GROUP BY pitch_type)
-""", "pitches")
+      FROM pitches_gaps GROUP BY pitch_type)
+""", "pitches_gaps")
 
 ORACLE["team_role_cube"] = with_views(f"""
 WITH s AS ({SCORED}),
@@ -318,10 +324,10 @@ FROM g, t
 ORACLE["rolling_value"] = with_views("""
 SELECT event_id, batter_id,
        CAST(row_number() OVER w AS INTEGER) AS seq,
-       round(CASE WHEN count(*) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) = 50
+       round(CASE WHEN count(value) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) = 50
                   THEN avg(value) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) END, 6) AS rolling_value
-FROM pa WINDOW w AS (PARTITION BY batter_id ORDER BY ts, event_id)
-""", "pa")
+FROM pa_gaps WINDOW w AS (PARTITION BY batter_id ORDER BY ts, event_id)
+""", "pa_gaps")
 
 ORACLE["knn_expected_value"] = with_views(f"""
 SELECT pitch_uid, CAST(tb AS INTEGER) AS tb, round(expected, 6) AS woba_pred, CAST(pred_class AS INTEGER) AS pred_class
@@ -418,11 +424,9 @@ SELECT * FROM (""" + " UNION ALL ".join(
     for a in _YC for b in _YC) + ")", "pitches", "rv")
 
 ORACLE["outer_merge"] = """
-WITH a AS (SELECT p_partkey AS key, p_retailprice AS value FROM part WHERE p_size <= 25),
-b AS (SELECT l_partkey AS key, count(*) AS n, sum(l_quantity) AS value FROM lineitem WHERE l_returnflag = 'R'
-      GROUP BY l_partkey),
-c AS (SELECT l_partkey AS key, count(*) AS n, avg(round(l_discount * 100)) AS rate FROM lineitem WHERE year(l_shipdate) = 2001
-      GROUP BY l_partkey)
+WITH a AS (SELECT p_partkey AS key, p_retailprice AS value FROM part),
+b AS (SELECT o_custkey AS key, count(*) AS n, max(o_totalprice) AS value FROM orders GROUP BY o_custkey),
+c AS (SELECT l_suppkey AS key, count(*) AS n, avg(round(l_discount * 100)) AS rate FROM lineitem GROUP BY l_suppkey)
 SELECT coalesce(a.key, b.key, c.key) AS key, round(a.value, 6) AS value_bat, b.n AS n_oaa,
        round(b.value, 6) AS value_oaa, c.n AS n_cfr, round(c.rate, 6) AS rate
 FROM a FULL OUTER JOIN b ON a.key = b.key FULL OUTER JOIN c ON coalesce(a.key, b.key) = c.key
@@ -441,13 +445,12 @@ SELECT event_id, user_id, event_type, round(value, 6) AS value, ts FROM (
 """
 
 ORACLE["union_distinct"] = """
-SELECT user_id, event_type FROM events WHERE value > 100
-UNION SELECT user_id, event_type FROM events WHERE event_type = 'purchase'
+SELECT user_id AS id, event_type AS kind FROM events UNION SELECT o_custkey, o_orderpriority FROM orders
 """
 
 ORACLE["actual_vs_projected"] = """
 SELECT l_suppkey AS player_id, CAST(year(l_shipdate) AS BIGINT) AS year, round(avg(round(l_discount * 100)) / 100 * 100, 6) AS k_pct,
-       round(sum(l_quantity), 6) AS war, CASE l_returnflag WHEN 'R' THEN 'actual' ELSE 'projected' END AS kind
+       round(sum(l_quantity), 6) AS war, CASE l_returnflag WHEN 'R' THEN 'actual' ELSE 'projection' END AS kind
 FROM lineitem WHERE l_returnflag IN ('R', 'A') GROUP BY l_suppkey, year(l_shipdate), l_returnflag
 """
 
@@ -468,20 +471,25 @@ ORACLE["percentile_ranks"] = with_views(f"""
 WITH per AS (SELECT batter_id, year, avg(start_speed) AS exit_velo, avg(CAST({WHIFF} AS DOUBLE)) AS whiff_rate
              FROM pitches GROUP BY batter_id, year),
 lng AS (SELECT batter_id, year, 'exit_velo' AS metric, exit_velo AS value FROM per
-        UNION ALL SELECT batter_id, year, 'whiff_rate', whiff_rate FROM per)
+        UNION ALL SELECT batter_id, year, 'whiff_rate', whiff_rate FROM per),
+gap AS (SELECT batter_id, CASE WHEN batter_id % 7 <> 0 THEN year END AS year, metric,
+               CASE WHEN batter_id % 5 = 0 OR batter_id % 11 = 0 THEN NULL WHEN batter_id % 3 = 0 THEN 0.5 ELSE value END AS value
+        FROM lng)
 SELECT batter_id, year, metric, round(value, 6) AS value,
        CAST(round(CASE WHEN metric = 'whiff_rate'
                        THEN percent_rank() OVER (PARTITION BY year, metric ORDER BY value DESC)
                        ELSE percent_rank() OVER (PARTITION BY year, metric ORDER BY value ASC) END * 100) AS INTEGER)
          AS percentile
-FROM lng
+FROM gap WHERE value IS NOT NULL
+UNION ALL SELECT batter_id, year, metric, NULL, NULL FROM gap WHERE value IS NULL
 """, "pitches")
 
 ORACLE["best_per_type"] = with_views(f"""
-WITH g AS ({_pitch_grades(["pitcher_id"]).replace("{thr}", "40")})
-SELECT pitch_type, pitcher_id, pitches, round(stuff_plus, 6) AS stuff_plus, round(pitch_grade, 6) AS pitch_grade
-FROM (SELECT *, row_number() OVER (PARTITION BY pitch_type ORDER BY pitch_grade DESC, pitcher_id ASC) AS rn
-      FROM g WHERE pitches >= 150) WHERE rn = 1
+WITH g AS ({_pitch_grades(["staff"]).replace("{thr}", "40").replace(
+    f"WITH s AS ({SCORED})", f"WITH s AS (SELECT sc.*, t.pitcher_team AS staff FROM ({SCORED}) sc JOIN {TEAM} t USING (pitcher_id))")})
+SELECT pitch_type, staff, pitches, round(stuff_plus, 6) AS stuff_plus, round(pitch_grade, 6) AS pitch_grade
+FROM (SELECT *, row_number() OVER (PARTITION BY pitch_type ORDER BY pitch_grade DESC, staff ASC) AS rn
+      FROM g WHERE pitches >= 150 AND pitch_type IN ('FF', 'SI', 'FC', 'SL', 'ST', 'CH', 'FS', 'CU', 'KC')) WHERE rn = 1
 """, "pitches", "rv")
 
 ORACLE["leaderboard"] = with_views(f"""
@@ -499,12 +507,12 @@ FROM (SELECT event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM ev
 """
 
 ORACLE["count_before_event"] = with_views("""
-SELECT pitch_uid,
-       coalesce(lag(balls) OVER (PARTITION BY game_id ORDER BY ab_number, tb_p, tb_s, tb_q, tb_e), 0) AS balls_before,
-       coalesce(lag(strikes) OVER (PARTITION BY game_id ORDER BY ab_number, tb_p, tb_s, tb_q, tb_e), 0) AS strikes_before,
-       ab_number = max(ab_number) OVER (PARTITION BY game_id) AS is_last,
-       CASE WHEN ab_number = max(ab_number) OVER (PARTITION BY game_id) THEN event_type END AS pa_event
-FROM pitches
+WITH p AS (SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY game_id, (ab_number - 1) // 3) AS n,
+                  lag(balls) OVER w AS b, lag(strikes) OVER w AS s FROM pitches
+           WINDOW w AS (PARTITION BY game_id, (ab_number - 1) // 3 ORDER BY ab_number, tb_p, tb_s, tb_q, tb_e))
+SELECT pitch_uid, coalesce(b, 0) AS balls_before, coalesce(s, 0) AS strikes_before, k = n AS is_last,
+       CASE WHEN k = n THEN event_type END AS pa_event
+FROM p
 """, "pitches")
 
 ORACLE["null_counts"] = with_views("""
@@ -525,8 +533,8 @@ UNION ALL SELECT 'team', round(stddev_samp(v), 6), count(v) FROM t
 """, "pitches", "rv")
 
 ORACLE["median_order"] = with_views("""
-SELECT pitch_type, round(median(spin_rate), 6) AS category_median, count(*) AS n FROM pitches GROUP BY pitch_type
-""", "pitches")
+SELECT pitch_type, round(median(spin_rate), 6) AS category_median, count(*) AS n FROM pitches_gaps GROUP BY pitch_type
+""", "pitches_gaps")
 
 ORACLE["distinct_values"] = with_views("SELECT DISTINCT pitch_type, play_description FROM pitches", "pitches")
 
@@ -615,36 +623,48 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """
 
 ORACLE["actual_projection_pair"] = """
-WITH a AS (SELECT l_suppkey AS player_id, CAST(year(l_shipdate) AS BIGINT) AS year, sum(l_quantity) AS war,
-                  count(*) AS games FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL),
-p AS (SELECT * FROM (SELECT l_suppkey AS player_id, CAST(year(l_shipdate) AS BIGINT) AS year, sum(l_quantity) AS war,
-                            count(*) AS games FROM lineitem WHERE l_returnflag = 'A' GROUP BY ALL) WHERE war > 650),
-k AS (SELECT player_id, year FROM a INTERSECT SELECT player_id, year FROM p)
-SELECT player_id, year, round(war, 6) AS war, games, 'actual' AS row_label FROM a SEMI JOIN k USING (player_id, year)
-UNION ALL
-SELECT player_id, year, round(war, 6) AS war, games, 'projection' AS row_label FROM p SEMI JOIN k USING (player_id, year)
+WITH g AS (SELECT l_partkey AS player_id, CAST(year(l_shipdate) AS BIGINT) AS year, l_returnflag, sum(l_quantity) AS war,
+                  count(*) AS games FROM lineitem GROUP BY ALL),
+k AS (SELECT player_id, year FROM g WHERE l_returnflag = 'R' INTERSECT SELECT player_id, year FROM g WHERE l_returnflag = 'A')
+SELECT player_id, year, round(war, 6) AS war, games, CASE l_returnflag WHEN 'R' THEN 'actual' ELSE 'projection' END AS row_label
+FROM g SEMI JOIN k USING (player_id, year) WHERE l_returnflag IN ('R', 'A')
 """
 
-ORACLE["pitch_type_xwoba"] = with_views(f"""
-WITH k AS ({KNN}),
+_SEASON_MEANS = f"""
+WITH k AS ({KNN_SEASON}),
 j AS (SELECT p.pitcher_id, p.pitch_type, {WOBA_A} AS woba, k.expected
       FROM pitches p JOIN k USING (pitch_uid, tb_p, tb_s, tb_q, tb_e))
 SELECT pitcher_id, pitch_type, count(expected) AS bip, round(avg(woba), 6) AS wobacon,
        round(avg(expected), 6) AS xwobacon
 FROM j GROUP BY pitcher_id, pitch_type
+"""
+ORACLE["pitch_type_xwoba"] = with_views(_SEASON_MEANS, "pitches")
+
+ORACLE["pitches_with_xwoba"] = with_views(f"""
+SELECT p.pitch_uid, m.bip, m.wobacon, m.xwobacon
+FROM pitches p LEFT JOIN ({_SEASON_MEANS}) m ON m.pitcher_id = p.pitcher_id AND m.pitch_type = p.pitch_type
+WHERE p.year = 1998
+""", "pitches")
+
+ORACLE["xwoba_published"] = with_views(f"""
+SELECT b.batter_id, b.woba_pa, round(b.woba, 6) AS woba, round(b.xwoba, 6) AS xwoba, m.woba_pa AS "woba_pa_MLB",
+       round(m.woba, 6) AS "woba_MLB"
+FROM ({XWOBA_BOARD}) b
+LEFT JOIN (SELECT batter_id, count(*) AS woba_pa, avg({WOBA_A}) AS woba FROM pitches
+           WHERE year = 1997 AND event_type IN ('single', 'home_run') GROUP BY batter_id) m USING (batter_id)
 """, "pitches")
 
 ORACLE["rolling_woba"] = with_views("""
 WITH p AS (SELECT *, CASE event WHEN 'walk' THEN 0.696 WHEN 'hit_by_pitch' THEN 0.726 WHEN 'single' THEN 0.883
                                 WHEN 'double' THEN 1.244 WHEN 'triple' THEN 1.569 WHEN 'home_run' THEN 2.004
-                                ELSE 0.0 END AS woba, value / 100 AS xwoba FROM pa)
+                                ELSE 0.0 END AS woba, value / 100 AS xwoba FROM pa_gaps)
 SELECT event_id, batter_id, CAST(row_number() OVER w AS INTEGER) AS seq,
-       round(CASE WHEN count(*) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) = 50
+       round(CASE WHEN count(woba) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) = 50
                   THEN avg(woba) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) END, 6) AS rolling_woba,
-       round(CASE WHEN count(*) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) = 50
+       round(CASE WHEN count(xwoba) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) = 50
                   THEN avg(xwoba) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) END, 6) AS rolling_xwoba
 FROM p WINDOW w AS (PARTITION BY batter_id ORDER BY ts, event_id)
-""", "pa")
+""", "pa_gaps")
 
 ORACLE["box_score_players"] = """
 SELECT l_orderkey AS game_id, 'home' AS side,
@@ -653,3 +673,19 @@ SELECT l_orderkey AS game_id, 'home' AS side,
        l_partkey AS player_id, CAST(l_quantity AS BIGINT) AS outs
 FROM lineitem
 """
+
+ORACLE["launch_kde_sample"] = with_views(f"""
+WITH p AS (SELECT {TB} AS tb, launch_angle AS x, launch_speed AS y FROM pitches WHERE launch_speed > 0
+           ORDER BY md5(concat_ws('|', '42', pitch_uid, tb_p, tb_s, tb_q::BIGINT, round(tb_e * 100)::BIGINT)),
+                    pitch_uid, tb_p, tb_s, tb_q, tb_e LIMIT 10000),
+st AS (SELECT tb, count(*) AS n, var_samp(x) * pow(count(*), -1.0 / 3.0) * 0.81 AS ha,
+              covar_samp(x, y) * pow(count(*), -1.0 / 3.0) * 0.81 AS hb,
+              var_samp(y) * pow(count(*), -1.0 / 3.0) * 0.81 AS hd FROM p GROUP BY tb),
+st2 AS (SELECT *, ha * hd - hb * hb AS det FROM st),
+gx AS (SELECT CAST(i AS INTEGER) AS gx_i, -30.0 + i * (CAST(90.0 AS DOUBLE) / 19) AS gx FROM range(0, 20) r(i)),
+gy AS (SELECT CAST(i AS INTEGER) AS gy_i, 60.0 + i * (CAST(50.0 AS DOUBLE) / 19) AS gy FROM range(0, 20) r(i))
+SELECT CAST(p.tb AS INTEGER) AS tb, gx_i, gy_i, round(gx, 6) AS gx, round(gy, 6) AS gy,
+       round(sum(exp(-0.5 * (hd * (gx - x) * (gx - x) - 2 * hb * (gx - x) * (gy - y) + ha * (gy - y) * (gy - y)) / det))
+             / (n * 2 * pi() * sqrt(det)), 6) AS density
+FROM p JOIN st2 USING (tb), gx, gy GROUP BY p.tb, gx_i, gy_i, gx, gy, n, det
+""", "pitches")

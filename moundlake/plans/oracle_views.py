@@ -45,7 +45,7 @@ SELECT
   CAST(l_shipdate AS DATE) AS game_date,
   CAST(year(l_shipdate) AS BIGINT) AS year,
   l_shipdate AS start_time,
-  TRUE AS is_pitch,
+  l_partkey % 31 <> 0 AS is_pitch,
   l_quantity AS start_speed,
   l_extendedprice / CAST(997.0 AS DOUBLE) AS az,
   dpc - 5 AS ax,
@@ -88,9 +88,23 @@ FROM ({PITCHES}) p JOIN supplier s ON p.pitcher_id = s.s_suppkey
 """
 
 
+# rows as they arrive; a missing spin rate or value (null or NaN) is null here, which SQL aggregates leave out
+PITCHES_GAPS = f"""
+SELECT * REPLACE (CASE WHEN tb_p % 37 <> 0 THEN pitch_type END AS pitch_type,
+  CASE WHEN tb_p % 41 = 0 OR tb_p % 43 = 0 THEN NULL WHEN pitch_uid % 3 = 0 THEN 2000.0 ELSE spin_rate END AS spin_rate)
+FROM ({PITCHES})
+"""
+
+PA_GAPS = f"""
+SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 7 WHEN event_id % 53 <> 0 THEN batter_id END AS batter_id,
+  CASE WHEN event_id % 997 <> 0 AND event_id % 991 <> 0 THEN value END AS value)
+FROM ({EVENTS_AS_PA})
+"""
+
+
 def with_views(body: str, *views: str) -> str:
     """Prefix ``body`` with CTEs: pitches, pitches_t (with team), pa, rv as requested."""
-    defs = {"pitches": PITCHES, "pitches_t": PITCHES_WITH_TEAM, "pa": EVENTS_AS_PA,
+    defs = {"pitches": PITCHES, "pitches_t": PITCHES_WITH_TEAM, "pa": EVENTS_AS_PA, "pitches_gaps": PITCHES_GAPS, "pa_gaps": PA_GAPS,
             "rv": f"SELECT * FROM {RUN_VALUES}"}
     ctes = ",\n".join(f"{v} AS ({defs[v]})" for v in views)
     if not views:

@@ -90,7 +90,7 @@ def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("l_shipdate").alias("game_date"),
         F.year("l_shipdate").cast("long").alias("year"),
         F.col("l_shipdate").alias("start_time"),
-        F.lit(True).alias("is_pitch"),
+        (F.pmod(pk, F.lit(31)) != 0).alias("is_pitch"),
         q.alias("start_speed"),
         (ep / 997.0).alias("az"),
         (dpc - 5).alias("ax"),
@@ -113,6 +113,24 @@ def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_gaps(p: DataFrame) -> DataFrame:
+    """Pitches as they arrive: some without a type, spin rates that are null or NaN, and a third of all rows with
+    the same spin rate."""
+    return p.withColumns({
+        "pitch_type": F.when(F.pmod("tb_p", F.lit(37)) != 0, F.col("pitch_type")),
+        "spin_rate": F.when(F.pmod("tb_p", F.lit(41)) == 0, F.lit(float("nan"))).when(F.pmod("tb_p", F.lit(43)) == 0, F.lit(None))
+                      .when(F.pmod("pitch_uid", F.lit(3)) == 0, F.lit(2000.0)).otherwise(F.col("spin_rate"))})
+
+
+def pa_with_gaps(pa: DataFrame) -> DataFrame:
+    """Plate appearances as they arrive: some without a batter, values that are null or NaN, and one batter with a
+    third of all rows."""
+    return pa.withColumns({
+        "batter_id": F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit(7)).when(F.pmod("event_id", F.lit(53)) != 0, F.col("batter_id")),
+        "value": F.when(F.pmod("event_id", F.lit(997)) == 0, F.lit(float("nan"))).when(F.pmod("event_id", F.lit(991)) == 0, F.lit(None))
+                  .otherwise(F.col("value"))})
+
+
 def pitches_with_team(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pitches with the pitcher's team = nation of the supplier (star join; the
     planner picks broadcast or sort-merge from the dimension's size)."""

@@ -8,6 +8,7 @@ setting is unset, which is the case in tests and local benches.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,7 +52,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):  # local-cluster[...] has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
                                "(lineage cuts must survive executor loss)")
         conf = tempfile.mkdtemp(prefix="moundlake-ckpt-")  # local mode only (tests, bench)

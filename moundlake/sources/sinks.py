@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ("year",),
@@ -12,7 +13,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
     """Write a table; partitioned by year when the column exists (partition pruning
     for every board that reads one season)."""
     parts = [c for c in partition_by if c in df.columns]
-    w = df.write.mode(mode)
+    # one task per (part of a) partition value instead of every task writing to every folder; a large
+    # partition is split by size at run time
+    out = df.hint("rebalance", *[F.col(c) for c in parts]) if parts else df
+    w = out.write.mode(mode)
     if parts:
         w = w.partitionBy(*parts)
     if fmt == "csv":

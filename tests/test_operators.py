@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from moundlake.functions import columns as C
 from moundlake.functions.mathx import normal_cdf
-from moundlake.operators import boards, distribution, expected, features, stuff, summary, targets
+from moundlake.operators import joins, boards, distribution, expected, features, stuff, summary, targets
 
 
 def test_shares_sum_to_one_and_partition_invariance(spark):
@@ -227,46 +227,91 @@ def test_grouping_sets_all_row(spark):
     assert out["All"].pitches == 3 and out["All"].games == 2 and out["SL"].stuff_plus == 100.0
 
 
-def test_ordered_scan_hot_group_matches_windows(spark):
-    from pyspark.sql import Window
-    from moundlake.operators.sequence import ordered_scan
+def _gappy(spark):
+    """A hot group, null and single-row groups, ties, a hot value, nulls and NaN."""
     rnd = random.Random(11)
-    rows = [(0 if rnd.random() < 0.4 else rnd.randint(1, 20), i, float(rnd.randint(0, 9))) for i in range(1500)]
-    df = spark.createDataFrame(rows, "g long, t long, v double")
-    # tiny Arrow batches: groups and windows cross batch boundaries inside a partition
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    out = ordered_scan(df, ["g"], ["t"], value="v", window=5, partitions=12).cache()
-    out.count()
-    w = Window.partitionBy("g").orderBy("t")
-    ref = df.select("g", "t", F.row_number().over(w).alias("seq2"),
-                    F.when(F.count(F.lit(1)).over(w.rowsBetween(-4, 0)) == 5, F.avg("v").over(w.rowsBetween(-4, 0)))
-                    .alias("r2"))
-    got = {(r.g, r.t): (r.seq, r.rolling) for r in out.collect()}
-    for r in ref.collect():
-        seq, roll = got[(r.g, r.t)]
-        assert seq == r.seq2
-        assert (roll is None and r.r2 is None) or roll == pytest.approx(r.r2)
-    pr = ordered_scan(df, ["g"], ["v"], rank_of="v", partitions=12)
-    ref2 = {(r.g, r.t): r.p for r in df.select("g", "t", F.percent_rank().over(Window.partitionBy("g").orderBy("v")).alias("p")).collect()}
-    assert all(r.percent_rank == pytest.approx(ref2[(r.g, r.t)]) for r in pr.collect())
-    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    out.unpersist()
+    rows = []
+    for i in range(1500):
+        g = 0 if rnd.random() < 0.4 else None if rnd.random() < 0.1 else rnd.randint(1, 20)
+        u = rnd.random()
+        v = None if u < 0.05 else float("nan") if u < 0.1 else 3.0 if u < 0.45 else float(rnd.randint(0, 9)) + (u > 0.8) * rnd.random()
+        rows.append((g, i, v, rnd.random() < 0.5))
+    rows.append((99, 5000, 1.0, True))
+    return spark.createDataFrame(rows, "g long, t long, v double, flip boolean"), rows
+
+
+def test_trailing_means_over_chunks_and_partitions(spark, monkeypatch):
+    from moundlake.operators import sequence
+    monkeypatch.setattr(sequence, "CHUNK_ROWS", 7)
+    df, rows = _gappy(spark)
+    for window in (5, 7, 12):
+        got = {(r.g, r.t): (r.seq, r.r) for r in sequence.trailing_means(df, ["g"], ["t"], {"r": "v"}, window).collect()}
+        assert len(got) == len(rows)
+        by = {}
+        for g, t, v, _ in rows:
+            by.setdefault(g, []).append((t, v))
+        for g, part in by.items():
+            vs = [v for _, v in sorted(part)]
+            for k, (t, _) in enumerate(sorted(part)):
+                last = vs[max(0, k - window + 1):k + 1]
+                full = len(last) == window and all(x is not None and x == x for x in last)
+                seq, r = got[g, t]
+                assert seq == k + 1 and (r == pytest.approx(sum(last) / window) if full else r is None)
+
+
+def test_percent_ranks_null_keys_nan_and_flips(spark):
+    from moundlake.operators.sequence import percent_ranks
+    df, rows = _gappy(spark)
+    got = {(r.g, r.t): r.percent_rank for r in percent_ranks(df, ["g"], "v", "flip").collect()}
+    for g, t, v, flip in rows:
+        if v is None or v != v:
+            assert got[g, t] is None
+            continue
+        vs = [x for h, _, x, _ in rows if h == g and x is not None and x == x]
+        before = sum(x > v if flip else x < v for x in vs)
+        assert got[g, t] == pytest.approx(before / (len(vs) - 1) if len(vs) > 1 else 0.0)
 
 
 def test_exact_quantiles_match_percentile(spark):
     from moundlake.operators.sequence import exact_quantiles
-    rnd = random.Random(4)
-    rows = [(0 if rnd.random() < 0.5 else rnd.randint(1, 5), float(rnd.randint(0, 30)) if rnd.random() < 0.5
-             else rnd.random()) for _ in range(2000)] + [(9, 3.0)]
-    df = spark.createDataFrame(rows, "g long, v double")
-    lv = [0.001, 0.025, 0.5, 0.975, 0.999]
-    got = {r.g: [r[f"q{i}"] for i in range(5)] for r in exact_quantiles(df, ["g"], "v", lv, partitions=10).collect()}
-    ref = {r.g: r.p for r in df.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(x) for x in lv])).alias("p")).collect()}
-    assert got.keys() == ref.keys()
+    df, _ = _gappy(spark)
+    lv = [0.0, 0.001, 0.025, 0.5, 0.975, 0.999, 1.0]
+    got = {r.g: [r[f"q{i}"] for i in range(len(lv))] for r in exact_quantiles(df, ["g"], "v", lv).collect()}
+    present = df.where("v is not null and not isnan(v)")
+    ref = {r.g: r.p for r in present.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(x) for x in lv])).alias("p")).collect()}
+    assert got.keys() == ref.keys() and None in got
     for g in ref:
         assert got[g] == pytest.approx(ref[g])
 
 
+def test_best_per_type_leaves_out_totals(spark):
+    df = spark.createDataFrame([("All", 1, 900, 80.0), ("FF", 1, 200, 60.0), ("FF", 2, 200, 70.0), ("FF", 3, 149, 80.0),
+                                ("EP", 1, 500, 79.0), ("SL", 5, 150, 55.0), ("SL", 4, 150, 55.0)],
+                               "pitch_type string, pitcher_id long, pitches long, grade double")
+    got = [(r.pitch_type, r.pitcher_id) for r in boards.best_per_type(df, "pitch_type", "grade", "pitcher_id", "pitches").collect()]
+    assert got == [("FF", 2), ("SL", 4)]
+
+
+def test_pitch_sums_ignore_false_rows(spark):
+    df = spark.createDataFrame([("FF", True, True, True, True, 5, "Foul"), ("FF", False, False, False, False, 5, "Ball"),
+                                ("FF", None, False, False, False, 12, "Ball"), ("SL", False, False, False, False, 12, "Ball")],
+                               "pitch_type string, is_pitch boolean, swing boolean, whiff boolean, is_strike boolean, zone int, play_description string")
+    r = {x.pitch_type: x for x in summary.arsenal_rates(df, ["pitch_type"]).collect()}
+    assert (r["FF"].pitches, r["FF"].in_zone, r["FF"].pitch_pct, r["SL"].pitches, r["SL"].zone_pct) == (1, 1, 1.0, 0, None)
+    line = {x.pitch_type: x for x in summary.game_line(df, ["pitch_type"]).collect()}
+    assert line["FF"].strike_pct == 100.0 and line["SL"].strike_pct == 0.0
+
+
+def test_joined_and_attached_means(spark):
+    from moundlake.operators import expected
+    left = spark.createDataFrame([(1, "a"), (1, None), (2, "a")], "k long, t string")
+    means = spark.createDataFrame([(1, None, 5.0), (2, "a", 7.0)], "k long, t string, m double")
+    got = sorted(((r.k, r.t or "", r.m) for r in expected.attach_means(left, means, ["k", "t"]).collect()), key=str)
+    assert got == [(1, "", 5.0), (1, "a", None), (2, "a", 7.0)]
+    a = spark.createDataFrame([(1, 0.3)], "id long, woba double")
+    assert joins.join_suffixed(a, a, ["id"], suffix="_MLB").columns == ["id", "woba", "woba_MLB"]
+
+
 def test_pitching_line_joins_game_log_and_rates(spark):
     log = spark.createDataFrame([(7, 100, "2024-05-01", "X", "6.0", 24, 1, 4, 8, 2, 0)],
                                 "player_id long, game_id long, date string, opponent string, innings_pitched string, "

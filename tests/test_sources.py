@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from moundlake.sources import feed, reference, schedule, tables
@@ -208,18 +210,63 @@ def test_gbt_pipeline_fit_persist_and_importance(spark, tmp_path):
     assert [r.prediction for r in again] == [r.prediction for r in model.transform(df).select("prediction").collect()]
 
 
-def test_streaming_first_version_wins_with_watermark(spark, tmp_path):
+def _copy_of(game, pk, speed=None, end="2024-04-01T18:00:00Z", date=None, drop_last_play=False):
+    g = json.loads(json.dumps(game))
+    g["gamePk"] = pk
+    if date:
+        g["gameData"]["datetime"]["officialDate"] = date
+    if speed is not None:
+        g["liveData"]["plays"]["allPlays"][0]["playEvents"][0]["pitchData"]["startSpeed"] = speed
+    if drop_last_play:
+        g["liveData"]["plays"]["allPlays"].pop()
+    return g
+
+
+@pytest.mark.parametrize("keep", ["newest", "first"])
+def test_streaming_versions_backlog_and_late_games(spark, tmp_path, keep):
+    """Both versions in one backlog, a game that lands after newer ones, an event that the newer file no longer
+    holds, a replay of the batch, and compaction."""
     from moundlake.streaming import current_pitches, start_feed_ingest
-    land = os.path.join(tmp_path, "land1")
+    from moundlake.streaming.ingest import compact
+    land, table, ckpt = (os.path.join(tmp_path, n) for n in ("land", "table", "ckpt"))
     os.makedirs(land)
-    g = _fixture_games()[0]
-    _write(land, "v1.json", g)
-    table, ckpt = os.path.join(tmp_path, "t1"), os.path.join(tmp_path, "c1")
-    start_feed_ingest(spark, land, table, ckpt, keep="first").awaitTermination()
-    g2 = json.loads(json.dumps(g))
-    g2["liveData"]["plays"]["allPlays"][0]["playEvents"][0]["pitchData"]["startSpeed"] = 99.0
-    _write(land, "v2.json", g2)
-    start_feed_ingest(spark, land, table, ckpt, keep="first").awaitTermination()
-    cur = current_pitches(spark, table)
-    assert spark.read.parquet(table).count() == 5          # the re-landed copies were dropped in the stream
-    assert cur.filter("ab_number = 0 AND index_play = 0").first().start_speed == 95.0
+    game = _fixture_games()[0]
+    for k, (name, doc) in enumerate([("b_old.json", _copy_of(game, 100, 90.0)), ("a_new.json", _copy_of(game, 100, 99.0, drop_last_play=True)),
+                                     ("c.json", _copy_of(game, 777, 91.0, date="2024-04-02"))]):
+        path = _write(land, name, doc)
+        os.utime(os.path.join(land, name), (1_700_000_000 + 60 * k,) * 2)
+    start_feed_ingest(spark, land, table, ckpt, keep=keep).awaitTermination()
+    _write(land, "late.json", _copy_of(game, 999, 95.0, date="2023-04-01"))
+    start_feed_ingest(spark, land, table, ckpt, keep=keep).awaitTermination()
+    whole = len(flat_rows(spark, game))
+
+    def check():
+        cur = current_pitches(spark, table, keep)
+        speeds = {r.game_id: r.start_speed for r in cur.filter("ab_number = 0 AND index_play = 0").collect()}
+        assert speeds == {100: 99.0 if keep == "newest" else 90.0, 777: 91.0, 999: 95.0}
+        n = {r.game_id: r["count"] for r in cur.groupBy("game_id").count().collect()}
+        assert n[777] == n[999] == whole and (n[100] < whole if keep == "newest" else n[100] == whole)
+        return cur.count()
+
+    rows = check()
+    compact(spark, table, keep)
+    assert check() == rows == spark.read.parquet(table).count()
+    # another version of a compacted game
+    _write(land, "z_newer.json", _copy_of(game, 777, 50.0))
+    start_feed_ingest(spark, land, table, ckpt, keep=keep).awaitTermination()
+    cur = current_pitches(spark, table, keep).filter("game_id = 777 AND ab_number = 0 AND index_play = 0").first()
+    assert cur.start_speed == (50.0 if keep == "newest" else 91.0)
+
+
+def flat_rows(spark, game):
+    import tempfile
+    d = tempfile.mkdtemp()
+    return feed.flatten_feed(feed.read_feed(spark, _write(d, "g.json", game))).collect()
+
+
+def test_previous_count_marks_one_last_row(spark):
+    df = spark.createDataFrame([(1, 1, 1, 0, 0), (1, 1, 2, 1, 0), (1, 1, 2, 1, 1), (1, 2, 1, 0, 0)], "g long, pa long, ab long, balls int, strikes int")
+    got = feed.previous_count(df, ["g", "pa"], ["ab", "strikes"]).collect()
+    assert sum(r.is_last for r in got) == 2
+    assert {(r.pa, r.ab, r.strikes): (r.balls_before, r.strikes_before) for r in got} == {
+        (1, 1, 0): (0, 0), (1, 2, 0): (0, 0), (1, 2, 1): (1, 0), (2, 1, 0): (0, 0)}
