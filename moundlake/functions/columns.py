@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moundlake.schemas import (
-    DESCRIPTION_OUTCOME, GRADE_HI, GRADE_LO, STARTER_PITCHES_PER_GAME,
+    DESCRIPTION_OUTCOME, GRADE_HI, GRADE_LO, PITCH_TYPE_NAMES, STARTER_PITCHES_PER_GAME,
     SWING_CODES, SWING_DESCRIPTIONS, TOTAL_BASES, WHIFF_CODES, WHIFF_DESCRIPTIONS,
 )
 
@@ -185,3 +185,16 @@ def describe_outcome(c: str | Column) -> Column:
 
 
 __all__.append("describe_outcome")
+
+
+def round_half_even(c: str | Column, digits: int = 0) -> Column:
+    """P20 as data-frame libraries round: halves go to the even neighbour (``F.round`` takes them away from zero)."""
+    return F.bround(col_of(c), digits)
+
+
+def pitch_type_name(c: str | Column) -> Column:
+    """Name of a pitch-type code; unknown codes keep their code."""
+    return F.coalesce(recode(c, PITCH_TYPE_NAMES), col_of(c))
+
+
+__all__ += ["round_half_even", "pitch_type_name"]

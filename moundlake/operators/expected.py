@@ -4,30 +4,30 @@ and confusion, M8 R^2, M9 line, A5/A6 per-group means).
 
 kNN design (exact, no UDF, no Cartesian product): see ``knn_votes`` -- duplicate
 locations pruned to k rows (exact), distinct queries scored once, and a
-quadtree built from cell counts is searched with joins, refining only where
-the data is dense, so a hot location or a dense cluster never produces
-all-pairs work. Every round cuts lineage with a reliable checkpoint.
+quadtree built from cell counts is searched with joins: each query starts at the level of
+its own surroundings and refines only where the data is dense, so a hot location or a dense cluster never
+produces all-pairs work. Every round cuts lineage with a reliable checkpoint.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moundlake.operators.joins import broadcast_if_small
 from moundlake.schemas import HBP_EVENTS, STRIKEOUT_EVENTS, WALK_EVENTS, WOBA_WEIGHTS_A
 from moundlake.session import cut_lineage
 
 
 def split_flag(df: DataFrame, key: str, train_pct: int = 80, seed: int = 42,
                method: str = "hash") -> DataFrame:
-    """M4: deterministic train/test flag. ``hash``: pmod(xxhash64(key, seed), 100) <
-    train_pct (independent of partitioning, unlike randomSplit); ``modulo``:
-    pmod(key, 5) != 0 (an 80/20 split that SQL engines without xxhash can repeat)."""
+    """M4: deterministic train/test flag. ``hash``: 48 bits of MD5(seed|key) modulo 100 < train_pct
+    (independent of partitioning, unlike randomSplit, and the same in every engine); ``modulo``:
+    pmod(key, 5) != 0 (80/20)."""
     if method == "hash":
-        flag = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100)) < train_pct
+        text = F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")).cast("binary")
+        flag = F.pmod(F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long"), F.lit(100)) < train_pct
     elif method == "modulo":
         if train_pct != 80:
             raise ValueError("modulo split is fixed at 80/20")
@@ -49,36 +49,28 @@ def _prune_train(train: DataFrame, x: str, y: str, label: str, tid, k: int) -> D
     return t.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
 
 
-def _cells_all_levels(pts: DataFrame, x: str, y: str, x0: float, y0: float, size: float, levels: int) -> DataFrame:
-    """Explode each point into its cell at every level 0..levels (cell side size / 2^l)."""
-    lv = F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("_l")
-    e = pts.select("*", lv)
-    side = F.lit(size) / F.pow(F.lit(2.0), F.col("_l"))
-    return e.withColumns({"_cx": F.floor((F.col(x) - x0) / side).cast("long"),
-                          "_cy": F.floor((F.col(y) - y0) / side).cast("long")})
+def _cell(c: str, origin: float, side) -> Column:
+    return F.floor((F.col(c) - origin) / side).cast("long")
 
 
 def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
               train_id: str | Sequence[str], k: int = 11, leaf_size: int | None = None,
-              max_level: int = 20, start_level: int | None = None, start_cells: int = 64,
-              levels_per_round: int = 1) -> DataFrame:
+              max_level: int = 16, levels_per_round: int = 2) -> DataFrame:
     """M1: for every distinct query location (qx, qy) the vote share of each label among
     its k nearest training rows (Euclidean on the raw x, y; ties by train id).
 
-    Exact and density-adaptive (a quadtree built from counts, searched with
-    joins):
+    Exact and density-adaptive (a quadtree built from counts, searched with joins):
 
     1. Training rows are pruned to the k lowest ids per distinct location (exact).
-    2. Cell counts at every level come from ONE partial aggregation over the
-       exploded levels. A cell is a leaf when it holds <= ``leaf_size`` rows (or
-       is at ``max_level``); every training row belongs to exactly one leaf.
-    3. Each distinct query starts with the root cell. Per round: an upper bound
-       R on its k-th distance (smallest max-distance at which the cells seen so
-       far hold k rows), cells with min-distance > R dropped, non-leaf cells
-       replaced by their children. Dense areas are refined, sparse ones stop
-       early, so a hot cluster costs O(k + leaf_size) candidates per query,
-       not the cluster's size.
-    4. The surviving leaves join the training rows; top k by (distance, id).
+    2. The finest cells are counted once; coarser cells are sums of finer ones. A cell is a leaf when it holds
+       <= ``leaf_size`` rows or is at ``max_level``.
+    3. Each distinct query starts at the finest level at which its cell and the eight around it hold k rows: the k-th
+       distance is then at most 2 sqrt(2) cell sides, so the cells up to three away at that level hold every
+       neighbour. (A query outside the training extent starts with the 16 cells of level 2.) Per round: an
+       upper bound R on its k-th distance (smallest max-distance at which the cells seen so far hold k
+       rows), cells with min-distance > R dropped, non-leaf cells replaced by their descendants. Most queries are done
+       in the first round; sparse ones start coarse, dense neighbours are refined, so nobody pays for a cluster's size.
+    4. The surviving cells join the training rows; top k by (distance, id).
 
     Returns (qx, qy, label, votes, share) with share = votes / k."""
     spark = train.sparkSession
@@ -87,51 +79,50 @@ def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
     q = (query.select(F.col(x).cast("double").alias("qx"), F.col(y).cast("double").alias("qy"))
               .filter(F.col("qx").isNotNull() & F.col("qy").isNotNull() & ~F.isnan("qx") & ~F.isnan("qy"))
               .distinct())
+    q = cut_lineage(q)
     # training extent and whether any query exists, in one small job (two one-row aggregates)
     st = tr.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("x0"), F.max("_x").alias("x1"),
                 F.min("_y").alias("y0"), F.max("_y").alias("y1")).crossJoin(
         q.agg(F.count(F.lit(1)).alias("nq"))).first()
-    empty = spark.createDataFrame([], f"qx double, qy double, {label} int, votes long, share double")
+    kind = train.schema[label].dataType.simpleString()
+    empty = spark.createDataFrame([], f"qx double, qy double, `{label}` {kind}, votes long, share double")
     if not st["n"] or not st["nq"]:
         return empty
     x0, y0 = st["x0"], st["y0"]
     size = max(st["x1"] - x0, st["y1"] - y0, 1e-12) * (1 + 1e-9) + 1e-12
-    # 1 + 2: counts per cell at all levels, leaves, and each training row's leaf
-    cells = (_cells_all_levels(tr.select("_x", "_y"), "_x", "_y", x0, y0, size, max_level)
-             .groupBy("_l", "_cx", "_cy").agg(F.count(F.lit(1)).alias("_n")))
-    cells = cells.withColumn("_leaf", (F.col("_n") <= cap) | (F.col("_l") == max_level))
-    cells = cut_lineage(cells)
-    parents = cells.select(F.col("_l").alias("_pl"), F.col("_cx").alias("_pcx"), F.col("_cy").alias("_pcy"),
-                           F.col("_leaf").alias("_pleaf"))
-    # a leaf is the coarsest cell at or below the start level holding <= cap rows
-    if start_level is None:
-        # deepest level whose occupied cells (<= start_cells, a fixed bound) can seed every
-        # query's frontier: clustered data starts deeper and needs fewer rounds
-        per_level = {r["_l"]: r["count"] for r in cells.groupBy("_l").count().collect()}  # <= max_level+1 rows
-        start = max(lv for lv, c in per_level.items() if c <= start_cells)
-    else:
-        start = min(start_level, max_level)
-    leaves = (cells.filter(F.col("_leaf") & (F.col("_l") >= start)).join(
-                parents, (F.col("_pl") == F.col("_l") - 1) & (F.col("_pcx") == F.floor(F.col("_cx") / 2)) &
-                (F.col("_pcy") == F.floor(F.col("_cy") / 2)), "left")
-              .filter((F.col("_l") == start) | ~F.col("_pleaf"))
-              .select("_l", "_cx", "_cy"))
-    # each training row's leaf (read once, by the final join; its inputs are checkpointed)
-    tleaf = (_cells_all_levels(tr, "_x", "_y", x0, y0, size, max_level)
-             .join(broadcast_if_small(leaves, BROADCAST_LEAVES), ["_l", "_cx", "_cy"], "inner"))
-    children = cells.select(F.col("_l"), F.col("_cx"), F.col("_cy"), "_n", "_leaf",
-                            (F.col("_l") - 1).alias("_pl"), F.floor(F.col("_cx") / 2).alias("_pcx"),
-                            F.floor(F.col("_cy") / 2).alias("_pcy")).filter(F.col("_l") > 0)
-    # 3: refine a per-query frontier of cells, starting from the (at most 4^start)
-    # occupied cells of a shallow level so the first rounds are not spent on the root
-    top_cells = cells.filter(F.col("_l") == start)
-    frontier = q.crossJoin(F.broadcast(top_cells))  # <= start_cells rows (or 4^start_level), a fixed bound
+    fine_side = size / 2 ** max_level
+    tr = tr.withColumns({"_fx": _cell("_x", x0, fine_side), "_fy": _cell("_y", y0, fine_side)})
+    fine = cut_lineage(tr.groupBy("_fx", "_fy").agg(F.count(F.lit(1)).alias("_n")))
+    at_level = fine.select("_fx", "_fy", "_n", F.explode(F.sequence(F.lit(0), F.lit(max_level))).alias("_l"))
+    at_level = at_level.withColumns({"_cx": F.expr(f"shiftright(_fx, {max_level} - _l)"),
+                                     "_cy": F.expr(f"shiftright(_fy, {max_level} - _l)")})
+    cells = at_level.groupBy("_l", "_cx", "_cy").agg(F.sum("_n").alias("_n"))
+    cells = cut_lineage(cells.withColumn("_leaf", (F.col("_n") <= cap) | (F.col("_l") == max_level)))
+
+    # 3a: the level at which each query starts
+    steps = lambda r: F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"))
+                                          for i in range(-r, r + 1) for j in range(-r, r + 1)])).alias("_s")
+    around = cells.select("_l", "_cx", "_cy", "_n", steps(1)).groupBy(
+        "_l", (F.col("_cx") + F.col("_s.i")).alias("_cx"), (F.col("_cy") + F.col("_s.j")).alias("_cy")).agg(F.sum("_n").alias("_n9"))
+    enough = around.where(F.col("_n9") >= k).select("_l", "_cx", "_cy")
+    side = F.lit(size) / F.pow(F.lit(2.0), F.col("_l"))
+    places = q.select("qx", "qy", F.explode(F.sequence(F.lit(0), F.lit(max_level))).alias("_l")) \
+        .withColumns({"_cx": _cell("qx", x0, side), "_cy": _cell("qy", y0, side)})
+    own = places.join(enough, ["_l", "_cx", "_cy"]).groupBy("qx", "qy").agg(F.max("_l").alias("_l"))
+    inside = F.col("qx").between(x0, x0 + size) & F.col("qy").between(y0, y0 + size)
+    start = q.join(own, ["qx", "qy"], "left").withColumn(
+        "_l", F.when(inside, F.coalesce("_l", F.lit(0))).otherwise(F.lit(min(2, max_level))))
+    near = start.select("qx", "qy", "_l", steps(3)).withColumns({
+        # a query outside starts from the grid's edge: three cells away is all of level 2
+        "_cx": F.greatest(F.lit(0), F.least(_cell("qx", x0, side), F.pow(F.lit(2.0), F.col("_l")).cast("long") - 1)) + F.col("_s.i"),
+        "_cy": F.greatest(F.lit(0), F.least(_cell("qy", y0, side), F.pow(F.lit(2.0), F.col("_l")).cast("long") - 1)) + F.col("_s.j")})
+    frontier = near.drop("_s").join(cells, ["_l", "_cx", "_cy"], "inner")
+
+    # 3b: refine
     wq = Window.partitionBy("qx", "qy")
     eps = size * 1e-9
-    kept = []
     f = None
     for i in range(max_level + 1):
-        side = F.lit(size) / F.pow(F.lit(2.0), F.col("_l"))
         lo_x, lo_y = x0 + F.col("_cx") * side, y0 + F.col("_cy") * side
         # bounds widened by a hair (eps) so that floating-point cell edges can never
         # exclude a point that ties the k-th distance
@@ -142,35 +133,26 @@ def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
         f = frontier.withColumns({"_dmin": dxmin * dxmin + dymin * dymin, "_dmax": dxmax * dxmax + dymax * dymax})
         cum = F.sum("_n").over(wq.orderBy("_dmax", "_l", "_cx", "_cy").rowsBetween(Window.unboundedPreceding, 0))
         f = f.withColumn("_cum", cum)
-        bound = F.min(F.when(F.col("_cum") >= k, F.col("_dmax"))).over(wq)
-        f = f.withColumn("_r2", bound)
+        f = f.withColumn("_r2", F.min(F.when(F.col("_cum") >= k, F.col("_dmax"))).over(wq))
         f = f.filter(F.col("_r2").isNull() | (F.col("_dmin") <= F.col("_r2")))
-        f = f.select("qx", "qy", "_l", "_cx", "_cy", "_n", "_leaf")
-        # persist between rounds, and cut lineage (shared checkpoint folder) every third
-        if i % 3 == 2:
-            f = cut_lineage(f)
-        else:
-            f = f.persist()
-            kept.append(f)
+        f = cut_lineage(f.select("qx", "qy", "_l", "_cx", "_cy", "_n", "_leaf"))
         if f.filter(~F.col("_leaf")).isEmpty():
             break
         # descend ``levels_per_round`` levels before the next bound: fewer rounds (jobs),
-        # at most 4^levels_per_round children per refined cell in between
-        frontier = f.filter("_leaf")
-        open_cells = f.filter(~F.col("_leaf"))
-        for _ in range(levels_per_round):
-            grow = (open_cells.select("qx", "qy", F.col("_l").alias("_pl"), F.col("_cx").alias("_pcx"),
-                                      F.col("_cy").alias("_pcy"))
-                    .join(children, ["_pl", "_pcx", "_pcy"], "inner")
-                    .select("qx", "qy", "_l", "_cx", "_cy", "_n", "_leaf"))
-            frontier = frontier.unionByName(grow.filter("_leaf"))
-            open_cells = grow.filter(~F.col("_leaf"))
-        frontier = frontier.unionByName(open_cells)
-    frontier = cut_lineage(f)
-    for c in kept:
-        c.unpersist()
-    # 4: candidates from the surviving leaves, exact top k
-    cand = frontier.select("qx", "qy", "_l", "_cx", "_cy").join(tleaf, ["_l", "_cx", "_cy"], "inner")
+        # at most 4^levels_per_round descendants per refined cell in between
+        down = cells.select(F.col("_l"), F.col("_cx"), F.col("_cy"), "_n", "_leaf",
+                            F.explode(F.sequence(F.lit(1), F.lit(levels_per_round))).alias("_d")) \
+            .where("_l >= _d").select("_l", "_cx", "_cy", "_n", "_leaf", "_d", (F.col("_l") - F.col("_d")).alias("_pl"),
+                                      F.expr("shiftright(_cx, _d)").alias("_pcx"), F.expr("shiftright(_cy, _d)").alias("_pcy"))
+        open_cells = f.filter(~F.col("_leaf")).select(
+            "qx", "qy", F.col("_l").alias("_pl"), F.col("_cx").alias("_pcx"), F.col("_cy").alias("_pcy"),
+            F.least(F.lit(levels_per_round), F.lit(max_level) - F.col("_l")).alias("_d"))
+        grow = open_cells.join(down, ["_pl", "_pcx", "_pcy", "_d"], "inner").select("qx", "qy", "_l", "_cx", "_cy", "_n", "_leaf")
+        frontier = f.filter("_leaf").unionByName(grow)
+    # 4: candidates from the surviving cells, exact top k. Distinct cells find their finest cells, those their rows
+    wanted = f.select("_l", "_cx", "_cy").distinct()
+    members = wanted.join(at_level.select("_l", "_cx", "_cy", "_fx", "_fy"), ["_l", "_cx", "_cy"]).join(tr, ["_fx", "_fy"])
+    cand = f.select("qx", "qy", "_l", "_cx", "_cy").join(members.drop("_fx", "_fy"), ["_l", "_cx", "_cy"], "inner")
     cand = cand.withColumn("_d2", (F.col("qx") - F.col("_x")) ** 2 + (F.col("qy") - F.col("_y")) ** 2)
     top = (cand.withColumn("_rn", F.row_number().over(wq.orderBy("_d2", "_id")))
                .filter(F.col("_rn") <= k))
@@ -179,16 +161,13 @@ def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
                         (F.col("votes") / F.lit(float(k))).alias("share"))
 
 
-# Leaf-cell tables up to this many rows are broadcast (checked with a bounded probe).
-BROADCAST_LEAVES = 1_000_000
-
-
 def expected_from_votes(votes: DataFrame, label: str, weights: Mapping[object, float]) -> DataFrame:
     """M2 + M5: per location, expected value = sum share x weight(class), joined by class
     value (T26, so an absent class cannot shift weights), and the predicted class
     (most votes, lowest class on a tie)."""
     spark = votes.sparkSession
-    wt = spark.createDataFrame([(k_, float(v)) for k_, v in weights.items()], f"{label} int, _w double")
+    kind = votes.schema[label].dataType.simpleString()
+    wt = spark.createDataFrame([(k_, float(v)) for k_, v in weights.items()], f"`{label}` {kind}, _w double")
     j = votes.join(F.broadcast(wt), label, "left")
     return j.groupBy("qx", "qy").agg(
         F.sum(F.col("share") * F.coalesce(F.col("_w"), F.lit(0.0))).alias("expected"),

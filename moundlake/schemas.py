@@ -111,6 +111,13 @@ GRADE_PITCH_TYPES = ["FS", "FO", "SC", "FF", "SI", "SV", "KC", "All", "FC", "SL"
                      "ST", "CU", "CH", "KN"]
 HISTOGRAM_PITCH_TYPES = ["FF", "SI", "FC", "SL", "ST", "CH", "FS", "CU", "KC"]
 
+# Names of the pitch types (fixed values).
+PITCH_TYPE_NAMES = {
+    "FF": "4-Seam Fastball", "FA": "Fastball", "SI": "Sinker", "FC": "Cutter", "CH": "Changeup", "FS": "Splitter",
+    "SC": "Screwball", "FO": "Forkball", "SL": "Slider", "ST": "Sweeper", "SV": "Slurve", "KC": "Knuckle Curve",
+    "CU": "Curveball", "CS": "Slow Curve", "EP": "Eephus", "KN": "Knuckleball", "PO": "Pitch Out", "UN": "Unknown",
+}
+
 # Distance from the plate (ft) at which approach angles are taken.
 PLATE_Y = 17.0 / 12.0
 
@@ -191,3 +198,13 @@ STATCAST = T.StructType([
     T.StructField("at_bat_number", T.IntegerType()),
     T.StructField("pitch_number", T.IntegerType()),
 ])
+
+BATTING_BOARD = T.StructType([
+    T.StructField("xMLBAMID", T.LongType()),
+    T.StructField("Season", T.LongType()),
+    T.StructField("PA", T.LongType()),
+    T.StructField("HR", T.LongType()),
+    T.StructField("K%", T.DoubleType()),
+    T.StructField("BB%", T.DoubleType()),
+    T.StructField("wOBA", T.DoubleType()),
+])

@@ -57,15 +57,23 @@ def flatten_teams(raw: DataFrame) -> DataFrame:
 
 
 def leagues(spark: SparkSession, path) -> DataFrame:
-    """S8."""
-    return _read(spark, LEAGUES_SCHEMA, path).select(F.explode("leagues").alias("l")).select(
+    """S8 from landed JSON files."""
+    return flatten_leagues(_read(spark, LEAGUES_SCHEMA, path))
+
+
+def flatten_leagues(raw: DataFrame) -> DataFrame:
+    return raw.select(F.explode("leagues").alias("l")).select(
         F.col("l.id").alias("league_id"), F.col("l.name").alias("league_name"),
         F.col("l.abbreviation").alias("league_abbreviation"), F.col("l.sport.id").alias("sport_id"))
 
 
 def sports(spark: SparkSession, path) -> DataFrame:
-    """S9."""
-    return _read(spark, SPORTS_SCHEMA, path).select(F.explode("sports").alias("s")).select(
+    """S9 from landed JSON files."""
+    return flatten_sports(_read(spark, SPORTS_SCHEMA, path))
+
+
+def flatten_sports(raw: DataFrame) -> DataFrame:
+    return raw.select(F.explode("sports").alias("s")).select(
         F.col("s.id").alias("sport_id"), F.col("s.code").alias("sport_code"), F.col("s.name").alias("sport_name"),
         F.col("s.abbreviation").alias("sport_abbreviation"))
 

@@ -109,8 +109,8 @@ def _brute_knn(train, query, k):
     return out
 
 
-@pytest.mark.parametrize("seed,leaf,start", [(1, 16, 3), (2, 16, 0), (3, None, 3), (4, 16, None)])
-def test_knn_exact_against_brute_force(spark, seed, leaf, start):
+@pytest.mark.parametrize("seed,leaf,levels,step", [(1, 16, 16, 2), (2, 16, 16, 3), (3, None, 8, 2), (4, 12, 16, 1)])
+def test_knn_exact_against_brute_force(spark, seed, leaf, levels, step):
     rnd = random.Random(seed)
     train = []
     i = 0
@@ -122,13 +122,14 @@ def test_knn_exact_against_brute_force(spark, seed, leaf, start):
         train.append((20.0 + rnd.random() * 0.01, 70.0 + rnd.random() * 0.01, rnd.randint(0, 4), i)); i += 1
     train.append((500.0, 500.0, 3, i))  # sparse far corner
     query = [(float(rnd.randint(-5, 35)), float(rnd.randint(55, 115))) for _ in range(120)]
-    query += [(10.0, 90.0), (480.0, 470.0), (-200.0, 60.0), (20.005, 70.005), (20.2, 70.2)]
+    query += [(10.0, 90.0), (480.0, 470.0), (-200.0, 60.0), (20.005, 70.005), (20.2, 70.2), (500.0, 500.0), (0.0, 60.0),
+              (9000.0, 9000.0), (500.0, 60.0)]
     tdf = spark.createDataFrame(train, "x double, y double, label int, id long")
     qdf = spark.createDataFrame(query, "x double, y double")
     k = 11
     got = {}
     for r in expected.knn_votes(tdf, qdf, x="x", y="y", label="label", train_id="id", k=k,
-                                         leaf_size=leaf, start_level=start).collect():
+                                         leaf_size=leaf, max_level=levels, levels_per_round=step).collect():
         got.setdefault((r.qx, r.qy), {})[r.label] = r.votes
     want = _brute_knn(train, query, k)
     assert got == want
