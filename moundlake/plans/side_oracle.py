@@ -196,3 +196,25 @@ SELECT pitch_uid, CASE play_description WHEN 'Ball' THEN 'ball' WHEN 'Ball In Di
        (swing AND whiff)::INT AS target, l.s AS is_swing_whiff, l.w AS is_whiff_whiff
 FROM p JOIN l USING (play_description, balls, strikes)
 """, "pitches")
+
+SIDE_ORACLE["feed_events"] = """
+WITH l AS (SELECT *, (l_linenumber - 1) // 3 AS pa, l_partkey % 10 AS kind FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+n AS (SELECT *, row_number() OVER w - 1 AS i, count(*) OVER g AS size, min(l_suppkey) OVER g AS pitcher, min(l_partkey) OVER g AS batter,
+             CASE WHEN kind = 2 THEN 4 ELSE l_suppkey % 4 END AS b, l_partkey % 3 AS s, l_orderkey % 3 AS o
+      FROM l WINDOW g AS (PARTITION BY l_orderkey, pa), w AS (PARTITION BY l_orderkey, pa
+        ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice)),
+e AS (SELECT *, lag(b) OVER w AS pb, lag(s) OVER w AS ps, lag(o) OVER w AS po, i = 0 AND kind > 2 AS first, i = size - 1 AS last,
+             (l_orderkey + pa) % 11 <> 0 AS known, kind > 2 AND kind <> 9 AS tracked
+      FROM n WINDOW w AS (PARTITION BY l_orderkey, pa ORDER BY i))
+SELECT l_orderkey AS game_id, o_orderdate::DATE AS game_date, pa::INT AS ab_number, i::INT AS index_play,
+       CASE WHEN kind > 2 THEN 'pitch' WHEN kind = 1 THEN 'call' ELSE 'ball_four' END AS row_kind, kind > 2 AS is_pitch,
+       CASE WHEN known THEN batter END AS batter_id, CASE WHEN known THEN 'L' END AS batter_hand, CASE WHEN known THEN pitcher END AS pitcher_id,
+       CAST(NULL AS VARCHAR) AS pitcher_hand, CASE WHEN pa % 2 = 0 THEN 'HOM' ELSE 'AWY' END AS pitcher_team,
+       CASE WHEN pa % 2 = 0 THEN 'AWY' ELSE 'HOM' END AS batter_team, kind > 2 AND l_suppkey % 4 IN (0, 3) AS is_ball,
+       CASE WHEN first THEN 0 ELSE pb END::INT AS balls, CASE WHEN first THEN 0 ELSE ps END::INT AS strikes,
+       CASE WHEN first THEN o ELSE po END::INT AS outs, b::INT AS balls_after, s::INT AS strikes_after,
+       CASE WHEN last THEN 'atBat' END AS type_ab, CASE WHEN last THEN CASE WHEN batter % 2 = 0 THEN 'walk' ELSE 'single' END END AS event_type,
+       round(CASE WHEN tracked THEN l_quantity END, 6) AS start_speed, round(CASE WHEN tracked THEN l_discount END, 6) AS release_pos_x,
+       round(CASE WHEN tracked THEN l_tax END, 6) AS release_pos_z, round(CASE WHEN tracked THEN l_quantity / 8 END, 6) AS z_release_point
+FROM e WHERE kind <> 0
+"""
