@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from moundlake.functions.columns import clip, pitch_position
 from moundlake.operators.joins import broadcast_if_small, next_season
+from moundlake.operators.sequence import exact_quantiles
 from moundlake.operators.summary import corr_matrix, pitcher_type_totals, type_quantiles
 from moundlake.session import cut_lineage
 from moundlake.schemas import (
@@ -79,6 +80,15 @@ def year_over_year(scores: DataFrame, results: DataFrame, key: str, season: str,
     return corr_matrix(j, cols, digits=digits)
 
 
+def robust_scale(df: DataFrame, features: Sequence[str], suffix: str = "_scaled") -> DataFrame:
+    """M10 exactly: (x - median) / (third - first quartile) per feature. The quartiles of all features come from one
+    ranked-counts pass over the long form; they are one row per feature."""
+    long = df.unpivot([], list(features), "_feature", "_value")
+    q = {r["_feature"]: r for r in exact_quantiles(long, ["_feature"], "_value", [0.25, 0.5, 0.75], ["lo", "mid", "hi"]).collect()}
+    scaled = {f"{f}{suffix}": F.try_divide(F.col(f) - F.lit(q[f].mid), F.lit(q[f].hi - q[f].lo)) for f in features if f in q}
+    return df.withColumns(scaled)
+
+
 def gbt_pipeline(features: Sequence[str], label: str = "target", max_iter: int = 1000,
                  step_size: float = 0.01, max_depth: int = 5, subsample: float = 0.8,
                  feature_subset: str = "0.8", seed: int = 42, prediction: str = "prediction"):

@@ -351,7 +351,37 @@ def feed_events(spark, sf):
                           "type_ab", "event_type", "start_speed", "release_pos_x", "release_pos_z", "z_release_point"))
 
 
+def _model_rows(spark, sf) -> DataFrame:
+    from moundlake.operators import targets
+    from moundlake.schemas import MODEL_FEATURES
+    f = features.fastball_features(targets.run_value_target(roles.pitches(spark, sf), roles.run_values(spark)))
+    return C.drop_missing(f, [*MODEL_FEATURES, "target"]).select("pitch_uid", "year", *MODEL_FEATURES, "target")
+
+
+def robust_scaling(spark, sf):
+    """The model's features scaled by median and quartiles."""
+    from moundlake.operators.stuff import robust_scale
+    out = robust_scale(_model_rows(spark, sf), ["start_speed", "az", "ax", "speed_diff"])
+    return _r(out.select("pitch_uid", "start_speed_scaled", "az_scaled", "ax_scaled", "speed_diff_scaled"))
+
+
+def model_quality(spark, sf):
+    """M11, M12, M13 from one fit: rows scored, rows without a prediction, whether the error is below the target's
+    variance, the number of features and the sum of their importances."""
+    from moundlake.operators import stuff
+    from moundlake.schemas import MODEL_FEATURES
+    from moundlake.session import cut_lineage
+    rows = cut_lineage(_model_rows(spark, sf))
+    model = stuff.gbt_pipeline(MODEL_FEATURES, "target", max_iter=10, step_size=0.1).fit(rows)
+    ranked = stuff.feature_importance(model, MODEL_FEATURES)
+    wrong = (F.col("target") - F.col("prediction")) ** 2
+    return model.transform(rows).agg(
+        F.count(F.lit(1)).alias("scored"), F.count_if(F.col("prediction").isNull()).alias("missing"),
+        (F.avg(wrong) < F.var_pop("target")).alias("better_than_mean"), F.lit(len(ranked)).alias("features"),
+        F.lit(round(sum(v for _, v in ranked), 6)).alias("importance_sum"))
+
+
 SIDE_QUERIES = {f.__name__: f for f in (
     leagues_sports, game_type_values, people_rows, player_lookup, games_of_types, game_log_lines, requested_games, csv_round_trip,
     batting_board, season_tables, statcast_rows, fielding_and_framing, qualified_percentiles, arsenal_table, batter_arsenal,
-    team_boards, leaderboard_woba, fastball_features_all, hash_split, scalar_columns, whiff_lookup, feed_events)}
+    team_boards, leaderboard_woba, fastball_features_all, hash_split, scalar_columns, whiff_lookup, feed_events, robust_scaling, model_quality)}

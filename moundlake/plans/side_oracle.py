@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from moundlake.functions.mathx import normal_cdf_sql
-from moundlake.plans.oracle import KNN_SEASON, SCORED, SWING, TEAM, WHIFF, WOBA_A
+from moundlake.plans.oracle import KNN_SEASON, SCORED, SWING, TARGET, TEAM, WHIFF, WOBA_A
 from moundlake.plans.oracle_views import with_views
 from moundlake.schemas import PITCH_TYPE_NAMES
 
@@ -218,3 +218,24 @@ SELECT l_orderkey AS game_id, o_orderdate::DATE AS game_date, pa::INT AS ab_numb
        round(CASE WHEN tracked THEN l_tax END, 6) AS release_pos_z, round(CASE WHEN tracked THEN l_quantity / 8 END, 6) AS z_release_point
 FROM e WHERE kind <> 0
 """
+
+# rows with a target whose pitcher-season has a fastball, with its mean speed
+_MODEL = f"""
+WITH t AS ({TARGET}),
+m AS (SELECT pitch_uid, pitcher_id, year, pitch_type, start_speed, az, CASE WHEN pitcher_hand = 'L' THEN -ax ELSE ax END AS ax, target FROM t),
+pt AS (SELECT pitcher_id, year, pitch_type, avg(start_speed) AS sp, count(*) AS n
+       FROM m WHERE pitch_type IN ('SI', 'FF', 'FC') GROUP BY ALL),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pitcher_id, year ORDER BY n DESC, sp DESC, pitch_type DESC) AS rn FROM pt)
+      WHERE rn = 1)
+SELECT m.*, start_speed - b.sp AS speed_diff FROM m JOIN b USING (pitcher_id, year) WHERE target IS NOT NULL
+"""
+SIDE_ORACLE["robust_scaling"] = with_views(
+    f"WITH r AS ({_MODEL}), q AS (SELECT " + ", ".join(
+        f"median({c}) AS {c}_m, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS {c}_w" for c in ("start_speed", "az", "ax", "speed_diff"))
+    + " FROM r) SELECT pitch_uid, " + ", ".join(
+        f"round(({c} - {c}_m) / {c}_w, 6) AS {c}_scaled" for c in ("start_speed", "az", "ax", "speed_diff")) + " FROM r, q", "pitches", "rv")
+
+SIDE_ORACLE["model_quality"] = with_views(f"""
+SELECT count(*) AS scored, CAST(0 AS BIGINT) AS missing, TRUE AS better_than_mean, CAST(10 AS INTEGER) AS features,
+       CAST(1.0 AS DOUBLE) AS importance_sum FROM ({_MODEL})
+""", "pitches", "rv")
