@@ -42,13 +42,18 @@ def sha256(text: Column) -> Column:
 
 
 @contextmanager
-def _set(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def _state_settings(spark: SparkSession):
+    """Disk-backed state; no preallocated log space, which would cost megabytes for each of many small stores."""
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+              "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def dedup_stream(arrivals: DataFrame, checkpoint: str, digest_col: str = "digest"):
@@ -61,7 +66,7 @@ def dedup_stream(arrivals: DataFrame, checkpoint: str, digest_col: str = "digest
     keyed = arrivals.groupBy(F.col(digest_col).alias("digest")).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "row")).alias("keeper"),
         F.count(F.lit(1)).alias("n"))
-    with _set(spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB):
+    with _state_settings(spark):
         return (keyed.writeStream.format("noop").outputMode("update").trigger(availableNow=True)
                 .option("checkpointLocation", checkpoint).start())
 
@@ -90,7 +95,8 @@ def _dedup(located: DataFrame, id_col: str, text_col: str, digest) -> DataFrame:
     checkpoint = shared_path(spark, "dedup-state")
     stream = spark.readStream.schema(arrivals.schema).parquet(arrivals._llm_path)
     dedup_stream(stream, checkpoint).awaitTermination()
-    state = put_down(state_of(spark, checkpoint), "dedup-groups")
+    with _state_settings(spark):
+        state = put_down(state_of(spark, checkpoint), "dedup-groups")
 
     placed = arrivals.join(state, "digest").select(
         "doc_id", "file", "row", "digest", F.col("keeper.doc_id").alias("keep_id"),
