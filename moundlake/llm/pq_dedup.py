@@ -185,7 +185,7 @@ def near_links(classes: DataFrame, cosine: float, margin: float, block: int = BL
     if n < 2:
         return None
     sample = classes.select("node", "raw").orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("raw").collect()
-    index = fit_index(unit([bytes(r.raw) for r in sample]), int(min(MOST_LISTS, max(1, 4 * np.sqrt(n)))))
+    index = fit_index(unit([bytes(r.raw) for r in sample]), int(min(MOST_LISTS, max(1, 2 * np.sqrt(n)))))
     sent = spark.sparkContext.broadcast(index)  # bounded: MOST_LISTS centroids and the code books
     radius = float(np.sqrt(2 - 2 * cosine))
     rows = put_down(_index(classes, sent, radius, margin), "pq-index")
