@@ -48,13 +48,12 @@ def _power(tokens: Column, k: Column) -> Column:
 
 def find_exponent(totals: DataFrame, target: str, wanted: float) -> int:
     """The exponent in millionths, from (src, tokens)."""
-    spark = totals.sparkSession
     some = totals.where("tokens > 0")
     # entropy falls and the largest ratio falls as the exponent grows: look for the last (first) k that holds
     entropy = target == "entropy"
 
     def holds(ks: list[int]) -> dict[int, bool]:
-        grid = some.crossJoin(F.broadcast(spark.createDataFrame([(k,) for k in ks], "k int")))
+        grid = some.withColumn("k", F.explode(F.array(*map(F.lit, ks))))  # a row per source and candidate
         if entropy:
             w = grid.withColumn("p", _power(F.col("tokens"), F.col("k")))
             seen = w.groupBy("k").agg((F.log(F.sum("p")) - F.sum(F.col("p") * F.log("p")) / F.sum("p")).alias("x"))
