@@ -92,7 +92,7 @@ def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
     size = max(st["x1"] - x0, st["y1"] - y0, 1e-12) * (1 + 1e-9) + 1e-12
     fine_side = size / 2 ** max_level
     tr = tr.withColumns({"_fx": _cell("_x", x0, fine_side), "_fy": _cell("_y", y0, fine_side)})
-    fine = cut_lineage(tr.groupBy("_fx", "_fy").agg(F.count(F.lit(1)).alias("_n")))
+    fine = tr.groupBy("_fx", "_fy").agg(F.count(F.lit(1)).alias("_n"))
     at_level = fine.select("_fx", "_fy", "_n", F.explode(F.sequence(F.lit(0), F.lit(max_level))).alias("_l"))
     at_level = at_level.withColumns({"_cx": F.expr(f"shiftright(_fx, {max_level} - _l)"),
                                      "_cy": F.expr(f"shiftright(_fy, {max_level} - _l)")})
@@ -100,10 +100,13 @@ def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
     cells = cut_lineage(cells.withColumn("_leaf", (F.col("_n") <= cap) | (F.col("_l") == max_level)))
 
     # 3a: the level at which each query starts
-    steps = lambda r: F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"))
-                                          for i in range(-r, r + 1) for j in range(-r, r + 1)])).alias("_s")
-    around = cells.select("_l", "_cx", "_cy", "_n", steps(1)).groupBy(
-        "_l", (F.col("_cx") + F.col("_s.i")).alias("_cx"), (F.col("_cy") + F.col("_s.j")).alias("_cy")).agg(F.sum("_n").alias("_n9"))
+    def spread(df: DataFrame, r: int) -> DataFrame:
+        """Each row with every cell offset (_i, _j) up to ``r``."""
+        offsets = F.explode(F.sequence(F.lit(-r), F.lit(r)))
+        return df.withColumn("_i", offsets).withColumn("_j", offsets)
+
+    around = spread(cells.select("_l", "_cx", "_cy", "_n"), 1).groupBy(
+        "_l", (F.col("_cx") + F.col("_i")).alias("_cx"), (F.col("_cy") + F.col("_j")).alias("_cy")).agg(F.sum("_n").alias("_n9"))
     enough = around.where(F.col("_n9") >= k).select("_l", "_cx", "_cy")
     side = F.lit(size) / F.pow(F.lit(2.0), F.col("_l"))
     places = q.select("qx", "qy", F.explode(F.sequence(F.lit(0), F.lit(max_level))).alias("_l")) \
@@ -112,11 +115,11 @@ def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
     inside = F.col("qx").between(x0, x0 + size) & F.col("qy").between(y0, y0 + size)
     start = q.join(own, ["qx", "qy"], "left").withColumn(
         "_l", F.when(inside, F.coalesce("_l", F.lit(0))).otherwise(F.lit(min(2, max_level))))
-    near = start.select("qx", "qy", "_l", steps(3)).withColumns({
+    near = spread(start.select("qx", "qy", "_l"), 3).withColumns({
         # a query outside starts from the grid's edge: three cells away is all of level 2
-        "_cx": F.greatest(F.lit(0), F.least(_cell("qx", x0, side), F.pow(F.lit(2.0), F.col("_l")).cast("long") - 1)) + F.col("_s.i"),
-        "_cy": F.greatest(F.lit(0), F.least(_cell("qy", y0, side), F.pow(F.lit(2.0), F.col("_l")).cast("long") - 1)) + F.col("_s.j")})
-    frontier = near.drop("_s").join(cells, ["_l", "_cx", "_cy"], "inner")
+        "_cx": F.greatest(F.lit(0), F.least(_cell("qx", x0, side), F.pow(F.lit(2.0), F.col("_l")).cast("long") - 1)) + F.col("_i"),
+        "_cy": F.greatest(F.lit(0), F.least(_cell("qy", y0, side), F.pow(F.lit(2.0), F.col("_l")).cast("long") - 1)) + F.col("_j")})
+    frontier = near.drop("_i", "_j").join(cells, ["_l", "_cx", "_cy"], "inner")
 
     # 3b: refine
     wq = Window.partitionBy("qx", "qy")

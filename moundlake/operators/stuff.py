@@ -59,8 +59,11 @@ def pitch_grades(df: DataFrame, keys: Sequence[str] = ("pitcher_id", "year"),
                          ((F.col("q99_9") - F.col("q0_1")) / 6).alias("type_std"))
     pos = (tot.filter(F.col(type_col) == "All")
               .select(*keys, pitch_position("pitches", "games", starter_ppg).alias("position")))
-    shown = tot if types is None else tot.filter(F.col(type_col).isin(list(types)))  # the types of the grade table
-    g = shown.join(broadcast_if_small(stats), type_col, "inner")  # one row per pitch type, size-checked
+    if types is None:
+        g = tot.join(broadcast_if_small(stats), type_col, "inner")  # one row per pitch type, size-checked
+    else:  # the types of the grade table bound the statistics: at most one row for each
+        listed = F.col(type_col).isin(list(types))
+        g = tot.filter(listed).join(F.broadcast(stats.filter(listed)), type_col, "inner")
     grade = clip(F.lit(GRADE_CENTER) + GRADE_SCALE * F.try_divide(F.col(value) - F.col("type_mean"),
                                                                     F.col("type_std")), GRADE_LO, GRADE_HI)
     return g.withColumn("pitch_grade", grade).join(pos, list(keys), "left")
