@@ -14,7 +14,7 @@ from moundlake.schemas import (
 )
 
 __all__ = [
-    "col_of", "drop_missing", "nan_to_null", "season", "mirror_by_hand", "recode",
+    "col_of", "drop_missing", "season", "mirror_by_hand", "recode",
     "case_map", "swing_flag", "whiff_flag", "statcast_flags", "clip", "batted_ball_flag",
     "pitch_position", "total_bases", "woba_value", "normalise_range", "strip_id",
     "strip_column_names", "percent_scale", "format_metric", "is_iso_date", "team_by_half",
@@ -38,12 +38,6 @@ def drop_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df if cond is None else df.filter(cond)
 
 
-def nan_to_null(c: str | Column) -> Column:
-    """NaN and null both mean missing; normalise to null."""
-    x = col_of(c)
-    return F.when(~F.isnan(x), x)
-
-
 def season(date_col: str | Column) -> Column:
     """P10: year of an ISO date string, date or timestamp."""
     return F.year(F.to_date(col_of(date_col))).cast("long")

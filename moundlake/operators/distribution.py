@@ -3,21 +3,25 @@
 
 KDEs are exact and linear: points are first reduced to distinct values (or
 to bins, optionally) with their counts, then each distinct value is combined
-with a small broadcast evaluation grid and summed per grid point. Work is
-|distinct| x |grid|, never points x points."""
+with the evaluation grid (in two dimensions: with the grid points in the kernel's reach) and summed per grid point.
+Work is at most |distinct| x |grid|, never points x points."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moundlake.functions.mathx import normal_cdf
 from moundlake.operators.summary import first_by_time, home_road_pivot
 
 
+#: Kernel deviations beyond which a point's contribution (below exp(-8.5^2 / 2) of its peak) is left out.
+KERNEL_REACH = 8.5
+
+
 def home_flag(df: DataFrame, game: str = "game_id", team: str = "pitcher_team",
               order: Sequence[str] = ("start_time", "ab_number", "index_play")) -> DataFrame:
     """Home team of a game = pitching team of its first pitch (T23); flag rows."""
@@ -96,8 +100,9 @@ def kde_2d(df: DataFrame, x: str, y: str, x_range: tuple[float, float], y_range:
 
     Kernel covariance H = f^2 S (S = sample covariance); the 2x2 inverse and
     determinant are closed form. Optional ``weight`` (unused by the reference).
-    Distinct (x, y) pairs (or bins, ``bin_size``) with counts are combined with a
-    broadcast grid."""
+    Distinct (x, y) pairs (or bins, ``bin_size``) with counts add to the grid points within ``KERNEL_REACH`` kernel
+    deviations per axis; what lies beyond is below 1e-15 of the kernel's peak. The kernel narrows as rows are added, so a
+    point meets ever fewer grid points."""
     spark = df.sparkSession
     src = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     wcol = F.col(weight) if weight else F.lit(1.0)
@@ -114,19 +119,31 @@ def kde_2d(df: DataFrame, x: str, y: str, x_range: tuple[float, float], y_range:
         byy = (F.floor(F.col(y) / bin_size) + 0.5) * bin_size
     else:
         bx, byy = F.col(x), F.col(y)
+    from moundlake.operators.sequence import join_groups
+    from moundlake.session import cut_lineage
     vals = src.groupBy(*by, bx.alias("_x"), byy.alias("_y")).agg(F.sum(wcol).alias("_c"))
+    stats = cut_lineage(stats)  # one row per group, read for the points and for the grid
     gx = _grid(spark, "gx", x_range[0], x_range[1], points)
     gy = _grid(spark, "gy", y_range[0], y_range[1], points)
-    grid = F.broadcast(gx.crossJoin(gy))  # points^2 literal grid
-    j = vals.crossJoin(grid)
-    j = j.join(stats, list(by), "inner") if by else j.crossJoin(F.broadcast(stats))
-    dx, dy = F.col("gx") - F.col("_x"), F.col("gy") - F.col("_y")
+
+    def near(value: str, variance: str, lo: float, hi: float) -> Column:
+        """Grid indexes within the kernel's reach of a point; none if it is out of reach of the grid."""
+        step = (hi - lo) / (points - 1) if points > 1 else 1.0
+        reach = F.lit(KERNEL_REACH) * F.sqrt(variance)
+        first = F.greatest(F.lit(0), F.ceil((F.col(value) - reach - lo) / step)).cast("int")
+        last = F.least(F.lit(points - 1), F.floor((F.col(value) + reach - lo) / step)).cast("int")
+        return F.when(first <= last, F.sequence(first, last))
+
+    j = join_groups(vals, stats, list(by)).withColumn("gx_i", F.explode(near("_x", "_ha", *x_range))) \
+        .withColumn("gy_i", F.explode(near("_y", "_hd", *y_range)))
+    at = lambda i, lo, hi: F.lit(lo) + F.col(i) * ((hi - lo) / (points - 1) if points > 1 else 0.0)
+    dx, dy = at("gx_i", *x_range) - F.col("_x"), at("gy_i", *y_range) - F.col("_y")
     q = (F.col("_hd") * dx * dx - 2 * F.col("_hb") * dx * dy + F.col("_ha") * dy * dy) / F.col("_det")
-    contrib = F.col("_c") * F.exp(-0.5 * q)
-    return (j.groupBy(*by, "gx_i", "gy_i", "gx", "gy", "_wsum", "_det")
-              .agg(F.sum(contrib).alias("_s"))
-              .select(*by, "gx_i", "gy_i", "gx", "gy",
-                      (F.col("_s") / (F.col("_wsum") * 2 * math.pi * F.sqrt("_det"))).alias("density")))
+    sums = j.groupBy(*by, "gx_i", "gy_i").agg(F.sum(F.col("_c") * F.exp(-0.5 * q)).alias("_s"))
+    grid = stats.crossJoin(F.broadcast(gx.crossJoin(gy)))  # groups x points^2 rows of the result
+    return join_groups(grid, sums, [*by, "gx_i", "gy_i"], "left").select(
+        *by, "gx_i", "gy_i", "gx", "gy",
+        (F.coalesce("_s", F.lit(0.0)) / (F.col("_wsum") * 2 * math.pi * F.sqrt("_det"))).alias("density"))
 
 
 def deterministic_sample(df: DataFrame, key: str | Sequence[str], n: int, seed: int = 42) -> DataFrame:

@@ -22,10 +22,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     return F.broadcast(df) if n <= max_rows and n * width <= max_bytes else df
 
 
-def suffix_columns(df: DataFrame, suffix: str, keep: Sequence[str] = ()) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`").alias(c if c in keep else f"{c}{suffix}") for c in df.columns])
-
-
 def join_suffixed(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
                   suffix: str = "_right") -> DataFrame:
     """Join where overlapping non-key names on the right get ``suffix``."""

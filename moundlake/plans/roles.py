@@ -131,14 +131,6 @@ def pa_with_gaps(pa: DataFrame) -> DataFrame:
                   .otherwise(F.col("value"))})
 
 
-def pitches_with_team(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pitches with the pitcher's team = nation of the supplier (star join; the
-    planner picks broadcast or sort-merge from the dimension's size)."""
-    sup = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("pitcher_id"),
-                                                  F.col("s_nationkey").alias("pitcher_team"))
-    return pitches(spark, sf_dir).join(sup, "pitcher_id", "inner")
-
-
 def events_as_pa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as plate appearances of batters (user_id)."""
     ev = table(spark, sf_dir, "events")

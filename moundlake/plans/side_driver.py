@@ -351,6 +351,16 @@ def feed_events(spark, sf):
                           "type_ab", "event_type", "start_speed", "release_pos_x", "release_pos_z", "z_release_point"))
 
 
+def run_value_mapped(spark, sf):
+    """M24 with the event map (P7): events are grouped before the first lookup, unlisted ones fall through to the
+    description."""
+    from moundlake.operators import targets
+    from moundlake.schemas import EVENT_OUTCOME
+    p = roles.pitches(spark, sf).withColumn("event_type", F.when(F.col("event_type") == "field_out", roles._cycle(
+        ["field_out", "double_play", "field_error", "sac_fly", "never_seen"], F.pmod("tb_p", F.lit(5)))).otherwise(F.col("event_type")))
+    return _r(targets.run_value_target(p, roles.run_values(spark), event_map=EVENT_OUTCOME).select("pitch_uid", "outcome", "target"))
+
+
 def _model_rows(spark, sf) -> DataFrame:
     from moundlake.operators import targets
     from moundlake.schemas import MODEL_FEATURES
@@ -384,4 +394,4 @@ def model_quality(spark, sf):
 SIDE_QUERIES = {f.__name__: f for f in (
     leagues_sports, game_type_values, people_rows, player_lookup, games_of_types, game_log_lines, requested_games, csv_round_trip,
     batting_board, season_tables, statcast_rows, fielding_and_framing, qualified_percentiles, arsenal_table, batter_arsenal,
-    team_boards, leaderboard_woba, fastball_features_all, hash_split, scalar_columns, whiff_lookup, feed_events, robust_scaling, model_quality)}
+    team_boards, leaderboard_woba, fastball_features_all, hash_split, scalar_columns, whiff_lookup, feed_events, robust_scaling, model_quality, run_value_mapped)}

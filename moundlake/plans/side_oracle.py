@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from moundlake.functions.mathx import normal_cdf_sql
-from moundlake.plans.oracle import KNN_SEASON, SCORED, SWING, TARGET, TEAM, WHIFF, WOBA_A
+from moundlake.plans.oracle import KNN_SEASON, OUTCOME, SCORED, SWING, TARGET, TEAM, WHIFF, WOBA_A
 from moundlake.plans.oracle_views import with_views
-from moundlake.schemas import PITCH_TYPE_NAMES
+from moundlake.schemas import EVENT_OUTCOME, PITCH_TYPE_NAMES
 
 WOBA_B = ("CASE event_type WHEN 'walk' THEN 0.684 WHEN 'hit_by_pitch' THEN 0.715 WHEN 'single' THEN 0.880 "
           "WHEN 'double' THEN 1.261 WHEN 'triple' THEN 1.604 WHEN 'home_run' THEN 2.085 ELSE 0.0 END")
@@ -239,3 +239,14 @@ SIDE_ORACLE["model_quality"] = with_views(f"""
 SELECT count(*) AS scored, CAST(0 AS BIGINT) AS missing, TRUE AS better_than_mean, CAST(10 AS INTEGER) AS features,
        CAST(1.0 AS DOUBLE) AS importance_sum FROM ({_MODEL})
 """, "pitches", "rv")
+
+_GROUPED = "CASE ev " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in EVENT_OUTCOME.items() if v) + " END"
+SIDE_ORACLE["run_value_mapped"] = with_views(f"""
+WITH p AS (SELECT *, {OUTCOME} AS outcome, CASE WHEN event_type <> 'field_out' OR event_type IS NULL THEN event_type ELSE
+             CASE tb_p % 5 WHEN 0 THEN 'field_out' WHEN 1 THEN 'double_play' WHEN 2 THEN 'field_error' WHEN 3 THEN 'sac_fly'
+                           ELSE 'never_seen' END END AS ev FROM pitches),
+g AS (SELECT *, {_GROUPED} AS grouped FROM p)
+SELECT pitch_uid, outcome, round(coalesce(a.delta_run_exp, b.delta_run_exp), 6) AS target
+FROM g LEFT JOIN rv a ON a.event = g.grouped AND a.balls = g.balls AND a.strikes = g.strikes
+LEFT JOIN rv b ON b.event = g.outcome AND b.balls = g.balls AND b.strikes = g.strikes
+""", "pitches", "rv")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moundlake.schemas import PITCHING_BOARD, STATCAST
+from moundlake.schemas import PITCHING_BOARD
 
 
 def leaderboard_json(spark: SparkSession, path, schema: T.StructType = PITCHING_BOARD) -> DataFrame:
@@ -43,12 +43,6 @@ def statcast_batter(rows: DataFrame, batter_id: int, start: str, end: str) -> Da
                        F.col("game_date").between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
 
 
-def read_statcast(spark: SparkSession, path, fmt: str = "parquet") -> DataFrame:
-    if fmt == "csv":
-        return read_csv(spark, path, STATCAST)
-    return spark.read.schema(STATCAST).parquet(path)
-
-
 def fielding_framing(fielding: DataFrame, framing: DataFrame, min_attempts: int = 5,
                      attempts_col: str = "called_pitches") -> DataFrame:
     """Framing rows with a minimum sample, renamed to the card's names, then J9."""
