@@ -260,6 +260,25 @@ def test_trailing_means_over_chunks_and_partitions(spark, monkeypatch):
                 assert seq == k + 1 and (r == pytest.approx(sum(last) / window) if full else r is None)
 
 
+def test_rolling_mean_newest_first(spark):
+    df = spark.createDataFrame([("a", t, float(t)) for t in range(6)] + [("b", 1, 5.0)], "g string, t int, v double")
+    got = [(r.g, r.seq, r.m) for r in summary.rolling_mean(df, ["g"], ["t"], {"m": "v"}, window=3, newest_first=True).collect()]
+    assert got == [("a", 6, 4.0), ("a", 5, 3.0), ("a", 4, 2.0), ("a", 3, 1.0), ("a", 2, None), ("a", 1, None), ("b", 1, None)]
+
+
+def test_grades_only_for_listed_types(spark):
+    rows = [(p, 2024, t, g, 100.0 + p) for p in range(3) for t in ("FF", "EP") for g in range(12)]
+    df = spark.createDataFrame(rows, "pitcher_id int, year int, pitch_type string, game_id int, stuff_plus double")
+    assert {r.pitch_type for r in stuff.pitch_grades(df).collect()} == {"FF", "All"}
+    assert {r.pitch_type for r in stuff.pitch_grades(df, types=None).collect()} == {"FF", "EP", "All"}
+
+
+def test_robust_scale(spark):
+    df = spark.createDataFrame([(float(i), 5.0) for i in range(9)], "a double, b double")
+    got = [(r.a_scaled, r.b_scaled) for r in stuff.robust_scale(df, ["a", "b"]).orderBy("a").collect()]
+    assert got == [((i - 4.0) / 4.0, None) for i in range(9)]
+
+
 def test_percent_ranks_null_keys_nan_and_flips(spark):
     from moundlake.operators.sequence import percent_ranks
     df, rows = _gappy(spark)
