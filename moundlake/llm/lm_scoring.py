@@ -100,7 +100,8 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, id_col: str = "
     size = len(vocab) + 2
     sent = spark.sparkContext.broadcast(vocab)  # at most ``words`` words
     chosen = target.select("doc_id").where("doc_id is not null").distinct().withColumn("in_target", F.lit(True))
-    coded = _encode(rows, sent).join(chosen, "doc_id", "left").withColumn("in_target", F.coalesce("in_target", F.lit(False)))
+    # one plan at every size: the target ids grow with the data
+    coded = _encode(rows, sent).join(chosen.hint("merge"), "doc_id", "left").withColumn("in_target", F.coalesce("in_target", F.lit(False)))
     coded = put_down(coded.withColumn("chunk", F.shiftright(F.monotonically_increasing_id(), chunk_rows_log2)), "word-ids")
 
     background, of_target, n_chunks = _unigrams(coded, size)
