@@ -9,10 +9,11 @@ Cuts come in two kinds:
 
 * between a non-space character and white space after it. Tokens carry white space in front, never
   behind, and the pre-tokenizer always breaks there, so a chunk depends on nothing outside it.
-  Chunks repeat in natural text: their ids are kept in a bounded memo per task.
-* inside a pre-token of a long chunk, between bytes whose pair occurs in no token. These bound the
+* inside every pre-token of a chunk, between bytes whose pair occurs in no token. These bound the
   work of the merge loop on long runs (base64, repeated signs).
 
+Chunks and pre-tokens repeat in natural text: the ids of short ones are kept in two bounded memos per task.
+
 Defined results: a null text counts as empty, an empty text has no ids and decodes to the empty
 string; ``<|endoftext|>`` in a text becomes its special id, as the tokenizers library does; repeated
 rows give repeated results; extra columns are ignored.
@@ -32,10 +33,12 @@ from moundlake.llm.common import table, text_or_empty
 #: The pre-tokenizer's pattern and the characters Unicode calls white space.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: Entries a task's memo holds before it is emptied.
+#: Entries a task's memos hold before they are emptied.
 MEMO = 300_000
-#: Characters up to which a chunk is kept in the memo and needs no cuts inside.
+#: Characters up to which a chunk or pre-token is kept in its memo.
 SHORT = 48
+#: Rank of a pair that no merge joins.
+NEVER = 1 << 62
 #: Rows handed back to Spark at a time.
 ROWS_OUT = 512
 
@@ -71,18 +74,15 @@ class ForcedBoundaryBpe:
         for rank, m in enumerate(conf["model"]["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
             self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
+        self.rank = {(a << 32) | b: rank for (a, b), (rank, _) in self.merges.items()}
+        self.first = [self.rank.get((a << 32) | b, NEVER) for a in self.byte_id for b in self.byte_id]  # by pair of bytes
+        self.made = {rank: new for rank, new in self.merges.values()}
         self.joined = {(x << 8) | y for b in as_bytes.values() for x, y in zip(b, b[1:])}
         self.pre_token = regex.compile(PRE_TOKEN)
         self.chunk = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
         self.at_special = re.compile("(" + "|".join(re.escape(s) for s in self.special) + ")") if self.special else None
         self.memo: dict[str, tuple[int, ...]] = {}
-        #: Short chunks go to the compiled merge loop where ids follow the order of merges, as it expects.
-        self.short = None
-        order = [new for _, new in self.merges.values()]
-        if order == sorted(order):
-            import tiktoken
-            ranks = {b: i for i, b in enumerate(self.token_bytes) if i not in set(self.special.values())}
-            self.short = tiktoken.Encoding("vocabulary", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
+        self.word_memo: dict[str, list[int]] = {}
 
     def forced(self, a: int, b: int) -> bool:
         """Whether no token holds byte ``a`` followed by byte ``b``."""
@@ -90,37 +90,29 @@ class ForcedBoundaryBpe:
 
     def fragments(self, data: bytes) -> list[bytes]:
         """A pre-token's bytes, split at every forced boundary."""
-        joined, out, start = self.joined, [], 0
-        for i in range(1, len(data)):
-            if (data[i - 1] << 8) | data[i] not in joined:
-                out.append(data[start:i])
-                start = i
-        out.append(data[start:])
-        return out
+        joined = self.joined
+        cuts = [i for i, (a, b) in enumerate(zip(data, data[1:]), 1) if (a << 8) | b not in joined]
+        return [data[a:b] for a, b in zip([0, *cuts], [*cuts, len(data)])] if cuts else [data]
 
     def merge(self, data: bytes) -> list[int]:
         """Merge one fragment: lowest rank first, leftmost among equals."""
         ids = [self.byte_id[b] for b in data]
         if len(ids) > 48:
             return self._merge_long(ids)
-        get = self.merges.get
-        while len(ids) > 1:
-            best, new, a, b = None, 0, 0, 0
-            for x, y in zip(ids, ids[1:]):
-                m = get((x, y))
-                if m is not None and (best is None or m[0] < best):
-                    best, new, a, b = m[0], m[1], x, y
-            if best is None:
+        rank, made = self.rank.get, self.made
+        first = self.first
+        ranks = [first[(a << 8) | b] for a, b in zip(data, data[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == NEVER:
                 break
-            out, i, last = [], 0, len(ids) - 1
-            while i <= last:
-                if i < last and ids[i] == a and ids[i + 1] == b:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+            i = ranks.index(best)
+            ids[i] = new = made[best]
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = rank((ids[i - 1] << 32) | new, NEVER)
+            if i < len(ranks):
+                ranks[i] = rank((new << 32) | ids[i + 1], NEVER)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -143,12 +135,19 @@ class ForcedBoundaryBpe:
                 heapq.heappush(heap, (m[0], prv[i], ids[prv[i]], new, m[1]))
         return [x for x in ids if x >= 0]
 
+    def encode_word(self, word: str) -> list[int]:
+        """The ids of a pre-token: its fragments merged one by one."""
+        ids = [i for f in self.fragments(word.encode()) for i in self.merge(f)]
+        if len(self.word_memo) >= MEMO:
+            self.word_memo.clear()
+        if len(word) <= SHORT:
+            self.word_memo[word] = ids
+        return ids
+
     def encode_chunk(self, chunk: str) -> tuple[int, ...]:
-        if self.short and len(chunk) <= SHORT:
-            ids = self.short.encode_ordinary(chunk)
-        else:
-            ids = [i for word in self.pre_token.findall(chunk) for f in self.fragments(word.encode()) for i in self.merge(f)]
-        ids = tuple(ids)  # the collector does not track tuples of numbers
+        get = self.word_memo.get
+        # the collector does not track tuples of numbers
+        ids = tuple([i for word in self.pre_token.findall(chunk) for i in get(word) or self.encode_word(word)])
         if len(self.memo) >= MEMO:
             self.memo.clear()
         if len(chunk) <= SHORT:

@@ -50,6 +50,22 @@ def test_bpe_equals_library(spark, texts):
         assert r.decoded_sha256 == hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_bpe_cuts_every_pre_token(monkeypatch, texts):
+    """No chunk goes to a library, however short: every pre-token passes the byte-pair cuts and the merge loop."""
+    import sys
+    from moundlake.llm import bpe
+    monkeypatch.setitem(sys.modules, "tiktoken", None)
+    own = bpe.ForcedBoundaryBpe(open(bpe.tokenizer_path(), encoding="utf-8").read())
+    cut, merged, cuts, merge = set(), set(), own.fragments, own.merge
+    monkeypatch.setattr(own, "fragments", lambda data: cut.add(data) or cuts(data))
+    monkeypatch.setattr(own, "merge", lambda data: merged.add(data) or merge(data))
+    for t in filter(None, texts):
+        own.encode(t)
+        words = {w.encode() for part in t.split("<|endoftext|>") for c in own.chunk.findall(part) for w in own.pre_token.findall(c)}
+        assert words <= cut
+        assert {f for w in words for f in cuts(w)} <= merged
+
+
 def test_bpe_random_strings_and_cuts():
     from tokenizers import Tokenizer
     from moundlake.llm import bpe
