@@ -1,16 +1,18 @@
 """Document scoring by cross-entropy difference of two bigram models.
 
-Both models are over the same vocabulary (the most frequent words of the background, an unknown-word class and a start sign), use
+Both models are over the same vocabulary (every word of the background, an unknown-word class and a start sign), use
 the same interpolation P(w|h) = L c(h,w)/c(h) + (1-L) (c(w)+1)/(N+V), and differ only in their corpus: the background
 model counts every document, the target model the documents given as target. A document's score is the
 mean over its tokens of loss(target) - loss(background), in nats: the lower, the more like the target.
 
-1. Words of all documents are counted; the cut-off is the smallest count that leaves at most ``VOCABULARY`` words.
-2. Documents become arrays of word numbers (two bytes each) in chunks of ``CHUNK_ROWS`` rows.
-3. Every chunk sends its distinct bigrams with both counts to shards chosen by hash; a shard adds the counts of
-   all chunks up and sends the loss difference of each bigram back to the chunks that asked. The number of shards
-   follows the number of chunks, so a shard's size does not grow, and the whole bigram table is never in one place.
-4. Each chunk scores its documents. Only the vocabulary with its counts is broadcast.
+1. Documents become arrays of 64-bit word hashes in chunks of ``CHUNK_ROWS_LOG2`` rows; words and tokens are counted. In storage
+   the ``CODES`` most frequent words take two bytes and only the others their hash: it saves disk and changes no score.
+2. Every chunk sends its distinct words and bigrams with their counts in both corpora to shards chosen by hash; a shard adds the
+   counts of all chunks up and sends the sums back to the chunks that asked. The number of shards follows the number of
+   chunks, so a shard's size does not grow, and neither the words nor the bigrams are ever all in one place.
+3. Each chunk scores its documents. Only the short codes are broadcast. If the caller limits the vocabulary, the words below the
+   smallest count that leaves at most ``words`` of them are
+   one unknown class.
 
 Defined results: a null or empty text, or one without words, has 0 tokens and a null score; equal texts get equal scores; without any
 target document the target model is the smoothed uniform one; an empty table gives no rows; null ids are scored as part of
@@ -27,13 +29,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from moundlake.llm.common import drop_table, put_down, table, text_or_empty
 
-VOCABULARY = 30_000
 CHUNK_ROWS_LOG2 = 13
 LAMBDA = 0.7
 _WORD = re.compile(r"\w+")
+#: Keys of the start sign and of the unknown class, and documents whose words are hashed at a time.
+START, UNKNOWN = 0, 1
+#: Words with a two-byte code, and the code of all others.
+CODES, RARE = 30_000, 0xFFFF
+ROWS_HASHED = 512
 
 
-def vocabulary(rows: DataFrame, most: int = VOCABULARY) -> list[str]:
+def vocabulary(rows: DataFrame, most: int) -> list[str]:
     """The words of ``rows.text`` whose count reaches the smallest cut-off that leaves at most ``most``."""
     words = rows.select(F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}_]+")).alias("word")).where("word <> ''")
     counts = put_down(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "word-counts")
@@ -49,31 +55,65 @@ def vocabulary(rows: DataFrame, most: int = VOCABULARY) -> list[str]:
     return found
 
 
-def _encode(rows: DataFrame, sent) -> DataFrame:
-    """doc_id, ids (two bytes a word)."""
+def _encode(rows: DataFrame, codes, sent) -> DataFrame:
+    """doc_id, ids (two bytes a word), rare (hashes of the words without a code); with a vocabulary ``sent``, others are unknown."""
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
-        number = {w: k for k, w in enumerate(sent.value)}
-        unknown, get = len(number), number.get
+        get = {w: k for k, w in enumerate(codes.value)}.get
+        known = None if sent is None else set(sent.value)
         for batch in batches:
-            ids = [np.array([get(w, unknown) for w in _WORD.findall(t.lower())], dtype=np.uint16).tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "ids": ids})
+            for at in range(0, len(batch), ROWS_HASHED):
+                part = batch.iloc[at:at + ROWS_HASHED]
+                found = [_WORD.findall(t.lower()) for t in part["text"]]
+                ids = [np.array([get(w, RARE) for w in f], dtype=np.uint16) for f in found]
+                others = [[f[k] for k in np.flatnonzero(i == RARE)] for f, i in zip(found, ids)]
+                flat = [w for o in others for w in o]
+                keys = _hashes(flat)
+                if known is not None:
+                    keys[np.array([w not in known for w in flat], dtype=bool)] = UNKNOWN
+                ends = np.cumsum([len(o) for o in others])
+                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "ids": [i.tobytes() for i in ids],
+                                    "rare": [keys[e - len(o):e].tobytes() for o, e in zip(others, ends)]})
+
+    return rows.mapInPandas(run, f"doc_id {kind}, ids binary, rare binary")
+
+
+def _hashes(words: list[str]):
+    import numpy as np
+    return pd.util.hash_array(np.array(words, dtype=object)) if words else np.zeros(0, dtype=np.uint64)
+
 
-    return rows.mapInPandas(run, f"doc_id {kind}, ids binary")
+def _keys(pdf: pd.DataFrame, hashes):
+    """The hash of every token."""
+    import numpy as np
+    ids = np.frombuffer(b"".join(pdf["ids"]), dtype=np.uint16)
+    keys = hashes[ids]
+    keys[ids == RARE] = np.frombuffer(b"".join(pdf["rare"]), dtype=np.uint64)
+    return keys
 
 
-def _bigrams(ids, size: int):
-    """(bigram keys, row of each) of documents as arrays of word numbers; the start sign is ``size - 1``."""
+def _count(pdf: pd.DataFrame, hashes):
+    """Distinct words (the start sign first) and distinct bigrams of documents, in an order that does
+    not depend on the rows': words; bigrams as (history, word) numbers; the bigram and the row of each token."""
+    import numpy as np
+    lengths = np.array([len(b) // 2 for b in pdf["ids"]], dtype=np.int64)
+    words, number = np.unique(_keys(pdf, hashes), return_inverse=True)
+    number = number.astype(np.int64) + 1
+    before = np.empty_like(number)
+    before[1:] = number[:-1]
+    before[(np.cumsum(lengths) - lengths)[lengths > 0]] = 0
+    words = np.concatenate([np.array([START], dtype=np.uint64), words])
+    pairs, inverse = np.unique(before * len(words) + number, return_inverse=True)
+    return words, (pairs // len(words), pairs % len(words)), inverse, np.repeat(np.arange(len(lengths)), lengths)
+
+
+def _pair_keys(words, pairs):
     import numpy as np
-    lengths = np.array([len(b) // 2 for b in ids], dtype=np.int64)
-    words = np.frombuffer(b"".join(ids), dtype=np.uint16).astype(np.uint32)
-    before = np.empty_like(words)
-    before[1:] = words[:-1]
-    starts = (np.cumsum(lengths) - lengths)[lengths > 0]
-    before[starts] = size - 1
-    return before * np.uint32(size) + words, np.repeat(np.arange(len(lengths)), lengths)
+    x = words[pairs[0]] * np.uint64(0x9E3779B97F4A7C15) + words[pairs[1]]
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(31))
 
 
 def _shard(keys, shards: int):
@@ -91,92 +131,94 @@ def _split(keys, shards: int):
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                             words: int = VOCABULARY, weight: float = LAMBDA, chunk_rows_log2: int = CHUNK_ROWS_LOG2) -> DataFrame:
+                             words: int | None = None, weight: float = LAMBDA, chunk_rows_log2: int = CHUNK_ROWS_LOG2) -> DataFrame:
     """doc_id, n_tokens, score, in_target for every row of ``docs``; ``target`` holds the ids (doc_id) of the target corpus."""
     import numpy as np
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(f"`{text_col}`").alias("text"))
-    vocab = vocabulary(rows, words)
-    size = len(vocab) + 2
-    sent = spark.sparkContext.broadcast(vocab)  # at most ``words`` words
+    sent = None if words is None else spark.sparkContext.broadcast(vocabulary(rows, words))  # at most ``words`` words
+    frequent = vocabulary(rows, CODES if words is None else min(words, CODES))
+    codes = spark.sparkContext.broadcast(frequent)
+    table_of = np.zeros(RARE + 1, dtype=np.uint64)
+    table_of[:len(frequent)] = _hashes(frequent)
+    hashes = spark.sparkContext.broadcast(table_of)
     chosen = target.select("doc_id").where("doc_id is not null").distinct().withColumn("in_target", F.lit(True))
-    # one plan at every size: the target ids grow with the data
-    coded = _encode(rows, sent).join(chosen.hint("merge"), "doc_id", "left").withColumn("in_target", F.coalesce("in_target", F.lit(False)))
-    coded = put_down(coded.withColumn("chunk", F.shiftright(F.monotonically_increasing_id(), chunk_rows_log2)), "word-ids")
-
-    background, of_target, n_chunks = _unigrams(coded, size)
+    coded = _encode(rows, codes, sent).withColumn("at", F.monotonically_increasing_id())
+    coded = put_down(coded.withColumn("chunk", F.shiftright("at", chunk_rows_log2)), "word-ids")
+    # one plan at every size: the target ids grow with the data; the places of the target's rows go to their chunks
+    places = coded.select("doc_id", "at", "chunk", (F.octet_length("ids") / 2).alias("n")).join(chosen.hint("merge"), "doc_id", "left_semi")
+    places = put_down(places.select("at", "chunk", "n"), "target-rows")
+    size, tokens, n_chunks = _totals(coded, places, hashes)
     shards = max(12, n_chunks)
-    history = tuple(np.maximum(c[0], 1).astype(np.float64) for c in (background, of_target))  # times each word is a history
-    single = tuple((c[1] + 1.0) / (c[1].sum() + size) for c in (background, of_target))
-    tables = spark.sparkContext.broadcast((history, single))  # four numbers a word of the vocabulary
-
-    def ask(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, row = _bigrams(pdf["ids"], size)
-        distinct, inverse = np.unique(keys, return_inverse=True)
-        both = np.bincount(inverse, minlength=len(distinct)).astype(np.uint32)
-        mine = np.bincount(inverse, weights=pdf["in_target"].to_numpy()[row], minlength=len(distinct)).astype(np.uint32)
-        order, cuts = _split(distinct, shards)
-        some = [k for k in range(shards) if cuts[k + 1] > cuts[k]]
+
+    def ask(pdf: pd.DataFrame, chosen_rows: pd.DataFrame) -> pd.DataFrame:
+        mine = pdf["at"].isin(chosen_rows["at"]).to_numpy()
+        seen, pairs, inverse, row = _count(pdf, hashes.value)
+        n = np.bincount(inverse, minlength=len(pairs[0]))
+        t = np.bincount(inverse, weights=mine[row], minlength=len(pairs[0]))
+        # of each word, times a history and times a word, in both corpora
+        times = np.stack([np.bincount(p, weights=c, minlength=len(seen)) for c in (n, t) for p in pairs], axis=1).astype(np.uint32)
+        keys, n, t = _pair_keys(seen, pairs), n.astype(np.uint32), t.astype(np.uint32)
+        (order, cuts), (w_order, w_cuts) = _split(keys, shards), _split(seen, shards)
+        some = [k for k in range(shards) if cuts[k + 1] > cuts[k] or w_cuts[k + 1] > w_cuts[k]]
         piece = lambda x, k: x[order[cuts[k]:cuts[k + 1]]].tobytes()
+        w_piece = lambda x, k: x[w_order[w_cuts[k]:w_cuts[k + 1]]].tobytes()
         return pd.DataFrame({"chunk": pdf["chunk"].iloc[0], "shard": np.array(some, dtype="int32"),
-                             "keys": [piece(distinct, k) for k in some], "n": [piece(both, k) for k in some],
-                             "t": [piece(mine, k) for k in some]})
+                             "keys": [piece(keys, k) for k in some], "n": [piece(n, k) for k in some],
+                             "t": [piece(t, k) for k in some], "words": [w_piece(seen, k) for k in some],
+                             "times": [w_piece(times, k) for k in some]})
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        (h_b, h_t), (p_b, p_t) = tables.value
-        keys = np.frombuffer(b"".join(pdf["keys"]), dtype=np.uint32)
-        distinct, inverse = np.unique(keys, return_inverse=True)
-        n = np.bincount(inverse, weights=np.frombuffer(b"".join(pdf["n"]), dtype=np.uint32), minlength=len(distinct))
-        t = np.bincount(inverse, weights=np.frombuffer(b"".join(pdf["t"]), dtype=np.uint32), minlength=len(distinct))
-        h, w = (distinct // np.uint32(size)).astype(np.int64), (distinct % np.uint32(size)).astype(np.int64)
-        value = (np.log(weight * n / h_b[h] + (1 - weight) * p_b[w])
-                 - np.log(weight * t / h_t[h] + (1 - weight) * p_t[w])).astype(np.float32)
-        spread, ends = value[inverse], np.cumsum([len(k) // 4 for k in pdf["keys"]])
+        def summed(keys, counts, kind):
+            """The sums of each column of ``counts`` over equal keys, cut like ``keys``."""
+            distinct, inverse = np.unique(np.frombuffer(b"".join(keys), dtype=np.uint64), return_inverse=True)
+            counts = [np.bincount(inverse, weights=c, minlength=len(distinct)).astype(kind)[inverse] for c in counts]
+            ends = np.cumsum([len(k) // 8 for k in keys])
+            both = np.stack(counts, axis=1)
+            return [both[e - len(k) // 8:e].tobytes() for k, e in zip(keys, ends)]
+
+        read = lambda c: np.frombuffer(b"".join(pdf[c]), dtype=np.uint32)
         return pd.DataFrame({"chunk": pdf["chunk"].to_numpy(), "shard": pdf["shard"].to_numpy(),
-                             "losses": [spread[e - len(k) // 4:e].tobytes() for k, e in zip(pdf["keys"], ends)]})
+                             "pairs": summed(pdf["keys"], (read("n"), read("t")), np.float32),
+                             "times": summed(pdf["words"], read("times").reshape(-1, 4).T, np.float64)})
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        keys, row = _bigrams(left["ids"], size)
-        distinct, inverse = np.unique(keys, return_inverse=True)
-        order, _ = _split(distinct, shards)
-        losses = np.empty(len(distinct), dtype=np.float32)
-        losses[order] = np.frombuffer(b"".join(right.sort_values("shard")["losses"]), dtype=np.float32)
+        seen, pairs, inverse, row = _count(left, hashes.value)
+        right = right.sort_values("shard")
+        sums, times = np.empty((len(pairs[0]), 2), dtype=np.float32), np.empty((len(seen), 4))
+        sums[_split(_pair_keys(seen, pairs), shards)[0]] = np.frombuffer(b"".join(right["pairs"]), dtype=np.float32).reshape(-1, 2)
+        times[_split(seen, shards)[0]] = np.frombuffer(b"".join(right["times"]), dtype=np.float64).reshape(-1, 4)
+        losses = 0.0
+        for k, sign in enumerate((1, -1)):
+            history, single = np.maximum(times[:, 2 * k], 1), (times[:, 2 * k + 1] + 1) / (tokens[k] + size)
+            losses = losses + sign * np.log(weight * sums[:, k] / history[pairs[0]] + (1 - weight) * single[pairs[1]])
         n = np.bincount(row, minlength=len(left))
-        total = np.bincount(row, weights=losses[inverse].astype(np.float64), minlength=len(left))
+        total = np.bincount(row, weights=losses[inverse], minlength=len(left))
         mean = np.where(n > 0, total / np.maximum(n, 1), np.nan)
-        return pd.DataFrame({"doc_id": left["doc_id"].to_numpy(), "n_tokens": n.astype("int64"), "score": mean,
-                             "in_target": left["in_target"].to_numpy()})
+        return pd.DataFrame({"doc_id": left["doc_id"].to_numpy(), "n_tokens": n.astype("int64"), "score": mean})
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    asked = coded.groupBy("chunk").applyInPandas(ask, "chunk long, shard int, keys binary, n binary, t binary")
-    answered = asked.groupBy("shard").applyInPandas(answer, "chunk long, shard int, losses binary")
+    asked = coded.groupBy("chunk").cogroup(places.groupBy("chunk")).applyInPandas(
+        ask, "chunk long, shard int, keys binary, n binary, t binary, words binary, times binary")
+    answered = asked.groupBy("shard").applyInPandas(answer, "chunk long, shard int, pairs binary, times binary")
     scored = coded.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInPandas(
-        score, f"doc_id {kind}, n_tokens long, score double, in_target boolean")
+        score, f"doc_id {kind}, n_tokens long, score double")
+    scored = scored.join(chosen.hint("merge"), "doc_id", "left").withColumn("in_target", F.coalesce("in_target", F.lit(False)))
     return scored.withColumn("score", F.when(F.col("n_tokens") > 0, F.col("score")))
 
 
-def _unigrams(coded: DataFrame, size: int):
-    """((times a history, times a word) by word, for background and target) and the number of chunks."""
+def _totals(coded: DataFrame, places: DataFrame, hashes):
+    """Size of the vocabulary with the unknown class and the start sign, tokens of (background, target), number of chunks."""
     import numpy as np
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = np.zeros((2, 2, size), dtype=np.int64)
         for batch in batches:
-            keys, row = _bigrams(batch["ids"], size)
-            mine = batch["in_target"].to_numpy()[row]
-            for k, part in enumerate((keys, keys[mine])):
-                seen[k, 0] += np.bincount(part // np.uint32(size), minlength=size)
-                seen[k, 1] += np.bincount(part % np.uint32(size), minlength=size)
-        some = np.flatnonzero(seen.any(axis=(0, 1)))
-        yield pd.DataFrame({"word": some, "bh": seen[0, 0][some], "bw": seen[0, 1][some], "th": seen[1, 0][some], "tw": seen[1, 1][some]})
-
-    parts = coded.select("ids", "in_target").mapInPandas(count, "word long, bh long, bw long, th long, tw long")
-    summed = parts.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("bh", "bw", "th", "tw")]).collect()  # a row a word of the vocabulary
-    out = np.zeros((4, size), dtype=np.int64)
-    for r in summed:
-        out[:, r.word] = r.bh, r.bw, r.th, r.tw
-    n_chunks = coded.agg(F.count_distinct("chunk")).first()[0]
-    return out[:2], out[2:], n_chunks
+            words = np.unique(_keys(batch, hashes.value))
+            yield pd.DataFrame({"word": words[words != UNKNOWN].view(np.int64)})
+
+    size = coded.select("ids", "rare").mapInPandas(count, "word long").distinct().count() + 2
+    r = coded.agg(F.sum(F.octet_length("ids") / 2), F.count_distinct("chunk")).first()
+    return size, (r[0] or 0.0, places.agg(F.sum("n")).first()[0] or 0.0), r[1]
 
 
 def op9_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:

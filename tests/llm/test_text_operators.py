@@ -495,3 +495,17 @@ def test_cross_entropy_difference(spark, texts):
             want = sum(goal(h, w) - back(h, w) for h, w in zip(["<s>", *s], s)) / len(s) if s else None
             assert r.score is None if want is None else r.score == pytest.approx(want, abs=1e-4)
     assert cross_entropy_difference(docs.limit(0), target).count() == 0
+
+
+def test_cross_entropy_difference_keeps_every_word(spark):
+    """More distinct words than 30,000, each once: rare words of the target are told from those of the background."""
+    from moundlake.llm.lm_scoring import cross_entropy_difference
+    rows = [" ".join(f"r{i}x{k}" for k in range(400)) for i in range(100)]
+    docs = docs_frame(spark, rows + [rows[0], rows[1]])
+    scores = {r.doc_id: r.score for r in cross_entropy_difference(docs, spark.createDataFrame([(0,)], "doc_id long")).collect()}
+    size, n_b, n_t = 40_000 + 2, 102 * 400, 400
+    loss = lambda bi, h, w, n: -math.log(0.7 * bi / max(h, 1) + 0.3 * (w + 1) / (n + size))
+    want = {100: (loss(1, 1, 1, n_t) - loss(2, 102, 2, n_b) + 399 * (loss(1, 1, 1, n_t) - loss(2, 2, 2, n_b))) / 400,
+            101: (loss(0, 1, 0, n_t) - loss(2, 102, 2, n_b) + 399 * (loss(0, 0, 0, n_t) - loss(2, 2, 2, n_b))) / 400,
+            50: (loss(0, 1, 0, n_t) - loss(1, 102, 1, n_b) + 399 * (loss(0, 0, 0, n_t) - loss(1, 1, 1, n_b))) / 400}
+    assert {k: scores[k] for k in want} == pytest.approx(want, abs=1e-4)
