@@ -253,7 +253,8 @@ def xwoba_board(spark, sf):
 
 
 def xwoba_published(spark, sf):
-    """The expected-value board beside a published table (here: 1997 means by batter) with overlapping names; the published
+    """The expected-value board beside a published table (here: 1997 means by batter over singles and
+    home runs only) with overlapping names; the published
     side's get a suffix, batters without a published row stay."""
     p = roles.pitches(spark, sf).withColumn("woba", C.woba_value("event_type", WOBA_WEIGHTS_A))
     published = p.filter(_in_years("start_time", 1997, 1997) & F.col("event_type").isin("single", "home_run")) \

@@ -258,7 +258,8 @@ def team_boards(spark, sf):
 
 
 def leaderboard_woba(spark, sf):
-    """Per-pitcher plus score left-joined to the wOBA that pitcher allowed (null where no plate appearance ended)."""
+    """Per-pitcher plus score left-joined to the mean weight of the home runs, triples and walks that
+    pitcher allowed (null with ten or fewer of them); not the wOBA over all plate appearances."""
     sc = scored_pitches(spark, sf).groupBy("pitcher_id", "year").agg(F.count("stuff_plus").alias("count"), F.avg("stuff_plus").alias("stuff_plus"))
     p = roles.pitches(spark, sf).withColumn("woba", C.woba_value("event_type", WOBA_WEIGHTS_B))
     woba = expected.per_group_means(p.filter(F.col("event_type").isin("home_run", "triple", "walk")), ["pitcher_id", "year"], "woba",
