@@ -83,7 +83,7 @@ def people_rows(spark, sf):
 
 
 def player_lookup(spark, sf):
-    """People by last name and first name, in any case: every customer looked up under its own name."""
+    """People by last name and first name, in any case: one call, for one name, among customers with open orders."""
     from moundlake.sources.reference import lookup_player
     return lookup_player(_people(spark, sf, "O").withColumn("last_name", F.lit("Player")), "PLAYER", "building") \
         .select("player_id", "first_name", "name")
