@@ -40,7 +40,7 @@ def _sports(spark, sf) -> DataFrame:
 
 
 def leagues_sports(spark, sf):
-    """S8 and S9 on documents built from nation and region; a league's sport exists (S9 check as a semi join)."""
+    """S8 and S9 on documents built from nation and region; each league beside its sport, if there is one."""
     lg, sp = _leagues(spark, sf), _sports(spark, sf)
     return lg.join(sp, "sport_id", "left").select("league_id", "league_name", "league_abbreviation", "sport_id", "sport_code",
                                                  "sport_name", "sport_abbreviation")
