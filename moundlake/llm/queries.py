@@ -1,7 +1,7 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 
 from moundlake.llm import (
-    bpe, exact_dedup, hilbert, jaccard_join, lm_scoring, mixing, pq_dedup, token_rollup, toxicity, warc)
+    bpe, exact_dedup, hilbert, jaccard_join, lm_scoring, mixing, pow2_packing, pq_dedup, token_rollup, toxicity, warc)
 
 QUERIES = {
     "op1_pq_near_dedup": pq_dedup.op1_pq_near_dedup,
@@ -14,6 +14,7 @@ QUERIES = {
     "op8_token_rollup": token_rollup.op8_token_rollup,
     "op9_cross_entropy_difference": lm_scoring.op9_cross_entropy_difference,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_pow2_packing": pow2_packing.op11_pow2_packing,
 }
 
 ORACLE = {
