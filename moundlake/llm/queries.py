@@ -1,7 +1,7 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 
 from moundlake.llm import (
-    bpe, exact_dedup, hilbert, jaccard_join, lm_scoring, mixing, pow2_packing, pq_dedup, prefix_trie, token_rollup, toxicity, warc)
+    bpe, collocations, exact_dedup, hilbert, jaccard_join, lm_scoring, mixing, pow2_packing, pq_dedup, prefix_trie, token_rollup, toxicity, warc)
 
 QUERIES = {
     "op1_pq_near_dedup": pq_dedup.op1_pq_near_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op9_cross_entropy_difference": lm_scoring.op9_cross_entropy_difference,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     "op11_pow2_packing": pow2_packing.op11_pow2_packing,
+    "op12_collocations": collocations.op12_collocations,
     "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
@@ -25,5 +26,6 @@ ORACLE = {
     "op7_warc_segments": warc.ORACLE_OP7,
     "op8_token_rollup": token_rollup.ORACLE_OP8,
     "op10_exact_dedup": exact_dedup.ORACLE_OP10,
+    "op12_collocations": collocations.ORACLE_OP12,
     "op13_prefix_trie": prefix_trie.ORACLE_OP13,
 }
