@@ -64,3 +64,12 @@ def with_locator(df: DataFrame, file_col: str = "_llm_file", row_col: str = "_ll
         return located(df)
     except AnalysisException:
         return located(put_down(df, "staged"))
+
+
+def worker_store(name: str) -> dict:
+    """A dictionary that outlives the task in a Python worker Spark uses again. The package is shipped by value, so its
+    own globals start anew with every task; what a worker keeps hangs on a module of its own. Callers bound its size."""
+    import sys
+    import types
+    holder = sys.modules.setdefault("_moundlake_worker", types.ModuleType("_moundlake_worker"))
+    return holder.__dict__.setdefault(name, {})

@@ -9,9 +9,9 @@ The work is one pass over the texts: a task encodes its documents, cuts them, nu
 own part and hands them on; they are written once. What a part needs to know about the parts before it is one count per
 length, a table of at most (lengths x parts) rows, so the numbering is gapless in every bucket without moving the ids.
 
-Ids are those of the vocabulary's own library. A text is split between a non-space character and the white space after it,
-where that pre-tokenizer always breaks; such chunks repeat, so each task keeps the ids of short ones in a bounded memo and sends
-only chunks it has not seen to the library.
+Ids are those of the vocabulary's own library. A text is split between a non-space character and the white space after it, and
+between a run of letters and the mark after it, where that pre-tokenizer always breaks; such chunks repeat, so each Python worker keeps
+the ids of short ones in a bounded memo and sends only chunks it has not seen to the library.
 
 Defined results: a null text counts as empty, an empty text is the end mark alone (one piece of one token); repeated rows and
 equal ids are documents of their own; a null id stays null; an empty table gives no rows; further columns are ignored unless
@@ -26,44 +26,49 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from moundlake.llm.bpe import WHITE, tokenizer_path, vocabulary
-from moundlake.llm.common import put_down, table, text_or_empty
+from moundlake.llm.common import put_down, table, text_or_empty, worker_store
 from moundlake.operators.joins import broadcast_if_small
 
 #: The longest sequence, and the id that ends each document.
 LONGEST, END_ID = 2048, 1
-#: Chunks of up to this many characters are kept in the memo, which is emptied beyond this many entries.
-SHORT, MEMO = 48, 400_000
+#: Chunks of up to this many characters are kept in the memo, which is emptied beyond this many entries (about 200 bytes each).
+SHORT, MEMO = 48, 1_000_000
+#: White space and letters up to a mark, or white space and what follows it, or white space that ends the text.
+CHUNK = f"[{WHITE}]*[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,;:!?])|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+"
 #: Rows taken from a batch at a time.
 ROWS = 256
 
 
 class ChunkCoder:
-    """Ids of whole texts as little-endian 32-bit bytes."""
+    """Ids of whole texts as little-endian 32-bit bytes. The loaded library and the memo stay with the Python worker."""
 
     def __init__(self, spec: str):
         import os
+        import zlib
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
-        self.library = Tokenizer.from_str(spec)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.chunk = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.memo: dict[str, bytes] = {}
+        kept = worker_store(f"chunk coder {len(spec)} {zlib.crc32(spec.encode())}")
+        if not kept:
+            library = Tokenizer.from_str(spec)
+            library.no_truncation()
+            library.no_padding()
+            kept.update(library=library, memo={})
+        self.library, self.memo = kept["library"], kept["memo"]
+        self.chunk = re.compile(CHUNK)
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         import numpy as np
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. Texts that hold a special token's name go to the library whole."""
-        whole = {k for k, t in enumerate(texts) if self.special and self.special.search(t)}
+        whole = {k for k, t in enumerate(texts) if any(s in t for s in self.special)}
         chunks = [[] if k in whole else self.chunk.findall(t) for k, t in enumerate(texts)]
         memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
-        new = list({c for cs in chunks for c in cs if c not in memo})
+        new = list(set().union(*chunks).difference(memo))
         memo.update(zip(new, self._ids(new)))
         out = [b"".join(map(memo.__getitem__, cs)) for cs in chunks]
         for c in new:
