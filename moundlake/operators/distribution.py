@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from moundlake.functions.mathx import normal_cdf
@@ -95,9 +95,10 @@ def kde_1d(df: DataFrame, value: str, lo: float, hi: float, points: int = 200,
 
 def kde_2d(df: DataFrame, x: str, y: str, x_range: tuple[float, float], y_range: tuple[float, float],
            points: int = 50, bw_adjust: float = 0.9, by: Sequence[str] = (),
-           weight: str | None = None, bin_size: float | None = None) -> DataFrame:
+           weight: str | None = None, bin_size: float | None = None, common: bool = False) -> DataFrame:
     """2-D Gaussian KDE with full covariance, Scott factor n^(-1/6) x bw_adjust.
 
+    With ``common`` the densities of all groups together have mass 1, each its share of the rows; otherwise each group has mass 1.
     Kernel covariance H = f^2 S (S = sample covariance); the 2x2 inverse and
     determinant are closed form. Optional ``weight`` (unused by the reference).
     Distinct (x, y) pairs (or bins, ``bin_size``) with counts add to the grid points within ``KERNEL_REACH`` kernel
@@ -122,6 +123,10 @@ def kde_2d(df: DataFrame, x: str, y: str, x_range: tuple[float, float], y_range:
     from moundlake.operators.sequence import join_groups
     from moundlake.session import cut_lineage
     vals = src.groupBy(*by, bx.alias("_x"), byy.alias("_y")).agg(F.sum(wcol).alias("_c"))
+    if common:
+        stats = stats.crossJoin(F.broadcast(stats.agg(F.sum("_wsum").alias("_mass"))))  # one row
+    else:
+        stats = stats.withColumn("_mass", F.col("_wsum"))
     stats = cut_lineage(stats)  # one row per group, read for the points and for the grid
     gx = _grid(spark, "gx", x_range[0], x_range[1], points)
     gy = _grid(spark, "gy", y_range[0], y_range[1], points)
@@ -143,12 +148,25 @@ def kde_2d(df: DataFrame, x: str, y: str, x_range: tuple[float, float], y_range:
     grid = stats.crossJoin(F.broadcast(gx.crossJoin(gy)))  # groups x points^2 rows of the result
     return join_groups(grid, sums, [*by, "gx_i", "gy_i"], "left").select(
         *by, "gx_i", "gy_i", "gx", "gy",
-        (F.coalesce("_s", F.lit(0.0)) / (F.col("_wsum") * 2 * math.pi * F.sqrt("_det"))).alias("density"))
+        (F.coalesce("_s", F.lit(0.0)) / (F.col("_mass") * 2 * math.pi * F.sqrt("_det"))).alias("density"))
+
+
+def mass_levels(density: DataFrame, by: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """Per group and share the density threshold of the smallest region of cells that holds at least that share of the
+    group's mass, as filled density plots draw them: cells by falling density, cumulated. One row per group and share; groups without mass
+    have none. Cells of equal density count together, so the threshold does not depend on their order. A grid's cells are a bounded
+    number per group (``points`` squared)."""
+    by = list(by)
+    cells = density.groupBy(*by, "density").agg(F.sum("density").alias("_m")).where("_m > 0")
+    falling = Window.partitionBy(*by).orderBy(F.desc("density"))
+    cells = cells.withColumns({"_cum": F.sum("_m").over(falling), "_all": F.sum("_m").over(Window.partitionBy(*by))})
+    wanted = cells.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
+    reached = wanted.where(F.col("_cum") >= F.col("share") * F.col("_all") * (1 - 1e-9))
+    return reached.groupBy(*by, "share").agg(F.max("density").alias("level"))
 
 
 def deterministic_sample(df: DataFrame, key: str | Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """The n rows with the smallest MD5 of (seed, key columns as text): stable across runs, partitionings and
-    engines (a distributed top-n, not a collect). ``key`` must tell rows apart; equal keys are cut in key order."""
-    keys = [key] if isinstance(key, str) else list(key)
-    text = [F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys]
-    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *text).cast("binary")), *keys).limit(n)
+    engines, without a top-n in one task (``sequence.first_by_hash``). ``key`` must tell rows apart."""
+    from moundlake.operators.sequence import first_by_hash
+    return first_by_hash(df, [key] if isinstance(key, str) else list(key), n=n, seed=seed)

@@ -12,8 +12,9 @@ produces all-pairs work. Every round cuts lineage with a reliable checkpoint.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from moundlake.schemas import HBP_EVENTS, STRIKEOUT_EVENTS, WALK_EVENTS, WOBA_WEIGHTS_A
@@ -41,18 +42,78 @@ def _id_col(tid: str | Sequence[str]):
     return F.col(tid) if isinstance(tid, str) else F.struct(*[F.col(c) for c in tid])
 
 
+def _finite(*cols: str) -> Column:
+    """Neither null nor NaN nor infinite."""
+    out = F.lit(True)
+    for c in cols:
+        out = out & F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < F.lit(float("inf")))
+    return out
+
+
 def _prune_train(train: DataFrame, x: str, y: str, label: str, tid, k: int) -> DataFrame:
     w = Window.partitionBy("_x", "_y").orderBy(F.col("_id"))
     t = train.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"),
                      F.col(label).alias("_label"), _id_col(tid).alias("_id"))
-    t = t.filter(F.col("_x").isNotNull() & F.col("_y").isNotNull() & ~F.isnan("_x") & ~F.isnan("_y"))
-    return t.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
+    return t.filter(_finite("_x", "_y")).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
 
 
 def _cell(c: str, origin: float, side) -> Column:
     return F.floor((F.col(c) - origin) / side).cast("long")
 
 
+@dataclass(frozen=True)
+class KnnIndex:
+    """A searchable training table: ``rows`` (_x, _y, _label, _id and their finest cell _fx, _fy; at most k per location), ``fine`` (rows
+    per finest cell), ``cells`` (rows and leaf flag of every cell of every level), ``meta`` (label, label_type, k, max_level, n, x0, y0, size)."""
+    rows: DataFrame
+    fine: DataFrame
+    cells: DataFrame
+    meta: Mapping[str, object]
+
+
+def build_knn_index(train: DataFrame, *, x: str, y: str, label: str, train_id: str | Sequence[str], k: int = 11,
+                    leaf_size: int | None = None, max_level: int = 16) -> KnnIndex:
+    """Steps 1 and 2 of :func:`knn_votes`: everything the search needs of the training rows. Rows with a missing or infinite
+    coordinate are left out; an index without rows is valid."""
+    cap = leaf_size or max(64, 4 * k)
+    tr = cut_lineage(_prune_train(train, x, y, label, train_id, k))
+    st = tr.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("x0"), F.max("_x").alias("x1"),
+                F.min("_y").alias("y0"), F.max("_y").alias("y1")).first()
+    x0, y0 = st["x0"] or 0.0, st["y0"] or 0.0
+    size = max((st["x1"] or 0.0) - x0, (st["y1"] or 0.0) - y0, 1e-12) * (1 + 1e-9) + 1e-12
+    fine_side = size / 2 ** max_level
+    tr = tr.withColumns({"_fx": _cell("_x", x0, fine_side), "_fy": _cell("_y", y0, fine_side)})
+    fine = tr.groupBy("_fx", "_fy").agg(F.count(F.lit(1)).alias("_n"))
+    cells = _levels(fine, max_level).groupBy("_l", "_cx", "_cy").agg(F.sum("_n").alias("_n"))
+    cells = cut_lineage(cells.withColumn("_leaf", (F.col("_n") <= cap) | (F.col("_l") == max_level)))
+    return KnnIndex(tr, fine, cells, {
+        "label": label, "label_type": train.schema[label].dataType.simpleString(), "k": k, "max_level": max_level,
+        "n": st["n"], "x0": float(x0), "y0": float(y0), "size": float(size)})
+
+
+def _levels(fine: DataFrame, max_level: int) -> DataFrame:
+    """Every finest cell with the cell of each level that holds it."""
+    at_level = fine.select("_fx", "_fy", "_n", F.explode(F.sequence(F.lit(0), F.lit(max_level))).alias("_l"))
+    return at_level.withColumns({"_cx": F.expr(f"shiftright(_fx, {max_level} - _l)"), "_cy": F.expr(f"shiftright(_fy, {max_level} - _l)")})
+
+
+def save_knn_index(index: KnnIndex, path: str) -> None:
+    """The fitted search as three tables and a row of parameters, the parameters last: a folder without them is no index.
+    The training rows lie sorted by cell inside their files, so a search reads the row groups of the cells it needs."""
+    index.rows.repartitionByRange("_fx", "_fy").sortWithinPartitions("_fx", "_fy").write.mode("overwrite").parquet(f"{path}/rows")
+    index.fine.write.mode("overwrite").parquet(f"{path}/fine")
+    index.cells.write.mode("overwrite").parquet(f"{path}/cells")
+    spark = index.rows.sparkSession
+    spark.createDataFrame([dict(index.meta)], "label string, label_type string, k int, max_level int, n long, x0 double, y0 double, size double"
+                          ).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
+
+
+def load_knn_index(spark: SparkSession, path: str) -> KnnIndex:
+    """An index saved by :func:`save_knn_index`, in any session; the training table is not read again."""
+    meta = spark.read.parquet(f"{path}/meta").first().asDict()
+    return KnnIndex(*[spark.read.parquet(f"{path}/{t}") for t in ("rows", "fine", "cells")], meta)
+
+
 def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
               train_id: str | Sequence[str], k: int = 11, leaf_size: int | None = None,
               max_level: int = 16, levels_per_round: int = 2) -> DataFrame:
@@ -72,32 +133,22 @@ def knn_votes(train: DataFrame, query: DataFrame, *, x: str, y: str, label: str,
        in the first round; sparse ones start coarse, dense neighbours are refined, so nobody pays for a cluster's size.
     4. The surviving cells join the training rows; top k by (distance, id).
 
-    Returns (qx, qy, label, votes, share) with share = votes / k."""
-    spark = train.sparkSession
-    cap = leaf_size or max(64, 4 * k)
-    tr = cut_lineage(_prune_train(train, x, y, label, train_id, k))
+    Returns (qx, qy, label, votes, share) with share = votes / k. Steps 1 and 2 are :func:`build_knn_index`, which can be saved;
+    3 and 4 are :func:`search_knn`."""
+    index = build_knn_index(train, x=x, y=y, label=label, train_id=train_id, k=k, leaf_size=leaf_size, max_level=max_level)
+    return search_knn(index, query, x=x, y=y, levels_per_round=levels_per_round)
+
+
+def search_knn(index: KnnIndex, query: DataFrame, *, x: str, y: str, levels_per_round: int = 2) -> DataFrame:
+    """Steps 3 and 4 of :func:`knn_votes` against a built or loaded index. Queries with a missing or infinite coordinate have no votes."""
+    spark = query.sparkSession
+    label, k, max_level, x0, y0, size = (index.meta[c] for c in ("label", "k", "max_level", "x0", "y0", "size"))
     q = (query.select(F.col(x).cast("double").alias("qx"), F.col(y).cast("double").alias("qy"))
-              .filter(F.col("qx").isNotNull() & F.col("qy").isNotNull() & ~F.isnan("qx") & ~F.isnan("qy"))
-              .distinct())
+              .filter(_finite("qx", "qy")).distinct())
     q = cut_lineage(q)
-    # training extent and whether any query exists, in one small job (two one-row aggregates)
-    st = tr.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("x0"), F.max("_x").alias("x1"),
-                F.min("_y").alias("y0"), F.max("_y").alias("y1")).crossJoin(
-        q.agg(F.count(F.lit(1)).alias("nq"))).first()
-    kind = train.schema[label].dataType.simpleString()
-    empty = spark.createDataFrame([], f"qx double, qy double, `{label}` {kind}, votes long, share double")
-    if not st["n"] or not st["nq"]:
-        return empty
-    x0, y0 = st["x0"], st["y0"]
-    size = max(st["x1"] - x0, st["y1"] - y0, 1e-12) * (1 + 1e-9) + 1e-12
-    fine_side = size / 2 ** max_level
-    tr = tr.withColumns({"_fx": _cell("_x", x0, fine_side), "_fy": _cell("_y", y0, fine_side)})
-    fine = tr.groupBy("_fx", "_fy").agg(F.count(F.lit(1)).alias("_n"))
-    at_level = fine.select("_fx", "_fy", "_n", F.explode(F.sequence(F.lit(0), F.lit(max_level))).alias("_l"))
-    at_level = at_level.withColumns({"_cx": F.expr(f"shiftright(_fx, {max_level} - _l)"),
-                                     "_cy": F.expr(f"shiftright(_fy, {max_level} - _l)")})
-    cells = at_level.groupBy("_l", "_cx", "_cy").agg(F.sum("_n").alias("_n"))
-    cells = cut_lineage(cells.withColumn("_leaf", (F.col("_n") <= cap) | (F.col("_l") == max_level)))
+    if not index.meta["n"] or q.isEmpty():
+        return spark.createDataFrame([], f"qx double, qy double, `{label}` {index.meta['label_type']}, votes long, share double")
+    tr, cells, at_level = index.rows, index.cells, _levels(index.fine, max_level)
 
     # 3a: the level at which each query starts
     def spread(df: DataFrame, r: int) -> DataFrame:
@@ -181,14 +232,19 @@ def knn_expected(train: DataFrame, query: DataFrame, *, x: str, y: str, label: s
                  train_id: str | Sequence[str],
                  k: int = 11, weights: Mapping[object, float] | None = None,
                  leaf_size: int | None = None) -> DataFrame:
-    """M1 + M2 + M5 joined back onto every query row (columns ``expected``, ``pred_class``).
+    """M1 + M2 + M5 joined back onto every query row (columns ``expected``, ``pred_class``)."""
+    index = build_knn_index(train, x=x, y=y, label=label, train_id=train_id, k=k, leaf_size=leaf_size)
+    return apply_knn(index, query, x=x, y=y, weights=weights)
+
+
+def apply_knn(index: KnnIndex, query: DataFrame, *, x: str, y: str, weights: Mapping[object, float] | None = None) -> DataFrame:
+    """The expectation of a built or loaded index on every query row.
 
     The per-location table has one row per distinct launch pair; it is joined
     back with AQE choosing broadcast or a skew-split sort-merge."""
     weights = weights or {0: 0.0, 1: WOBA_WEIGHTS_A["single"], 2: WOBA_WEIGHTS_A["double"],
                           3: WOBA_WEIGHTS_A["triple"], 4: WOBA_WEIGHTS_A["home_run"]}
-    votes = knn_votes(train, query, x=x, y=y, label=label, train_id=train_id, k=k, leaf_size=leaf_size)
-    ev = expected_from_votes(votes, label, weights)
+    ev = expected_from_votes(search_knn(index, query, x=x, y=y), index.meta["label"], weights)
     qq = query.withColumns({"qx": F.col(x).cast("double"), "qy": F.col(y).cast("double")})
     return qq.join(ev, ["qx", "qy"], "left").drop("qx", "qy")
 

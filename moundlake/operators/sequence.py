@@ -142,3 +142,33 @@ def trailing_means(df: DataFrame, by: Sequence[str], order: Sequence[str], value
         present = F.when(~missing(src), F.col(src))
         means[name] = F.when((F.col(seq) >= window) & (F.count(present).over(frame) == window), F.avg(present).over(frame))
     return spread.withColumns(means).where("_chunk = _own").drop("_own", "_chunk")
+
+
+def first_by_hash(df: DataFrame, key: Sequence[str], n: int | None = None, share: float | None = None, seed: int = 42,
+                  flag: str | None = None, prefix_bits: int = 16) -> DataFrame:
+    """Exactly ``n`` rows, or exactly ceil(share * rows), chosen by the MD5 of (seed, key); the same rows on any partitioning.
+
+    A histogram of the first ``prefix_bits`` bits of the hashes (at most 2^prefix_bits rows) finds the one bin that the cut falls into; only that bin's
+    rows are ranked. All rows below it are taken by a filter, so no top-n passes through one task. Rows with equal
+    keys have equal hashes and are told apart by nothing: pass a whole row key. With ``flag`` every row comes back with that
+    boolean column instead of only the chosen rows."""
+    if (n is None) == (share is None):
+        raise ValueError("either n or share")
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in key]).cast("binary")
+    hashed = df.withColumn("_hash", F.md5(text))
+    digits = prefix_bits // 4
+    hashed = hashed.withColumn("_bin", F.conv(F.substring("_hash", 1, digits), 16, 10).cast("int"))
+    bins = sorted((r["_bin"], r["n"]) for r in hashed.groupBy("_bin").agg(F.count(F.lit(1)).alias("n")).collect())
+    total = sum(c for _, c in bins)
+    want = min(total, n if share is None else -int(-share * total // 1))
+    cut, before = -1, 0  # bins below ``cut`` are taken whole, ``want - before`` rows of bin ``cut``
+    for b, c in bins:
+        cut = b
+        if before + c >= want:
+            break
+        before += c
+    edge = cut_lineage(hashed.where(F.col("_bin") == cut).select("_hash"))  # a 2^prefix_bits-th of the rows
+    last = edge.orderBy("_hash").offset(max(want - before - 1, 0)).limit(1).first() if want else None
+    chosen = F.lit(False) if last is None else F.col("_hash") <= F.lit(last["_hash"])
+    out = hashed.withColumn(flag, chosen) if flag else hashed.where(chosen)
+    return out.drop("_hash", "_bin")

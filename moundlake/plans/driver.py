@@ -253,12 +253,12 @@ def xwoba_board(spark, sf):
 
 
 def xwoba_published(spark, sf):
-    """The expected-value board beside a published table (here: 1997 means by batter over singles and
-    home runs only) with overlapping names; the published
+    """The expected-value board beside a published table (here: the wOBA of 1997 by batter, all plate appearances of
+    batters with more than 180 of them) with overlapping names; the published
     side's get a suffix, batters without a published row stay."""
     p = roles.pitches(spark, sf).withColumn("woba", C.woba_value("event_type", WOBA_WEIGHTS_A))
-    published = p.filter(_in_years("start_time", 1997, 1997) & F.col("event_type").isin("single", "home_run")) \
-        .groupBy("batter_id").agg(F.count(F.lit(1)).alias("woba_pa"), F.avg("woba").alias("woba"))
+    published = expected.per_group_means(p.filter(_in_years("start_time", 1997, 1997) & F.col("event_type").isNotNull()), ["batter_id"], "woba",
+                                         {"woba": "woba"}, min_count=180, count_alias="woba_pa")
     return _r(joins.join_suffixed(xwoba_board(spark, sf), published, ["batter_id"], "left", "_MLB"))
 
 
@@ -647,16 +647,48 @@ def leaderboard_rows(spark, sf):
                  .withColumnRenamed("K-BB%", "k_bb_pct"))
 
 
-def launch_kde_sample(spark, sf):
-    """M21 + M20: 2-D KDE of launch angle and speed by outcome class on a deterministic
-    10,000-row sample of the batted balls (the sample is the feature: the hash order
-    is stable across runs and partitionings; a distributed top-n, not a collect)."""
+def _launch_density(spark, sf):
+    """2-D density of launch angle and speed by outcome class, all classes together of mass 1, on 10,000 batted balls."""
     p = roles.pitches(spark, sf).filter(F.col("launch_speed") > 0).withColumn(
         "tb", C.total_bases("event_type").cast("int"))
     p = p.withColumns({"q": F.col("tb_q").cast("long"), "e": F.round(F.col("tb_e") * 100).cast("long")})
     smp = distribution.deterministic_sample(p, ["pitch_uid", "tb_p", "tb_s", "q", "e"], 10_000)
-    return _r(distribution.kde_2d(smp, "launch_angle", "launch_speed", (-30.0, 60.0), (60.0, 110.0),
-                                  points=20, by=["tb"]))
+    return distribution.kde_2d(smp, "launch_angle", "launch_speed", (-30.0, 60.0), (60.0, 110.0), points=20, bw_adjust=1.0, by=["tb"], common=True)
+
+
+def launch_kde_sample(spark, sf):
+    """M21 + M20: the density of launch angle and speed by outcome class on a deterministic
+    10,000-row sample of the batted balls (the sample is the feature: the hash order
+    is stable across runs and partitionings)."""
+    return _r(_launch_density(spark, sf))
+
+
+def launch_mass_levels(spark, sf):
+    """The densities that enclose 10, 20 ... 90 % of each class's mass in [launch_kde_sample]."""
+    d = _launch_density(spark, sf).withColumn("density", F.round("density", 9))
+    return _r(distribution.mass_levels(d, ["tb"], [i / 10 for i in range(1, 10)]))
+
+
+def exact_split(spark, sf):
+    """M4 with exact counts: the smallest hashes of the row key, ceil(20 %) of all pitches, are the test side."""
+    from moundlake.operators.sequence import first_by_hash
+    p = roles.pitches(spark, sf).withColumns({"q": F.col("tb_q").cast("long"), "e": F.round(F.col("tb_e") * 100).cast("long")})
+    p = first_by_hash(p, ["pitch_uid", "tb_p", "tb_s", "q", "e"], share=0.2, flag="is_test")
+    return p.groupBy("year", "is_test").agg(F.count(F.lit(1)).alias("n"), F.sum("pitch_uid").alias("uid_sum"))
+
+
+def knn_stored_index(spark, sf):
+    """S20 + M1: the search built on the batted balls of 1995-1997, saved, loaded again and applied to the batted balls of
+    1998; the training table is read once, by the build."""
+    import uuid
+    from moundlake.session import checkpoint_dir
+    p = roles.pitches(spark, sf).withColumn("tb", C.total_bases("event_type").cast("int"))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/moundlake-knn-{uuid.uuid4().hex}"
+    train = p.filter((F.col("launch_speed") > 0) & _in_years("start_time", 1995, 1997))
+    expected.save_knn_index(expected.build_knn_index(train, x="launch_angle", y="launch_speed", label="tb", train_id=ROW_KEY), path)
+    season = p.filter((F.col("launch_speed") > 0) & _in_years("start_time", 1998, 1998))
+    out = expected.apply_knn(expected.load_knn_index(spark, path), season, x="launch_angle", y="launch_speed")
+    return _r(out.select("pitch_uid", *ROW_KEY[1:], "tb", "expected", "pred_class"))
 
 
 def stuff_plus_model(spark, sf, max_iter: int = 10):
@@ -785,6 +817,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "box_score_players": box_score_players,
     "stream_ingest": stream_ingest,
     "launch_kde_sample": launch_kde_sample,
+    "launch_mass_levels": launch_mass_levels,
+    "exact_split": exact_split,
+    "knn_stored_index": knn_stored_index,
     "stuff_plus_model": stuff_plus_model,
     "gbt_scores": gbt_scores,
     "importance": importance,

@@ -651,7 +651,7 @@ SELECT b.batter_id, b.woba_pa, round(b.woba, 6) AS woba, round(b.xwoba, 6) AS xw
        round(m.woba, 6) AS "woba_MLB"
 FROM ({XWOBA_BOARD}) b
 LEFT JOIN (SELECT batter_id, count(*) AS woba_pa, avg({WOBA_A}) AS woba FROM pitches
-           WHERE year = 1997 AND event_type IN ('single', 'home_run') GROUP BY batter_id) m USING (batter_id)
+           WHERE year = 1997 AND event_type IS NOT NULL GROUP BY batter_id HAVING count(*) > 180) m USING (batter_id)
 """, "pitches")
 
 ORACLE["rolling_woba"] = with_views("""
@@ -674,18 +674,37 @@ SELECT l_orderkey AS game_id, 'home' AS side,
 FROM lineitem
 """
 
-ORACLE["launch_kde_sample"] = with_views(f"""
-WITH p AS (SELECT {TB} AS tb, launch_angle AS x, launch_speed AS y FROM pitches WHERE launch_speed > 0
+_LAUNCH_KDE = """
+WITH p AS (SELECT @TB@ AS tb, launch_angle AS x, launch_speed AS y FROM pitches WHERE launch_speed > 0
            ORDER BY md5(concat_ws('|', '42', pitch_uid, tb_p, tb_s, tb_q::BIGINT, round(tb_e * 100)::BIGINT)),
                     pitch_uid, tb_p, tb_s, tb_q, tb_e LIMIT 10000),
-st AS (SELECT tb, count(*) AS n, var_samp(x) * pow(count(*), -1.0 / 3.0) * 0.81 AS ha,
-              covar_samp(x, y) * pow(count(*), -1.0 / 3.0) * 0.81 AS hb,
-              var_samp(y) * pow(count(*), -1.0 / 3.0) * 0.81 AS hd FROM p GROUP BY tb),
+st AS (SELECT tb, count(*) AS n, var_samp(x) * pow(count(*), -1.0 / 3.0) * 1.0 AS ha,
+              covar_samp(x, y) * pow(count(*), -1.0 / 3.0) * 1.0 AS hb,
+              var_samp(y) * pow(count(*), -1.0 / 3.0) * 1.0 AS hd FROM p GROUP BY tb),
 st2 AS (SELECT *, ha * hd - hb * hb AS det FROM st),
 gx AS (SELECT CAST(i AS INTEGER) AS gx_i, -30.0 + i * (CAST(90.0 AS DOUBLE) / 19) AS gx FROM range(0, 20) r(i)),
 gy AS (SELECT CAST(i AS INTEGER) AS gy_i, 60.0 + i * (CAST(50.0 AS DOUBLE) / 19) AS gy FROM range(0, 20) r(i))
 SELECT CAST(p.tb AS INTEGER) AS tb, gx_i, gy_i, round(gx, 6) AS gx, round(gy, 6) AS gy,
        round(sum(exp(-0.5 * (hd * (gx - x) * (gx - x) - 2 * hb * (gx - x) * (gy - y) + ha * (gy - y) * (gy - y)) / det))
-             / (n * 2 * pi() * sqrt(det)), 6) AS density
+             / ((SELECT count(*) FROM p) * 2 * pi() * sqrt(det)), {digits}) AS density
 FROM p JOIN st2 USING (tb), gx, gy GROUP BY p.tb, gx_i, gy_i, gx, gy, n, det
+""".replace("@TB@", TB)
+ORACLE["launch_kde_sample"] = with_views(_LAUNCH_KDE.replace("{digits}", "6"), "pitches")
+
+ORACLE["launch_mass_levels"] = with_views(f"""
+WITH cells AS (SELECT tb, density FROM ({_LAUNCH_KDE.replace("{digits}", "9")}) WHERE density > 0),
+cum AS (SELECT tb, density, sum(density) OVER (PARTITION BY tb ORDER BY density DESC) AS c, sum(density) OVER (PARTITION BY tb) AS a FROM cells)
+SELECT tb, share, round(max(density), 6) AS level
+FROM cum, (SELECT i / CAST(10 AS DOUBLE) AS share FROM range(1, 10) r(i)) WHERE c >= share * a * (1 - 1e-9) GROUP BY tb, share
+""", "pitches")
+
+ORACLE["exact_split"] = with_views("""
+WITH h AS (SELECT year, pitch_uid, row_number() OVER (ORDER BY md5(concat_ws('|', '42', pitch_uid, tb_p, tb_s, tb_q::BIGINT, round(tb_e * 100)::BIGINT)))
+                  <= ceil(0.2 * count(*) OVER ()) AS is_test FROM pitches)
+SELECT year, is_test, count(*) AS n, sum(pitch_uid)::BIGINT AS uid_sum FROM h GROUP BY year, is_test
 """, "pitches")
+
+ORACLE["knn_stored_index"] = with_views(f"""
+SELECT pitch_uid, tb_p, tb_s, round(tb_q, 6) AS tb_q, round(tb_e, 6) AS tb_e, tb, round(expected, 6) AS expected, pred_class FROM ({KNN_SEASON})
+""", "pitches")
+

@@ -257,13 +257,17 @@ def team_boards(spark, sf):
     return rows.withColumn("rank", F.row_number().over(w))
 
 
+#: Plate appearances a season must exceed (about what a pitcher of the supplied tables has, so that some qualify and some do not).
+WOBA_MIN_PA = 35
+
+
 def leaderboard_woba(spark, sf):
-    """Per-pitcher plus score left-joined to the mean weight of the home runs, triples and walks that
-    pitcher allowed (null with ten or fewer of them); not the wOBA over all plate appearances."""
+    """Per-pitcher plus score left-joined to the wOBA of all plate appearances that end against that pitcher (null
+    where the season has ``WOBA_MIN_PA`` of them or fewer)."""
     sc = scored_pitches(spark, sf).groupBy("pitcher_id", "year").agg(F.count("stuff_plus").alias("count"), F.avg("stuff_plus").alias("stuff_plus"))
     p = roles.pitches(spark, sf).withColumn("woba", C.woba_value("event_type", WOBA_WEIGHTS_B))
-    woba = expected.per_group_means(p.filter(F.col("event_type").isin("home_run", "triple", "walk")), ["pitcher_id", "year"], "woba",
-                                    {"woba": "woba"}, min_count=10, count_alias="woba_pa")
+    woba = expected.per_group_means(p.filter(F.col("event_type").isNotNull()), ["pitcher_id", "year"], "woba",
+                                    {"woba": "woba"}, min_count=WOBA_MIN_PA, count_alias="woba_pa")
     return _r(sc.join(woba, ["pitcher_id", "year"], "left"))
 
 

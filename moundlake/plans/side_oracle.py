@@ -155,7 +155,7 @@ SELECT board, pitcher_team, value,
 SIDE_ORACLE["leaderboard_woba"] = with_views(f"""
 WITH sc AS (SELECT pitcher_id, year, count(stuff_plus) AS count, avg(stuff_plus) AS stuff_plus FROM ({SCORED}) GROUP BY pitcher_id, year),
 w AS (SELECT pitcher_id, year, count(*) AS woba_pa, avg({WOBA_B}) AS woba FROM pitches
-      WHERE event_type IN ('home_run', 'triple', 'walk') GROUP BY pitcher_id, year HAVING count(*) > 10)
+      WHERE event_type IS NOT NULL GROUP BY pitcher_id, year HAVING count(*) > 35)
 SELECT pitcher_id, year, count, round(stuff_plus, 6) AS stuff_plus, woba_pa, round(woba, 6) AS woba FROM sc LEFT JOIN w USING (pitcher_id, year)
 """, "pitches", "rv")
 
