@@ -156,6 +156,38 @@ def csv_round_trip(spark, sf):
     return _r(back.withColumnsRenamed({"K%": "k_pct", "BB%": "bb_pct"}))
 
 
+def yearly_tables(spark, sf):
+    """Batting lines as one folder of CSV files per season; even seasons in reverse column order with a further column,
+    1997 without home runs; united by column name, the season taken from the folder's name."""
+    from moundlake.sources.tables import read_csv_by_name
+    base = _folder(spark, "yearly")
+    board = batting_lines(spark, sf)
+    cols = [c for c in board.columns if c != "Season"]
+    for r in board.select("Season").distinct().collect():  # seven seasons
+        names = ["Team", *reversed(cols)] if r.Season % 2 == 0 else [c for c in cols if c != "HR" or r.Season != 1997]
+        season = board.filter(F.col("Season") == r.Season).withColumn("Team", F.lit("x, y"))
+        season.select(*[f"`{c}`" for c in names]).write.option("header", True).csv(f"{base}/batting_{r.Season}")
+    back = read_csv_by_name(spark, base, BATTING_BOARD, year_col="year", year_pattern=r"batting_(\d{4})/")
+    return _r(back.drop("Season").withColumnsRenamed({"K%": "k_pct", "BB%": "bb_pct"}))
+
+
+def feed_quarantine(spark, sf):
+    """Game documents landed as JSON lines, every seventh cut off in the middle; one row per landed game: how many events it gave
+    and whether it lies in quarantine."""
+    from moundlake.plans.driver import feed_documents
+    from moundlake.sources.feed import flatten_feed, read_feed
+    base = _folder(spark, "feed-landing")
+    docs = feed_documents(spark, sf)
+    text = docs.select(F.to_json(F.struct(*docs.columns)).alias("value"), "gamePk")
+    broken = F.concat(F.lit('{"game":'), F.col("gamePk").cast("string"), F.lit(","), F.expr("substring(value, 2, length(value) div 2)"))
+    text.select(F.when(F.pmod("gamePk", F.lit(7)) == 0, broken).otherwise(F.col("value")).alias("value")).write.text(f"{base}/in")
+    good = read_feed(spark, f"{base}/in", quarantine=f"{base}/bad", multiline=False)
+    events = flatten_feed(good).groupBy("game_id").agg(F.count(F.lit(1)).alias("events")).withColumn("quarantined", F.lit(False))
+    bad = spark.read.parquet(f"{base}/bad").select(F.regexp_extract("document", r'^\{"game":(\d+)', 1).cast("long").alias("game_id"),
+                                                   F.lit(0).cast("long").alias("events"), F.lit(True).alias("quarantined"))
+    return events.unionByName(bad)
+
+
 def batting_lines(spark, sf) -> DataFrame:
     """One row per batter and season with plate appearances, home runs, strikeout and walk shares and wOBA."""
     p = roles.pitches(spark, sf).filter(F.col("event_type").isNotNull())
@@ -397,6 +429,6 @@ def model_quality(spark, sf):
 
 
 SIDE_QUERIES = {f.__name__: f for f in (
-    leagues_sports, game_type_values, people_rows, player_lookup, games_of_types, game_log_lines, requested_games, csv_round_trip,
+    leagues_sports, game_type_values, people_rows, player_lookup, games_of_types, game_log_lines, requested_games, csv_round_trip, yearly_tables, feed_quarantine,
     batting_board, season_tables, statcast_rows, fielding_and_framing, qualified_percentiles, arsenal_table, batter_arsenal,
     team_boards, leaderboard_woba, fastball_features_all, hash_split, scalar_columns, whiff_lookup, feed_events, robust_scaling, model_quality, run_value_mapped)}

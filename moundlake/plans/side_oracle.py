@@ -67,6 +67,14 @@ FROM pitches WHERE event_type IS NOT NULL GROUP BY batter_id, year
 SIDE_ORACLE["batting_board"] = with_views(_BATTING, "pitches")
 SIDE_ORACLE["csv_round_trip"] = with_views(_BATTING, "pitches")
 
+SIDE_ORACLE["yearly_tables"] = with_views(f"""
+SELECT "xMLBAMID", "PA", CASE WHEN "Season" <> 1997 THEN "HR" END AS "HR", k_pct, bb_pct, "wOBA", CAST("Season" AS INTEGER) AS year FROM ({_BATTING})
+""", "pitches")
+SIDE_ORACLE["feed_quarantine"] = """
+SELECT o_orderkey AS game_id, CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE count(*) END AS events, o_orderkey % 7 = 0 AS quarantined
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey
+"""
+
 SIDE_ORACLE["season_tables"] = with_views("""
 SELECT year, count(*) AS n, round(avg(start_speed), 6) AS start_speed FROM pitches GROUP BY year
 """, "pitches")
