@@ -258,3 +258,46 @@ SELECT pitch_uid, outcome, round(coalesce(a.delta_run_exp, b.delta_run_exp), 6)
 FROM g LEFT JOIN rv a ON a.event = g.grouped AND a.balls = g.balls AND a.strikes = g.strikes
 LEFT JOIN rv b ON b.event = g.outcome AND b.balls = g.balls AND b.strikes = g.strikes
 """, "pitches", "rv")
+
+# one tree of three leaves: bins, the best split of the root, the better of its children's best splits
+_SOFT = "pow(greatest(abs({g} / CAST(16777216 AS DOUBLE)) - 0.1, 0), 2) / ({n} + CAST(0.2 AS DOUBLE))"
+_GAIN = " + ".join((_SOFT.format(g="gl", n="nl"), _SOFT.format(g="(g - gl)", n="(n - nl)"))) + " - " + _SOFT.format(g="g", n="n")
+_SPLITS = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, bin) AS rn FROM (
+    SELECT *, {gain} AS gain FROM (
+      SELECT node, f, bin, sum(g) OVER w AS gl, sum(n) OVER w AS nl, sum(g) OVER a AS g, sum(n) OVER a AS n
+      FROM (SELECT node, f, bin, sum(g) AS g, count(*) AS n FROM {rows} GROUP BY node, f, bin)
+      WINDOW w AS (PARTITION BY node, f ORDER BY bin), a AS (PARTITION BY node, f))
+    WHERE nl >= 20 AND n - nl >= 20) WHERE gain > 0) WHERE rn = 1"""
+_TREE = f"""
+m AS (SELECT *, row_number() OVER () AS id FROM ({_MODEL})),
+base AS (SELECT round(avg(target), 6) AS p FROM m),
+v AS (SELECT id, round((p - target) * 16777216)::BIGINT AS g, f, CASE f WHEN 0 THEN start_speed WHEN 1 THEN az ELSE ax END AS x
+      FROM m, base, (VALUES (0), (1), (2)) t(f)),
+q AS (SELECT *, (rank() OVER (PARTITION BY f ORDER BY x) - 1) * 64 // count(*) OVER (PARTITION BY f) AS part FROM v),
+b AS (SELECT id, g, f, x, dense_rank() OVER (PARTITION BY f ORDER BY part) - 1 AS bin FROM q),
+edge AS (SELECT f, bin, min(x) AS least FROM b GROUP BY f, bin),
+r1 AS (SELECT 1 AS node, * FROM b),
+s1 AS ({_SPLITS.format(gain=_GAIN, rows="r1")}),
+side AS (SELECT id, CASE WHEN b.bin <= s1.bin THEN 2 ELSE 3 END AS node FROM b JOIN s1 USING (f)),
+r2 AS (SELECT side.node, b.* FROM b JOIN side USING (id)),
+s2 AS (SELECT * FROM ({_SPLITS.format(gain=_GAIN, rows="r2")}) ORDER BY gain DESC, node LIMIT 1),
+leaf AS (SELECT side.id, CASE WHEN side.node <> s2.node THEN side.node WHEN b.bin <= s2.bin THEN 2 * side.node ELSE 2 * side.node + 1 END AS node
+         FROM side, s2 JOIN b ON b.f = s2.f WHERE b.id = side.id),
+every AS (SELECT leaf.node, any_value(s.f) AS f, count(*) AS rows, sum(g) AS g FROM leaf JOIN b USING (id), (SELECT 0 AS f) s WHERE b.f = 0 GROUP BY leaf.node),
+grown AS (SELECT node, NULL AS f, NULL AS bin, NULL AS gain, rows, g FROM every
+          UNION ALL SELECT node, f, bin, gain, n, g FROM s1 UNION ALL SELECT node, f, bin, gain, n, g FROM s2),
+nodes AS (SELECT node, grown.f, edge.least AS threshold, gain, rows,
+                 -CAST(0.1 AS DOUBLE) * sign(g) * greatest(abs(g / CAST(16777216 AS DOUBLE)) - 0.1, 0) / (rows + CAST(0.2 AS DOUBLE)) AS value
+          FROM grown LEFT JOIN edge ON edge.f = grown.f AND edge.bin = grown.bin + 1)
+"""
+SIDE_ORACLE["leafwise_two_splits"] = with_views(f"""
+WITH {_TREE}
+SELECT node::BIGINT AS node, rows::BIGINT AS rows, round(value, 6) AS value, ['start_speed', 'az', 'ax'][f + 1] AS feature, round(threshold, 6) AS threshold,
+       round(gain, 6) AS gain FROM nodes
+""", "pitches", "rv")
+SIDE_ORACLE["leafwise_scores"] = with_views(f"""
+WITH {_TREE},
+share AS (SELECT count(*) FILTER (WHERE f = 0) / 2 AS a, count(*) FILTER (WHERE f = 1) / 2 AS b, count(*) FILTER (WHERE f = 2) / 2 AS c FROM nodes)
+SELECT pitch_uid, round(target, 6) AS target, round(p + value, 6) AS prediction, a AS share_start_speed, b AS share_az, c AS share_ax
+FROM m JOIN leaf USING (id) JOIN nodes USING (node), base, share
+""", "pitches", "rv")
