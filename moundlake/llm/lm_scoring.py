@@ -5,11 +5,12 @@ the same interpolation P(w|h) = L c(h,w)/c(h) + (1-L) (c(w)+1)/(N+V), and differ
 model counts every document, the target model the documents given as target. A document's score is the
 mean over its tokens of loss(target) - loss(background), in nats: the lower, the more like the target.
 
-1. Documents become arrays of 64-bit word hashes in chunks of ``CHUNK_ROWS_LOG2`` rows; words and tokens are counted. In storage
-   the ``CODES`` most frequent words take two bytes and only the others their hash: it saves disk and changes no score.
+1. Documents become 64-bit word hashes in chunks of at most ``CHUNK_TOKENS`` tokens (or one document), one packed row each; words and
+   tokens are counted. In storage the ``CODES`` most frequent words take two bytes and only the others their hash: it saves disk and
+   changes no score.
 2. Every chunk sends its distinct words and bigrams with their counts in both corpora to shards chosen by hash; a shard adds the
-   counts of all chunks up and sends the sums back to the chunks that asked. The number of shards follows the number of
-   chunks, so a shard's size does not grow, and neither the words nor the bigrams are ever all in one place.
+   counts of all chunks up and sends the sums back to the chunks that asked. There is a shard for every ``SHARD_TOKENS`` tokens of
+   the corpus, so neither a chunk nor a shard grows with it, whatever the lengths of its documents.
 3. Each chunk scores its documents. Only the short codes are broadcast. If the caller limits the vocabulary, the words below the
    smallest count that leaves at most ``words`` of them are
    one unknown class.
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from moundlake.llm.common import drop_table, put_down, table, text_or_empty
 
-CHUNK_ROWS_LOG2 = 13
+CHUNK_TOKENS, SHARD_TOKENS = 1 << 21, 1 << 21
 LAMBDA = 0.7
 _WORD = re.compile(r"\w+")
 #: Keys of the start sign and of the unknown class, and documents whose words are hashed at a time.
@@ -55,29 +56,58 @@ def vocabulary(rows: DataFrame, most: int) -> list[str]:
     return found
 
 
-def _encode(rows: DataFrame, codes, sent) -> DataFrame:
-    """doc_id, ids (two bytes a word), rare (hashes of the words without a code); with a vocabulary ``sent``, others are unknown."""
+def _encode(rows: DataFrame, codes, sent, chunk_tokens: int) -> DataFrame:
+    """A row per chunk: chunk, doc_ids, lengths (tokens of each document) and, packed, ids (two bytes a word) and rare (hashes of the words
+    without a code); with a vocabulary ``sent``, others are unknown."""
+    import pyarrow as pa
     kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
+        import zstandard
+        from pyspark import TaskContext
         get = {w: k for k, w in enumerate(codes.value)}.get
         known = None if sent is None else set(sent.value)
+        pack = zstandard.ZstdCompressor(level=1).compress
+        docs, lengths, ids, rare, tokens, number = [], [], [], [], 0, TaskContext.get().partitionId() << 32
+
+        def chunk():
+            doc_ids = pa.concat_arrays(docs)
+            ends = pa.array([0, len(doc_ids)], pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), pa.ListArray.from_arrays(ends, doc_ids),
+                 pa.ListArray.from_arrays(ends, pa.array(np.concatenate(lengths).astype(np.int32))),
+                 pa.array([pack(b"".join(ids))], pa.binary()), pa.array([pack(b"".join(rare))], pa.binary())],
+                names=["chunk", "doc_ids", "lengths", "ids", "rare"])
+
         for batch in batches:
-            for at in range(0, len(batch), ROWS_HASHED):
-                part = batch.iloc[at:at + ROWS_HASHED]
-                found = [_WORD.findall(t.lower()) for t in part["text"]]
-                ids = [np.array([get(w, RARE) for w in f], dtype=np.uint16) for f in found]
-                others = [[f[k] for k in np.flatnonzero(i == RARE)] for f, i in zip(found, ids)]
-                flat = [w for o in others for w in o]
-                keys = _hashes(flat)
+            at = 0
+            while at < batch.num_rows:
+                texts = batch.column(1).slice(at, ROWS_HASHED).to_pylist()
+                found = [_WORD.findall(t.lower()) for t in texts]
+                sizes = np.array([len(f) for f in found], dtype=np.int64)
+                take = max(1, int(np.searchsorted(tokens + np.cumsum(sizes), chunk_tokens, side="right")))
+                if tokens and tokens + sizes[0] > chunk_tokens:
+                    yield chunk()
+                    docs, lengths, ids, rare, tokens, number = [], [], [], [], 0, number + 1
+                    continue
+                found, sizes = found[:take], sizes[:take]
+                flat = [w for f in found for w in f]
+                code = np.fromiter((get(w, RARE) for w in flat), np.uint16, len(flat))
+                others = [flat[k] for k in np.flatnonzero(code == RARE)]
+                keys = _hashes(others)
                 if known is not None:
-                    keys[np.array([w not in known for w in flat], dtype=bool)] = UNKNOWN
-                ends = np.cumsum([len(o) for o in others])
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "ids": [i.tobytes() for i in ids],
-                                    "rare": [keys[e - len(o):e].tobytes() for o, e in zip(others, ends)]})
+                    keys[np.array([w not in known for w in others], dtype=bool)] = UNKNOWN
+                docs.append(batch.column(0).slice(at, take))
+                lengths.append(sizes)
+                ids.append(code.tobytes())
+                rare.append(keys.tobytes())
+                tokens += int(sizes.sum())
+                at += take
+        if docs:
+            yield chunk()
 
-    return rows.mapInPandas(run, f"doc_id {kind}, ids binary, rare binary")
+    return rows.mapInArrow(run, f"chunk long, doc_ids array<{kind}>, lengths array<int>, ids binary, rare binary")
 
 
 def _hashes(words: list[str]):
@@ -85,28 +115,32 @@ def _hashes(words: list[str]):
     return pd.util.hash_array(np.array(words, dtype=object)) if words else np.zeros(0, dtype=np.uint64)
 
 
-def _keys(pdf: pd.DataFrame, hashes):
-    """The hash of every token."""
+def _keys(ids: bytes, rare: bytes, hashes):
+    """The hash of every token of a chunk."""
     import numpy as np
-    ids = np.frombuffer(b"".join(pdf["ids"]), dtype=np.uint16)
+    import zstandard
+    read = zstandard.ZstdDecompressor().decompress
+    ids = np.frombuffer(read(ids), dtype=np.uint16)
     keys = hashes[ids]
-    keys[ids == RARE] = np.frombuffer(b"".join(pdf["rare"]), dtype=np.uint64)
+    keys[ids == RARE] = np.frombuffer(read(rare), dtype=np.uint64)
     return keys
 
 
-def _count(pdf: pd.DataFrame, hashes):
-    """Distinct words (the start sign first) and distinct bigrams of documents, in an order that does
-    not depend on the rows': words; bigrams as (history, word) numbers; the bigram and the row of each token."""
+def _count(lengths, ids: bytes, rare: bytes, hashes):
+    """Distinct words (the start sign first) and distinct bigrams of a chunk, in the order of their hashes: words; bigrams as
+    (history, word) numbers; the bigram and the document of each token."""
     import numpy as np
-    lengths = np.array([len(b) // 2 for b in pdf["ids"]], dtype=np.int64)
-    words, number = np.unique(_keys(pdf, hashes), return_inverse=True)
+    lengths = np.asarray(lengths, dtype=np.int64)
+    words, number = np.unique(_keys(ids, rare, hashes), return_inverse=True)
     number = number.astype(np.int64) + 1
     before = np.empty_like(number)
     before[1:] = number[:-1]
     before[(np.cumsum(lengths) - lengths)[lengths > 0]] = 0
     words = np.concatenate([np.array([START], dtype=np.uint64), words])
-    pairs, inverse = np.unique(before * len(words) + number, return_inverse=True)
-    return words, (pairs // len(words), pairs % len(words)), inverse, np.repeat(np.arange(len(lengths)), lengths)
+    before *= len(words)
+    before += number
+    pairs, inverse = np.unique(before, return_inverse=True)
+    return words, (pairs // len(words), pairs % len(words)), inverse, np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
 
 
 def _pair_keys(words, pairs):
@@ -122,18 +156,35 @@ def _shard(keys, shards: int):
     return ((x >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
 
 
+def _squeeze(x, sorted_keys: bool = False) -> bytes:
+    """Numbers packed for the exchange: differences of sorted keys, bytes of equal weight side by side."""
+    import numpy as np
+    import zstandard
+    x = np.ascontiguousarray(np.diff(x, prepend=x.dtype.type(0)) if sorted_keys else x)
+    return zstandard.ZstdCompressor(level=1).compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
+
+
+def _spread(packed: bytes, kind, sorted_keys: bool = False):
+    import numpy as np
+    import zstandard
+    x = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    x = np.ascontiguousarray(x.T).view(kind).ravel()
+    return np.cumsum(x, dtype=kind) if sorted_keys else x
+
+
 def _split(keys, shards: int):
     """Order of ``keys`` by (shard, key) and the cuts between shards."""
     import numpy as np
     at = _shard(keys, shards)
-    order = np.argsort(at, kind="stable")
+    order = np.lexsort((keys, at))
     return order, np.searchsorted(at[order], np.arange(shards + 1))
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                             words: int | None = None, weight: float = LAMBDA, chunk_rows_log2: int = CHUNK_ROWS_LOG2) -> DataFrame:
+                             words: int | None = None, weight: float = LAMBDA, chunk_tokens: int = CHUNK_TOKENS, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """doc_id, n_tokens, score, in_target for every row of ``docs``; ``target`` holds the ids (doc_id) of the target corpus."""
     import numpy as np
+    import pyarrow as pa
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(f"`{text_col}`").alias("text"))
     sent = None if words is None else spark.sparkContext.broadcast(vocabulary(rows, words))  # at most ``words`` words
@@ -143,17 +194,19 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, id_col: str = "
     table_of[:len(frequent)] = _hashes(frequent)
     hashes = spark.sparkContext.broadcast(table_of)
     chosen = target.select("doc_id").where("doc_id is not null").distinct().withColumn("in_target", F.lit(True))
-    coded = _encode(rows, codes, sent).withColumn("at", F.monotonically_increasing_id())
-    coded = put_down(coded.withColumn("chunk", F.shiftright("at", chunk_rows_log2)), "word-ids")
+    coded = put_down(_encode(rows, codes, sent, chunk_tokens), "word-ids")
     # one plan at every size: the target ids grow with the data; the places of the target's rows go to their chunks
-    places = coded.select("doc_id", "at", "chunk", (F.octet_length("ids") / 2).alias("n")).join(chosen.hint("merge"), "doc_id", "left_semi")
+    places = coded.select("chunk", F.posexplode(F.arrays_zip("doc_ids", "lengths")).alias("at", "d")).select(
+        "chunk", "at", F.col("d.doc_ids").alias("doc_id"), F.col("d.lengths").alias("n")).join(chosen.hint("merge"), "doc_id", "left_semi")
     places = put_down(places.select("at", "chunk", "n"), "target-rows")
-    size, tokens, n_chunks = _totals(coded, places, hashes)
-    shards = max(12, n_chunks)
+    size, tokens = _totals(coded, places, hashes)
+    shards = max(12, int(tokens[0] // shard_tokens) + 1)
 
     def ask(pdf: pd.DataFrame, chosen_rows: pd.DataFrame) -> pd.DataFrame:
-        mine = pdf["at"].isin(chosen_rows["at"]).to_numpy()
-        seen, pairs, inverse, row = _count(pdf, hashes.value)
+        one = pdf.iloc[0]
+        mine = np.zeros(len(one["lengths"]), dtype=bool)
+        mine[chosen_rows["at"].to_numpy()] = True
+        seen, pairs, inverse, row = _count(one["lengths"], one["ids"], one["rare"], hashes.value)
         n = np.bincount(inverse, minlength=len(pairs[0]))
         t = np.bincount(inverse, weights=mine[row], minlength=len(pairs[0]))
         # of each word, times a history and times a word, in both corpora
@@ -161,64 +214,69 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, id_col: str = "
         keys, n, t = _pair_keys(seen, pairs), n.astype(np.uint32), t.astype(np.uint32)
         (order, cuts), (w_order, w_cuts) = _split(keys, shards), _split(seen, shards)
         some = [k for k in range(shards) if cuts[k + 1] > cuts[k] or w_cuts[k + 1] > w_cuts[k]]
-        piece = lambda x, k: x[order[cuts[k]:cuts[k + 1]]].tobytes()
-        w_piece = lambda x, k: x[w_order[w_cuts[k]:w_cuts[k + 1]]].tobytes()
-        return pd.DataFrame({"chunk": pdf["chunk"].iloc[0], "shard": np.array(some, dtype="int32"),
-                             "keys": [piece(keys, k) for k in some], "n": [piece(n, k) for k in some],
-                             "t": [piece(t, k) for k in some], "words": [w_piece(seen, k) for k in some],
+        piece = lambda x, k, keys=False: _squeeze(x[order[cuts[k]:cuts[k + 1]]], keys)
+        w_piece = lambda x, k, keys=False: _squeeze(x[w_order[w_cuts[k]:w_cuts[k + 1]]].ravel(), keys)
+        return pd.DataFrame({"chunk": one["chunk"], "shard": np.array(some, dtype="int32"),
+                             "keys": [piece(keys, k, True) for k in some], "n": [piece(n, k) for k in some],
+                             "t": [piece(t, k) for k in some], "words": [w_piece(seen, k, True) for k in some],
                              "times": [w_piece(times, k) for k in some]})
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        def summed(keys, counts, kind):
-            """The sums of each column of ``counts`` over equal keys, cut like ``keys``."""
-            distinct, inverse = np.unique(np.frombuffer(b"".join(keys), dtype=np.uint64), return_inverse=True)
-            counts = [np.bincount(inverse, weights=c, minlength=len(distinct)).astype(kind)[inverse] for c in counts]
-            ends = np.cumsum([len(k) // 8 for k in keys])
-            both = np.stack(counts, axis=1)
-            return [both[e - len(k) // 8:e].tobytes() for k, e in zip(keys, ends)]
-
-        read = lambda c: np.frombuffer(b"".join(pdf[c]), dtype=np.uint32)
+        def summed(packed, counts):
+            """The sums of each column of ``counts`` over equal keys, cut like the keys."""
+            keys = [_spread(k, np.uint64, True) for k in packed]
+            ends = np.cumsum([len(k) for k in keys])
+            distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+            counts = [np.bincount(inverse, weights=c, minlength=len(distinct)).astype(np.uint64) for c in counts]
+            return [_squeeze(np.concatenate([c[inverse[e - len(k):e]] for c in counts])) for k, e in zip(keys, ends)]
+
+        read = lambda c: np.concatenate([_spread(x, np.uint32) for x in pdf[c]])
         return pd.DataFrame({"chunk": pdf["chunk"].to_numpy(), "shard": pdf["shard"].to_numpy(),
-                             "pairs": summed(pdf["keys"], (read("n"), read("t")), np.float32),
-                             "times": summed(pdf["words"], read("times").reshape(-1, 4).T, np.float64)})
-
-    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        seen, pairs, inverse, row = _count(left, hashes.value)
-        right = right.sort_values("shard")
-        sums, times = np.empty((len(pairs[0]), 2), dtype=np.float32), np.empty((len(seen), 4))
-        sums[_split(_pair_keys(seen, pairs), shards)[0]] = np.frombuffer(b"".join(right["pairs"]), dtype=np.float32).reshape(-1, 2)
-        times[_split(seen, shards)[0]] = np.frombuffer(b"".join(right["times"]), dtype=np.float64).reshape(-1, 4)
+                             "pairs": summed(pdf["keys"], (read("n"), read("t"))),
+                             "times": summed(pdf["words"], read("times").reshape(-1, 4).T)})
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        lengths, ids, rare = (left.column(c)[0].as_py() for c in ("lengths", "ids", "rare"))
+        seen, pairs, inverse, row = _count(lengths, ids, rare, hashes.value)
+        right = right.sort_by("shard")
+        parts = lambda c, n: np.concatenate(
+            [_spread(x, np.uint64).reshape(n, -1) for x in right.column(c).to_pylist()], axis=1).T.astype(np.float64)
+        sums, times = np.empty((len(pairs[0]), 2)), np.empty((len(seen), 4))
+        sums[_split(_pair_keys(seen, pairs), shards)[0]] = parts("pairs", 2)
+        times[_split(seen, shards)[0]] = parts("times", 4)
         losses = 0.0
         for k, sign in enumerate((1, -1)):
             history, single = np.maximum(times[:, 2 * k], 1), (times[:, 2 * k + 1] + 1) / (tokens[k] + size)
             losses = losses + sign * np.log(weight * sums[:, k] / history[pairs[0]] + (1 - weight) * single[pairs[1]])
-        n = np.bincount(row, minlength=len(left))
-        total = np.bincount(row, weights=losses[inverse], minlength=len(left))
+        n = np.bincount(row, minlength=len(lengths))
+        total = np.bincount(row, weights=losses[inverse], minlength=len(lengths))
         mean = np.where(n > 0, total / np.maximum(n, 1), np.nan)
-        return pd.DataFrame({"doc_id": left["doc_id"].to_numpy(), "n_tokens": n.astype("int64"), "score": mean})
+        return pa.table({"doc_id": left.column("doc_ids").combine_chunks().flatten(), "n_tokens": pa.array(n, pa.int64()),
+                         "score": pa.array(mean, pa.float64())})
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     asked = coded.groupBy("chunk").cogroup(places.groupBy("chunk")).applyInPandas(
         ask, "chunk long, shard int, keys binary, n binary, t binary, words binary, times binary")
     answered = asked.groupBy("shard").applyInPandas(answer, "chunk long, shard int, pairs binary, times binary")
-    scored = coded.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInPandas(
+    scored = coded.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(
         score, f"doc_id {kind}, n_tokens long, score double")
     scored = scored.join(chosen.hint("merge"), "doc_id", "left").withColumn("in_target", F.coalesce("in_target", F.lit(False)))
     return scored.withColumn("score", F.when(F.col("n_tokens") > 0, F.col("score")))
 
 
 def _totals(coded: DataFrame, places: DataFrame, hashes):
-    """Size of the vocabulary with the unknown class and the start sign, tokens of (background, target), number of chunks."""
+    """Size of the vocabulary with the unknown class and the start sign, tokens of (background, target)."""
     import numpy as np
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            words = np.unique(_keys(batch, hashes.value))
-            yield pd.DataFrame({"word": words[words != UNKNOWN].view(np.int64)})
+            for ids, rare in zip(batch["ids"], batch["rare"]):
+                words = np.unique(_keys(ids, rare, hashes.value))
+                yield pd.DataFrame({"word": words[words != UNKNOWN].view(np.int64)})
 
     size = coded.select("ids", "rare").mapInPandas(count, "word long").distinct().count() + 2
-    r = coded.agg(F.sum(F.octet_length("ids") / 2), F.count_distinct("chunk")).first()
-    return size, (r[0] or 0.0, places.agg(F.sum("n")).first()[0] or 0.0), r[1]
+    tokens = coded.select(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b).alias("n")).agg(F.sum("n")).first()[0]
+    return size, (float(tokens or 0), float(places.agg(F.sum("n")).first()[0] or 0))
 
 
 def op9_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,3 +284,21 @@ def op9_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t")) \
         .where("q = 1 and coalesce(t, 0) = 0")
     return cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
+ORACLE_OP9 = r"""
+WITH good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1 AND coalesce(max(toxic), 0) = 0),
+d AS (SELECT doc_id, doc_id IN (SELECT doc_id FROM good) AS in_target,
+             regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS ws FROM documents),
+t AS (SELECT doc_id, in_target, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM d),
+b AS (SELECT doc_id, in_target, w, coalesce(lag(w) OVER (PARTITION BY doc_id ORDER BY i), '') AS h FROM t),
+pair AS (SELECT h, w, count(*) AS n, count(*) FILTER (WHERE in_target) AS t FROM b GROUP BY h, w),
+history AS (SELECT h, sum(n) AS n, sum(t) AS t FROM pair GROUP BY h),
+single AS (SELECT w, sum(n) AS n, sum(t) AS t FROM pair GROUP BY w),
+total AS (SELECT sum(n) AS n, sum(t) AS t, count(*) + 2 AS v FROM single),
+loss AS (SELECT h, w, ln(0.7::DOUBLE * pair.n / greatest(history.n, 1) + 0.3::DOUBLE * (single.n + 1) / (total.n + v))
+                    - ln(0.7::DOUBLE * pair.t / greatest(history.t, 1) + 0.3::DOUBLE * (single.t + 1) / (total.t + v)) AS x
+         FROM pair JOIN history USING (h) JOIN single USING (w), total),
+s AS (SELECT doc_id, avg(x) AS score FROM b JOIN loss USING (h, w) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_tokens, score, in_target FROM d LEFT JOIN s USING (doc_id)
+"""

@@ -25,6 +25,7 @@ ORACLE = {
     "op6_temperature_mixing": mixing.ORACLE_OP6,
     "op7_warc_segments": warc.ORACLE_OP7,
     "op8_token_rollup": token_rollup.ORACLE_OP8,
+    "op9_cross_entropy_difference": lm_scoring.ORACLE_OP9,
     "op10_exact_dedup": exact_dedup.ORACLE_OP10,
     "op12_collocations": collocations.ORACLE_OP12,
     "op13_prefix_trie": prefix_trie.ORACLE_OP13,

@@ -487,7 +487,7 @@ def test_cross_entropy_difference(spark, texts):
             return lambda h, w: -math.log(LAMBDA * bi.get((h, w), 0) / max(hist.get(h, 0), 1) + (1 - LAMBDA) * (uni.get(w, 0) + 1) / (n + size))
 
         back, goal = model(coded), model([coded[len(texts)], coded[1]])
-        rows = cross_entropy_difference(docs, target, words=most, chunk_rows_log2=2).collect()
+        rows = cross_entropy_difference(docs, target, words=most, chunk_tokens=150, shard_tokens=4000).collect()
         assert len(rows) == len(all_texts)
         for r in rows:
             s = coded[r.doc_id]
