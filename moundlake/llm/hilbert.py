@@ -127,11 +127,11 @@ def cut_runs(placed: DataFrame, shards: int) -> DataFrame:
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16, bits: int = 5, **columns) -> None:
     """Write ``docs`` as one folder per shard, rows sorted along the curve, so that the files' minima and
-    maxima prune on every dimension. The place is found for the ids; ids must be unique."""
-    at = assign_shards(docs, shards, bits, **columns).select("doc_id", "shard", "slot")
-    key = columns.get("id_col", "doc_id")
-    at = at.select(F.col("doc_id").alias(key), F.col("shard").alias("_llm_shard"), F.col("slot").alias("_llm_slot"))
-    (docs.join(at, key).repartitionByRange(shards * 4, "_llm_shard", "_llm_slot")
+    maxima prune on every dimension. Every row is written once, whatever its id: the places are found for row numbers given here."""
+    rows = put_down(docs.withColumn("_llm_uid", F.monotonically_increasing_id()), "shard-rows")
+    at = assign_shards(rows, shards, bits, **(columns | {"id_col": "_llm_uid"}))
+    at = at.select(F.col("doc_id").alias("_llm_uid"), F.col("shard").alias("_llm_shard"), F.col("slot").alias("_llm_slot"))
+    (rows.join(at, "_llm_uid").drop("_llm_uid").repartitionByRange(shards * 4, "_llm_shard", "_llm_slot")
      .sortWithinPartitions("_llm_shard", "_llm_slot").drop("_llm_slot")
      .write.partitionBy("_llm_shard").parquet(path))
 

@@ -105,7 +105,9 @@ class TokenRollup:
         return ([read(f"{at}/totals")] if at else []) + [read(self._batch(b)) for b in fresh], fresh
 
     def totals(self) -> DataFrame:
-        parts, _ = self._parts()
+        return self._summed(self._parts()[0])
+
+    def _summed(self, parts: list[DataFrame]) -> DataFrame:
         kind = "source string, lang string, version string, docs long, tokens long"
         rows = self.spark.createDataFrame([], kind)
         for p in parts:
@@ -114,13 +116,14 @@ class TokenRollup:
             .where("docs <> 0 or tokens <> 0")
 
     def compact(self) -> None:
-        """Fold everything committed into a new snapshot, then remove what it holds."""
+        """Fold everything committed so far into a new snapshot, then remove what it holds. A batch committed meanwhile is in neither
+        and stays as it is."""
         old, folded = self._snapshot(), self._folded()
         parts, fresh = self._parts()
         if not fresh:
             return
         at = f"{self.path}/snapshots/{int(old.rsplit('/', 1)[1]) + 1 if old else 0:08d}"
-        self.totals().write.mode("overwrite").parquet(f"{at}/totals")
+        self._summed(parts).write.mode("overwrite").parquet(f"{at}/totals")
         self.spark.createDataFrame([(b,) for b in sorted(folded | set(fresh))], "batch string").coalesce(1) \
             .write.mode("overwrite").parquet(f"{at}/folded")
         fs_path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{at}/_SUCCESS")

@@ -21,6 +21,7 @@ an empty table gives an empty archive and no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -50,11 +51,10 @@ def unchunked(body: bytes) -> bytes | None:
         end = body.find(b"\r\n", at)
         if end < 0:
             return None
-        try:
-            n = int(body[at:end].split(b";")[0], 16)
-        except ValueError:
+        digits = body[at:end].split(b";")[0].strip()
+        if not re.fullmatch(rb"[0-9A-Fa-f]+", digits):  # no signs, no underscores
             return None
-        at = end + 2
+        n, at = int(digits, 16), end + 2
         if n == 0:
             return b"".join(out)
         if body[at + n:at + n + 2] != b"\r\n":
