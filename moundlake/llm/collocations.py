@@ -3,9 +3,10 @@
 A sample of the documents proposes the phrases that are frequent in it (at a lowered threshold), level by level. One full pass then
 counts, exactly and over every text, the proposed phrases and their negative border: every phrase that is not proposed itself although
 all its parts are. Here that means: a phrase of k words is counted wherever its first k - 1 and its last k - 1 words are proposed, and
-every single word is counted. A border phrase that turns out frequent is a failure of the sample: its extensions were not counted. As long as
-a pass brings failures, another full pass counts the phrases that contain them, until none is left; the result is then
-complete whatever the sample was.
+every single word is counted. A border phrase that turns out frequent is a failure of the sample: its extensions were not counted. If there are
+any, an expansion pass counts every phrase of up to five words around each of their occurrences (failures are rare and hardly more frequent than the
+threshold, so these are few). That closes the search whatever the sample was: a frequent phrase that the first pass did not count
+holds a smallest part that was not proposed; all parts of that one were, so the first pass counted it and it is a failure.
 
 A task must know which phrases are proposed. It gets a bitmap of their 64-bit hashes: two bits per phrase, at least sixteen bits per
 proposed phrase and at most ``MOST_BITS`` (128 MB), the proven bound of what is broadcast. A false positive only counts more
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from moundlake.llm.common import put_down, table, text_or_empty
 
@@ -34,7 +35,9 @@ SAMPLE, LOWERED = 0.1, 0.6
 #: Bits of the broadcast bitmap: at least BITS_EACH per phrase, between FEWEST_BITS and MOST_BITS.
 BITS_EACH, FEWEST_BITS, MOST_BITS = 16, 1 << 16, 1 << 30
 #: Words a task holds before it hands its counts on; words it keeps numbered.
-FLUSH, WORDS = 1_500_000, 400_000
+FLUSH, WORDS = 1_000_000, 150_000
+#: Counts handed on at a time.
+ROWS_OUT = 50_000
 #: Copies of single words that phrases are dealt over when they look up the counts of their parts.
 SALTS = 16
 
@@ -43,17 +46,45 @@ PIECE_ENDS, BETWEEN_WORDS = b".,;:!?\n\x0b\x0c\r", b" \t"
 #: A-Z lower-cased, every end of a piece as a full stop, tabs as spaces; other bytes as they are.
 BYTES = bytes(46 if b in PIECE_ENDS else 32 if b in BETWEEN_WORDS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-COUNTED = "lang string, k int, phrase string, h long, n long"
+_GOLD, _ALL = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+
+def _word_hash(lang: str):
+    import xxhash
+    seed = xxhash.xxh32_intdigest(lang.encode())
+    return lambda word: xxhash.xxh64_intdigest(word, seed)
+
+
+def _hashes(phrases: DataFrame) -> DataFrame:
+    """The 64-bit hash ``h`` of each phrase (lang, phrase)."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = {}
+        for batch in batches:
+            out = []
+            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if lang not in of:
+                    of[lang] = _word_hash(lang)
+                word = of[lang]
+                first, *rest = phrase.encode().split(b" ")
+                h = word(first)
+                for w in rest:  # as Counter._longer
+                    x = ((h ^ (h >> 29)) * _GOLD + word(w)) & _ALL
+                    h = x ^ (x >> 32)
+                out.append(h - (1 << 64) if h >> 63 else h)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["h"])
+    return phrases.select("lang", "phrase").mapInArrow(run, "h long")
 
 
 def bitmap(phrases: DataFrame) -> tuple[int, object]:
-    """(bits, words as uint64) of the hashes ``h`` of ``phrases``: of bounded size whatever the number of phrases."""
+    """(bits, words as uint64) of the hashes of ``phrases``: of bounded size whatever the number of phrases."""
     import numpy as np
     n, bits = phrases.count(), FEWEST_BITS
     while bits < MOST_BITS and bits < n * BITS_EACH:
         bits *= 2
     place = F.explode(F.array(F.col("h").bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned("h", 32).bitwiseAND(F.lit(bits - 1))))
-    slots = (phrases.select(place.alias("at")).groupBy(F.shiftright("at", 6).alias("slot"))
+    slots = (_hashes(phrases).select(place.alias("at")).groupBy(F.shiftright("at", 6).alias("slot"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("word")))
     out = np.zeros(bits // 64, np.uint64)
     got = slots.toArrow()  # at most bits / 64 rows
@@ -76,11 +107,9 @@ class Counter:
     """Counts of the phrases of one language in one task."""
 
     def __init__(self, lang: str, proposed, fresh, levels: tuple[int, ...]):
-        import xxhash
         self.lang, self.proposed, self.fresh, self.levels = lang, proposed, fresh, levels
-        self.seed, self.hash = xxhash.xxh32_intdigest(lang.encode()), xxhash.xxh64_intdigest
+        self.hash = _word_hash(lang)
         self.texts: list = []
-        self.words = 0
         self._new_words()
 
     def _new_words(self):
@@ -95,13 +124,13 @@ class Counter:
         self.spelled: list[bytes] = [b"."]
         self.word_hash = np.zeros(1, np.uint64)
 
-    def add(self, text: str) -> None:
+    def add(self, text: str) -> int:
         import numpy as np
         tokens = text.encode().translate(BYTES).replace(b".", b" . ").split(b" ")
         ids = np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
         self.texts.append(ids)
         self.texts.append(np.zeros(1, np.int64))  # the end of a text ends a piece
-        self.words += len(tokens)
+        return len(tokens)
 
     def _numbers(self):
         """The collected words as numbers (0: end of a piece); empty strings between neighbouring spaces are no words."""
@@ -114,7 +143,7 @@ class Counter:
         if len(self.number) > known:
             more = list(self.number)[known:]
             self.spelled += more
-            hashes = np.fromiter((self.hash(w, self.seed) for w in more), np.uint64, len(more))
+            hashes = np.fromiter(map(self.hash, more), np.uint64, len(more))
             self.word_hash = np.concatenate([self.word_hash, hashes])
         return ids
 
@@ -122,11 +151,11 @@ class Counter:
     def _longer(h, last):
         """Hashes of phrases from those without the last word and of the last word."""
         import numpy as np
-        x = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + last
+        x = (h ^ (h >> np.uint64(29))) * np.uint64(_GOLD) + last
         return x ^ (x >> np.uint64(32))
 
     def _near_fresh(self, ids):
-        """Only the words from one before to one after each fresh phrase; gaps become ends of pieces."""
+        """The words of every phrase that may hold a fresh one; gaps become ends of pieces."""
         import numpy as np
         n = len(ids)
         wh = self.word_hash[ids]
@@ -136,50 +165,41 @@ class Counter:
                 h = self._longer(h[:-1], wh[k - 1:])
                 inside = inside[:-1] & (ids[k - 1:] > 0)
             i = np.flatnonzero(inside & holds(self.fresh, h)) if len(h) else np.zeros(0, np.int64)
-            np.add.at(mark, np.maximum(i - 1, 0), 1)
-            np.add.at(mark, np.minimum(i + k + 1, n), -1)
+            np.add.at(mark, np.maximum(i - (LONGEST - k), 0), 1)
+            np.add.at(mark, np.minimum(i + LONGEST, n), -1)
         keep = np.cumsum(mark[:n]) > 0
         out = np.where(keep, ids, 0)
         return out[keep | np.concatenate([[False], keep[:-1]])]
 
-    def flush(self) -> list[tuple]:
-        """Rows (lang, k, phrase, hash, count) of everything added since the last call."""
-        import numpy as np
-        rows: list[tuple] = []
+    def flush(self):
+        """(phrases, counts) of everything added since the last call, a bounded number at a time."""
         if self.texts:
             ids = self._numbers()
-            if self.fresh is not None:
-                ids = self._near_fresh(ids)
-            rows = self._count(ids)
-            self.texts, self.words = [], 0
+            self.texts = []
+            yield from self._count(ids if self.fresh is None else self._near_fresh(ids))
             if len(self.number) > WORDS:
                 self._new_words()
-        return rows
 
-    def _count(self, ids) -> list[tuple]:
+    def _count(self, ids):
         import numpy as np
-        rows: list[tuple] = []
-        spelled, lang = self.spelled, self.lang
-
-        def emit(k, starts, hashes, counts):
-            parts = [ids[starts + j].tolist() for j in range(k)]
-            for h, n, *words in zip(hashes.view(np.int64).tolist(), counts.tolist(), *parts):
-                rows.append((lang, k, b" ".join([spelled[w] for w in words]), h, n))
-
-        counts = np.bincount(ids, minlength=len(spelled))
+        spelled = self.spelled
         if 1 in self.levels:
-            rows.append((lang, 0, b"", 0, int(counts[1:].sum())))  # all word occurrences
+            counts = np.bincount(ids, minlength=len(spelled))
+            yield [b""], np.array([counts[1:].sum()])  # all word occurrences
             seen = np.flatnonzero(counts)
             seen = seen[seen > 0]
-            for w, h, n in zip(seen.tolist(), self.word_hash[seen].view(np.int64).tolist(), counts[seen].tolist()):
-                rows.append((lang, 1, spelled[w], h, n))
-        if max(self.levels) == 1:
-            return rows
+            for lo in range(0, len(seen), ROWS_OUT):
+                some = seen[lo:lo + ROWS_OUT]
+                yield [spelled[w] for w in some.tolist()], counts[some]
         wh = self.word_hash[ids]
-        known = holds(self.proposed, self.word_hash)
-        known[0] = False
-        good, h, number = known[ids], wh, ids
-        new = None if self.fresh is None else holds(self.fresh, self.word_hash)[ids] & (ids > 0)
+        if self.fresh is None:
+            known = holds(self.proposed, self.word_hash) if max(self.levels) > 1 else np.zeros(len(spelled), bool)
+            known[0] = False
+            good, new = known[ids], None
+        else:
+            good = ids > 0
+            new = holds(self.fresh, self.word_hash)[ids] & good
+        h, number = wh, ids
         for k in range(2, max(self.levels) + 1):  # position i: the phrase of k words that starts there
             both = good[:-1] & good[1:]
             at = np.flatnonzero(both)
@@ -189,22 +209,25 @@ class Counter:
             pair = (number[at] << 32) | number[at + 1]
             _, first, inverse, n = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
             starts = at[first]
-            if k in self.levels:
-                wanted = slice(None) if new is None else new[starts] | new[starts + 1]
-                emit(k, starts[wanted], h[starts[wanted]], n[wanted])
+            wanted = np.arange(len(starts)) if new is None else np.flatnonzero(new[starts] | new[starts + 1])
+            for lo in range(0, len(wanted) if k in self.levels else 0, ROWS_OUT):
+                some = wanted[lo:lo + ROWS_OUT]
+                words = [map(spelled.__getitem__, ids[starts[some] + j].tolist()) for j in range(k)]
+                yield list(map(b" ".join, zip(*words))), n[some]
             number = np.zeros(len(both), np.int64)
             number[at] = inverse
-            good = np.zeros(len(both), bool)
-            good[at] = holds(self.proposed, h[starts])[inverse]
-            if new is not None:
-                new = np.zeros(len(both), bool)
-                new[at] = holds(self.fresh, h[starts])[inverse]
-        return rows
+            if new is None:
+                good = np.zeros(len(both), bool)
+                good[at] = holds(self.proposed, h[starts])[inverse]
+            else:
+                good = both
+                new = (new[:-1] | new[1:]) & both
+                new[at] |= holds(self.fresh, h[starts])[inverse]
 
 
 def count_phrases(texts: DataFrame, levels: tuple[int, ...], proposed=None, fresh=None) -> DataFrame:
-    """Exact counts (lang, k, phrase, h, n) over ``texts`` (lang, text) of the phrases of ``levels`` words whose parts are in the
-    bitmap ``proposed``; with ``fresh``, only of those with a part in that bitmap. The row k = 0 holds all word occurrences."""
+    """Exact counts (lang, k, phrase, n) over ``texts`` (lang, text) of the phrases of ``levels`` words whose parts are in the
+    bitmap ``proposed``; or, with ``fresh``, of all phrases that hold one of that bitmap. The row k = 0 holds all word occurrences."""
     import pyarrow as pa
     sc = texts.sparkSession.sparkContext
     proposed, fresh = (b if b is None else sc.broadcast(b) for b in (proposed, fresh))
@@ -212,36 +235,40 @@ def count_phrases(texts: DataFrame, levels: tuple[int, ...], proposed=None, fres
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict[str, Counter] = {}
 
-        def out(rows):
-            for lo in range(0, len(rows), 100_000):
-                cols = list(zip(*rows[lo:lo + 100_000]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()).cast(pa.string()),
-                     pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64())], names=["lang", "k", "phrase", "h", "n"])
+        def flushed():
+            for c in counters.values():
+                mark = b"\t" + c.lang.encode()
+                for phrases, n in c.flush():
+                    keys = pa.array([p + mark for p in phrases], pa.binary()).cast(pa.string())
+                    yield pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int64())], names=["key", "n"])
+            if len(counters) > 64:
+                counters.clear()
 
+        held = 0
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 some = batch.slice(lo, 256)
                 for lang, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
-                    c = counters.get(lang)
-                    if c is None:
-                        c = counters[lang] = Counter(lang, proposed and proposed.value, fresh and fresh.value, levels)
-                    c.add(text)
-                    if sum(x.words for x in counters.values()) >= FLUSH:
-                        for x in counters.values():
-                            yield from out(x.flush())
-                        if len(counters) > 64:
-                            counters.clear()
-        for x in counters.values():
-            yield from out(x.flush())
-
-    return texts.mapInArrow(run, COUNTED).groupBy("lang", "k", "phrase", "h").agg(F.sum("n").alias("n"))
+                    if lang not in counters:
+                        counters[lang] = Counter(lang, proposed and proposed.value, fresh and fresh.value, levels)
+                    held += counters[lang].add(text)
+                    if held >= FLUSH:
+                        yield from flushed()
+                        held = 0
+        yield from flushed()
+
+    # one short key per phrase goes through the shuffle: the phrase, a tab (no word holds one), the language
+    counted = texts.mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    phrase = F.substring_index("key", "\t", 1)
+    return counted.select(
+        F.expr("substring(key, instr(key, '\t') + 1)").alias("lang"),
+        F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " ", -1))).alias("k"), phrase.alias("phrase"), "n")
 
 
 def frequent_phrases(df: DataFrame, least: int = LEAST, share: float = SAMPLE, lowered: float = LOWERED, text_col: str = "text",
                      lang_col: str = "lang", sample_on: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
     """(lang, k, phrase, n): every phrase of at most five words with at least ``least`` occurrences in its language, and per language
-    the row k = 0 with all word occurrences. Exact; ``share`` and ``lowered`` decide only how much is counted and how often."""
+    the row k = 0 with all word occurrences. Exact; ``share`` and ``lowered`` decide only how much is counted, and whether a second pass is needed."""
     if least < 2:
         raise ValueError("least must be 2 or more")
     texts = df.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), text_or_empty(text_col).alias("text"))
@@ -256,19 +283,15 @@ def frequent_phrases(df: DataFrame, least: int = LEAST, share: float = SAMPLE, l
         level = put_down(counts.where((F.col("k") == k) & (F.col("n") >= in_sample)), f"proposed-{k}")
         proposed = level if proposed is None else proposed.unionByName(level)
         known = bitmap(proposed)
-    # 2. one full pass counts them and their negative border; 3. failures of the border call for further passes
+    # 2. one full pass counts them and their negative border
     found = put_down(count_phrases(texts, tuple(range(1, LONGEST + 1)), known).where(f"k = 0 OR n >= {least}"), "phrases")
-    result = last = found
-    while True:
-        failures = last.where(F.col("k").between(1, LONGEST - 1)).join(proposed, ["lang", "k", "phrase"], "left_anti")
-        failures = put_down(failures.select(*proposed.columns), "border-failures")
-        if failures.isEmpty():
-            break
-        proposed = proposed.unionByName(failures)
-        last = count_phrases(texts, tuple(range(2, LONGEST + 1)), bitmap(proposed), bitmap(failures)).where(F.col("n") >= least)
-        last = put_down(last, "phrases")
-        result = result.unionByName(last)
-    return put_down(result.groupBy("lang", "k", "phrase").agg(F.max("n").alias("n")), "frequent-phrases")
+    # 3. failures of the border call for an expansion pass
+    failures = found.where(F.col("k").between(1, LONGEST - 1)).join(proposed, ["lang", "k", "phrase"], "left_anti")
+    failures = put_down(failures, "border-failures")
+    if failures.isEmpty():
+        return found.select("lang", "k", "phrase", "n")
+    more = count_phrases(texts, tuple(range(2, LONGEST + 1)), fresh=bitmap(failures)).where(F.col("n") >= least)
+    return put_down(found.unionByName(more).groupBy("lang", "k", "phrase").agg(F.max("n").alias("n")), "frequent-phrases")
 
 
 def score(phrases: DataFrame) -> DataFrame:
