@@ -14,8 +14,11 @@ hash), every class is indexed, together with the exact length of what its code l
   that sum exceeds r + left; nothing else is dropped.
 * Exact rerank. The rest are compared by cosine in double precision.
 
+* Both ends. A link found from one end counts for both: a task that finds member y from query x works out from y whether y's
+  own probes reach x's list. If they do, y finds x itself; if not, the task counts the link for y as well.
+
 A list of any size is cut into blocks of members and blocks of queries, one task's work each, so a hot list
-spreads. A task returns the number of links of each query and a spanning forest of the links, not the pairs.
+spreads. A task returns the number of links of each vector and a spanning forest of the links, not the pairs.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link with nothing; vectors of
 different lengths never link; equal vectors link with each other; an empty table gives no rows; null ids are carried and are never
@@ -33,7 +36,7 @@ from moundlake.llm.common import put_down, table
 from moundlake.llm.components import connected_components
 
 COSINE = 0.95
-SAMPLE, MOST_LISTS, SUBSPACES, CODE_WORDS = 16_384, 1_024, 8, 256
+SAMPLE, MOST_LISTS, SUBSPACES, CODE_WORDS = 16_384, 4_096, 8, 256
 MARGIN = 0.5
 BLOCK = 2_048
 
@@ -75,18 +78,24 @@ def unit(raw):
     return x / np.sqrt((x ** 2).sum(axis=1, keepdims=True))
 
 
+def _plane(margin: float, radius: float, own, other):
+    """How much further (in squared distance) a vector of a list may be from another list's centroid for it to be probed."""
+    import numpy as np
+    return 2 * margin * radius * np.sqrt(((own - other) ** 2).sum(axis=-1)) + 1e-9
+
+
 def _index(classes: DataFrame, sent, radius: float, margin: float) -> DataFrame:
     """For every class: a member row in its own list and a query row in every probed list."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
         centroids, books = sent.value
-        between = np.sqrt(np.maximum(((centroids ** 2).sum(1)[:, None] + (centroids ** 2).sum(1) - 2 * centroids @ centroids.T), 0))
+        squares = (centroids ** 2).sum(axis=1)
         for batch in batches:
-            for at in range(0, len(batch), 2048):
-                part = batch.iloc[at:at + 2048]
+            for at in range(0, len(batch), 512):
+                part = batch.iloc[at:at + 512]
                 x = unit(part["raw"])
-                d2 = np.maximum(1 + (centroids ** 2).sum(1) - 2 * x @ centroids.T, 0)
+                d2 = np.maximum(1 + squares - 2 * x @ centroids.T, 0)
                 own = d2.argmin(axis=1)
                 left = x - centroids[own]
                 codes = np.stack([nearest(left[:, c], book) for c, book in books], axis=1).astype(np.uint8)
@@ -94,17 +103,18 @@ def _index(classes: DataFrame, sent, radius: float, margin: float) -> DataFrame:
                     left[:, c] -= book[codes[:, m]]
                 over = np.sqrt((left ** 2).sum(axis=1))
                 near = np.sqrt(d2)
-                probed = d2 - d2[np.arange(len(x)), own][:, None] <= 2 * margin * radius * between[own] + 1e-9
+                apart = np.sqrt(np.maximum(squares[own][:, None] + squares - 2 * centroids[own] @ centroids.T, 0))
+                probed = d2 - d2[np.arange(len(x)), own][:, None] <= 2 * margin * radius * apart + 1e-9
                 q, lists = np.nonzero(probed)
                 node, copies, raw = part["node"].to_numpy(), part["copies"].to_numpy(), part["raw"].to_numpy()
-                yield pd.DataFrame({"list": own.astype("int32"), "node": node, "copies": copies, "raw": raw,
+                yield pd.DataFrame({"list": own.astype("int32"), "own": own.astype("int32"), "node": node, "copies": copies, "raw": raw,
                                     "codes": [b.tobytes() for b in codes], "left": over, "near": near[np.arange(len(x)), own]})
                 for a in range(0, len(q), 4096):
                     b, c = q[a:a + 4096], lists[a:a + 4096]
-                    yield pd.DataFrame({"list": c.astype("int32"), "node": node[b], "copies": copies[b], "raw": raw[b],
+                    yield pd.DataFrame({"list": c.astype("int32"), "own": own[b].astype("int32"), "node": node[b], "copies": copies[b], "raw": raw[b],
                                         "codes": None, "left": 0.0, "near": near[b, c]})
 
-    return classes.mapInPandas(run, "list int, node long, copies long, raw binary, codes binary, left double, near double")
+    return classes.mapInPandas(run, "list int, own int, node long, copies long, raw binary, codes binary, left double, near double")
 
 
 def _tasks(rows: DataFrame, block: int) -> DataFrame:
@@ -121,7 +131,7 @@ def _tasks(rows: DataFrame, block: int) -> DataFrame:
     return out.withColumn("qb", F.explode(F.when(query, mine("q_blocks")).otherwise(every("q_blocks")))).drop("m_blocks", "q_blocks")
 
 
-def _search(pdf: pd.DataFrame, index, radius: float, cosine: float) -> pd.DataFrame:
+def _search(pdf: pd.DataFrame, index, radius: float, cosine: float, margin: float) -> pd.DataFrame:
     """One list's block of queries against one block of its members."""
     import numpy as np
     centroids, books = index
@@ -133,7 +143,8 @@ def _search(pdf: pd.DataFrame, index, radius: float, cosine: float) -> pd.DataFr
     y, node, copies = unit(members["raw"]), members["node"].to_numpy(), members["copies"].to_numpy()
     codes = np.frombuffer(b"".join(members["codes"]), dtype=np.uint8).reshape(len(members), -1)
     reach, near = (radius + members["left"].to_numpy() + 1e-6) ** 2, members["near"].to_numpy()
-    q_node = queries["node"].to_numpy()
+    q_node, q_own, q_copies = (queries[c].to_numpy() for c in ("node", "own", "copies"))
+    here, m_links = int(members["list"].iloc[0]), np.zeros(len(members), dtype=np.int64)
     links, forest = np.zeros(len(queries), dtype=np.int64), []
     every = np.unique(np.concatenate([node, q_node]))
     label = np.arange(len(every))
@@ -154,15 +165,20 @@ def _search(pdf: pd.DataFrame, index, radius: float, cosine: float) -> pd.DataFr
             good = np.einsum("nd,nd->n", x[p], y[s]) >= cosine
             p, s = p[good], s[good]
             np.add.at(links, a + p, copies[s])
+            back = centroids[q_own[a + p]]  # does the member's own search reach the query's list?
+            further = ((y[s] - back) ** 2).sum(axis=1) - ((y[s] - centroids[here]) ** 2).sum(axis=1)
+            alone = further > _plane(margin, radius, centroids[here], back)
+            np.add.at(m_links, s[alone], q_copies[a + p[alone]])
             for k in np.unique(p):
                 labels = np.unique(label[np.append(at_member[s[p == k]], at_query[a + k])])
                 if len(labels) > 1:
                     forest += [(every[labels[0]], every[v]) for v in labels[1:]]
                     label[np.isin(label, labels[1:])] = labels[0]
-    some = np.flatnonzero(links)
-    return pd.DataFrame({"a": np.concatenate([q_node[some], np.array([u for u, _ in forest], dtype=np.int64)]),
-                         "b": np.concatenate([q_node[some], np.array([v for _, v in forest], dtype=np.int64)]),
-                         "links": np.concatenate([links[some], np.zeros(len(forest), dtype=np.int64)])})
+    some, others = np.flatnonzero(links), np.flatnonzero(m_links)
+    counted = np.concatenate([q_node[some], node[others]])
+    return pd.DataFrame({"a": np.concatenate([counted, np.array([u for u, _ in forest], dtype=np.int64)]),
+                         "b": np.concatenate([counted, np.array([v for _, v in forest], dtype=np.int64)]),
+                         "links": np.concatenate([links[some], m_links[others], np.zeros(len(forest), dtype=np.int64)])})
 
 
 def _pack(rows: DataFrame) -> DataFrame:
@@ -191,7 +207,7 @@ def near_links(classes: DataFrame, cosine: float, margin: float, block: int = BL
     rows = put_down(_index(classes, sent, radius, margin), "pq-index")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _search(pdf, sent.value, radius, cosine)
+        return _search(pdf, sent.value, radius, cosine, margin)
 
     return _tasks(rows, block).groupBy("list", "mb", "qb").applyInPandas(run, "a long, b long, links long")
 
