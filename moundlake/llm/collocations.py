@@ -10,7 +10,10 @@ holds a smallest part that was not proposed; all parts of that one were, so the
 
 A task must know which phrases are proposed. It gets a bitmap of their 64-bit hashes: two bits per phrase, at least sixteen bits per
 proposed phrase and at most ``MOST_BITS`` (128 MB), the proven bound of what is broadcast. A false positive only counts more
-phrases than needed; it never loses one. Counting itself is exact: inside a task words are numbered, a phrase is the pair of the
+phrases than needed; it never loses one. Most of the border is rare, and its texts are not worth a shuffle: before the full pass, the occurrences of
+proposed and border phrases are added up by slots, the low bits of their hashes (three bytes an occurrence, one slot per eight bytes of
+text, at most ``MOST_BITS`` slots). A phrase whose slot stays below the threshold is not frequent, nor is any phrase that holds it, so the full pass leaves
+it out; slots shared by several phrases only make it count more. Counting itself is exact: inside a task words are numbered, a phrase is the pair of the
 numbers of its two parts, and what leaves the task is the phrase's text.
 
 A task flushes its counts every ``FLUSH`` words, so its memory is bounded; flushed counts are combined before the shuffle, so a hot word is
@@ -34,6 +37,8 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 SAMPLE, LOWERED = 0.1, 0.6
 #: Bits of the broadcast bitmap: at least BITS_EACH per phrase, between FEWEST_BITS and MOST_BITS.
 BITS_EACH, FEWEST_BITS, MOST_BITS = 16, 1 << 16, 1 << 30
+#: Bytes of text to a slot of the count before the full pass; slots whose sums are kept together.
+BYTES_A_SLOT, SHARD = 8, 1 << 16
 #: Words a task holds before it hands its counts on; words it keeps numbered.
 FLUSH, WORDS = 1_000_000, 150_000
 #: Counts handed on at a time.
@@ -103,11 +108,19 @@ def holds(bits_and_words: tuple[int, object], h) -> object:
     return (at(h & mask) & at((h >> np.uint64(32)) & mask)).astype(bool)
 
 
+def in_slot(bits_and_words: tuple[int, object], h) -> object:
+    """Which of the hashes ``h`` (uint64 array) lie in a slot that is set."""
+    import numpy as np
+    slots, words = bits_and_words
+    place = h & np.uint64(slots - 1)
+    return ((words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
 class Counter:
     """Counts of the phrases of one language in one task."""
 
-    def __init__(self, lang: str, proposed, fresh, levels: tuple[int, ...]):
-        self.lang, self.proposed, self.fresh, self.levels = lang, proposed, fresh, levels
+    def __init__(self, lang: str, proposed, fresh, levels: tuple[int, ...], full=None):
+        self.lang, self.proposed, self.fresh, self.levels, self.full = lang, proposed, fresh, levels, full
         self.hash = _word_hash(lang)
         self.texts: list = []
         self._new_words()
@@ -180,6 +193,28 @@ class Counter:
             if len(self.number) > WORDS:
                 self._new_words()
 
+    def hashes(self):
+        """The hashes of all occurrences of proposed and border phrases of two words and more added since the last call, level by level."""
+        import numpy as np
+        if not self.texts:
+            return
+        ids = self._numbers()
+        self.texts = []
+        wh = self.word_hash[ids]
+        known = holds(self.proposed, self.word_hash)
+        known[0] = False
+        good, h = known[ids], wh
+        for k in range(2, LONGEST + 1):
+            good = good[:-1] & good[1:]
+            at = np.flatnonzero(good)
+            if not len(at):
+                break
+            h = self._longer(h[:-1], wh[k - 1:])
+            yield h[at]
+            good[at] = holds(self.proposed, h[at])
+        if len(self.number) > WORDS:
+            self._new_words()
+
     def _count(self, ids):
         import numpy as np
         spelled = self.spelled
@@ -203,9 +238,11 @@ class Counter:
         for k in range(2, max(self.levels) + 1):  # position i: the phrase of k words that starts there
             both = good[:-1] & good[1:]
             at = np.flatnonzero(both)
+            h = self._longer(h[:-1], wh[k - 1:])
+            if self.full is not None:  # the rest is not frequent, nor is what holds it
+                at = at[in_slot(self.full, h[at])]
             if not len(at):
                 break
-            h = self._longer(h[:-1], wh[k - 1:])
             pair = (number[at] << 32) | number[at + 1]
             _, first, inverse, n = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
             starts = at[first]
@@ -225,12 +262,82 @@ class Counter:
                 new[at] |= holds(self.fresh, h[starts])[inverse]
 
 
-def count_phrases(texts: DataFrame, levels: tuple[int, ...], proposed=None, fresh=None) -> DataFrame:
+def full_slots(texts: DataFrame, proposed, least: int) -> tuple[int, object]:
+    """(slots, words as uint64): a bit for each slot of at least ``least`` occurrences of proposed and border phrases in ``texts`` (lang, text)."""
+    import numpy as np
+    import pyarrow as pa
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    slots = SHARD
+    while slots < MOST_BITS and slots * BYTES_A_SLOT < size:
+        slots *= 2
+    proposed = texts.sparkSession.sparkContext.broadcast(proposed)
+    small = np.uint8 if least <= 255 else np.uint32
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters: dict[str, Counter] = {}
+
+        def flushed():
+            found = [(h & np.uint64(slots - 1)).astype(np.uint32) for c in counters.values() for h in c.hashes()]
+            if len(counters) > 64:
+                counters.clear()
+            if not found:
+                return
+            slot, n = np.unique(np.concatenate(found), return_counts=True)
+            n = np.minimum(n, least).astype(small)  # a sum that reaches ``least`` still does
+            shard, start = np.unique(slot // SHARD, return_index=True)
+            place, ends = (slot % SHARD).astype(np.uint16), [*start[1:].tolist(), len(slot)]
+            for lo in range(0, len(shard), 256):
+                cut = list(zip(start[lo:lo + 256].tolist(), ends[lo:lo + 256]))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(shard[lo:lo + 256].astype(np.int32)), pa.array([place[i:j].tobytes() for i, j in cut], pa.binary()),
+                    pa.array([n[i:j].tobytes() for i, j in cut], pa.binary())], names=["shard", "places", "n"])
+
+        held = 0
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                some = batch.slice(lo, 256)
+                for lang, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                    if lang not in counters:
+                        counters[lang] = Counter(lang, proposed.value, None, ())
+                    held += counters[lang].add(text)
+                    if held >= FLUSH:
+                        yield from flushed()
+                        held = 0
+        yield from flushed()
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of a shard come one after another, so a task holds the sums of one shard."""
+        shard, sums = None, np.zeros(SHARD, np.int64)
+
+        def done():
+            if (sums >= least).any():
+                bits = np.packbits(sums >= least, bitorder="little").tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([bits], pa.binary())], names=["shard", "bits"])
+
+        for batch in batches:
+            for s, places, n in zip(*(batch.column(i) for i in range(3))):
+                if s.as_py() != shard:
+                    yield from done()
+                    shard = s.as_py()
+                    sums[:] = 0
+                sums[np.frombuffer(places.as_buffer(), np.uint16)] += np.frombuffer(n.as_buffer(), small)
+        yield from done()
+
+    got = (texts.mapInArrow(seen, "shard int, places binary, n binary").repartition("shard").sortWithinPartitions("shard")
+           .mapInArrow(summed, "shard int, bits binary").toArrow())  # a bit per slot
+    out = np.zeros((slots // SHARD, SHARD // 8), np.uint8)
+    for shard, bits in zip(got.column("shard").to_pylist(), got.column("bits").to_pylist()):
+        out[shard] = np.frombuffer(bits, np.uint8)
+    return slots, out.reshape(-1).view(np.uint64)
+
+
+def count_phrases(texts: DataFrame, levels: tuple[int, ...], proposed=None, fresh=None, full=None) -> DataFrame:
     """Exact counts (lang, k, phrase, n) over ``texts`` (lang, text) of the phrases of ``levels`` words whose parts are in the
-    bitmap ``proposed``; or, with ``fresh``, of all phrases that hold one of that bitmap. The row k = 0 holds all word occurrences."""
+    bitmap ``proposed``, but for those outside the slots ``full``; or, with ``fresh``, of all phrases that hold one of that bitmap. The row k = 0
+    holds all word occurrences."""
     import pyarrow as pa
     sc = texts.sparkSession.sparkContext
-    proposed, fresh = (b if b is None else sc.broadcast(b) for b in (proposed, fresh))
+    proposed, fresh, full = (b if b is None else sc.broadcast(b) for b in (proposed, fresh, full))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict[str, Counter] = {}
@@ -250,7 +357,7 @@ def count_phrases(texts: DataFrame, levels: tuple[int, ...], proposed=None, fres
                 some = batch.slice(lo, 256)
                 for lang, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
                     if lang not in counters:
-                        counters[lang] = Counter(lang, proposed and proposed.value, fresh and fresh.value, levels)
+                        counters[lang] = Counter(lang, proposed and proposed.value, fresh and fresh.value, levels, full and full.value)
                     held += counters[lang].add(text)
                     if held >= FLUSH:
                         yield from flushed()
@@ -283,8 +390,9 @@ def frequent_phrases(df: DataFrame, least: int = LEAST, share: float = SAMPLE, l
         level = put_down(counts.where((F.col("k") == k) & (F.col("n") >= in_sample)), f"proposed-{k}")
         proposed = level if proposed is None else proposed.unionByName(level)
         known = bitmap(proposed)
-    # 2. one full pass counts them and their negative border
-    found = put_down(count_phrases(texts, tuple(range(1, LONGEST + 1)), known).where(f"k = 0 OR n >= {least}"), "phrases")
+    # 2. one full pass counts them and their negative border, where the slots do not rule it out
+    full = full_slots(texts, known, least)
+    found = put_down(count_phrases(texts, tuple(range(1, LONGEST + 1)), known, full=full).where(f"k = 0 OR n >= {least}"), "phrases")
     # 3. failures of the border call for an expansion pass
     failures = found.where(F.col("k").between(1, LONGEST - 1)).join(proposed, ["lang", "k", "phrase"], "left_anti")
     failures = put_down(failures, "border-failures")

@@ -93,6 +93,35 @@ def test_collocations_whatever_the_sample(spark, share, lowered):
     assert C.score(C.frequent_phrases(frame.limit(0), least=9)).count() == 0
 
 
+@pytest.mark.parametrize("flush, slots_shard", [(1_000_000, 1 << 16), (50, 64)])
+def test_full_slots_hold_every_frequent_phrase(spark, monkeypatch, flush, slots_shard):
+    """No frequent phrase lies outside the slots, however the counts are cut; with one occurrence as the threshold, every slot in use is set."""
+    import numpy as np
+    from moundlake.llm import collocations as C
+    monkeypatch.setattr(C, "FLUSH", flush)
+    monkeypatch.setattr(C, "SHARD", slots_shard)
+    rnd = random.Random(4)
+    texts = [" ".join(f"v{min(rnd.randrange(9), rnd.randrange(9))}" for _ in range(30)) + ". end" for _ in range(200)]
+    frame = spark.createDataFrame([("en", t) for t in texts], "lang string, text string").repartition(3)
+    words = spark.createDataFrame([("en", w) for w in {w for t in texts for w in t.replace(".", "").split()}], "lang string, phrase string")
+    known = C.bitmap(words)
+    counts = Counter((a, b) for t in texts for a, b in zip(t.split(". ")[0].split(), t.split(". ")[0].split()[1:]))
+    h = C._word_hash("en")
+    hashes = {p: C.Counter._longer(np.array([h(p[0].encode())], np.uint64), np.array([h(p[1].encode())], np.uint64)) for p in counts}
+    full = C.full_slots(frame, known, 60)
+    slots, _ = full
+    sums = Counter()
+    for p, n in counts.items():
+        sums[int(hashes[p][0]) & (slots - 1)] += n
+    for p, n in counts.items():
+        assert n < 60 or C.in_slot(full, hashes[p])[0]
+        if slots_shard > 64:  # few collisions: what is rare is left out
+            assert C.in_slot(full, hashes[p])[0] or sums[int(hashes[p][0]) & (slots - 1)] < 60
+    assert slots_shard <= 64 or not all(C.in_slot(full, x)[0] for x in hashes.values())
+    every = C.full_slots(frame, known, 1)
+    assert all(C.in_slot(every, x)[0] for x in hashes.values())
+
+
 def test_collocation_flushes(spark, monkeypatch):
     """Counts handed on in many pieces, with the words numbered anew each time."""
     from moundlake.llm import collocations as C
