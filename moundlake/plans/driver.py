@@ -559,6 +559,50 @@ def stream_ingest(spark, sf):
     return _r(cur.select("game_id", "ab_number", "index_play", "pitcher_id", "start_speed", "end_speed"))
 
 
+def stream_boards(spark, sf):
+    """ST1 with A1, A7, A10 by signed changes: every game is landed, landed again (even keys half a mile faster), the board is compacted, and the
+    games of keys divisible by three are landed a third time (a mile faster than first). Per pitcher and feed code the moments and the plus score
+    of the newest versions, from the changes alone."""
+    import uuid
+    from moundlake.session import checkpoint_dir
+    from moundlake.streaming import MomentBoard, start_feed_ingest
+    base = f"{checkpoint_dir(spark).rstrip('/')}/moundlake-boards-{uuid.uuid4().hex}"
+    board = MomentBoard(f"{base}/board", ["pitcher_id", "play_code"], ["start_speed"])
+
+    def land(name: str, docs) -> None:
+        docs.write.json(f"{base}/landing/{name}")
+        start_feed_ingest(spark, f"{base}/landing/*", f"{base}/table", f"{base}/ckpt", multiline=False, boards=[board]).awaitTermination()
+
+    land("v1", feed_documents(spark, sf))
+    land("v2", feed_documents(spark, sf, speed_bump=F.when(F.pmod("l_orderkey", F.lit(2)) == 0, F.lit(0.5)).otherwise(F.lit(0.0))))
+    board.compact(spark)
+    land("v3", feed_documents(spark, sf, speed_bump=F.lit(1.0)).where(F.pmod("gamePk", F.lit(3)) == 0))
+    return _r(board.board(spark))
+
+
+def games_sketch(spark, sf):
+    """A8 and A12 by stored sketches: one sketch of games per pitcher, pitch type and season is written as a table and united to pitcher and
+    type, type, and everything; beside the exact counts, whether the estimates lie within the stated bound."""
+    import uuid
+    from moundlake.operators import sketches
+    from moundlake.session import checkpoint_dir
+    p = roles.pitches(spark, sf)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/moundlake-sketches-{uuid.uuid4().hex}"
+    sketches.distinct_sketches(p, ["pitcher_id", "pitch_type", "year"], "game_id").write.partitionBy("year").parquet(path)
+    stored = spark.read.parquet(path)
+    exact = p.groupBy("pitcher_id", "pitch_type", "game_id").agg(F.count(F.lit(1)).alias("_n"))  # shrinks the grouping sets
+    out = None
+    for level, keys in (("pitcher", ["pitcher_id", "pitch_type"]), ("type", ["pitch_type"]), ("all", [])):
+        est = sketches.estimate(sketches.union_sketches(stored, keys), "estimate")
+        true = exact.groupBy(*keys).agg(F.count_distinct("game_id").alias("games"))
+        both = true.join(est, keys) if keys else true.crossJoin(est)  # no keys: one row beside one row
+        both = both.select(F.lit(level).alias("level"), *[(F.col(c) if c in keys else F.lit(None).cast(p.schema[c].dataType)).alias(c)
+                                                          for c in ("pitcher_id", "pitch_type")],
+                           "games", (F.abs(F.col("estimate") - F.col("games")) <= F.greatest(F.lit(1.0), sketches.error_bound() * F.col("games"))).alias("within_bound"))
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
 def _parse(docs: DataFrame, schema) -> DataFrame:
     """Documents as JSON text, parsed back with the declared schema (schema-on-read,
     the same path as landed files)."""
@@ -816,6 +860,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xwoba_published": xwoba_published,
     "box_score_players": box_score_players,
     "stream_ingest": stream_ingest,
+    "stream_boards": stream_boards,
+    "games_sketch": games_sketch,
     "launch_kde_sample": launch_kde_sample,
     "launch_mass_levels": launch_mass_levels,
     "exact_split": exact_split,

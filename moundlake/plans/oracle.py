@@ -622,6 +622,24 @@ SELECT l.l_orderkey AS game_id,
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """
 
+ORACLE["stream_boards"] = """
+WITH p AS (
+  SELECT l.l_suppkey AS pitcher_id, l.l_linestatus AS play_code,
+         l.l_quantity + CASE WHEN l.l_orderkey % 3 = 0 THEN 1.0 WHEN l.l_orderkey % 2 = 0 THEN 0.5 ELSE 0.0 END AS v
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+league AS (SELECT avg(v) AS m, stddev_samp(v) AS d FROM p)
+SELECT pitcher_id, play_code, count(*) AS rows, count(v) AS n_start_speed, round(CAST(sum(v) AS DOUBLE), 6) AS sum_start_speed,
+       round(avg(v), 6) AS mean_start_speed, round(stddev_samp(v), 6) AS std_start_speed,
+       round(100 + 10 * (avg(v) - any_value(m)) / any_value(d), 6) AS plus_start_speed
+FROM p, league GROUP BY pitcher_id, play_code
+"""
+
+ORACLE["games_sketch"] = with_views("""
+SELECT CASE WHEN grouping(pitcher_id) = 0 THEN 'pitcher' WHEN grouping(pitch_type) = 0 THEN 'type' ELSE 'all' END AS level,
+       pitcher_id, pitch_type, count(DISTINCT game_id) AS games, TRUE AS within_bound
+FROM pitches GROUP BY GROUPING SETS ((pitcher_id, pitch_type), (pitch_type), ())
+""", "pitches")
+
 ORACLE["actual_projection_pair"] = """
 WITH g AS (SELECT l_partkey AS player_id, CAST(year(l_shipdate) AS BIGINT) AS year, l_returnflag, sum(l_quantity) AS war,
                   count(*) AS games FROM lineitem GROUP BY ALL),
