@@ -559,6 +559,29 @@ def stream_ingest(spark, sf):
     return _r(cur.select("game_id", "ab_number", "index_play", "pitcher_id", "start_speed", "end_speed"))
 
 
+def stream_plays(spark, sf):
+    """ST1 by keyed state: every game is landed, then landed again (even keys half a mile faster) in files in which games of keys divisible by
+    five come twice, the second time without their last plate appearance. Every play seen, with its last values; a dropped one is a tombstone."""
+    import uuid
+    from moundlake.session import checkpoint_dir
+    from moundlake.streaming import play_states, stage_documents, start_play_state
+    base = f"{checkpoint_dir(spark).rstrip('/')}/moundlake-plays-{uuid.uuid4().hex}"
+    plays = F.col("liveData.plays.allPlays")
+    def take_in():
+        stage_documents(spark, f"{base}/landing/*", f"{base}/staged", f"{base}/ckpt-staged").awaitTermination()
+        start_play_state(spark, f"{base}/staged", f"{base}/ckpt").awaitTermination()
+
+    feed_documents(spark, sf).write.json(f"{base}/landing/v1")
+    take_in()
+    bump = F.when(F.pmod("l_orderkey", F.lit(2)) == 0, F.lit(0.5)).otherwise(F.lit(0.0))
+    again = F.when(F.pmod("gamePk", F.lit(5)) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    shorter = F.struct(F.struct(F.slice(plays, F.lit(1), F.size(plays) - F.col("_cut")).alias("allPlays")).alias("plays"))
+    v2 = feed_documents(spark, sf, speed_bump=bump).withColumn("_cut", F.explode(again)).withColumn("liveData", shorter).drop("_cut")
+    v2.write.json(f"{base}/landing/v2")
+    take_in()
+    return _r(play_states(spark, f"{base}/ckpt").select("game_id", "ab_number", "index_play", "pitcher_id", "start_speed", "end_speed", "current"))
+
+
 def stream_boards(spark, sf):
     """ST1 with A1, A7, A10 by signed changes: every game is landed, landed again (even keys half a mile faster), the board is compacted, and the
     games of keys divisible by three are landed a third time (a mile faster than first). Per pitcher and feed code the moments and the plus score
@@ -860,6 +883,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xwoba_published": xwoba_published,
     "box_score_players": box_score_players,
     "stream_ingest": stream_ingest,
+    "stream_plays": stream_plays,
     "stream_boards": stream_boards,
     "games_sketch": games_sketch,
     "launch_kde_sample": launch_kde_sample,

@@ -622,6 +622,17 @@ SELECT l.l_orderkey AS game_id,
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """
 
+ORACLE["stream_plays"] = """
+WITH p AS (
+  SELECT l.*, row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice) - 1 AS place,
+         count(*) OVER (PARTITION BY l.l_orderkey) AS n
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT l_orderkey AS game_id, CAST(place AS INTEGER) AS ab_number, 0 AS index_play, l_suppkey AS pitcher_id,
+       round(l_quantity + CASE WHEN l_orderkey % 2 = 0 THEN 0.5 ELSE 0.0 END, 6) AS start_speed, round(l_extendedprice, 6) AS end_speed,
+       l_orderkey % 5 <> 0 OR n = 1 OR place < n - 1 AS current
+FROM p
+"""
+
 ORACLE["stream_boards"] = """
 WITH p AS (
   SELECT l.l_suppkey AS pitcher_id, l.l_linestatus AS play_code,
