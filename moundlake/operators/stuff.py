@@ -85,10 +85,12 @@ def year_over_year(scores: DataFrame, results: DataFrame, key: str, season: str,
 
 def robust_scale(df: DataFrame, features: Sequence[str], suffix: str = "_scaled") -> DataFrame:
     """M10 exactly: (x - median) / (third - first quartile) per feature. The quartiles of all features come from one
-    ranked-counts pass over the long form; they are one row per feature."""
+    ranked-counts pass over the long form; they are one row per feature. A feature without any value, or without a spread between
+    its quartiles, has a null column: the schema does not depend on the data."""
     long = df.unpivot([], list(features), "_feature", "_value")
     q = {r["_feature"]: r for r in exact_quantiles(long, ["_feature"], "_value", [0.25, 0.5, 0.75], ["lo", "mid", "hi"]).collect()}
-    scaled = {f"{f}{suffix}": F.try_divide(F.col(f) - F.lit(q[f].mid), F.lit(q[f].hi - q[f].lo)) for f in features if f in q}
+    scaled = {f"{f}{suffix}": F.try_divide(F.col(f) - F.lit(q[f].mid), F.lit(q[f].hi - q[f].lo)) if f in q else F.lit(None).cast("double")
+              for f in features}
     return df.withColumns(scaled)
 
 

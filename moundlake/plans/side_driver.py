@@ -310,6 +310,19 @@ def fastball_features_all(spark, sf):
     return _r(out.select("pitch_uid", "year", "avg_fastball_speed", "avg_fastball_az", "avg_fastball_ax", "speed_diff", "az_diff", "ax_diff"))
 
 
+def fastball_features_bucketed(spark, sf):
+    """S19 with A4, J4, W1: the pitches of [fastball_features_all] saved as a table bucketed by pitcher, and the features from it, for which
+    no pitch row is exchanged."""
+    import uuid
+    from moundlake.session import checkpoint_dir
+    from moundlake.sources.sinks import write_bucketed
+    p = roles.pitches(spark, sf).withColumn("pitch_type", F.when(F.pmod("pitcher_id", F.lit(4)) == 0, "CU").otherwise(F.col("pitch_type")))
+    name = f"pitches_by_pitcher_{uuid.uuid4().hex[:12]}"
+    write_bucketed(p, name, ["pitcher_id"], int(spark.conf.get("spark.sql.shuffle.partitions")), f"{checkpoint_dir(spark).rstrip('/')}/{name}")
+    out = features.fastball_features_co_located(spark.table(name), keep_without_baseline=True)
+    return _r(out.select("pitch_uid", "year", "avg_fastball_speed", "avg_fastball_az", "avg_fastball_ax", "speed_diff", "az_diff", "ax_diff"))
+
+
 def hash_split(spark, sf):
     """M4: the hash split, rows per season and side."""
     p = expected.split_flag(roles.pitches(spark, sf), "pitch_uid")
@@ -447,5 +460,5 @@ def leafwise_scores(spark, sf):
 SIDE_QUERIES = {f.__name__: f for f in (
     leagues_sports, game_type_values, people_rows, player_lookup, games_of_types, game_log_lines, requested_games, csv_round_trip, yearly_tables, feed_quarantine,
     batting_board, season_tables, statcast_rows, fielding_and_framing, qualified_percentiles, arsenal_table, batter_arsenal,
-    team_boards, leaderboard_woba, fastball_features_all, hash_split, scalar_columns, whiff_lookup, feed_events, robust_scaling, model_quality, run_value_mapped,
+    team_boards, leaderboard_woba, fastball_features_all, fastball_features_bucketed, hash_split, scalar_columns, whiff_lookup, feed_events, robust_scaling, model_quality, run_value_mapped,
     leafwise_two_splits, leafwise_scores)}

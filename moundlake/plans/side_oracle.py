@@ -182,6 +182,8 @@ SELECT pitch_uid, year, round(fs, 6) AS avg_fastball_speed, round(fz, 6) AS avg_
 FROM j
 """, "pitches")
 
+SIDE_ORACLE["fastball_features_bucketed"] = SIDE_ORACLE["fastball_features_all"]
+
 SIDE_ORACLE["hash_split"] = with_views("""
 SELECT year, ('0x' || substr(md5('42|' || pitch_uid), 1, 12))::BIGINT % 100 < 80 AS is_train, count(*) AS n,
        CAST(sum(pitch_uid) AS BIGINT) AS uid_sum

@@ -1,4 +1,4 @@
-"""Sinks (S19, S20): Parquet/CSV tables partitioned by year, and model persistence."""
+"""Sinks (S19, S20): Parquet/CSV tables partitioned by year, bucketed tables, and model persistence."""
 
 from __future__ import annotations
 
@@ -25,6 +25,23 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
         w.format(fmt).save(path)
 
 
+def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None, hot: float = 8.0) -> bool:
+    """Save ``df`` as the table ``name`` (at ``path``, or in the warehouse), hashed by ``keys`` into ``buckets`` and sorted by them,
+    so that groupings and equi-joins on the keys read it without an exchange. A bucket is read by one task; if the fullest one holds more than
+    ``hot`` times the average, the table is saved without buckets and plans exchange its rows as usual, where the skew rule can split
+    them. Returns whether it is bucketed. Null keys are one key."""
+    sizes = df.groupBy(F.pmod(F.hash(*[F.col(c) for c in keys]), F.lit(buckets)).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    most, rows = sizes.agg(F.max("_n"), F.sum("_n")).first()  # one row
+    even = rows is None or most <= hot * max(rows / buckets, 1)
+    w = df.write
+    if even:  # the same hash as the buckets': one task and one file per bucket
+        w = df.repartition(buckets, *[F.col(c) for c in keys]).write.bucketBy(buckets, *keys).sortBy(*keys)
+    if path:
+        w = w.option("path", path)
+    w.mode("overwrite").format("parquet").saveAsTable(name)
+    return even
+
+
 def save_model(model, path: str) -> None:
     """Spark ML persistence (a pipeline model is a directory of Parquet + JSON)."""
     model.write().overwrite().save(path)
