@@ -55,15 +55,28 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def _plain_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is one file scan with deterministic projections and filters only, so that a row's place in its file tells
+    it apart. Anything that multiplies or makes rows (explode, join, union, grouping) is not."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias", "View"):
+        if not node.deterministic():
+            return False
+        node = node.children().head()
+    return node.nodeName() == "LogicalRelation"
+
+
 def with_locator(df: DataFrame, file_col: str = "_llm_file", row_col: str = "_llm_row") -> DataFrame:
     """Add the place of each row: file and row number inside it. Frames that are no plain
-    Parquet scan are first written to the shared folder, so that the place is stable."""
+    Parquet scan are first written to the shared folder, so that the place is stable and no two rows share one."""
     def located(d: DataFrame) -> DataFrame:
         return d.select("*", F.col("_metadata.file_path").alias(file_col), F.col("_metadata.row_index").alias(row_col))
-    try:
-        return located(df)
-    except AnalysisException:
-        return located(put_down(df, "staged"))
+    if _plain_scan(df):
+        try:
+            return located(df)
+        except AnalysisException:  # a scan of another format, or a column that hides the scan's own
+            pass
+    return located(put_down(df, "staged"))
 
 
 def worker_store(name: str) -> dict:

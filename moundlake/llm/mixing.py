@@ -13,7 +13,8 @@ a block permuted as well; the last epoch is cut at the source's token budget, be
 ``mix_key`` (tokens before the row / source's budget) orders the streams of all sources into one mixed stream.
 
 DataFrame operations only. A hot source is split into its blocks; cumulated tokens come from a window over
-the blocks of a source (one small row each) and one over the rows of a block. The exponent search reads the table of
+the blocks of a source (one small row each) and one over the rows of a block; blocks that null or repeated ids
+overfill are cut by the place of their rows, so no block is longer than a few times ``block_rows``. The exponent search reads the table of
 source totals and returns at most 101 rows a round to the driver.
 
 Defined results: a null source is a source of its own; a null or empty text has no tokens and takes part in every
@@ -30,6 +31,7 @@ from moundlake.llm.common import drop_table, put_down, table, text_or_empty, wit
 STEPS = 1_000_000
 SECTIONS = 100
 BLOCK_ROWS = 1000
+CROWDED = 4  # a block this many times as long as wanted is cut by the rows' places
 
 
 def word_count(text: Column) -> Column:
@@ -100,6 +102,26 @@ def mix_sources(docs: DataFrame, target: str = "repeats", limit: float = 4.0, fr
     return _mix(with_locator(docs), target, limit, fraction, seed, source_col, id_col, text_col, block_rows)
 
 
+def _crowded(sums: DataFrame, plan: DataFrame, block_rows: int) -> DataFrame:
+    """Blocks of more than ``CROWDED`` times the wanted rows, with the number of parts each is cut into and the number of its first
+    part, after the source's last block."""
+    parts = F.ceil(F.col("block_size") / block_rows).cast("int")
+    earlier = Window.partitionBy("src").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row per crowded block
+    return sums.where(F.col("block_size") > CROWDED * block_rows).join(plan.select("src", "blocks"), "src").select(
+        "src", "block", parts.alias("parts"), (F.col("blocks") + F.coalesce(F.sum(parts).over(earlier), F.lit(0))).cast("int").alias("first_part"))
+
+
+def _split(placed: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Rows of crowded blocks move to one of its parts by a hash of their place. Rows meet a block's line over salted copies, so that a
+    block of any size is spread over many tasks."""
+    salts = 64
+    lines = crowded.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rows = placed.withColumn("salt", F.pmod(F.xxhash64("row", "file"), F.lit(salts)).cast("int"))
+    part = F.col("first_part") + F.pmod(F.xxhash64("file", "row"), F.col("parts")).cast("int")
+    return rows.join(lines, ["src", "block", "salt"], "left").withColumn(
+        "block", F.coalesce(part, F.col("block"))).drop("salt", "parts", "first_part")
+
+
 def _mix(located: DataFrame, target: str, limit: float, fraction: float, seed: int, source_col: str, id_col: str,
          text_col: str, block_rows: int) -> DataFrame:
     source = F.col(f"`{source_col}`").cast("string")
@@ -125,7 +147,15 @@ def _mix(located: DataFrame, target: str, limit: float, fraction: float, seed: i
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     placed = rows.join(plan.select("src", "blocks"), "src").withColumn(
         "block", F.pmod(_unit(F.lit(str(seed)), key), F.col("blocks")).cast("int")).drop("blocks")
-    sums = placed.groupBy("src", "block").agg(F.sum("n_tokens").alias("block_tokens"))
+    totals_of = lambda d: put_down(d.groupBy("src", "block").agg(
+        F.sum("n_tokens").alias("block_tokens"), F.count(F.lit(1)).alias("block_size")), "mix-blocks")
+    sums = totals_of(placed)
+    crowded = put_down(_crowded(sums, plan, block_rows), "mix-crowded")
+    if not crowded.isEmpty():  # null or repeated ids fall into one block
+        placed = put_down(_split(placed, crowded), "mix-placed")
+        drop_table(sums)
+        sums = totals_of(placed)
+    sums = sums.drop("block_size")
     epochs = sums.join(plan, "src").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("epochs") - 1)))
     order = Window.partitionBy("src", "epoch").orderBy(
         _unit(F.lit(str(seed)), F.col("src"), F.col("epoch"), F.lit("b"), F.col("block")), "block") \

@@ -9,7 +9,8 @@ shared storage, written by Spark's own text writer (a record is one value, its c
 
 ``read_archive`` parses the files by Content-Length (any payload bytes are safe), groups continuation records by their
 origin, orders them by segment number, verifies that the numbers run from 1 without gaps and that the lengths add up to the stated
-total, and decodes the chunked framing. Records that fail are returned with ``complete`` false and no payload.
+total, and decodes the chunked framing. Records that fail, and bytes between records that are none, are returned with ``complete`` false
+and no payload; the records after them are read.
 
 Only segments are shuffled (a group is one page); whole records are decoded where they are read. Equal payloads
 are found on digests; the page table meets only the list of revisits.
@@ -24,6 +25,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -78,9 +80,9 @@ def record(headers: list[tuple[str, str | None]], block: bytes) -> bytes:
     return f"WARC/1.1\r\n{lines}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n"
 
 
-def response_records(rid: str, page: str | None, uri: str | None, payload: bytes, digest: str, segment_bytes: int) -> list[bytes]:
+def response_records(rid: str, page: str | None, uri: str | None, payload: bytes, digest: str, segment_bytes: int, date: str) -> list[bytes]:
     block = HTTP_HEAD + chunked(payload)
-    about = [("WARC-Target-URI", uri), ("X-Page-Id", page), ("WARC-Payload-Digest", f"sha256:{digest}"),
+    about = [("WARC-Date", date), ("WARC-Target-URI", uri), ("X-Page-Id", page), ("WARC-Payload-Digest", f"sha256:{digest}"),
              ("Content-Type", "application/http; msgtype=response")]
     if len(block) <= segment_bytes:
         return [record([("WARC-Type", "response"), ("WARC-Record-ID", f"<{rid}>"), *about], block)]
@@ -91,7 +93,7 @@ def response_records(rid: str, page: str | None, uri: str | None, payload: bytes
         if k == 1:
             head = [("WARC-Type", "response"), ("WARC-Record-ID", f"<{rid}>"), *about, ("WARC-Segment-Number", "1")]
         else:
-            head = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<{rid}-{k}>"), ("WARC-Target-URI", uri),
+            head = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<{rid}-{k}>"), ("WARC-Date", date), ("WARC-Target-URI", uri),
                     ("WARC-Segment-Origin-ID", f"<{rid}>"), ("WARC-Segment-Number", str(k)),
                     ("WARC-Segment-Total-Length", str(len(block)) if k == len(cuts) else None)]
         out.append(record(head, piece))
@@ -103,8 +105,10 @@ def _one_line(value: str) -> str:
 
 
 def write_archive(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, id_col: str = "page_id",
-                  url_col: str = "url", html_col: str = "html") -> None:
-    """Write one record per page (and its continuations) below ``path``."""
+                  url_col: str = "url", html_col: str = "html", date: str | None = None) -> None:
+    """Write one record per page (and its continuations) below ``path``, dated ``date`` (UTC, as 2024-01-31T00:00:00Z; the time of
+    the call where none is given)."""
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     located = with_locator(pages).select(
         F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"),
         F.coalesce(F.col(f"`{html_col}`"), F.lit("")).alias("html"), F.col("_llm_file").alias("file"), F.col("_llm_row").alias("row"))
@@ -129,9 +133,9 @@ def write_archive(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTE
                 for page, url, html, rid, digest, of in zip(*(part[c] for c in part.columns)):
                     uri = None if url is None else _one_line(url)
                     if of is None:
-                        out += response_records(rid, page, uri, html.encode(), digest, segment_bytes)
+                        out += response_records(rid, page, uri, html.encode(), digest, segment_bytes, date)
                     else:
-                        out.append(record([("WARC-Type", "revisit"), ("WARC-Record-ID", f"<{rid}>"), ("WARC-Target-URI", uri),
+                        out.append(record([("WARC-Type", "revisit"), ("WARC-Record-ID", f"<{rid}>"), ("WARC-Date", date), ("WARC-Target-URI", uri),
                                            ("X-Page-Id", page), ("WARC-Payload-Digest", f"sha256:{digest}"),
                                            ("WARC-Refers-To", f"<{of}>"), ("WARC-Profile", PROFILE)], b""))
                 yield pd.DataFrame({"value": out})
@@ -141,28 +145,42 @@ def write_archive(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTE
     drop_table(digests)
 
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (lower-case names) and block of every record of an uncompressed archive file."""
+def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes | None]]:
+    """Headers (lower-case names) and block of every record of an uncompressed archive file. The block is None where the record is
+    broken: no valid Content-Length, fewer bytes than it states, or no line break after them. Bytes that are no record come back as one
+    broken record without headers; reading goes on at the next line that starts one."""
     at = 0
     while at < len(data):
         end = data.find(b"\r\n\r\n", at)
-        if end < 0 or not data.startswith(b"WARC/", at):
-            raise ValueError(f"no record at byte {at}")
-        lines = data[at:end].decode("utf-8", errors="replace").split("\r\n")[1:]
-        headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
-        start, n = end + 4, int(headers["content-length"])
-        yield headers, data[start:start + n]
-        at = start + n
-        while data.startswith(b"\r\n", at):
-            at += 2
+        headers: dict[str, str] = {}
+        if end >= 0 and data.startswith(b"WARC/", at):
+            lines = data[at:end].decode("utf-8", errors="replace").split("\r\n")[1:]
+            headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
+            length = headers.get("content-length", "")
+            if re.fullmatch(r"[0-9]{1,18}", length):
+                start, stop = end + 4, end + 4 + int(length)
+                if data.startswith(b"\r\n", stop):
+                    yield headers, data[start:stop]
+                    at = stop
+                    while data.startswith(b"\r\n", at):
+                        at += 2
+                    continue
+        yield headers, None
+        after = data.find(b"\r\nWARC/", at + 1)
+        at = len(data) if after < 0 else after + 2
 
 
 def _gunzip(data: bytes) -> bytes:
-    """All members of a gzip file; a file that is not compressed is returned as it is."""
+    """All members of a gzip file; a file that is not compressed is returned as it is. A cut-off member gives the bytes it still holds, a
+    damaged one a byte that is no record, so that the file comes back with a broken one."""
     out = []
     while data[:2] == b"\x1f\x8b":
         member = zlib.decompressobj(31)
-        out.append(member.decompress(data) + member.flush())
+        try:
+            out.append(member.decompress(data) + member.flush())
+        except zlib.error:  # damaged: what comes before this member stays
+            out.append(b"\x00")
+            break
         data = member.unused_data
     return b"".join(out) if out else data
 
@@ -184,7 +202,7 @@ def read_records(spark: SparkSession, path: str, segments: bool) -> DataFrame:
                     rows.append((h.get("warc-type"), bare(h.get("warc-record-id")), bare(h.get("warc-segment-origin-id")),
                                  h.get("warc-segment-number"), h.get("warc-segment-total-length"), h.get("x-page-id"),
                                  h.get("warc-target-uri"), (h.get("warc-payload-digest") or "").removeprefix("sha256:") or None,
-                                 bare(h.get("warc-refers-to")), block))
+                                 bare(h.get("warc-refers-to")), block))  # a broken record has no block
                     if len(rows) >= 512:
                         yield pd.DataFrame(rows, columns=names)
                         rows = []
@@ -206,7 +224,8 @@ def reassemble(segments: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("k", "block"))).alias("parts"))  # the segments of one page
     numbers = F.transform("parts", lambda p: p["k"])
     size = F.aggregate("parts", F.lit(0).cast("long"), lambda s, p: s + F.octet_length(p["block"]))
-    good = F.col("about").isNotNull() & (numbers == F.sequence(F.lit(1), F.size("parts"))) & (size == F.col("total"))
+    good = F.col("about").isNotNull() & (numbers == F.sequence(F.lit(1), F.size("parts"))) & (size == F.col("total")) \
+        & ~F.exists("parts", lambda p: p["block"].isNull())
     block = F.concat_ws("", F.transform("parts", lambda p: F.hex(p["block"])))
     return whole.select(F.col("about.type").alias("type"), F.col("origin").alias("rid"), F.col("about.page").alias("page"),
                         F.col("about.url").alias("url"), F.col("about.digest").alias("digest"),
@@ -225,7 +244,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             payload = [None if b is None or t == "revisit" else payload_of(b) for t, b in zip(batch["type"], batch["block"])]
-            done = [t == "revisit" or p is not None for t, p in zip(batch["type"], payload)]
+            done = [p is not None or (t == "revisit" and b is not None) for t, b, p in zip(batch["type"], batch["block"], payload)]
             yield batch.drop(columns="block").assign(payload=payload, complete=done)
 
     return whole.union(parts).mapInPandas(run, ", ".join(f"{n} string" for n in names[:-1]) + ", payload binary, complete boolean")
