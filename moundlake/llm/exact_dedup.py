@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from moundlake.llm.common import drop_table, put_down, shared_path, table, text_or_empty, with_locator
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Copies that are compared with one copy of their group's content; a larger group is cut into parts.
+GROUP_PART = 256
 #: What the state keeps of the row that stays; ordered, so that min() finds it.
 KEEPER = ("no_id", "doc_id", "file", "row")
 
@@ -112,13 +114,15 @@ def _dedup(located: DataFrame, id_col: str, text_col: str, digest) -> DataFrame:
 
 def _full_bytes(rows: DataFrame, placed: DataFrame) -> DataFrame:
     """Rows that hit a digest of the state but whose whole text differs from the content at its locator."""
-    hits = put_down(placed.where("n > 1").select("file", "row", "keep_file", "keep_row", "kept", "digest"), "hits")
+    parts = F.ceil(F.col("n") / GROUP_PART).cast("int")
+    hits = put_down(placed.where("n > 1").select("file", "row", "keep_file", "keep_row", "kept", "digest", parts.alias("parts")), "hits")
     # one plan at every size: the hits grow with the data, so their join is never left to a broadcast
     texts = rows.select("file", "row", "text").join(hits.hint("merge"), ["file", "row"])
-    copies = texts.where("not kept")
-    content = texts.where("kept").select(F.col("file").alias("keep_file"), F.col("row").alias("keep_row"),
-                                         F.col("text").alias("content"))
-    return put_down(copies.join(content.hint("merge"), ["keep_file", "keep_row"]).where("text != content")
+    # a group meets its content in parts, the content once for each: no task holds a large group
+    copies = texts.where("not kept").withColumn("part", F.pmod(F.xxhash64("file", "row"), F.col("parts")).cast("int"))
+    content = texts.where("kept").select(F.col("file").alias("keep_file"), F.col("row").alias("keep_row"), F.col("text").alias("content"),
+                                         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    return put_down(copies.join(content.hint("merge"), ["keep_file", "keep_row", "part"]).where("text != content")
                     .select("file", "row", "digest", "text"), "collisions")
 
 

@@ -126,3 +126,15 @@ def test_every_record_is_dated(spark, tmp_path):
     assert len(heads) > 5 and {h["warc-date"] for h in heads} == {"2024-01-31T00:00:00Z"}
     assert {(r.page_id, r.refers_to, r.complete) for r in round_trip(pages, str(tmp_path / "v")).collect()} == {
         (1, None, True), (2, 1, True), (3, None, True), (None, None, True)}
+
+
+def test_large_groups_meet_their_content_in_parts(spark, monkeypatch):
+    """Groups cut into parts, every digest colliding, against grouping by the texts."""
+    from pyspark.sql import functions as F
+    from moundlake.llm import exact_dedup as E
+    monkeypatch.setattr(E, "GROUP_PART", 3)
+    texts = ["a"] * 25 + ["b"] * 10 + ["c", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    for digest in (E.sha256, lambda t: F.lit("same")):
+        got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in E.dedup_exact(docs, digest=digest).collect()}
+        assert got == {i: (texts.index(t), texts.count(t), texts.index(t) == i) for i, t in enumerate(texts)}
