@@ -7,22 +7,35 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Files a task keeps open at once when it writes its rows as they come; beyond them it sorts its rows.
+OPEN_FILES = 32
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ("year",),
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", gather: bool = True) -> None:
     """Write a table; partitioned by year when the column exists (partition pruning
-    for every board that reads one season)."""
+    for every board that reads one season). Without ``gather`` no row is exchanged: every task writes a file to each partition
+    value it holds, which suits a few values (up to ``OPEN_FILES``, written without sorting the task's rows) and large tasks."""
     parts = [c for c in partition_by if c in df.columns]
     # one task per (part of a) partition value instead of every task writing to every folder; a large
     # partition is split by size at run time
-    out = df.hint("rebalance", *[F.col(c) for c in parts]) if parts else df
+    out = df.hint("rebalance", *[F.col(c) for c in parts]) if parts and gather else df
     w = out.write.mode(mode)
     if parts:
         w = w.partitionBy(*parts)
     if fmt == "csv":
-        w.option("header", True).csv(path)
-    else:
-        w.format(fmt).save(path)
+        w = w.option("header", True)
+    w = w.format(fmt)
+    if not parts or gather:
+        w.save(path)
+        return
+    conf, name = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name)
+    conf.set(name, OPEN_FILES)
+    try:
+        w.save(path)
+    finally:
+        conf.set(name, before)
 
 
 def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None, hot: float = 8.0) -> bool:
