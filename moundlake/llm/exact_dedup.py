@@ -31,6 +31,8 @@ from moundlake.llm.common import drop_table, put_down, shared_path, table, text_
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Copies that are compared with one copy of their group's content; a larger group is cut into parts.
 GROUP_PART = 256
+#: Native memory that the open state stores of one executor share.
+STATE_CACHE_MB = "128"
 #: What the state keeps of the row that stays; ordered, so that min() finds it.
 KEEPER = ("no_id", "doc_id", "file", "row")
 
@@ -45,9 +47,14 @@ def sha256(text: Column) -> Column:
 
 @contextmanager
 def _state_settings(spark: SparkSession):
-    """Disk-backed state; no preallocated log space, which would cost megabytes for each of many small stores."""
+    """Disk-backed state; no preallocated log space, which would cost megabytes for each of many small stores. An executor's stores share
+    one bounded cache, and each is closed with its task instead of minutes later: their native memory lies beside the heap and the
+    Python workers, and a store is open for every partition otherwise."""
     wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-              "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
+              "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+              "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+              "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": STATE_CACHE_MB,
+              "spark.sql.streaming.stateStore.unloadOnCommit": "true"}
     before = {k: spark.conf.get(k, None) for k in wanted}
     for k, v in wanted.items():
         spark.conf.set(k, v)
