@@ -11,7 +11,8 @@ length, a table of at most (lengths x parts) rows, so the numbering is gapless i
 
 Ids are those of the vocabulary's own library. A text is split between a non-space character and the white space after it, and
 between a run of letters and the mark after it, where that pre-tokenizer always breaks; such chunks repeat, so each Python worker keeps
-the ids of short ones in a bounded memo and sends only chunks it has not seen to the library.
+the ids of short ones in a bounded memo and sends only chunks it has not seen to the library, strung together to one text: it is cut
+again at the chunks' bytes, for a token of a byte-level vocabulary has one character for each of its bytes.
 
 Defined results: a null text counts as empty, an empty text is the end mark alone (one piece of one token); repeated rows and
 equal ids are documents of their own; a null id stays null; an empty table gives no rows; further columns are ignored unless
@@ -33,8 +34,11 @@ from moundlake.operators.joins import broadcast_if_small
 LONGEST, END_ID = 2048, 1
 #: Chunks of up to this many characters are kept in the memo, which is emptied beyond this many entries (about 200 bytes each).
 SHORT, MEMO = 48, 1_000_000
-#: White space and letters up to a mark, or white space and what follows it, or white space that ends the text.
-CHUNK = f"[{WHITE}]*[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,;:!?])|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+"
+#: White space and letters up to a mark, or white space and what follows it, or white space that ends the text. No run is given back:
+#: what ends it can not stand inside it.
+CHUNK = f"[{WHITE}]*+(?:[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[.,;:!?])|[^{WHITE}]++)|[{WHITE}]++"
+#: A chunk that may stand between others of its kind: each border lies between a non-space character and white space.
+BETWEEN = f"[{WHITE}]+[^{WHITE}]+"
 #: Rows taken from a batch at a time.
 ROWS = 256
 
@@ -45,6 +49,8 @@ class ChunkCoder:
     def __init__(self, spec: str):
         import os
         import zlib
+
+        import numpy as np
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
         kept = worker_store(f"chunk coder {len(spec)} {zlib.crc32(spec.encode())}")
@@ -52,15 +58,37 @@ class ChunkCoder:
             library = Tokenizer.from_str(spec)
             library.no_truncation()
             library.no_padding()
-            kept.update(library=library, memo={})
-        self.library, self.memo = kept["library"], kept["memo"]
-        self.chunk = re.compile(CHUNK)
+            vocab = library.get_vocab()
+            size = np.zeros(max(vocab.values(), default=0) + 1, dtype=np.int64)
+            size[list(vocab.values())] = [len(token) for token in vocab]
+            kept.update(library=library, memo={}, size=size)
+        self.library, self.memo, self.size = kept["library"], kept["memo"], kept["size"]
+        self.chunk, self.between = re.compile(CHUNK), re.compile(BETWEEN).fullmatch
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         import numpy as np
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _chunk_ids(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The ids of each chunk: those that may stand side by side are one text for the library."""
+        import numpy as np
+        strung, alone = [], []
+        for c in chunks:
+            (strung if self.between(c) else alone).append(c)
+        yield from zip(alone, self._ids(alone))
+        if strung:
+            ids = np.frombuffer(self._ids(["".join(strung)])[0], "<u4")
+            behind = np.cumsum(self.size[ids])  # bytes up to the end of each token
+            ends = np.cumsum([len(c.encode()) for c in strung])
+            cuts = np.searchsorted(behind, ends)
+            if not np.array_equal(behind[cuts], ends):
+                raise ValueError("a token reaches over the border of two chunks")
+            raw, lo = ids.tobytes(), 0
+            for c, hi in zip(strung, (4 * (cuts + 1)).tolist()):
+                yield c, raw[lo:hi]
+                lo = hi
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. Texts that hold a special token's name go to the library whole."""
         whole = {k for k, t in enumerate(texts) if any(s in t for s in self.special)}
@@ -69,7 +97,7 @@ class ChunkCoder:
         if len(memo) > MEMO:
             memo.clear()
         new = list(set().union(*chunks).difference(memo))
-        memo.update(zip(new, self._ids(new)))
+        memo.update(self._chunk_ids(new))
         out = [b"".join(map(memo.__getitem__, cs)) for cs in chunks]
         for c in new:
             if len(c) > SHORT:
